@@ -79,25 +79,20 @@ def spearman(
     Ranks are worked out on distinct values. The rank of a 0/1 target is linear in it, so
     rho is the Pearson r between the value rank and membership.
     """
-    out = None
-    for p in params:
-        column = df.select(F.col(class_col).alias("_class"), F.col(p).cast("double").alias("value"))
-        cuts = O.range_cuts(column, "value", rows_per_bucket)
-        members = [F.count_if(F.col("_class") == c).alias(f"_c{i}") for i, c in enumerate(classes)]
-        ranked = O.average_ranks(O.value_counts(column, [], "value", *members), [], "value", cuts)
-        rank = F.col("avg_rank")
-        totals = ranked.agg(
-            F.sum("n").alias("n_all"),
-            F.sum(F.col("n") * rank).alias("s_rank"),
-            F.sum(F.col("n") * rank * rank).alias("s_rank2"),
-            *[F.sum(f"_c{i}").alias(f"n{i}") for i in range(len(classes))],
-            *[F.sum(F.col(f"_c{i}") * rank).alias(f"s{i}") for i in range(len(classes))],
-        )
-        part = totals.select("n_all", "s_rank", "s_rank2", F.explode(F.array(*[
-            F.struct(F.lit(c).alias(class_col), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s"))
-            for i, c in enumerate(classes)
-        ])).alias("k")).select(F.lit(p).alias("param"), "n_all", "s_rank", "s_rank2", "k.*")
-        out = part if out is None else out.unionByName(part)
+    members = {f"_c{i}": F.count_if(F.col(class_col) == c) for i, c in enumerate(classes)}
+    counts, cut = O.long_value_counts(df.select(class_col, *params), [], params, members, rows_per_bucket)
+    rank = F.col("avg_rank")
+    totals = O.average_ranks(counts, ["param"], cut).groupBy("param").agg(
+        F.sum("n").alias("n_all"),
+        F.sum(F.col("n") * rank).alias("s_rank"),
+        F.sum(F.col("n") * rank * rank).alias("s_rank2"),
+        *[F.sum(f"_c{i}").alias(f"n{i}") for i in range(len(classes))],
+        *[F.sum(F.col(f"_c{i}") * rank).alias(f"s{i}") for i in range(len(classes))],
+    )
+    out = totals.select("param", "n_all", "s_rank", "s_rank2", F.explode(F.array(*[
+        F.struct(F.lit(c).alias(class_col), F.col(f"n{i}").alias("n"), F.col(f"s{i}").alias("s"))
+        for i, c in enumerate(classes)
+    ])).alias("k")).select("param", "n_all", "s_rank", "s_rank2", "k.*")
     n = F.col("n_all")
     cov = F.col("s") / n - F.col("s_rank") / n * F.col("n") / n
     var_rank = F.col("s_rank2") / n - (F.col("s_rank") / n) ** 2

@@ -22,18 +22,15 @@ def cells_to_binary(cells: Column) -> Column:
     return F.unhex(F.array_join(F.transform(cells, lambda v: F.lpad(v.cast("string"), 2, "0")), ""))
 
 
-def binary_to_cells(blob: Column, size: int) -> Column:
+def binary_to_cells(blob: Column) -> Column:
     """Bytes back to an array of ints, row-major."""
-    digits = F.hex(blob)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int"),
-    )
+    pairs = F.regexp_extract_all(F.hex(blob), F.lit("(..)"))
+    return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int"))
 
 
-def long_form(df: DataFrame, blob: str, size: int, *keep: str) -> DataFrame:
+def long_form(df: DataFrame, blob: str, *keep: str) -> DataFrame:
     """One row per die; the checkable twin of the kernels, not used by them."""
-    return df.select(*keep, F.posexplode(binary_to_cells(F.col(blob), size)).alias("pos", "die"))
+    return df.select(*keep, F.posexplode(binary_to_cells(F.col(blob))).alias("pos", "die"))
 
 
 def map_validity(blob: Column, rows: Column | int, cols: Column | int) -> Column:

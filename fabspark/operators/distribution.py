@@ -78,27 +78,13 @@ def describe(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> Da
         F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    return basics.join(quantiles_by_column(df, cols, keys, {"q25": 0.25, "q50": 0.5, "q75": 0.75}), by)
-
-
-def quantiles_by_column(
-    df: DataFrame, cols: Sequence[str], keys: Sequence[str], probs: dict[str, float],
-    rows_per_bucket: int = O.ROWS_PER_BUCKET,
-) -> DataFrame:
-    """Exact quantiles of several columns. Each column has its own cut points."""
-    out = None
-    for c in cols:
-        part = O.exact_quantiles(
-            df.select(*keys, F.col(c).cast("double").alias("value")), keys, "value", probs, rows_per_bucket
-        ).withColumn("param", F.lit(c))
-        out = part if out is None else out.unionByName(part)
-    return out.select(*keys, "param", *probs)
+    return basics.join(O.exact_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75}), by)
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Quartiles and whisker ends (last value within 1.5 IQR) per key and column."""
     by = [*keys, "param"]
-    quartiles = quantiles_by_column(df, cols, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quartiles = O.exact_quantiles(df, keys, cols, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     fences = quartiles.select(
         *by, "q1", "median", "q3",
         (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),

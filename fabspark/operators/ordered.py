@@ -157,39 +157,47 @@ def running(
     ``exprs`` maps an output name to ``(kind, column)``. Each bucket is reduced first; the
     reduced values of earlier buckets (one row per series and bucket) are carried in.
     """
-    series = list(series)
     if cuts is None:
         cuts = range_cuts(df, order_col, rows_per_bucket)
-    inputs = df.select("*", *[value.alias(f"_in_{out}") for out, (_, value) in exprs.items()])
-    rows = with_buckets(inputs, order_col, cuts)
+    rows = with_buckets(df, order_col, cuts)
+    return running_in_buckets(rows, order_col, exprs, series, descending, carried=bool(cuts)).drop(BUCKET)
+
+
+def running_in_buckets(
+    rows: DataFrame,
+    order_col: str,
+    exprs: dict[str, tuple[str, Column]],
+    series: Sequence[str] = (),
+    descending: bool = False,
+    carried: bool = True,
+) -> DataFrame:
+    """``running`` for rows that have their ``_bucket``; ``carried=False`` if there is only one."""
+    keys = [*series, BUCKET]
+    inputs = rows.select("*", *[value.alias(f"_in_{out}") for out, (_, value) in exprs.items()])
     direction = F.desc if descending else F.asc
-    local = (
-        Window.partitionBy(*series, BUCKET).orderBy(direction(order_col))
-        .rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy(*keys).orderBy(direction(order_col)).rowsBetween(Window.unboundedPreceding, 0)
+    here = inputs.select(
+        *rows.columns,
+        *[_COMBINE[kind][0](f"_in_{out}").over(local).alias(f"_here_{out}") for out, (kind, _) in exprs.items()],
     )
-    here = rows.select(
-        "*", *[_COMBINE[kind][0](f"_in_{out}").over(local).alias(f"_here_{out}")
-               for out, (kind, _) in exprs.items()]
-    )
-    if not cuts:
-        return here.select(*df.columns, *[F.col(f"_here_{out}").alias(out) for out in exprs])
+    if not carried:
+        return here.withColumnsRenamed({f"_here_{out}": out for out in exprs})
 
     before = (
         Window.partitionBy(*(series or [F.lit(0)])).orderBy(direction(BUCKET))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = (
-        rows.groupBy(*series, BUCKET)
+        inputs.groupBy(*keys)
         .agg(*[_COMBINE[kind][0](f"_in_{out}").alias(f"_part_{out}") for out, (kind, _) in exprs.items()])
-        .select(*series, BUCKET, *[
-            _COMBINE[kind][0](f"_part_{out}").over(before).alias(f"_carry_{out}")
-            for out, (kind, _) in exprs.items()
+        .select(*keys, *[
+            _COMBINE[kind][0](f"_part_{out}").over(before).alias(f"_carry_{out}") for out, (kind, _) in exprs.items()
         ])
     )
     if not series:  # one row per bucket
         carry = F.broadcast(carry)
-    return here.join(carry, [*series, BUCKET]).select(
-        *df.columns,
+    return here.join(carry, keys).select(
+        *rows.columns,
         *[_COMBINE[kind][1](F.col(f"_carry_{out}"), F.col(f"_here_{out}")).alias(out)
           for out, (kind, _) in exprs.items()],
     )
@@ -204,28 +212,60 @@ def value_counts(df: DataFrame, keys: Sequence[str], value_col: str, *extra: Col
     )
 
 
+def long_value_counts(
+    df: DataFrame,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    extra: dict[str, Column] | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> tuple[DataFrame, bool]:
+    """``(keys, param, _bucket, value, n, extra...)`` for several columns, and whether there are cuts.
+
+    Every column gets its own cut points; they all come from one scan, and the counts from
+    one more. ``extra`` maps output names to aggregates over the rows of a value.
+    """
+    n_buckets = math.ceil(df.count() / rows_per_bucket)
+    wide = df.select("*", *[_order_key(df, c).alias(f"_k_{c}") for c in cols])
+    at: dict[str, Column] = {c: F.lit(0) for c in cols}
+    if n_buckets > 1:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        found = wide.approxQuantile([f"_k_{c}" for c in cols], probs, 0.25 / n_buckets)
+        splits = [[-math.inf, *sorted(set(f)), math.inf] for f in found]
+        wide = Bucketizer(
+            splitsArray=splits, inputCols=[f"_k_{c}" for c in cols], outputCols=[f"_b_{c}" for c in cols],
+            handleInvalid="keep",
+        ).transform(wide)
+        at = {c: F.col(f"_b_{c}").cast("int") for c in cols}
+    items = F.array(*[
+        F.struct(F.lit(c).alias("param"), at[c].alias(BUCKET), F.col(f"_k_{c}").alias("value")) for c in cols
+    ])
+    long = wide.withColumn("_item", F.explode(items)).filter(F.col("_item.value").isNotNull())
+    counts = long.groupBy(*keys, *[F.col(f"_item.{c}").alias(c) for c in ("param", BUCKET, "value")]).agg(
+        F.count("*").alias("n"), *[agg.alias(name) for name, agg in (extra or {}).items()]
+    )
+    return counts, n_buckets > 1
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
-    value_col: str,
+    cols: str | Sequence[str],
     probs: dict[str, float],
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles per key; one row per key.
+    """Exact linearly interpolated quantiles: one row per key, or per key and ``param`` for a
+    list of columns.
 
     The built-in exact percentile keeps every distinct value of a group in one task. Here the
     distinct values are counted, counted up across ranges, and only the rows holding a wanted
     rank are kept.
     """
-    wanted_keys = list(keys)
-    keys = wanted_keys or ["_all"]
-    if not wanted_keys:
-        df = df.withColumn("_all", F.lit(0))
-    cuts = range_cuts(df, value_col, rows_per_bucket)
-    counts = value_counts(df.select(*keys, value_col), keys, value_col)
-    upto = running(counts, value_col, {"upto": ("sum", F.col("n"))}, keys, cuts=cuts)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    ranked = upto.join(totals, keys)
+    single = isinstance(cols, str)
+    by = [*keys, "param"]
+    counts, cut = long_value_counts(df, keys, [cols] if single else cols, rows_per_bucket=rows_per_bucket)
+    upto = running_in_buckets(counts, "value", {"upto": ("sum", F.col("n"))}, by, carried=cut)
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
+    ranked = upto.join(totals, by)
 
     def holds(rank: Column) -> Column:
         return (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
@@ -237,25 +277,23 @@ def exact_quantiles(
         condition = condition | w
     picked = (
         ranked.filter(condition)
-        .groupBy(*keys)
+        .groupBy(*by)
         .agg(
             F.first("_total").alias("_total"),
-            *[F.max(F.when(holds(F.floor(position[name])), F.col(value_col))).alias(f"_lo_{name}") for name in probs],
-            *[F.max(F.when(holds(F.ceil(position[name])), F.col(value_col))).alias(f"_hi_{name}") for name in probs],
+            *[F.max(F.when(holds(F.floor(position[name])), F.col("value"))).alias(f"_lo_{name}") for name in probs],
+            *[F.max(F.when(holds(F.ceil(position[name])), F.col("value"))).alias(f"_hi_{name}") for name in probs],
         )
     )
-    return picked.select(*wanted_keys, *[
+    return picked.select(*(keys if single else by), *[
         (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
          * (position[name] - F.floor(position[name]))).alias(name)
         for name in probs
     ])
 
 
-def average_ranks(
-    counts: DataFrame, keys: Sequence[str], value_col: str, cuts: Sequence[float]
-) -> DataFrame:
-    """Add ``avg_rank`` (ties share their mean rank) to a ``value_counts`` table."""
-    upto = running(counts, value_col, {"_upto": ("sum", F.col("n"))}, keys, cuts=cuts)
+def average_ranks(counts: DataFrame, series: Sequence[str], carried: bool) -> DataFrame:
+    """Add ``avg_rank`` (ties share their mean rank) to a ``long_value_counts`` table."""
+    upto = running_in_buckets(counts, "value", {"_upto": ("sum", F.col("n"))}, series, carried=carried)
     return upto.withColumn("avg_rank", F.col("_upto") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)).drop("_upto")
 
 
