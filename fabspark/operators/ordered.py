@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 1_000_000
+MIN_ROWS_PER_BUCKET = 20_000
+SAMPLES_PER_BUCKET = 500
 BUCKET = "_bucket"
 _KEY = "_order_key"
 
@@ -34,18 +36,32 @@ def _order_key(df: DataFrame, order_col: str) -> Column:
     return F.col(order_col).cast("double")
 
 
+def bucket_count(df: DataFrame, rows_per_bucket: int) -> tuple[int, int]:
+    """Rows, and the ranges to cut them into: bounded size, and work for every core."""
+    n_rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return n_rows, max(math.ceil(n_rows / rows_per_bucket), min(cores, n_rows // MIN_ROWS_PER_BUCKET))
+
+
+def _cut_points(keys: DataFrame, n_rows: int, n_buckets: int) -> list[list[float]]:
+    # A sample places the cuts, as for any range partitioning. Their exact position only
+    # affects how even the ranges are.
+    fraction = min(1.0, SAMPLES_PER_BUCKET * n_buckets / max(n_rows, 1))
+    sample = keys if fraction == 1.0 else keys.sample(fraction, seed=42)
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    return [sorted(set(cuts)) for cuts in sample.approxQuantile(keys.columns, probs, 0.1 / n_buckets)]
+
+
 def range_cuts(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
     """Ascending inner cut points that split ``df`` into ranges of about ``rows_per_bucket``.
 
-    One scan of one column builds mergeable quantile sketches; only the cut points reach
-    the driver. Equal values fall in one range.
+    One scan of one column; only the cut points reach the driver. Equal values fall in one
+    range.
     """
-    n_buckets = math.ceil(df.count() / rows_per_bucket)
+    n_rows, n_buckets = bucket_count(df, rows_per_bucket)
     if n_buckets <= 1:
         return []
-    keys = df.select(_order_key(df, order_col).alias(_KEY))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    return sorted(set(keys.approxQuantile(_KEY, probs, 0.25 / n_buckets)))
+    return _cut_points(df.select(_order_key(df, order_col).alias(_KEY)), n_rows, n_buckets)[0]
 
 
 def with_buckets(df: DataFrame, order_col: str, cuts: Sequence[float]) -> DataFrame:
@@ -224,15 +240,14 @@ def long_value_counts(
     Every column gets its own cut points; they all come from one scan, and the counts from
     one more. ``extra`` maps output names to aggregates over the rows of a value.
     """
-    n_buckets = math.ceil(df.count() / rows_per_bucket)
-    wide = df.select("*", *[_order_key(df, c).alias(f"_k_{c}") for c in cols])
+    n_rows, n_buckets = bucket_count(df, rows_per_bucket)
+    key_cols = [f"_k_{c}" for c in cols]
+    wide = df.select("*", *[_order_key(df, c).alias(k) for c, k in zip(cols, key_cols)])
     at: dict[str, Column] = {c: F.lit(0) for c in cols}
     if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        found = wide.approxQuantile([f"_k_{c}" for c in cols], probs, 0.25 / n_buckets)
-        splits = [[-math.inf, *sorted(set(f)), math.inf] for f in found]
+        splits = [[-math.inf, *cuts, math.inf] for cuts in _cut_points(wide.select(key_cols), n_rows, n_buckets)]
         wide = Bucketizer(
-            splitsArray=splits, inputCols=[f"_k_{c}" for c in cols], outputCols=[f"_b_{c}" for c in cols],
+            splitsArray=splits, inputCols=key_cols, outputCols=[f"_b_{c}" for c in cols],
             handleInvalid="keep",
         ).transform(wide)
         at = {c: F.col(f"_b_{c}").cast("int") for c in cols}
@@ -311,7 +326,8 @@ def top_k(
     so no task receives a whole hot key.
     """
     keys = list(keys)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and f.dataType != T.BinaryType()]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)))
     first = Window.partitionBy(*keys, "_salt").orderBy(*order)
     final = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
     return (

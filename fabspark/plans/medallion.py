@@ -7,6 +7,7 @@ with ``--step``: each step reads what the earlier ones wrote.
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,24 +93,29 @@ def run(
     """Build the lake under ``lake``; ``step`` is all, bronze, silver, gold or features."""
     path = {table: f"{lake.rstrip('/')}/{folder}" for table, folder in LAYOUT.items()}
 
-    def write(df: DataFrame, table: str) -> None:
-        writers.write_table(df, path[table], table)
+    def write(frames: dict[str, DataFrame]) -> None:
+        # Independent tables are written side by side, so small ones do not leave cores idle.
+        with ThreadPoolExecutor(len(frames)) as pool:
+            list(pool.map(lambda item: writers.write_table(item[1], path[item[0]], item[0]), frames.items()))
 
     def read(table: str) -> DataFrame:
         return readers.read_table(spark, path[table], schema=schemas.TABLES[table][0])
 
     if step in ("all", "bronze"):
-        write(bronze_maps(maps, manifest), "bronze_maps")
-        write(bronze_params(params), "bronze_params")
+        write({"bronze_maps": bronze_maps(maps, manifest), "bronze_params": bronze_params(params)})
     if step in ("all", "silver"):
-        write(silver(read("bronze_maps"), read("bronze_params")), "silver")
+        write({"silver": silver(read("bronze_maps"), read("bronze_params"))})
+    outputs = {}
     if step in ("all", "gold"):
-        write(read("silver"), "gold")
+        outputs["gold"] = read("silver")
     if step in ("all", "features"):
         table = read("silver")
-        write(feature_store(table), "gold_feature_store")
-        write(gold_spc(table), "gold_spc")
-        write(gold_spc_summary(table), "gold_spc_summary")
+        outputs |= {
+            "gold_feature_store": feature_store(table), "gold_spc": gold_spc(table),
+            "gold_spc_summary": gold_spc_summary(table),
+        }
+    if outputs:
+        write(outputs)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -19,6 +19,8 @@ def get_spark(app_name: str = "fabspark", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
         .config("spark.sql.session.timeZone", "UTC")
+        # Partitioned writes keep one open file per class or split instead of sorting the maps.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
     )
     if master:
         builder = builder.master(master)
