@@ -86,6 +86,13 @@ def gold_spc_summary(silver_df: DataFrame) -> DataFrame:
     return schemas.conform(spc.spc_summary(silver_df), schemas.SPC_SUMMARY)
 
 
+def read_lake(spark: SparkSession, lake: str, table: str) -> DataFrame:
+    """One lake table in its contract's column order."""
+    schema = schemas.TABLES[table][0]
+    return schemas.conform(
+        readers.read_table(spark, f"{lake.rstrip('/')}/{LAYOUT[table]}", schema=schema), schema)
+
+
 def run(
     spark: SparkSession, lake: str, maps: DataFrame | None = None, params: DataFrame | None = None,
     manifest: DataFrame | None = None, step: str = "all",
@@ -99,7 +106,7 @@ def run(
             list(pool.map(lambda item: writers.write_table(item[1], path[item[0]], item[0]), frames.items()))
 
     def read(table: str) -> DataFrame:
-        return readers.read_table(spark, path[table], schema=schemas.TABLES[table][0])
+        return read_lake(spark, lake, table)
 
     if step in ("all", "bronze"):
         write({"bronze_maps": bronze_maps(maps, manifest), "bronze_params": bronze_params(params)})

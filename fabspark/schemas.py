@@ -66,7 +66,10 @@ TABLES = {
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to ``schema``; a missing column or unsafe type raises."""
+    """Select and cast to ``schema``; a missing column or a lossy type raises."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:  # DataFrame.to would fill nullable columns with NULL
+        raise ValueError(f"missing columns: {', '.join(missing)}")
     return df.to(schema)
 
 

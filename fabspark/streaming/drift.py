@@ -41,10 +41,12 @@ def with_suggestion(alarms: DataFrame, key: str) -> DataFrame:
 
 
 def drift_stream(rates: DataFrame, key: str, baseline_windows: int = 7, factor: float = 3.0) -> DataFrame:
-    """Streaming form of ``rate_drift`` on closed windows (an append-mode rate stream).
+    """Streaming form of ``rate_drift``, on a stream of closed windows.
 
-    State per class is the list of its last rates. Windows arrive aggregated, so even a class
-    with a third of all events sends one row per window to its task.
+    Spark allows no such state behind an aggregation in one query, so the windows come from a
+    rate table that ``rates.start_closed`` appends to, read as a stream. State per class is the
+    list of its last rates. Windows arrive aggregated, so even a class with a third of all
+    events sends one row per window to its task.
     """
     key_type = rates.schema[key].dataType.simpleString()
 

@@ -56,6 +56,13 @@ def start_updates(result: DataFrame, table: str, checkpoint: str, available_now:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def start_closed(result: DataFrame, table: str, checkpoint: str, available_now: bool = True):
+    """Append every row to ``table`` once, when the watermark has closed its window."""
+    writer = result.writeStream.outputMode("append").format("parquet").option("path", table).option(
+        "checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def latest(spark: SparkSession, table: str, keys: Sequence[str]) -> DataFrame:
     """Last written version of each result row."""
     rows = spark.read.parquet(table)
