@@ -44,8 +44,9 @@ def drift_stream(rates: DataFrame, key: str, baseline_windows: int = 7, factor:
     """Streaming form of ``rate_drift``, on a stream of closed windows.
 
     Spark allows no such state behind an aggregation in one query, so the windows come from a
-    rate table that ``rates.start_closed`` appends to, read as a stream. State per class is the
-    list of its last rates. Windows arrive aggregated, so even a class with a third of all
+    rate table that ``rates.start_closed`` appends to, read as a stream without a limit on files
+    per batch: windows that closed together are committed together and must arrive together.
+    State per class is the list of its last rates. Windows arrive aggregated, so even a class with a third of all
     events sends one row per window to its task.
     """
     key_type = rates.schema[key].dataType.simpleString()

@@ -72,11 +72,16 @@ def test_batch_drift(spark):
 
 
 def test_stateful_drift_equals_batch(spark, folder, tmp_path):
-    live = rates.windowed_rate(stream(spark, folder), "ts", F.col("bad") == 1, "1 day", keys=["cls"], watermark="1 hour")
-    rates.start_closed(live, str(tmp_path / "r"), str(tmp_path / "c1")).awaitTermination()
-    closed = spark.read.parquet(str(tmp_path / "r"))
-    again = rates.read_stream(spark, str(tmp_path / "r"), closed.schema, "window_start", files_per_batch=1)
-    rates.start_closed(drift.drift_stream(again, "cls", 3, 2.0), str(tmp_path / "o"), str(tmp_path / "c2")).awaitTermination()
+    """Both stages run after each of two file arrivals, so the state is carried over."""
+    src, rows = tmp_path / "src", events(900)
+    for part in (rows[:500], rows[500:]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(src))
+        live = rates.windowed_rate(
+            stream(spark, str(src)), "ts", F.col("bad") == 1, "1 day", keys=["cls"], watermark="1 hour")
+        rates.start_closed(live, str(tmp_path / "r"), str(tmp_path / "c1")).awaitTermination()
+        again = rates.read_stream(spark, str(tmp_path / "r"), spark.read.parquet(str(tmp_path / "r")).schema, "window_start")
+        rates.start_closed(
+            drift.drift_stream(again, "cls", 3, 2.0), str(tmp_path / "o"), str(tmp_path / "c2")).awaitTermination()
     got = {(r["cls"], r["window_start"]): (r["drift"], r["baseline"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
     batch = drift.rate_drift(
         rates.windowed_rate(spark.read.parquet(folder), "ts", F.col("bad") == 1, "1 day", keys=["cls"]), "cls", 3, 2.0)
