@@ -52,12 +52,11 @@ def panel_probabilities(correlations=C.DISPLAY_CORRELATIONS, stats=None) -> dict
 
 def dominant_class(probs: Mapping[str, Column], threshold: float = 0.3) -> Column:
     """Class with the highest probability above ``threshold``, first listed on ties; else none."""
-    best = F.greatest(F.lit(threshold), *probs.values())
-    choice = None
-    for cls, p in probs.items():
-        hit = (p == best) & (p > threshold)
-        choice = F.when(hit, cls) if choice is None else choice.when(hit, cls)
-    return choice.otherwise("none")
+    ranked = F.array_max(F.array(*[
+        F.struct(p.alias("p"), F.lit(-i).alias("i"), F.lit(cls).alias("cls"))
+        for i, (cls, p) in enumerate(probs.items())
+    ]))
+    return F.when(ranked["p"] > threshold, ranked["cls"]).otherwise("none")
 
 
 def total_yield_loss(probs: Mapping[str, Column], impacts: Mapping[str, float]) -> Column:

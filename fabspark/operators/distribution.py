@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabspark.operators import ordered as O
+from fabspark.operators.joins import null_safe_join
+from fabspark.session import broadcast_if_small
 
 
 def class_distribution(df: DataFrame, class_col: str, measures: dict[str, str] | None = None) -> DataFrame:
@@ -63,38 +65,36 @@ def class_moments(df: DataFrame, class_col: str, value_col: str) -> DataFrame:
     )
 
 
-def unpivot(df: DataFrame, cols: Sequence[str], *keep: str) -> DataFrame:
-    """One row per (row, column), as ``param`` and ``value``."""
-    return df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        list(keep), list(cols), "param", "value"
-    )
-
-
 def describe(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Count, mean, std, min, quartiles and max per column (and key)."""
-    long = unpivot(df, cols, *keys)
-    by = [*keys, "param"]
-    basics = long.groupBy(*by).agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    return basics.join(O.exact_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75}), by)
+    wide = df.groupBy(*keys).agg(*[
+        F.struct(
+            F.lit(c).alias("param"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+        ).alias(f"_s_{c}")
+        for c in cols
+    ])
+    basics = wide.select(*keys, F.explode(F.array(*[f"_s_{c}" for c in cols])).alias("s")).select(*keys, "s.*")
+    quartiles = O.exact_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return null_safe_join(basics, quartiles, [*keys, "param"])
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Quartiles and whisker ends (last value within 1.5 IQR) per key and column."""
+    """Quartiles and whisker ends (last value within 1.5 IQR) per key and column.
+
+    Quartiles and whiskers both come from one table of distinct values.
+    """
     by = [*keys, "param"]
-    quartiles = O.exact_quantiles(df, keys, cols, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    fences = quartiles.select(
+    counts, cut = O.long_value_counts(df, keys, cols)
+    quartiles = O.quantiles_of_counts(counts, cut, by, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    fences = broadcast_if_small(quartiles.select(
         *by, "q1", "median", "q3",
         (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
         (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"),
-    )
+    ))
     inside = F.col("value").between(F.col("_lo"), F.col("_hi"))
-    # Fences are constant within a group, so grouping by them adds no groups. Counting
-    # distinct values first keeps the join input small.
-    values = unpivot(df, cols, *keys).groupBy(*by, "value").agg(F.count("*").alias("n"))
-    return values.join(fences, by).groupBy(*by, "q1", "median", "q3").agg(
+    # Fences are constant within a group, so grouping by the quartiles adds no groups.
+    return null_safe_join(counts, fences, by).groupBy(*by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
         F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),

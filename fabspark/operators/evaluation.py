@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabspark.operators import ordered as O
+from fabspark.operators.joins import null_safe_join
 
 
 def confusion(df: DataFrame, label: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -91,7 +92,7 @@ def latency_stats(
     basics = df.groupBy(runtime).agg(F.count("*").alias("n"), F.avg(ms).alias("avg_ms"))
     tails = O.exact_quantiles(df, [runtime], ms, {"p50": 0.5, "p95": 0.95, "p99": 0.99}, rows_per_bucket)
     base = F.max(F.when(F.col(runtime) == baseline, F.col("avg_ms"))).over(Window.partitionBy())
-    return basics.join(tails, runtime).select(
+    return null_safe_join(basics, tails, [runtime]).select(
         runtime, "n", "avg_ms", "p50", "p95", "p99",
         F.try_divide(F.lit(1000.0), F.col("avg_ms")).alias("throughput"),
         F.when(F.col("avg_ms") < target_ms, "PASS").otherwise("FAIL").alias("target"),

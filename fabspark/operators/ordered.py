@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fabspark.operators.joins import null_safe_join
+
 ROWS_PER_BUCKET = 1_000_000
 MIN_ROWS_PER_BUCKET = 20_000
 SAMPLES_PER_BUCKET = 500
@@ -73,7 +75,7 @@ def with_buckets(df: DataFrame, order_col: str, cuts: Sequence[float]) -> DataFr
     bucketizer = Bucketizer(splits=splits, inputCol=_KEY, outputCol="_bucket_d", handleInvalid="keep")
     return (
         bucketizer.transform(keyed)
-        .withColumn(BUCKET, F.col("_bucket_d").cast("int"))
+        .withColumn(BUCKET, F.coalesce(F.col("_bucket_d").cast("int"), F.lit(0)))
         .drop(_KEY, "_bucket_d")
     )
 
@@ -126,7 +128,7 @@ def halo_frames(
         lambda acc: acc["to"],
     )
     halo = (
-        tails.join(following, [*series, BUCKET])
+        null_safe_join(tails, following, [*series, BUCKET])
         .withColumn(BUCKET, F.explode(targets))
         .select(*rows.columns, F.lit(True).alias("_halo"))
     )
@@ -152,11 +154,7 @@ def rolling_mean(
     )
 
 
-_COMBINE = {
-    "sum": (F.sum, lambda carry, here: F.coalesce(carry, F.lit(0)) + F.coalesce(here, F.lit(0))),
-    "max": (F.max, lambda carry, here: F.greatest(carry, here)),
-    "min": (F.min, lambda carry, here: F.least(carry, here)),
-}
+_KINDS = {"sum": F.sum, "max": F.max, "min": F.min, "total": F.sum}
 
 
 def running(
@@ -168,7 +166,7 @@ def running(
     cuts: Sequence[float] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Running ``sum``, ``max`` or ``min`` up to and including each row.
+    """Running ``sum``, ``max`` or ``min`` up to and including each row; ``total`` of its series.
 
     ``exprs`` maps an output name to ``(kind, column)``. Each bucket is reduced first; the
     reduced values of earlier buckets (one row per series and bucket) are carried in.
@@ -187,35 +185,38 @@ def running_in_buckets(
     descending: bool = False,
     carried: bool = True,
 ) -> DataFrame:
-    """``running`` for rows that have their ``_bucket``; ``carried=False`` if there is only one."""
+    """``running`` for rows that have their ``_bucket``; ``carried=False`` if there is only one.
+
+    The carried values come in as one extra first row per series and bucket, so the window
+    adds them by itself and no join is needed.
+    """
     keys = [*series, BUCKET]
-    inputs = rows.select("*", *[value.alias(f"_in_{out}") for out, (_, value) in exprs.items()])
     direction = F.desc if descending else F.asc
-    local = Window.partitionBy(*keys).orderBy(direction(order_col)).rowsBetween(Window.unboundedPreceding, 0)
-    here = inputs.select(
-        *rows.columns,
-        *[_COMBINE[kind][0](f"_in_{out}").over(local).alias(f"_here_{out}") for out, (kind, _) in exprs.items()],
-    )
-    if not carried:
-        return here.withColumnsRenamed({f"_here_{out}": out for out in exprs})
-
-    before = (
-        Window.partitionBy(*(series or [F.lit(0)])).orderBy(direction(BUCKET))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = (
-        inputs.groupBy(*keys)
-        .agg(*[_COMBINE[kind][0](f"_in_{out}").alias(f"_part_{out}") for out, (kind, _) in exprs.items()])
-        .select(*keys, *[
-            _COMBINE[kind][0](f"_part_{out}").over(before).alias(f"_carry_{out}") for out, (kind, _) in exprs.items()
+    inputs = rows.select("*", *[value.alias(f"_in_{out}") for out, (_, value) in exprs.items()])
+    local = Window.partitionBy(*keys)
+    upto = local.orderBy("_real", direction(order_col)).rowsBetween(Window.unboundedPreceding, 0)
+    frame = inputs.withColumn("_real", F.lit(True))
+    if carried:
+        whole = Window.partitionBy(*(series or [F.lit(0)]))
+        before = whole.orderBy(direction(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+        carry = (
+            inputs.groupBy(*keys)
+            .agg(*[_KINDS[kind](f"_in_{out}").alias(f"_in_{out}") for out, (kind, _) in exprs.items()])
+            .select(*keys, *[
+                _KINDS[kind](f"_in_{out}").over(whole if kind == "total" else before).alias(f"_in_{out}")
+                for out, (kind, _) in exprs.items()
+            ], F.lit(False).alias("_real"))
+        )
+        totals = [out for out, (kind, _) in exprs.items() if kind == "total"]
+        frame = frame.withColumns({f"_in_{out}": F.lit(None).cast(frame.schema[f"_in_{out}"].dataType) for out in totals})
+        frame = frame.unionByName(carry, allowMissingColumns=True)
+    return (
+        frame.select("*", *[
+            _KINDS[kind](f"_in_{out}").over(local if kind == "total" else upto).alias(out)
+            for out, (kind, _) in exprs.items()
         ])
-    )
-    if not series:  # one row per bucket
-        carry = F.broadcast(carry)
-    return here.join(carry, keys).select(
-        *rows.columns,
-        *[_COMBINE[kind][1](F.col(f"_carry_{out}"), F.col(f"_here_{out}")).alias(out)
-          for out, (kind, _) in exprs.items()],
+        .filter("_real")
+        .select(*rows.columns, *exprs)
     )
 
 
@@ -250,7 +251,7 @@ def long_value_counts(
             splitsArray=splits, inputCols=key_cols, outputCols=[f"_b_{c}" for c in cols],
             handleInvalid="keep",
         ).transform(wide)
-        at = {c: F.col(f"_b_{c}").cast("int") for c in cols}
+        at = {c: F.coalesce(F.col(f"_b_{c}").cast("int"), F.lit(0)) for c in cols}
     items = F.array(*[
         F.struct(F.lit(c).alias("param"), at[c].alias(BUCKET), F.col(f"_k_{c}").alias("value")) for c in cols
     ])
@@ -267,26 +268,37 @@ def exact_quantiles(
     cols: str | Sequence[str],
     probs: dict[str, float],
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    discrete: bool = False,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles: one row per key, or per key and ``param`` for a
-    list of columns.
+    """Exact quantiles: one row per key, or per key and ``param`` for a list of columns.
 
-    The built-in exact percentile keeps every distinct value of a group in one task. Here the
+    Interpolated, or with ``discrete`` the first value at or above the wanted share. The
+    built-in exact percentile keeps every distinct value of a group in one task. Here the
     distinct values are counted, counted up across ranges, and only the rows holding a wanted
     rank are kept.
     """
     single = isinstance(cols, str)
-    by = [*keys, "param"]
     counts, cut = long_value_counts(df, keys, [cols] if single else cols, rows_per_bucket=rows_per_bucket)
-    upto = running_in_buckets(counts, "value", {"upto": ("sum", F.col("n"))}, by, carried=cut)
-    totals = counts.groupBy(*by).agg(F.sum("n").alias("_total"))
-    ranked = upto.join(totals, by)
+    out = quantiles_of_counts(counts, cut, [*keys, "param"], probs, discrete)
+    return out.drop("param") if single else out
+
+
+def quantiles_of_counts(
+    counts: DataFrame, cut: bool, by: Sequence[str], probs: dict[str, float], discrete: bool = False
+) -> DataFrame:
+    """Quantiles from a ``long_value_counts`` table."""
+    ranked = running_in_buckets(
+        counts, "value", {"_upto": ("sum", F.col("n")), "_total": ("total", F.col("n"))}, by, carried=cut)
 
     def holds(rank: Column) -> Column:
-        return (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
+        return (rank >= F.col("_upto") - F.col("n")) & (rank < F.col("_upto"))
+
+    def position(p: float) -> Column:
+        if discrete:
+            return F.greatest(F.ceil(p * F.col("_total")) - 1, F.lit(0)).cast("double")
+        return p * (F.col("_total") - 1)
 
-    position = {name: p * (F.col("_total") - 1) for name, p in probs.items()}
-    wanted = [holds(f(position[name])) for name in probs for f in (F.floor, F.ceil)]
+    wanted = [holds(f(position(p))) for p in probs.values() for f in (F.floor, F.ceil)]
     condition = wanted[0]
     for w in wanted[1:]:
         condition = condition | w
@@ -295,14 +307,14 @@ def exact_quantiles(
         .groupBy(*by)
         .agg(
             F.first("_total").alias("_total"),
-            *[F.max(F.when(holds(F.floor(position[name])), F.col("value"))).alias(f"_lo_{name}") for name in probs],
-            *[F.max(F.when(holds(F.ceil(position[name])), F.col("value"))).alias(f"_hi_{name}") for name in probs],
+            *[F.max(F.when(holds(F.floor(position(p))), F.col("value"))).alias(f"_lo_{name}") for name, p in probs.items()],
+            *[F.max(F.when(holds(F.ceil(position(p))), F.col("value"))).alias(f"_hi_{name}") for name, p in probs.items()],
         )
     )
-    return picked.select(*(keys if single else by), *[
+    return picked.select(*by, *[
         (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
-         * (position[name] - F.floor(position[name]))).alias(name)
-        for name in probs
+         * (position(p) - F.floor(position(p)))).alias(name)
+        for name, p in probs.items()
     ])
 
 

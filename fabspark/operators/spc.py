@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fabspark.constants import SPC_LIMITS
 from fabspark.functions.limits import cpk
 from fabspark.operators import ordered as O
+from fabspark.operators.joins import null_safe_join
 from fabspark.session import broadcast_if_small, cut_lineage
 
 
@@ -33,15 +34,24 @@ def spc_summary(
 
 
 def defect_process_stats(
-    df: DataFrame, class_col: str, pressure: str, particles: str, density: str, normal_class: str = "none"
+    df: DataFrame, class_col: str, pressure: str, particles: str, density: str, normal_class: str = "none",
+    exact: bool = False, rows_per_bucket: int = O.ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Mean and spread of the key parameters per defect class; approximate density percentiles."""
-    return df.filter(F.col(class_col) != normal_class).groupBy(class_col).agg(
+    """Mean and spread of the key parameters per defect class, with density percentiles.
+
+    The percentiles are approximate, from the same single aggregation, unless ``exact``.
+    """
+    defects = df.filter(F.col(class_col) != normal_class)
+    probs = {"median_defect_density": 0.5, "p95_defect_density": 0.95}
+    rough = [] if exact else [F.percentile_approx(density, p).alias(name) for name, p in probs.items()]
+    stats = defects.groupBy(class_col).agg(
         F.count("*").alias("n"), F.avg(pressure).alias("avg_cmp"), F.stddev_samp(pressure).alias("std_cmp"),
-        F.avg(particles).alias("avg_particles"),
-        F.percentile_approx(density, 0.5).alias("median_defect_density"),
-        F.percentile_approx(density, 0.95).alias("p95_defect_density"),
+        F.avg(particles).alias("avg_particles"), *rough,
     )
+    if not exact:
+        return stats
+    exact_part = O.exact_quantiles(defects, [class_col], density, probs, rows_per_bucket, discrete=True)
+    return null_safe_join(stats, exact_part, [class_col])
 
 
 def spc_alerts(
@@ -81,7 +91,7 @@ def with_series_stats(df: DataFrame, value: str, series: Sequence[str]) -> DataF
     if not series:
         mean, sd = stats.first()
         return df.withColumns({"_mean": F.lit(mean).cast("double"), "_sd": F.lit(sd).cast("double")})
-    return df.join(broadcast_if_small(stats), list(series))
+    return null_safe_join(df, broadcast_if_small(stats), series)
 
 
 def run_rules(
@@ -174,6 +184,6 @@ def ewma(
         return pdf[keys].assign(_start=starts)
 
     starts = ends.groupBy(*(series or [F.lit(0)])).applyInPandas(carry, carry_schema)
-    return smoothed.join(starts, keys).select(
+    return null_safe_join(smoothed, broadcast_if_small(starts), keys).select(
         *series, order_col, value, (F.col("_local") + F.col("_decay") * F.col("_start")).alias("ewma")
     )

@@ -22,6 +22,7 @@ from fabspark.session import get_spark
 from fabspark.sources import readers, writers
 
 LAYOUT = {
+    "raw_maps": "bronze/raw_maps",
     "bronze_maps": "bronze/maps", "bronze_params": "bronze/params", "silver": "silver/wafers",
     "gold": "gold/wafers", "gold_feature_store": "gold/feature_store",
     "gold_spc": "gold/spc", "gold_spc_summary": "gold/spc_summary",
@@ -36,6 +37,17 @@ def clean_maps(raw: DataFrame, side: int = 64) -> DataFrame:
     )
 
 
+def raw_bronze(raw: DataFrame) -> DataFrame:
+    """Every raw map with lot, shape and whether it is labelled."""
+    label = L.first_label(F.col("failure_type"))
+    return schemas.conform(raw.select(
+        "wafer_id", F.col("lot_name").alias("lot_id"), F.col("wafer_index").cast("int").alias("wafer_index"),
+        F.col("die_size").cast("float").alias("die_size"), F.col("map.rows").alias("map_rows"),
+        F.col("map.cols").alias("map_cols"), F.col("map.cells").alias("cells"), label.alias("failure_type"),
+        L.first_label(F.col("train_test_label")).alias("original_split"), L.is_labelled(label).cast("int").alias("is_labeled"),
+    ), schemas.RAW_BRONZE)
+
+
 def bronze_maps(
     maps: DataFrame, manifest: DataFrame | None = None, side: int = 64, classes=CLASSES, seed: int = 42
 ) -> DataFrame:
@@ -95,9 +107,13 @@ def read_lake(spark: SparkSession, lake: str, table: str) -> DataFrame:
 
 def run(
     spark: SparkSession, lake: str, maps: DataFrame | None = None, params: DataFrame | None = None,
-    manifest: DataFrame | None = None, step: str = "all",
+    manifest: DataFrame | None = None, step: str = "all", raw: DataFrame | None = None,
 ) -> None:
-    """Build the lake under ``lake``; ``step`` is all, bronze, silver, gold or features."""
+    """Build the lake under ``lake``; ``step`` is all, bronze, silver, gold or features.
+
+    ``maps`` are cleaned maps of one size. With ``raw``, the raw table is kept too and supplies
+    the maps.
+    """
     path = {table: f"{lake.rstrip('/')}/{folder}" for table, folder in LAYOUT.items()}
 
     def write(frames: dict[str, DataFrame]) -> None:
@@ -109,6 +125,9 @@ def run(
         return read_lake(spark, lake, table)
 
     if step in ("all", "bronze"):
+        if raw is not None:
+            write({"raw_maps": raw_bronze(raw)})
+            maps = clean_maps(raw) if maps is None else maps
         write({"bronze_maps": bronze_maps(maps, manifest), "bronze_params": bronze_params(params)})
     if step in ("all", "silver"):
         write({"silver": silver(read("bronze_maps"), read("bronze_params"))})
@@ -136,10 +155,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark("fabspark-lake")
     run(
         spark, opts.lake,
-        clean_maps(readers.read_raw_maps(spark, opts.raw)) if opts.raw else None,
-        readers.read_params(spark, opts.params) if opts.params else None,
-        readers.read_table(spark, opts.manifest) if opts.manifest else None,
-        opts.step,
+        params=readers.read_params(spark, opts.params) if opts.params else None,
+        manifest=readers.read_table(spark, opts.manifest) if opts.manifest else None,
+        step=opts.step, raw=readers.read_raw_maps(spark, opts.raw) if opts.raw else None,
     )
     writers.lake_report(spark, opts.lake).orderBy("layer", "table").show(truncate=False)
 

@@ -27,6 +27,10 @@ RAW_MAPS = _struct(
     ("failure_type", T.ArrayType(T.ArrayType(_S))),
     ("map", _struct(("rows", _I), ("cols", _I), ("cells", _B))),
 )
+RAW_BRONZE = _struct(
+    ("wafer_id", _L), ("lot_id", _S), ("wafer_index", _I), ("die_size", T.FloatType()), ("map_rows", _I),
+    ("map_cols", _I), ("cells", _B), ("failure_type", _S), ("original_split", _S), ("is_labeled", _I),
+)
 SPLIT_MANIFEST = _struct(("wafer_id", _L), ("split", _S))
 # Order of the columns in the parameter file.
 PARAM_FILE = _struct(
@@ -55,6 +59,7 @@ SPC_SUMMARY = _struct(
 
 # table -> (schema, partition columns)
 TABLES = {
+    "raw_maps": (RAW_BRONZE, ["is_labeled"]),
     "bronze_maps": (BRONZE_MAPS, ["failure_type"]),
     "bronze_params": (BRONZE_PARAMS, []),
     "silver": (SILVER, ["failure_type"]),

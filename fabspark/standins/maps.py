@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from fabspark.operators import diemaps as M
-from fabspark.operators import models, splitting
+from fabspark.operators import models, splitting, synthesis
 from fabspark.standins.common import Registry, round_all, table
 
 R = Registry()
@@ -269,3 +269,34 @@ def class_weights_inverse(spark, d):
 @R.add(f"WITH {WEIGHTS_SQL} SELECT event_type, n, round((1 / n) / sum(1 / n) OVER () * count(*) OVER (), 6) AS weight FROM c")
 def class_weights_balanced_norm(spark, d):
     return round_all(splitting.class_weights(_train(spark, d), "event_type", "balanced_norm"))
+
+
+COMBOS = [(0, 1), (2, 3), (2, 4)]
+COMBO_ROWS_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS combo, least(count(*) FILTER (label = {a}), count(*) FILTER (label = {b})) AS n FROM embeddings" for i, (a, b) in enumerate(COMBOS))
+
+
+@R.add(f"""SELECT CAST(combo AS INTEGER) AS combo, n AS n_pairs, n AS distinct_a, n AS distinct_b, CAST(0 AS BIGINT) AS failed_checks,
+  n AS two_labels FROM ({COMBO_ROWS_SQL})""")
+def overlay_pairs(spark, d):
+    pairs = synthesis.pair_maps(die_maps(spark, d), "vec_id", "label", "map", COMBOS)
+    made = pairs.withColumn("out", synthesis.overlay(F.col("map_a"), F.col("map_b"), 64))
+    checked = made.withColumn("k", synthesis.composite_checks(F.col("map_a"), F.col("map_b"), F.col("out"), 64))
+    hot = synthesis.multi_hot(F.array("class_a", "class_b"), list(range(10)))
+    ok = F.col("k.defects_kept") & F.col("k.active_kept") & F.col("k.inside_mask") & F.col("k.values_valid")
+    return checked.groupBy("combo").agg(
+        F.count("*").alias("n_pairs"), F.count_distinct("id_a").alias("distinct_a"),
+        F.count_distinct("id_b").alias("distinct_b"), F.count_if(~ok).alias("failed_checks"),
+        F.count_if(F.aggregate(hot, F.lit(0), lambda x, v: x + v) == 2).alias("two_labels"),
+    )
+
+
+@R.add(f"""SELECT CAST(combo AS INTEGER) AS combo, n AS n_pairs, CAST(0 AS BIGINT) AS lost_defects FROM ({COMBO_ROWS_SQL})""")
+def pasted_pairs(spark, d):
+    pairs = synthesis.pair_maps(die_maps(spark, d), "vec_id", "label", "map", COMBOS)
+    move = F.pmod(F.xxhash64("id_a", "id_b"), F.lit(49))
+    made = pairs.withColumn("out", synthesis.paste_defects(F.col("map_a"), F.col("map_b"), move, SIDE))
+    bad = lambda c: M.spatial_features(F.col(c), SIDE, SIDE)["defect_count"]
+    return made.select("combo", bad("map_a").alias("a"), bad("map_b").alias("b"), bad("out").alias("o")).groupBy("combo").agg(
+        F.count("*").alias("n_pairs"),
+        F.count_if((F.col("o") < F.greatest("a", "b")) | (F.col("o") > F.col("a") + F.col("b"))).alias("lost_defects"))

@@ -141,10 +141,16 @@ def cpk_alarm_by_lot(spark, d):
   round(avg(user_id), 6) AS avg_particles, quantile_disc(value, 0.5) AS median_defect_density,
   quantile_disc(value, 0.95) AS p95_defect_density FROM events WHERE event_type <> 'view' GROUP BY 1""")
 def defect_process_stats(spark, d):
-    out = spc.defect_process_stats(events(spark, d), "event_type", "value", "user_id", "value", "view")
+    out = spc.defect_process_stats(
+        events(spark, d), "event_type", "value", "user_id", "value", "view", exact=True, rows_per_bucket=ROWS_PER_BUCKET)
     return rounded(out, 6, "avg_cmp", "std_cmp", "avg_particles")
 
 
+@R.add()
+def defect_process_stats_approx(spark, d):
+    return spc.defect_process_stats(events(spark, d), "event_type", "value", "user_id", "value", "view")
+
+
 @R.add("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95
   FROM events GROUP BY 1""")
 def class_percentiles(spark, d):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fabspark.functions import kernels as K
 from fabspark.operators import diemaps as M
+from fabspark.operators import synthesis
 
 SIDE = 16
 
@@ -137,3 +138,29 @@ def test_augmentation_is_repeatable(spark):
 def test_byte_rows_of_a_slice():
     column = pa.array([b"\x00\x01", b"\x02\x01", None, b"\x02\x02"], pa.binary()).slice(1, 3)
     assert K.byte_rows(column, 2).tolist() == [[2, 1], [0, 0], [2, 2]]
+
+
+def test_paste_moves_defects(spark):
+    base, donor = np.ones((8, 8), np.uint8), np.ones((8, 8), np.uint8)
+    base[0, 0], donor[4, 4] = 2, 2
+    df = spark.createDataFrame([(m, bytearray(base.tobytes()), bytearray(donor.tobytes())) for m in range(49)], "m int, a binary, b binary")
+    for row in df.withColumn("o", synthesis.paste_defects(F.col("a"), F.col("b"), F.col("m"), 8)).collect():
+        out = np.frombuffer(row["o"], np.uint8).reshape(8, 8)
+        assert out[0, 0] == 2 and out[4 + row["m"] // 7 - 3, 4 + row["m"] % 7 - 3] == 2 and (out == 2).sum() == 2
+
+
+def test_overlay_and_checks(spark):
+    a = np.array([0, 0, 1, 1, 2, 0, 2, 1], np.uint8)
+    b = np.array([0, 1, 1, 2, 0, 2, 2, 0], np.uint8)
+    df = spark.createDataFrame([(bytearray(a.tobytes()), bytearray(b.tobytes()))], "a binary, b binary")
+    made = df.withColumn("o", synthesis.overlay(F.col("a"), F.col("b"), 8))
+    row = made.select("o", synthesis.composite_checks(F.col("a"), F.col("b"), F.col("o"), 8).alias("k"),
+                      synthesis.composite_checks(F.col("a"), F.col("b"), F.col("a"), 8).alias("bad")).first()
+    assert list(row["o"]) == [0, 1, 1, 2, 2, 2, 2, 1]
+    assert all(row["k"]) and not row["bad"]["defects_kept"] and not row["bad"]["active_kept"]
+
+
+def test_class_index_is_dense(spark):
+    df = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 5)).alias("c"))
+    for _, g in synthesis.class_index(df, "id", "c").toPandas().groupby("c"):
+        assert sorted(g["_idx"]) == list(range(len(g)))

@@ -35,8 +35,8 @@ def lake(spark, tmp_path_factory):
         for i in range(N_PARAMS):
             values = [f"{v:.5f}" for v in rng.normal([100, 35, 6.5, 1100, 1, 500, 1, 2, 5], [10, 5, .5, 25, .5, 25, .1, 1, 3])]
             f.write(",".join([*values, "none", str(i), "0"]) + "\n")
-    maps = medallion.clean_maps(readers.read_raw_maps(spark, f"{root}/raw"))
-    medallion.run(spark, f"{root}/lake", maps, readers.read_params(spark, f"{root}/params"))
+    medallion.run(spark, f"{root}/lake", params=readers.read_params(spark, f"{root}/params"),
+                  raw=readers.read_raw_maps(spark, f"{root}/raw"))
     return root
 
 
@@ -48,11 +48,18 @@ def test_tables_follow_their_contracts(spark, lake):
     for table, (schema, _) in schemas.TABLES.items():
         assert read(spark, lake, table).schema == schema
     counts = {t: read(spark, lake, t).count() for t in schemas.TABLES}
-    assert counts == {"bronze_maps": N, "bronze_params": N_PARAMS, "silver": N, "gold": N,
+    assert counts == {"raw_maps": N + 5, "bronze_maps": N, "bronze_params": N_PARAMS, "silver": N, "gold": N,
                       "gold_feature_store": N, "gold_spc": N, "gold_spc_summary": 9}
     assert len(schemas.SILVER) == 30 and len(schemas.FEATURE_STORE) == 29
 
 
+def test_raw_table_splits_by_label(spark, lake):
+    raw = read(spark, lake, "raw_maps")
+    assert os.path.isdir(f"{lake}/lake/bronze/raw_maps/is_labeled=0")
+    assert raw.filter("is_labeled = 0").count() == 2 and raw.filter("failure_type = 'unheard'").count() == 3
+    assert raw.filter("map_rows = 20 AND map_cols = 30 AND length(cells) = 600").count() > 0
+
+
 def test_silver_keeps_maps_without_parameters(spark, lake):
     silver = read(spark, lake, "silver")
     assert silver.filter("cmp_pressure IS NULL").count() == N - N_PARAMS
