@@ -12,21 +12,26 @@ from pyspark.sql import functions as F
 from fabspark.constants import CLASSES
 from fabspark.functions import kernels as K
 from fabspark.operators.joins import null_safe_join
+from fabspark.operators.splitting import class_counts
+
+MAX_BROADCAST_CLASSES = 64
 
 
 def class_index(df: DataFrame, id_col: str, class_col: str, seed: int = 42) -> DataFrame:
     """Add ``_idx``: 0, 1, 2, ... per class in id-hash order.
 
     Hash cells keep a class out of one task: the index is the count of earlier cells plus the
-    place within the cell.
+    place within the cell. The cell counts hold at most 65,536 rows per class, so they are
+    broadcast when there are few classes.
     """
     h = F.xxhash64(F.col(id_col), F.lit(seed))
     keyed = df.withColumns({"_h": h, "_cell": F.shiftright(h, 48).cast("int")})
     keys = [class_col, "_cell"]
-    # At most 65,536 cells per class.
     earlier = Window.partitionBy(class_col).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).select(
         *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    if len(class_counts(df, class_col)) <= MAX_BROADCAST_CLASSES:
+        offsets = F.broadcast(offsets)
     placed = null_safe_join(keyed, offsets, keys).withColumn(
         "_idx", F.col("_before") + F.row_number().over(Window.partitionBy(*keys).orderBy("_h", id_col)) - 1)
     return placed.drop("_h", "_cell", "_before")
@@ -45,7 +50,8 @@ def pair_maps(
         F.struct(F.lit(i).alias("combo"), F.lit(a).cast(kind).alias("a"), F.lit(b).cast(kind).alias("b"))
         for i, (a, b) in enumerate(combos)
     ])
-    indexed = class_index(df.select(id_col, class_col, blob), id_col, class_col, seed)
+    wanted = df.filter(F.col(class_col).isin(sorted({c for pair in combos for c in pair})))
+    indexed = class_index(wanted.select(id_col, class_col, blob), id_col, class_col, seed)
 
     def side(which: str) -> DataFrame:
         mine = F.filter(table, lambda c: c[which] == F.col(class_col))
