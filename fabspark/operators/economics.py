@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fabspark import constants as C
 from fabspark.functions import risk
 from fabspark.operators.splitting import uniform
+from fabspark.session import local_frame
 
 
 def whatif_scan(
@@ -32,7 +33,8 @@ def whatif_scan(
         critical = coefficients.get(cls, {})
         mean, sd = stats[p]
         rows.append((cls, p, *bounds[p], float(critical.get(p, 0.0)), bool(critical), mean, sd, unit_cost[p]))
-    scan = spark.createDataFrame(
+    scan = local_frame(
+        spark,
         rows,
         "defect_class string, parameter string, lo double, hi double, r double, has_critical boolean, "
         "mean double, sd double, unit_cost double",
@@ -95,7 +97,8 @@ def search_settings(
     result = None
     for step in range(rounds):
         width = shrink ** step
-        centre = spark.createDataFrame(
+        centre = local_frame(
+            spark,
             [(c, i, *[float(best[c][p]) for p in params]) for i, c in enumerate(classes)],
             "defect_class string, _ci int, " + ", ".join(f"`_c_{p}` double" for p in params),
         )
@@ -112,15 +115,16 @@ def search_settings(
             cols[p] = F.when((F.col("id") == 0) | keep, at).otherwise(clipped)
         settings = drawn.select("defect_class", "id", *[cols[p].alias(p) for p in params])
         scored = settings.withColumns({
-            k: _by_class(classes, lambda c, k=k: objective_columns(c, coefficients, stats, baseline, bounds, unit_cost)[k])
-            for k in ("prob", "cost", "objective")
-        })
+            "prob": _by_class(classes, lambda c: risk.risk_probability(coefficients.get(c, {}), stats)),
+            "cost": risk.adjustment_cost(baseline, unit_cost),
+            "violation": risk.range_violation(bounds),
+        }).withColumn("objective", risk.objective(F.col("prob"), F.col("cost"), F.col("violation")))
         result = scored.groupBy("defect_class").agg(
             F.min(F.struct("objective", "id", "prob", "cost", *params)).alias("b")
         ).select("defect_class", "b.objective", "b.prob", "b.cost", *[f"b.{p}" for p in params])
         rows = result.collect()  # one row per class
         best = {row["defect_class"]: {p: row[p] for p in params} for row in rows}
-    found = spark.createDataFrame(rows, result.schema)
+    found = local_frame(spark, rows, result.schema)
     base_prob = _by_class(classes, lambda c: F.lit(0.5 if coefficients.get(c) else 0.0))
     return found.select(
         "defect_class", base_prob.alias("baseline_prob"), F.col("prob").alias("optimal_prob"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fabspark.constants import SIGNIFICANCE
 from fabspark.functions import kernels as K
 from fabspark.operators.correlation import standardise
+from fabspark.session import local_frame
 
 
 def logistic_significance(
@@ -40,7 +41,8 @@ def logistic_significance(
         (p, float(c), float(pv), "Yes" if pv < SIGNIFICANCE else "No", float(summary.aic), float(loglik))
         for p, c, pv in zip(params, fit.coefficients, summary.pValues)
     ]
-    return df.sparkSession.createDataFrame(
+    return local_frame(
+        df.sparkSession,
         rows, "parameter string, coef double, pvalue double, significant string, aic double, loglik double"
     ).orderBy(F.desc(F.abs("coef")))
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabspark.operators.ordered import top_k
-from fabspark.session import broadcast_if_small
+from fabspark.session import broadcast_if_small, local_frame
 
 MAX_CLASSES = 100_000
 _CELL_BITS = 16
@@ -72,7 +72,8 @@ def stratified_split(
     sizes = split_sizes(class_counts(df, class_col), ratios)
     spark = df.sparkSession
     c_type, id_type = (keyed.schema[c].dataType.simpleString() for c in ("_c", "_id"))
-    ranks = spark.createDataFrame(
+    ranks = local_frame(
+        spark,
         [(c, w, r) for c, (a, b, _) in sizes.items() for w, r in ((1, a), (2, a + b)) if r > 0],
         f"_c {c_type}, _cut int, _rank long",
     )
@@ -101,7 +102,8 @@ def stratified_split(
     for row in cuts:
         at.setdefault(row["_c"], {})[row["_cut"]] = (row["_h"], row["_id"])
     none = (None, None)
-    table = F.broadcast(spark.createDataFrame(
+    table = F.broadcast(local_frame(
+        spark,
         [(c, *at.get(c, {}).get(1, none), *at.get(c, {}).get(2, none)) for c in sizes],
         f"_c {c_type}, _h1 long, _id1 {id_type}, _h2 long, _id2 {id_type}",
     ))
@@ -169,7 +171,7 @@ def weighted_resample(
         shares = max(1, math.ceil(mean / 500))  # a sum of Poisson draws is Poisson
         table.append((c, shares, _poisson_cdf(mean / shares)))
     c_type = df.schema[class_col].dataType.simpleString()
-    lookup = F.broadcast(df.sparkSession.createDataFrame(table, f"_c {c_type}, _shares int, _cdf array<double>"))
+    lookup = F.broadcast(local_frame(df.sparkSession, table, f"_c {c_type}, _shares int, _cdf array<double>"))
     u = uniform(F.col(id_col), F.col("_share"), F.lit(seed))
     return (
         df.join(lookup, F.col(class_col).eqNullSafe(F.col("_c")))

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def get_spark(app_name: str = "fabspark", master: str | None = None, **conf) -> SparkSession:
@@ -47,12 +51,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """A small frame from Python rows, held as a local relation: no Python task reads it."""
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [()] * len(kind.fields)
+    arrow = to_arrow_schema(kind)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, kind)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only after counting that it fits; otherwise leave the join to Spark.
 
     The rows are fetched once, so an aggregate is not computed again for the join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
