@@ -285,8 +285,15 @@ def param_status(spark, d):
     return round_all(long.groupBy("param", "status").agg(F.count("*").alias("n"), F.avg("value").alias("avg_value")))
 
 
-@R.add(f"""SELECT {KEY_SQL}, count(*) AS n_alarms, string_agg(param || ':' || status, ',' ORDER BY param) AS alarms
-  FROM ({STATUS_SQL}) WHERE status <> 'ok' GROUP BY {KEY_SQL}""")
+def _alarm_sql(p):
+    return f"CASE WHEN {_status_sql(p)} <> 'ok' THEN '{p}:' || {_status_sql(p)} END"
+
+
+ALARMS_SQL = ", ".join(_alarm_sql(p) for p in sorted(RANGES))
+
+
+@R.add(f"""SELECT {KEY_SQL}, CAST(len(list_filter([{ALARMS_SQL}], lambda x: x IS NOT NULL)) AS BIGINT) AS n_alarms,
+  concat_ws(',', {ALARMS_SQL}) AS alarms FROM lineitem WHERE concat_ws(',', {ALARMS_SQL}) <> ''""")
 def alarm_list(spark, d):
     alarms = F.array_sort(F.filter(lim.status_array(RANGES), lambda s: s["status"] != "ok"))
     return lineitem(spark, d).select(*KEY, alarms.alias("a")).filter(F.size("a") > 0).select(
@@ -419,10 +426,10 @@ def high_rate_lots(spark, d):
 
 
 @R.add("""SELECT strftime(o_orderdate, '%Y%m') AS period, o_orderstatus, count(*) AS wafer_count,
-  round(avg(o_totalprice), 4) AS avg_measure FROM orders GROUP BY 1, 2""")
+  round(avg(o_totalprice), 6) AS avg_measure FROM orders GROUP BY 1, 2""")
 def month_trend(spark, d):
     month = F.date_format("o_orderdate", "yyyyMM")
-    return rounded(lots.period_trend(table(spark, d, "orders"), month, "o_orderstatus", "o_totalprice"), 4, "avg_measure")
+    return rounded(lots.period_trend(table(spark, d, "orders"), month, "o_orderstatus", "o_totalprice"), 6, "avg_measure")
 
 
 @R.add("SELECT l_suppkey, count(*) AS n, " + ", ".join(f"count(*) FILTER (l_returnflag = '{f}') AS n_{f}" for f in FLAGS)
