@@ -129,6 +129,9 @@ MONTHLY_WAFERS = 50_000
 WAFER_VALUE = 500.0
 MONTHLY_REVENUE = MONTHLY_WAFERS * WAFER_VALUE
 
+# Alert level -> particle count and pressure above which it holds, worst first.
+ALERT_LEVELS = {"CRITICAL": (15.0, 125.0), "WARNING": (10.0, 115.0)}
+
 RISK_THRESHOLD = 0.3
 SIGNIFICANCE = 0.05
 # ---- end of fixed values ----------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fabspark.constants import CPK_EPS, DISPLAY_PARAMS, SPC_LIMITS
+from fabspark.constants import ALERT_LEVELS, CPK_EPS, DISPLAY_PARAMS, SPC_LIMITS
 
 
 def ooc_flag(value: Column, lcl: float, ucl: float) -> Column:
@@ -46,13 +46,13 @@ def cpk_alarm(value: Column) -> Column:
 
 
 def alert_status(
-    particles: Column, pressure: Column, critical=(15.0, 125.0), warning=(10.0, 115.0)
+    particles: Column, pressure: Column, levels: Mapping[str, tuple[float, float]] = ALERT_LEVELS
 ) -> Column:
-    return (
-        F.when((particles > critical[0]) | (pressure > critical[1]), "CRITICAL")
-        .when((particles > warning[0]) | (pressure > warning[1]), "WARNING")
-        .otherwise("OK")
-    )
+    """First level whose particle or pressure threshold is exceeded, else OK."""
+    status = F.lit("OK")
+    for level, (count, force) in reversed(levels.items()):
+        status = F.when((particles > count) | (pressure > force), level).otherwise(status)
+    return status
 
 
 def param_status(value: Column, normal_min: float, normal_max: float) -> Column:

@@ -191,8 +191,9 @@ def drift_index(
     df: DataFrame, value: str, is_current: str, bins: int = 10, eps: float = 1e-6
 ) -> DataFrame:
     """Population-stability index between baseline and current rows, over baseline quantile bins."""
-    base = df.filter(~F.col(is_current))
-    edges = sorted(set(base.approxQuantile(value, [i / bins for i in range(1, bins)], 0.001)))
+    probs = {f"q{i}": i / bins for i in range(1, bins)}
+    found = O.exact_quantiles(df.filter(~F.col(is_current)), [], value, probs, discrete=True).first()
+    edges = sorted({float(q) for q in found or ()})  # bins - 1 numbers
     binned = O.with_buckets(df.filter(F.col(value).isNotNull()), value, edges)
     cur = F.col(is_current)
     per_bin = binned.groupBy(O.BUCKET).agg(F.count_if(~cur).alias("n_base"), F.count_if(cur).alias("n_cur"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabspark import schemas
+from fabspark.constants import ALERT_LEVELS
 
 
 def write_table(df: DataFrame, path: str, name: str | None = None, partition_by: Sequence[str] = ()) -> None:
@@ -40,15 +41,16 @@ def create_catalog(spark: SparkSession, database: str, locations: dict[str, str]
 
 
 def create_alert_view(spark: SparkSession, database: str, table: str = "silver") -> None:
-    spark.sql(f"""
-        CREATE OR REPLACE VIEW {database}.v_spc_alert AS
-        SELECT wafer_id, failure_type, cmp_pressure, particle_count, defect_density,
-               CASE WHEN particle_count > 15 OR cmp_pressure > 125 THEN 'CRITICAL'
-                    WHEN particle_count > 10 OR cmp_pressure > 115 THEN 'WARNING'
-                    ELSE 'OK' END AS spc_status
-        FROM {database}.{table}
-        WHERE failure_type <> 'none'
-    """)
+    """Persistent view of the defective wafers with their alert level."""
+    levels = "".join(
+        f" WHEN particle_count > {count} OR cmp_pressure > {force} THEN '{level}'"
+        for level, (count, force) in ALERT_LEVELS.items()
+    )
+    columns = "wafer_id, failure_type, cmp_pressure, particle_count, defect_density"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {database}.v_spc_alert AS SELECT {columns}, CASE{levels} ELSE 'OK' END AS spc_status "
+        f"FROM {database}.{table} WHERE failure_type <> 'none'"
+    )
 
 
 def lake_report(spark: SparkSession, root: str) -> DataFrame:

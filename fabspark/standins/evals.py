@@ -138,7 +138,11 @@ def average_precision(spark, d):
     return round_all(V.average_precision(rows, ["label"], "truth", "logits", ROWS_PER_BUCKET))
 
 
-@R.add()
+@R.add("""WITH e AS (SELECT value, ts >= TIMESTAMP '2024-01-20' AS cur FROM events),
+  q AS (SELECT DISTINCT unnest(quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edge FROM e WHERE NOT cur),
+  b AS (SELECT cur, (SELECT count(*) FROM q WHERE edge <= value) AS bin FROM e),
+  s AS (SELECT bin, count(*) FILTER (NOT cur) / (SELECT count(*) FROM e WHERE NOT cur) AS p, count(*) FILTER (cur) / (SELECT count(*) FROM e WHERE cur) AS c FROM b GROUP BY 1)
+  SELECT round(sum((greatest(c, 1e-6) - greatest(p, 1e-6)) * ln(greatest(c, 1e-6) / greatest(p, 1e-6))), 6) AS psi, count(*) AS bins FROM s""")
 def drift_index(spark, d):
     rows = events(spark, d).withColumn("current", F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
-    return V.drift_index(rows, "value", "current")
+    return round_all(V.drift_index(rows, "value", "current"))

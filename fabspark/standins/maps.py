@@ -209,14 +209,14 @@ def pca_features(spark, d):
     return models.pca_features(rows, feats, 2).select("vec_id", "pca")
 
 
-@R.add("SELECT CASE WHEN quality IS NULL THEN 'pseudo' ELSE 'label' END AS origin, count(*) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL OR (d.doc_id % 100) / 100.0 >= 0.95 GROUP BY 1")
+@R.add("SELECT CASE WHEN quality IS NULL THEN 'pseudo' ELSE 'label' END AS origin, count(*) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL OR least(d.n_chars / 5000.0, 1.0) >= 0.95 GROUP BY 1")
 def pseudo_labels(spark, d):
-    """Unlabelled documents carry a stand-in confidence."""
-    docs = table(spark, d, "documents").select("doc_id")
+    """Unlabelled documents carry a stand-in confidence that grows with their length."""
+    docs = table(spark, d, "documents").select("doc_id", "n_chars")
     labels = table(spark, d, "labels")
     scored = docs.join(labels, "doc_id", "left_anti").select(
-        "doc_id", F.lit(1).alias("quality"), ((F.col("doc_id") % 100) / 100.0).alias("prob"))
-    out = models.pseudo_labels(scored, docs.join(labels.select("doc_id", "quality"), "doc_id"))
+        "doc_id", F.lit(1).alias("quality"), F.least(F.col("n_chars") / 5000.0, F.lit(1.0)).alias("prob"))
+    out = models.pseudo_labels(scored, docs.join(labels, "doc_id").select("doc_id", "quality"))
     return out.groupBy("origin").agg(F.count("*").alias("n"))
 
 
@@ -236,10 +236,14 @@ def strat_split(spark, d):
     )
 
 
-@R.add()
+@R.add("SELECT source, 1 AS within_six_sigma FROM documents GROUP BY 1")
 def weighted_resample(spark, d):
-    drawn = splitting.weighted_resample(table(spark, d, "documents").select("doc_id", "source"), "doc_id", "source")
-    return drawn.groupBy("source").agg(F.count("*").alias("n"))
+    """Draws per class against their Poisson spread around the common share."""
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    share = docs.agg(F.count("*") / F.count_distinct("source")).first()[0]
+    drawn = splitting.weighted_resample(docs, "doc_id", "source").groupBy("source").agg(F.count("*").alias("n"))
+    near = F.abs(F.col("n") - share) <= 6 * share**0.5
+    return drawn.select("source", near.cast("int").alias("within_six_sigma"))
 
 
 @R.add("SELECT event_type, least(count(*), 200) AS n, CAST(0 AS BIGINT) AS repeated FROM events GROUP BY 1")
@@ -249,26 +253,22 @@ def class_sample(spark, d):
         F.count("*").alias("n"), (F.count("*") - F.count_distinct("event_id")).alias("repeated"))
 
 
-WEIGHTS_SQL = "c AS (SELECT event_type, count(*) AS n FROM events WHERE event_id % 20 < 14 GROUP BY 1)"
-
-
-def _train(spark, d):
-    return table(spark, d, "events").filter(F.col("event_id") % 20 < 14)
+WEIGHTS_SQL = "c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)"
 
 
 @R.add(f"WITH {WEIGHTS_SQL} SELECT event_type, n, round(sum(n) OVER () / (count(*) OVER () * n), 6) AS weight FROM c")
 def class_weights_balanced(spark, d):
-    return round_all(splitting.class_weights(_train(spark, d), "event_type"))
+    return round_all(splitting.class_weights(table(spark, d, "events"), "event_type"))
 
 
 @R.add(f"WITH {WEIGHTS_SQL} SELECT event_type, n, round((1 / (n + 1)) / sum(1 / (n + 1)) OVER () * count(*) OVER (), 6) AS weight FROM c")
 def class_weights_inverse(spark, d):
-    return round_all(splitting.class_weights(_train(spark, d), "event_type", "inverse"))
+    return round_all(splitting.class_weights(table(spark, d, "events"), "event_type", "inverse"))
 
 
 @R.add(f"WITH {WEIGHTS_SQL} SELECT event_type, n, round((1 / n) / sum(1 / n) OVER () * count(*) OVER (), 6) AS weight FROM c")
 def class_weights_balanced_norm(spark, d):
-    return round_all(splitting.class_weights(_train(spark, d), "event_type", "balanced_norm"))
+    return round_all(splitting.class_weights(table(spark, d, "events"), "event_type", "balanced_norm"))
 
 
 COMBOS = [(0, 1), (2, 3), (2, 4)]

@@ -252,7 +252,8 @@ def split_disjoint(spark, d):
   WHEN l_quantity > 40 OR l_extendedprice > 85000 THEN 'WARNING' ELSE 'OK' END AS spc_status
   FROM lineitem WHERE l_returnflag <> 'N'""")
 def alert_case(spark, d):
-    status = lim.alert_status(F.col("l_quantity"), F.col("l_extendedprice"), (45.0, 95000.0), (40.0, 85000.0))
+    status = lim.alert_status(F.col("l_quantity"), F.col("l_extendedprice"),
+                              {"CRITICAL": (45.0, 95000.0), "WARNING": (40.0, 85000.0)})
     return spc.spc_alerts(lineitem(spark, d), status, "l_returnflag", "N").select(*KEY, "spc_status")
 
 

@@ -117,3 +117,12 @@ def test_run_rules(spark, bucket):
     hits = spc.run_rules(jump, "id", "v", rows_per_bucket=bucket).filter("rule_2of3 = 1").collect()
     assert [r["id"] for r in hits] == [22]
     assert {r["id"] for r in spc.run_rules(jump, "id", "v").filter("rule_3sigma = 1").collect()} == {20, 22}
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_order_by_time(spark, kind):
+    step = "INTERVAL '7' MINUTES" if kind != "date" else "INTERVAL '1' DAYS"
+    df = spark.range(90).select("id", F.expr(f"CAST(TIMESTAMP '2024-01-01 00:00:00' + id * {step} AS {kind})").alias("t"),
+                                (F.col("id") * 37 % 11).cast("double").alias("v"))
+    ours = ordered.rolling_mean(df, "t", ["v"], 25, rows_per_bucket=12)
+    same(ours.select("id", "v_roll25"), df.select("id", F.avg("v").over(Window.orderBy("t").rowsBetween(-24, 0))))
