@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fabspark import dims
 from fabspark.constants import CLASSES
 from fabspark.operators.quality import unknown_keys
+from fabspark.session import broadcast_if_small
 
 
 def severity_report(spark: SparkSession, detected: DataFrame, class_col: str) -> DataFrame:
@@ -26,6 +27,23 @@ def severity_report(spark: SparkSession, detected: DataFrame, class_col: str) ->
     )
 
 
+def defect_report(detected: DataFrame, metadata: DataFrame, class_col: str) -> DataFrame:
+    """Per detected class: rate, loss, and what the class metadata says, most severe first.
+
+    ``metadata`` is one row per class, as ``readers.read_class_metadata`` returns it; classes
+    it lacks are left out, as is ``none``.
+    """
+    counts = detected.groupBy(class_col).agg(F.count("*").alias("n")).withColumn(
+        "defect_rate", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    known = broadcast_if_small(metadata.withColumnRenamed("failure_type", class_col))
+    return counts.filter(F.col(class_col) != "none").join(known, class_col).select(
+        class_col, "n", "defect_rate", "physical_mechanism", F.col("primary_process_stage").alias("process_stage"),
+        F.col("severity_level").alias("severity"), "severity_score",
+        (F.col("defect_rate") * F.col("yield_impact") * 100).alias("yield_loss_pct"), "estimated_roi_pct",
+        "critical_parameters", "remediation", "spatial_evidence",
+    ).orderBy(F.desc("severity_score"), F.asc(class_col))
+
+
 def stage_load(spark: SparkSession, detected: DataFrame, class_col: str) -> DataFrame:
     """Detections weighted by stage relevance, one column per class."""
     counts = detected.groupBy(class_col).agg(F.count("*").alias("n"))

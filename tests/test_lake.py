@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fabspark import schemas
 from fabspark.constants import CLASSES, PARAMS, SPC_LIMITS
-from fabspark.operators import diemaps
+from fabspark.operators import diemaps, reports
 from fabspark.plans import medallion
 from fabspark.sources import readers, writers
 
@@ -158,6 +158,10 @@ def test_class_metadata(spark, tmp_path):
     assert rows["A"]["critical_parameters"][0]["unit"] == "psi" and rows["A"]["spatial_evidence"]["n_samples"] == 3
     assert rows["none"]["correlation_evidence"] is None
     dim = readers.read_class_metadata(spark, str(tmp_path / "meta.json"))
+    seen = spark.createDataFrame([("A",), ("none",), ("A",), ("gone",)], "cls string")
+    report = reports.defect_report(seen, dim, "cls").collect()
+    assert [(r["cls"], r["n"], r["severity"]) for r in report] == [("A", 2, "High")]
+    assert report[0]["yield_loss_pct"] == pytest.approx(0.5 * 0.1 * 100)
     spatial = spark.createDataFrame([("A", 0.9, 7)], "failure_type string, center_ratio double, n_samples long")
     corr = spark.createDataFrame([("A", "p", 0.4)], "failure_type string, top_param string, top_r double")
     out = {r["failure_type"]: r for r in writers.enrich_classes(dim, spatial, corr).collect()}
