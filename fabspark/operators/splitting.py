@@ -17,6 +17,7 @@ from fabspark.operators.ordered import top_k
 from fabspark.session import broadcast_if_small, local_frame
 
 MAX_CLASSES = 100_000
+MAX_BROADCAST_VALUES = 2_000_000
 _CELL_BITS = 16
 
 
@@ -171,7 +172,9 @@ def weighted_resample(
         shares = max(1, math.ceil(mean / 500))  # a sum of Poisson draws is Poisson
         table.append((c, shares, _poisson_cdf(mean / shares)))
     c_type = df.schema[class_col].dataType.simpleString()
-    lookup = F.broadcast(local_frame(df.sparkSession, table, f"_c {c_type}, _shares int, _cdf array<double>"))
+    lookup = local_frame(df.sparkSession, table, f"_c {c_type}, _shares int, _cdf array<double>")
+    if sum(len(cdf) for *_, cdf in table) <= MAX_BROADCAST_VALUES:
+        lookup = F.broadcast(lookup)
     u = uniform(F.col(id_col), F.col("_share"), F.lit(seed))
     return (
         df.join(lookup, F.col(class_col).eqNullSafe(F.col("_c")))
