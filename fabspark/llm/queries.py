@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import chat, jaccard, mixing, sharding, tokens
+from fabspark.llm import chat, embeddings, jaccard, mixing, sharding, tokens
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -66,3 +66,9 @@ def op9_token_planes(spark, sf_dir):
     path = scratch_path(spark, "token-planes")
     tokens.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return tokens.read(spark, path)
+
+
+@register(embeddings.COSINE_SQL)
+def op10_embeddings(spark, sf_dir):
+    """Links and components of vectors with a cosine of 0.95 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
