@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import chat, embeddings, jaccard, mixing, sharding, tokens
+from fabspark.llm import chat, embeddings, jaccard, lattice, mixing, sharding, tokens
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -72,3 +72,11 @@ def op9_token_planes(spark, sf_dir):
 def op10_embeddings(spark, sf_dir):
     """Links and components of vectors with a cosine of 0.95 or more."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@register()
+def op5_lattice(spark, sf_dir):
+    """Marginal probability of each document over all cuts into pieces of a public vocabulary."""
+    import public_tokenizers
+
+    return lattice.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
