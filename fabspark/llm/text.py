@@ -64,15 +64,16 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
-def spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of each word, and the number of words before each row."""
-    inside = ~space[data]
+def spans(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray = ~SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each run of bytes of one class other than 0, and the number of runs before each row."""
+    kind = classes[data]
+    inside = kind != 0
     edges = offsets[offsets < len(data)]
     first = inside.copy()
-    first[1:] &= ~inside[:-1]
+    first[1:] &= kind[1:] != kind[:-1]
     first[edges] = inside[edges]
     last = inside.copy()
-    last[:-1] &= ~inside[1:]
+    last[:-1] &= kind[1:] != kind[:-1]
     last[edges[edges > 0] - 1] = inside[edges[edges > 0] - 1]
     starts = np.flatnonzero(first)
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
