@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import chat, decontaminate, embeddings, jaccard, lattice, mixing, sharding, tokens
+from fabspark.llm import chat, decontaminate, embeddings, jaccard, lattice, licenses, mixing, sharding, tokens
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -86,3 +86,9 @@ def op5_lattice(spark, sf_dir):
 def op1_template_decontamination(spark, sf_dir):
     """Documents that hold benchmark items, also with other numbers and names."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register()
+def op8_licenses(spark, sf_dir):
+    """License passages of all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
