@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fabspark.llm.storage import saved
 from fabspark.llm.text import buffers, column, mix, pieces, spans, windows, word_hashes
 from fabspark.session import cut_lineage
 
@@ -176,5 +177,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
 def clean(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """``docs`` without the contaminated ones; rows with a null id stay."""
     key = settings.get("doc_id", "doc_id")
-    bad = contaminated(docs, benchmark, **settings).select(F.col("doc_id").alias(key)).distinct()
+    bad = saved(contaminated(docs, benchmark, **settings).select(F.col("doc_id").alias(key)).distinct(), "contaminated")
     return docs.join(bad, key, "left_anti")

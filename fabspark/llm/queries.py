@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import chat, decontaminate, embeddings, jaccard, lattice, licenses, mixing, sharding, tokens
+from fabspark.llm import chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -92,3 +92,14 @@ def op1_template_decontamination(spark, sf_dir):
 def op8_licenses(spark, sf_dir):
     """License passages of all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op4_language(spark, sf_dir):
+    """Language of all pages and all documents; the documents' labels fit the trigram model."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    pages = language.page_evidence(table(spark, sf_dir, "pages"))
+    of_pages = language.identify(pages, model, "page_id", declared=F.col("declared"), host=F.col("host"), suffix=F.col("suffix"))
+    of_docs = language.identify(docs, model, "doc_id", declared=F.col("lang"), host=F.col("source"))
+    return of_docs.unionByName(of_pages, allowMissingColumns=True)
