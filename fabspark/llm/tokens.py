@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,8 @@ SEGMENT_IDS = 1 << 20
 END_ID = 1
 SEGMENTS = "part int, segment int, documents long, ids long, data binary"
 DOCUMENTS = "doc_id long, part int, segment int, inside long, n_tokens long, ids_crc32 long"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+PIECE = 16 << 20
 
 
 class Encoder:
@@ -40,7 +42,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     @staticmethod
     def _parts(word: str) -> tuple[str, str]:
@@ -49,7 +51,8 @@ class Encoder:
         body = word.rstrip(".,")
         return (body, word[len(body):]) if body and body[-1].isalpha() else (word, "")
 
-    def words(self, words: list[str]) -> list[tuple[int, ...]]:
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as 32-bit numbers."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         known, split = self.known, [self._parts(w) for w in words]
@@ -57,8 +60,8 @@ class Encoder:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for start in range(0, len(new), 10_000):
             some = new[start:start + 10_000]
-            known.update((w, tuple(e.ids)) for w, e in zip(some, encode(some, add_special_tokens=False)))
-        known[""] = ()
+            known.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, encode(some, add_special_tokens=False)))
+        known[""] = b""
         return [known[a] + known[b] for a, b in split]
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,8 +74,8 @@ class Encoder:
         ends = np.asarray(lists.offsets)
         coded = lists.flatten().dictionary_encode()
         found = self.words(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        pool = np.fromiter((i for w in found for i in w), np.uint32, int(size.sum()))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), np.uint32)
         place = np.concatenate([[0], np.cumsum(size)])
         pick = np.asarray(coded.indices)
         counts = size[pick]
@@ -81,6 +84,19 @@ class Encoder:
         return ids, np.diff(before[ends])
 
 
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for a vocabulary file, with the words it has met in earlier tasks.
+
+    This package travels inside the tasks; only an installed module lives as long as the worker.
+    """
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_fabspark_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", doc_id: str = "doc_id",
           end_id: int = END_ID, planes_per_block: int = 4, segment_ids: int = SEGMENT_IDS) -> None:
     """Write the ids of all ``docs`` below ``path``, ``end_id`` after each document.
@@ -93,7 +109,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", doc_id
     ordered = ordered.select("doc_id", "text", F.spark_partition_id().alias("part"))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, number, part = Encoder(tokenizer).texts, 0, 0
+        encode, number, part = encoder(tokenizer).texts, 0, 0
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
@@ -107,7 +123,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, text: str = "text", doc_id
 
         for batch in batches:
             texts, names = column(batch.column("text")), batch.column("doc_id")
-            for first, some in pieces(texts):
+            for first, some in pieces(texts, PIECE):
                 ids, counts = encode(some)
                 after = np.cumsum(counts)
                 ids = np.insert(ids, after, end_id)
