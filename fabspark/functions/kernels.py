@@ -27,12 +27,22 @@ def byte_rows(column: pa.Array, size: int) -> np.ndarray:
     return data[offsets[0] : offsets[-1]].reshape(n, size)
 
 
-def to_binary(rows: np.ndarray) -> pa.Array:
-    """Inverse of ``byte_rows`` for a contiguous matrix of equal-length rows."""
+def ragged_counts(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Set cells per row of a ragged byte column, without wide copies of all cells."""
+    out = np.zeros(len(offsets) - 1, np.int64)
+    full = np.flatnonzero(np.diff(offsets))
+    if len(full):
+        out[full] = np.add.reduceat(mask[: offsets[-1]], offsets[:-1][full], dtype=np.int64)
+    return out
+
+
+def to_binary(rows: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
+    """Inverse of ``byte_rows`` for a contiguous matrix of equal-length rows; NULL where not ``valid``."""
     n, size = rows.shape
     offsets = np.arange(n + 1, dtype=np.int32) * size
     data = np.ascontiguousarray(rows, dtype=np.uint8)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    bits = None if valid is None else pa.py_buffer(np.packbits(valid, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.binary(), n, [bits, pa.py_buffer(offsets), pa.py_buffer(data)])
 
 
 def distances(rows: int, cols: int) -> np.ndarray:
@@ -86,14 +96,20 @@ def overlap_matrix(size: int, out_size: int) -> np.ndarray:
 
 
 def map_structs(column: pa.StructArray):
-    """Yield ``(positions, rows, cols, matrix)`` for each distinct map shape of a batch."""
-    rows = column.field("rows").to_numpy(zero_copy_only=False)
-    cols = column.field("cols").to_numpy(zero_copy_only=False)
-    shapes = rows.astype(np.int64) * 1_000_000 + cols.astype(np.int64)
-    for shape in np.unique(shapes):
-        at = np.flatnonzero(shapes == shape)
+    """Yield ``(positions, rows, cols, matrix)`` for each distinct map shape of a batch, in chunks.
+
+    Maps that are missing or whose bytes do not fill their shape are left out.
+    """
+    rows, cols = (column.field(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("rows", "cols"))
+    size = pc.binary_length(column.field("cells").cast(pa.binary())).fill_null(-1).to_numpy(zero_copy_only=False)
+    fit = column.is_valid().to_numpy(zero_copy_only=False) & (rows > 0) & (cols > 0) & (size == rows * cols)
+    shapes = rows * 1_000_000 + cols
+    for shape in np.unique(shapes[fit]):
+        every = np.flatnonzero(fit & (shapes == shape))
         r, c = int(shape // 1_000_000), int(shape % 1_000_000)
-        yield at, r, c, byte_rows(column.field("cells").take(pa.array(at)), r * c)
+        for start in range(0, len(every), CHUNK):
+            at = every[start:start + CHUNK]
+            yield at, r, c, byte_rows(column.field("cells").take(pa.array(at)), r * c)
 
 
 def symmetry_table(rows: int, cols: int) -> np.ndarray:

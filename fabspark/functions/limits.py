@@ -56,11 +56,15 @@ def alert_status(
 
 
 def param_status(value: Column, normal_min: float, normal_max: float) -> Column:
-    """ok inside the normal range; crit when more than a quarter range outside it, else warn."""
+    """ok inside the normal range; crit when more than a quarter range outside it, else warn.
+
+    A missing reading (NULL or NaN) has no status.
+    """
     deviation = F.greatest(normal_min - value, value - normal_max, F.lit(0.0))
     relative = deviation / ((normal_max - normal_min) * 0.5 + 1e-9)
     return (
-        F.when((value >= normal_min) & (value <= normal_max), "ok")
+        F.when(value.isNull() | F.isnan(value.cast("double")), F.lit(None).cast("string"))
+        .when((value >= normal_min) & (value <= normal_max), "ok")
         .when(relative > 0.5, "crit")
         .otherwise("warn")
     )

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fabspark.functions import kernels as K
 
@@ -99,10 +100,7 @@ def defect_ratio(blob: Column) -> Column:
         offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
         data = column.buffers()[2]
         data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        # Prefix sums give per-map counts for ragged maps without a loop.
-        defects = np.concatenate([[0], np.cumsum(data == 2)])[offsets]
-        active = np.concatenate([[0], np.cumsum(data > 0)])[offsets]
-        d, a = np.diff(defects), np.diff(active)
+        d, a = (K.ragged_counts(mask, offsets) for mask in (data == 2, data > 0))
         return pa.array(np.where(a > 0, d / np.maximum(a, 1), 0.0))
 
     return F.when(blob.isNotNull(), ratio(blob))
@@ -110,31 +108,39 @@ def defect_ratio(blob: Column) -> Column:
 
 # ---- resizing and scaling ---------------------------------------------------------
 def resize_nearest(map_struct: Column, out_rows: int = 64, out_cols: int = 64) -> Column:
-    """Nearest-neighbour resize of ``struct<rows,cols,cells>``; values stay 0/1/2."""
+    """Nearest-neighbour resize of ``struct<rows,cols,cells>``; values stay 0/1/2.
+
+    NULL for a map that is missing or does not fit its shape.
+    """
 
     @F.arrow_udf("binary")
     def resize(column: pa.Array) -> pa.Array:
-        out = np.zeros((len(column), out_rows * out_cols), np.uint8)
+        out, valid = np.zeros((len(column), out_rows * out_cols), np.uint8), np.zeros(len(column), bool)
         for at, rows, cols, maps in K.map_structs(column):
             out[at] = maps[:, K.gather_index(rows, cols, out_rows, out_cols)]
-        return K.to_binary(out)
+            valid[at] = True
+        return K.to_binary(out, valid)
 
     return resize(map_struct)
 
 
 def resize_defect_mask(map_struct: Column, out_rows: int = 64, out_cols: int = 64) -> Column:
-    """Area-averaged defect mask, as an array of shares in row-major order."""
+    """Area-averaged defect mask, as an array of shares in row-major order.
+
+    NULL for a map that is missing or does not fit its shape.
+    """
 
     @F.arrow_udf("array<double>")
     def resize(column: pa.Array) -> pa.Array:
-        out = np.zeros((len(column), out_rows * out_cols))
+        out, valid = np.zeros((len(column), out_rows * out_cols)), np.zeros(len(column), bool)
         for at, rows, cols, maps in K.map_structs(column):
+            valid[at] = True
             mask = (maps == 2).reshape(-1, rows, cols).astype(np.float64)
             left, right = K.overlap_matrix(rows, out_rows), K.overlap_matrix(cols, out_cols)
             out[at] = np.einsum("ir,nrc,jc->nij", left, mask, right, optimize=True).reshape(len(at), -1)
         size = out_rows * out_cols
         offsets = pa.array(np.arange(len(column) + 1, dtype=np.int32) * size)
-        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
+        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()), mask=pa.array(~valid))
 
     return resize(map_struct)
 
@@ -152,10 +158,12 @@ def symmetry(blob: Column, hflip: Column, vflip: Column, turns: Column, side: in
     @F.arrow_udf("binary")
     def apply(column: pa.Array, codes: pa.Array) -> pa.Array:
         maps = K.byte_rows(column, side * side)
-        index = K.symmetry_table(side, side)[codes.to_numpy(zero_copy_only=False)]
-        return K.to_binary(np.take_along_axis(maps, index, axis=1))
+        codes, table, out = codes.fill_null(0).to_numpy(zero_copy_only=False), K.symmetry_table(side, side), np.empty_like(maps)
+        for code in np.unique(codes):  # one index row per code, not per map
+            out[codes == code] = maps[codes == code][:, table[code]]
+        return K.to_binary(out)
 
-    return apply(blob, code)
+    return F.when(blob.isNotNull(), apply(blob, code))
 
 
 def augmented_copies(df: DataFrame, id_col: str, blob: str, copies: int, side: int = 64, seed: int = 42) -> DataFrame:
@@ -229,7 +237,7 @@ def augment_image(blob: Column, draw: Column, side: int = 64, config: dict = AUG
         offsets = pa.array(np.arange(len(maps) + 1, dtype=np.int32) * (side * side))
         return pa.ListArray.from_arrays(offsets, pa.array(out.astype(np.float32).ravel()))
 
-    return augment(blob, draw)
+    return F.when(blob.isNotNull(), augment(blob, draw))
 
 
 # ---- class heatmaps ---------------------------------------------------------------
@@ -264,7 +272,7 @@ def _class_sums(df: DataFrame, class_col: str, values: str, kind: str) -> DataFr
 
     picked = df.select(F.col(class_col).alias("c"), F.col(values).alias("v"))
     kind_of_class = picked.schema["c"].dataType
-    class_type = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[kind_of_class.simpleString()]
+    class_type = to_arrow_type(kind_of_class)
     return picked.mapInArrow(sums, f"c {kind_of_class.simpleString()}, n bigint, total array<double>")
 
 

@@ -65,8 +65,10 @@ def class_moments(df: DataFrame, class_col: str, value_col: str) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, std, min, quartiles and max per column (and key)."""
+def describe(
+    df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), rows_per_bucket: int = O.ROWS_PER_BUCKET
+) -> DataFrame:
+    """Count, mean, std, min, quartiles and max per column (and key); NULL for a column without values."""
     wide = df.groupBy(*keys).agg(*[
         F.struct(
             F.lit(c).alias("param"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
@@ -75,30 +77,40 @@ def describe(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> Da
         for c in cols
     ])
     basics = wide.select(*keys, F.explode(F.array(*[f"_s_{c}" for c in cols])).alias("s")).select(*keys, "s.*")
-    quartiles = O.exact_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return null_safe_join(basics, quartiles, [*keys, "param"])
+    quartiles = O.exact_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, rows_per_bucket)
+    return null_safe_join(basics, quartiles, [*keys, "param"], "left")
 
 
 def box_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Quartiles and whisker ends (last value within 1.5 IQR) per key and column.
 
-    Quartiles and whiskers both come from one table of distinct values.
+    The fences of a group are one row, so the whiskers are a filtered minimum and maximum of the rows.
     """
-    by = [*keys, "param"]
-    counts, cut = O.long_value_counts(df, keys, cols)
-    quartiles = O.quantiles_of_counts(counts, cut, by, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    fences = broadcast_if_small(quartiles.select(
-        *by, "q1", "median", "q3",
-        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lo"),
-        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_hi"),
-    ))
-    inside = F.col("value").between(F.col("_lo"), F.col("_hi"))
-    # Fences are constant within a group, so grouping by the quartiles adds no groups.
-    return null_safe_join(counts, fences, by).groupBy(*by, "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.sum(F.when(~inside, F.col("n")).otherwise(0)).alias("n_outliers"),
-    )
+    names, by = list(cols), list(keys) or ["_all"]
+    rows = df.select(*keys, *names) if keys else df.select(F.lit(0).alias("_all"), *names)
+    quartiles = O.exact_quantiles(rows, by, names, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    fences = quartiles.select(*by, F.struct(
+        "param", "q1", "median", "q3",
+        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
+        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"),
+    ).alias("f"))
+    wide = broadcast_if_small(fences.groupBy(*by).agg(*[
+        F.max(F.when(F.col("f.param") == c, F.col("f"))).alias(f"_f{i}") for i, c in enumerate(names)]))
+    fenced = null_safe_join(rows, wide, by)
+
+    def whiskers(i: int, c: str) -> Column:
+        inside = F.col(c).between(F.col(f"_f{i}.lo"), F.col(f"_f{i}.hi"))
+        fence = F.first(f"_f{i}")
+        return F.struct(
+            F.lit(c).alias("param"), *[fence[q].alias(q) for q in ("q1", "median", "q3")],
+            F.min(F.when(inside, F.col(c))).cast("double").alias("whisker_lo"),
+            F.max(F.when(inside, F.col(c))).cast("double").alias("whisker_hi"),
+            F.count_if(~inside).alias("n_outliers")).alias(f"_w{i}")
+
+    out = fenced.groupBy(*by).agg(*[whiskers(i, c) for i, c in enumerate(names)])
+    out = out.select(*by, F.explode(F.array(*[f"_w{i}" for i in range(len(names))])).alias("w")).select(*by, "w.*")
+    out = out.filter("q1 IS NOT NULL")
+    return out if keys else out.drop("_all")
 
 
 def param_baseline(df: DataFrame, params: Sequence[str], flag: Column | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fabspark import constants as C
@@ -170,6 +170,21 @@ def class_roi(df: DataFrame, monthly_revenue: float = C.MONTHLY_REVENUE) -> Data
     )
 
 
+def roi_of_settings(found: DataFrame, labels: DataFrame, class_col: str, impact: DataFrame,
+                    monthly_revenue: float = C.MONTHLY_REVENUE) -> DataFrame:
+    """ROI per class from found settings, the share of each class in ``labels`` and its yield impact.
+
+    ``found`` has ``defect_class``, ``prob_reduction_pct`` and ``adj_cost_usd``, as the search
+    returns them; ``impact`` has ``failure_type`` and ``yield_impact``, as the class dimension has.
+    A class without rows in ``labels`` has a ratio of 0. All three sides are one row per class.
+    """
+    share = labels.groupBy(F.col(class_col).alias("defect_class")).agg(F.count("*").alias("n"))
+    share = share.withColumn("class_ratio", F.col("n") / F.sum("n").over(Window.partitionBy())).drop("n")
+    known = impact.select(F.col("failure_type").alias("defect_class"), "yield_impact")
+    joined = found.join(share, "defect_class", "left").join(known, "defect_class")
+    return class_roi(joined.withColumn("class_ratio", F.coalesce("class_ratio", F.lit(0.0))), monthly_revenue)
+
+
 def roi_rollup(roi: DataFrame) -> DataFrame:
     gain, cost = F.sum("annual_gain_usd"), F.sum("adj_cost_usd")
     return roi.agg(

@@ -126,6 +126,11 @@ def best_trial(df: DataFrame, trial: str, value: str, *keep: str) -> DataFrame:
     return df.agg(best.alias("b")).select(f"b.{trial}", f"b.{value}", *[f"b.{c}" for c in keep])
 
 
+def sorted_trials(df: DataFrame, trial: str, value: str, state: str, done: str = "COMPLETE") -> DataFrame:
+    """All completed trials, best first; the lower trial number on ties."""
+    return df.filter(F.col(state) == done).orderBy(F.desc(value), F.asc(trial))
+
+
 def leaderboard(models: DataFrame, model: str, metric: str, target: float) -> DataFrame:
     """Rank per model with target flag and whether it is the best; one row per model goes in."""
     order = Window.orderBy(F.desc(metric), F.asc(model))
@@ -187,6 +192,11 @@ def average_precision(
     )
 
 
+def mean_average_precision(per_label: DataFrame) -> DataFrame:
+    """One row: the mean of ``average_precision`` over the labels."""
+    return per_label.agg(F.avg("average_precision").alias("mean_average_precision"), F.count("*").alias("labels"))
+
+
 def drift_index(
     df: DataFrame, value: str, is_current: str, bins: int = 10, eps: float = 1e-6
 ) -> DataFrame:

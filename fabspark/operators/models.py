@@ -74,22 +74,26 @@ def batch_predict(
     """Score maps in Arrow batches: ``struct<class_idx, prob>``.
 
     ``load_predictor`` runs once per batch stream on the executor and returns a function from
-    ``(n, rows, cols)`` floats in [0, 1] to ``(n, classes)`` logits.
+    ``(n, rows, cols)`` floats in [0, 1] to ``(n, classes)`` logits. A NULL map has no score.
     """
     @F.arrow_udf("struct<class_idx:int,prob:double>")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predict = load_predictor()
         for column in batches:
-            maps = K.byte_rows(column, rows * cols).reshape(-1, rows, cols) / 2.0
-            logits = np.asarray(predict(maps), dtype=np.float64)
-            weights = np.exp(logits - logits.max(axis=1, keepdims=True))
-            best = logits.argmax(axis=1)
-            prob = weights[np.arange(len(best)), best] / weights.sum(axis=1)
+            bytes_, best, prob = K.byte_rows(column, rows * cols), [], []
+            for start in range(0, len(bytes_), K.CHUNK):
+                maps = bytes_[start:start + K.CHUNK].reshape(-1, rows, cols) / 2.0
+                logits = np.asarray(predict(maps), dtype=np.float64)
+                weights = np.exp(logits - logits.max(axis=1, keepdims=True))
+                best.append(logits.argmax(axis=1))
+                prob.append(weights.max(axis=1) / weights.sum(axis=1))
+            best = np.concatenate(best or [np.zeros(0, int)])
+            prob = np.concatenate(prob or [np.zeros(0)])
             yield pa.StructArray.from_arrays(
                 [pa.array(best.astype(np.int32)), pa.array(prob)], names=["class_idx", "prob"]
             )
 
-    return score(blob)
+    return F.when(blob.isNotNull(), score(blob))
 
 
 def pseudo_labels(scored: DataFrame, labelled: DataFrame, confidence: float = 0.95) -> DataFrame:

@@ -5,7 +5,9 @@ column is cut into value ranges ("buckets") of bounded size. Frames that look ba
 rows get copies of the rows just before their bucket (``halo_frames``); running totals
 get the combined result of all earlier buckets (``running``). Both are exact.
 
-The order column must be numeric or a timestamp, and unique within a series, as ids are.
+The order column may be a number, a date, a timestamp or text, and must be unique within a
+series, as ids are. Ranges are cut on a double that never reverses the column's own order;
+values with equal doubles share a range, and inside a range the column itself orders.
 Operators on an aggregate can be given ``cuts`` taken from its raw input, which saves
 computing the aggregate just to place the cut points.
 """
@@ -13,7 +15,7 @@ computing the aggregate just to place the cut points.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -21,16 +23,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabspark.operators.joins import null_safe_join
+from fabspark.session import broadcast_if_small
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_ROWS_PER_BUCKET = 20_000
+MAX_BUCKETS = 10_000  # the driver and each task hold this many cut points at most
 SAMPLES_PER_BUCKET = 500
+RANKED_WHOLE = 20_000
 BUCKET = "_bucket"
 _KEY = "_order_key"
 
 
-def _order_key(df: DataFrame, order_col: str) -> Column:
+class Cuts(list):
+    """Ascending inner cut points; for text, ``skip`` is the length of the prefix that all values share."""
+
+    skip = 0
+
+
+def _text_key(text: Column, skip: int) -> Column:
+    """Six bytes after the first ``skip`` as a number: ascends with the text's byte order."""
+    part = F.substring(F.substring(text.cast("binary"), skip + 1, 6), 1, 6)
+    return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10).cast("double")
+
+
+def _shared_prefix(df: DataFrame, col: str) -> int:
+    """Bytes that all values of a text column start with."""
+    low, high = df.agg(F.min(col).cast("binary"), F.max(col).cast("binary")).first()
+    if low is None:
+        return 0
+    return next((i for i, (a, b) in enumerate(zip(low, high)) if a != b), min(len(low), len(high)))
+
+
+def _order_key(df: DataFrame, order_col: str, skip: int = 0) -> Column:
     kind = df.schema[order_col].dataType
+    if isinstance(kind, T.StringType):
+        return _text_key(F.col(order_col), skip)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(order_col).cast("timestamp")).cast("double")
     if isinstance(kind, T.DateType):
@@ -42,7 +69,8 @@ def bucket_count(df: DataFrame, rows_per_bucket: int) -> tuple[int, int]:
     """Rows, and the ranges to cut them into: bounded size, and work for every core."""
     n_rows = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return n_rows, max(math.ceil(n_rows / rows_per_bucket), min(cores, n_rows // MIN_ROWS_PER_BUCKET))
+    wanted = max(math.ceil(n_rows / rows_per_bucket), min(cores, n_rows // min(MIN_ROWS_PER_BUCKET, rows_per_bucket)))
+    return n_rows, min(MAX_BUCKETS, wanted)
 
 
 def _cut_points(keys: DataFrame, n_rows: int, n_buckets: int) -> list[list[float]]:
@@ -54,16 +82,19 @@ def _cut_points(keys: DataFrame, n_rows: int, n_buckets: int) -> list[list[float
     return [sorted(set(cuts)) for cuts in sample.approxQuantile(keys.columns, probs, 0.1 / n_buckets)]
 
 
-def range_cuts(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+def range_cuts(df: DataFrame, order_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> Cuts:
     """Ascending inner cut points that split ``df`` into ranges of about ``rows_per_bucket``.
 
     One scan of one column; only the cut points reach the driver. Equal values fall in one
     range.
     """
     n_rows, n_buckets = bucket_count(df, rows_per_bucket)
-    if n_buckets <= 1:
-        return []
-    return _cut_points(df.select(_order_key(df, order_col).alias(_KEY)), n_rows, n_buckets)[0]
+    cuts = Cuts()
+    if n_buckets > 1:
+        if isinstance(df.schema[order_col].dataType, T.StringType):
+            cuts.skip = _shared_prefix(df, order_col)
+        cuts += _cut_points(df.select(_order_key(df, order_col, cuts.skip).alias(_KEY)), n_rows, n_buckets)[0]
+    return cuts
 
 
 def with_buckets(df: DataFrame, order_col: str, cuts: Sequence[float]) -> DataFrame:
@@ -71,7 +102,7 @@ def with_buckets(df: DataFrame, order_col: str, cuts: Sequence[float]) -> DataFr
     if not cuts:
         return df.withColumn(BUCKET, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
-    keyed = df.withColumn(_KEY, _order_key(df, order_col))
+    keyed = df.withColumn(_KEY, _order_key(df, order_col, getattr(cuts, "skip", 0)))
     bucketizer = Bucketizer(splits=splits, inputCol=_KEY, outputCol="_bucket_d", handleInvalid="keep")
     return (
         bucketizer.transform(keyed)
@@ -246,14 +277,18 @@ def long_value_counts(
     wide = df.select("*", *[_order_key(df, c).alias(k) for c, k in zip(cols, key_cols)])
     at: dict[str, Column] = {c: F.lit(0) for c in cols}
     if n_buckets > 1:
-        splits = [[-math.inf, *cuts, math.inf] for cuts in _cut_points(wide.select(key_cols), n_rows, n_buckets)]
-        wide = Bucketizer(
-            splitsArray=splits, inputCols=key_cols, outputCols=[f"_b_{c}" for c in cols],
-            handleInvalid="keep",
-        ).transform(wide)
-        at = {c: F.coalesce(F.col(f"_b_{c}").cast("int"), F.lit(0)) for c in cols}
+        cuts = dict(zip(cols, _cut_points(wide.select(key_cols), n_rows, n_buckets)))
+        some = [c for c in cols if cuts[c]]  # a column without values has no cut points
+        if some:
+            wide = Bucketizer(
+                splitsArray=[[-math.inf, *cuts[c], math.inf] for c in some], inputCols=[f"_k_{c}" for c in some],
+                outputCols=[f"_b_{c}" for c in some], handleInvalid="keep",
+            ).transform(wide)
+        at |= {c: F.coalesce(F.col(f"_b_{c}").cast("int"), F.lit(0)) for c in some}
+    # Whole numbers and decimals keep their own type: as doubles, large ones would fall together.
+    own = len({df.schema[c].dataType.simpleString() for c in cols}) == 1
     items = F.array(*[
-        F.struct(F.lit(c).alias("param"), at[c].alias(BUCKET), F.col(f"_k_{c}").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("param"), at[c].alias(BUCKET), F.col(c if own else f"_k_{c}").alias("value")) for c in cols
     ])
     long = wide.withColumn("_item", F.explode(items)).filter(F.col("_item.value").isNotNull())
     counts = long.groupBy(*keys, *[F.col(f"_item.{c}").alias(c) for c in ("param", BUCKET, "value")]).agg(
@@ -272,15 +307,53 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles: one row per key, or per key and ``param`` for a list of columns.
 
-    Interpolated, or with ``discrete`` the first value at or above the wanted share. The
-    built-in exact percentile keeps every distinct value of a group in one task. Here the
-    distinct values are counted, counted up across ranges, and only the rows holding a wanted
-    rank are kept.
+    Interpolated, or with ``discrete`` the first value at or above the wanted share. An
+    approximate percentile a little below and one a little above each wanted share bracket its
+    rank. A second pass counts the rows below each bracket and, per value, those inside; only
+    these few are ordered. A group of up to ``RANKED_WHOLE`` rows (or ``rows_per_bucket``, if
+    that is less) is its own bracket. A column without values has no row.
     """
     single = isinstance(cols, str)
-    counts, cut = long_value_counts(df, keys, [cols] if single else cols, rows_per_bucket=rows_per_bucket)
-    out = quantiles_of_counts(counts, cut, [*keys, "param"], probs, discrete)
-    return out.drop("param") if single else out
+    names, keys = [cols] if single else list(cols), list(keys)
+    limit = max(8, min(rows_per_bucket, RANKED_WHOLE))
+    spread = 4.0 / limit
+    shares = list(probs.values())
+    by = keys or ["_all"]
+    rows = df.select(*keys, *names) if keys else df.select(F.lit(0).alias("_all"), *names)
+
+    def rough(c: str, at: Sequence[float]) -> Column:
+        return F.percentile_approx(c, [min(max(p, 0.0), 1.0) for p in at], limit)
+
+    def ends(c: str, sign: int) -> Column:
+        near = rough(c, [p + sign * spread for p in shares])
+        end = F.min(c) if sign < 0 else F.max(c)
+        return F.array(*[
+            F.when(F.count(c) <= limit, end).otherwise(end if not 0 < p + sign * spread < 1 else F.get(near, F.lit(j)))
+            for j, p in enumerate(shares)])
+
+    bounds = rows.groupBy(*by).agg(*[f.alias(f"{name}{i}") for i, c in enumerate(names) for f, name in (
+        (F.count(c), "_n"), (ends(c, -1), "_lo"), (ends(c, 1), "_hi"))])
+    bounds = broadcast_if_small(bounds)
+    bounded = null_safe_join(rows, bounds, by)
+    cells = [(i, c, j) for i, c in enumerate(names) for j in range(len(shares))]
+    below = bounded.groupBy(*by).agg(*[
+        F.struct(F.lit(c).alias("param"), F.lit(j).alias("_j"), F.first(f"_n{i}").alias("_total"),
+                 F.count_if(F.col(c) < F.get(f"_lo{i}", F.lit(j))).alias("_below")).alias(f"_b{i}_{j}") for i, c, j in cells])
+    below = below.select(*by, F.explode(F.array(*[f"_b{i}_{j}" for i, _, j in cells])).alias("b")).select(*by, "b.*")
+    own = len({df.schema[c].dataType.simpleString() for c in names}) == 1
+    items = F.array(*[
+        F.when(F.col(c).between(F.get(f"_lo{i}", F.lit(j)), F.get(f"_hi{i}", F.lit(j))), F.struct(
+            F.lit(c).alias("param"), F.lit(j).alias("_j"), (F.col(c) if own else F.col(c).cast("double")).alias("value")))
+        for i, c, j in cells])
+    inside = bounded.select(*by, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("x")).groupBy(
+        *by, F.col("x.param").alias("param"), F.col("x._j").alias("_j"), F.col("x.value").alias("value")).agg(F.count("*").alias("n"))
+    group = [*by, "param", "_j"]
+    upto = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = null_safe_join(inside.withColumn("_upto", F.sum("n").over(upto)), below, group)
+    ranked = ranked.withColumn("_upto", F.col("_upto") + F.col("_below"))
+    out = _values_at(ranked, [*by, "param"], probs, discrete, lambda j: F.col("_j") == j)
+    out = out.drop("param") if single else out
+    return out if keys else out.drop("_all")
 
 
 def quantiles_of_counts(
@@ -289,7 +362,13 @@ def quantiles_of_counts(
     """Quantiles from a ``long_value_counts`` table."""
     ranked = running_in_buckets(
         counts, "value", {"_upto": ("sum", F.col("n")), "_total": ("total", F.col("n"))}, by, carried=cut)
+    return _values_at(ranked, by, probs, discrete, lambda j: F.lit(True))
 
+
+def _values_at(
+    ranked: DataFrame, by: Sequence[str], probs: dict[str, float], discrete: bool, of: Callable[[int], Column]
+) -> DataFrame:
+    """Quantiles from values with ``n``, ``_upto`` and ``_total``; ``of(j)`` marks the rows for the j-th share."""
     def holds(rank: Column) -> Column:
         return (rank >= F.col("_upto") - F.col("n")) & (rank < F.col("_upto"))
 
@@ -298,7 +377,7 @@ def quantiles_of_counts(
             return F.greatest(F.ceil(p * F.col("_total")) - 1, F.lit(0)).cast("double")
         return p * (F.col("_total") - 1)
 
-    wanted = [holds(f(position(p))) for p in probs.values() for f in (F.floor, F.ceil)]
+    wanted = [of(j) & holds(f(position(p))) for j, p in enumerate(probs.values()) for f in (F.floor, F.ceil)]
     condition = wanted[0]
     for w in wanted[1:]:
         condition = condition | w
@@ -307,12 +386,14 @@ def quantiles_of_counts(
         .groupBy(*by)
         .agg(
             F.first("_total").alias("_total"),
-            *[F.max(F.when(holds(F.floor(position(p))), F.col("value"))).alias(f"_lo_{name}") for name, p in probs.items()],
-            *[F.max(F.when(holds(F.ceil(position(p))), F.col("value"))).alias(f"_hi_{name}") for name, p in probs.items()],
+            *[F.max(F.when(of(j) & holds(F.floor(position(p))), F.col("value"))).alias(f"_lo_{name}")
+              for j, (name, p) in enumerate(probs.items())],
+            *[F.max(F.when(of(j) & holds(F.ceil(position(p))), F.col("value"))).alias(f"_hi_{name}")
+              for j, (name, p) in enumerate(probs.items())],
         )
     )
     return picked.select(*by, *[
-        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))
+        (F.col(f"_lo_{name}").cast("double") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")).cast("double")
          * (position(p) - F.floor(position(p)))).alias(name)
         for name, p in probs.items()
     ])

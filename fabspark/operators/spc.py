@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +13,7 @@ from fabspark.constants import SPC_LIMITS
 from fabspark.functions.limits import cpk
 from fabspark.operators import ordered as O
 from fabspark.operators.joins import null_safe_join
-from fabspark.session import broadcast_if_small, cut_lineage
+from fabspark.session import broadcast_if_small
 
 
 def spc_summary(
@@ -153,22 +153,21 @@ def ewma(
 
     def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order_col, kind="stable")
-        local, decay, locals_, decays = 0.0, 1.0, [], []
-        for x in pdf[value].to_numpy():
-            if x == x:
-                local, decay = weight * x + (1 - weight) * local, decay * (1 - weight)
-            locals_.append(local)
-            decays.append(decay)
-        return pdf.assign(_local=locals_, _decay=decays)
+        from_zero = pd.concat([pd.Series([0.0]), pdf[value]])
+        local = from_zero.ewm(alpha=weight, adjust=False, ignore_na=True).mean()
+        return pdf.assign(_local=local.to_numpy()[1:], _decay=(1 - weight) ** pdf[value].notna().cumsum())
 
     smoothed = rows.groupBy(*keys).applyInPandas(smooth, schema)
-    if cuts:
-        smoothed = cut_lineage(smoothed)
-    ends = smoothed.groupBy(*keys).agg(
-        F.max_by("_local", order_col).alias("_local"), F.min("_decay").alias("_decay"),
-        F.min_by(F.when(F.col(value).isNotNull(), F.col(value)),
-                 F.when(F.col(value).isNotNull(), F.col(order_col))).alias("_first"),
+    # A range's end in closed form: each reading by the number of readings after it.
+    known = F.col(value).isNotNull() & ~F.isnan(value)
+    later = Window.partitionBy(*keys).orderBy(F.desc(order_col)).rowsBetween(Window.unboundedPreceding, -1)
+    aged = rows.withColumn("_age", F.count(F.when(known, 1)).over(later)).filter(known)
+    ends = aged.groupBy(*keys).agg(
+        F.sum(weight * F.col(value) * F.pow(F.lit(1 - weight), F.col("_age"))).alias("_local"),
+        F.pow(F.lit(1 - weight), F.count("*")).alias("_decay"), F.min_by(value, order_col).alias("_first"),
     )
+    ends = null_safe_join(rows.select(*keys).distinct(), ends, keys, "left").select(
+        *keys, F.coalesce("_local", F.lit(0.0)).alias("_local"), F.coalesce("_decay", F.lit(1.0)).alias("_decay"), "_first")
 
     carry_schema = T.StructType(
         [f for f in ends.schema.fields if f.name in keys] + [T.StructField("_start", T.DoubleType())]

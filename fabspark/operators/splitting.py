@@ -9,16 +9,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabspark.operators.ordered import top_k
-from fabspark.session import broadcast_if_small, local_frame
+from fabspark.session import broadcast_if_small
 
-MAX_CLASSES = 100_000
-MAX_BROADCAST_VALUES = 2_000_000
 _CELL_BITS = 16
+MEAN_PER_SHARE = 8.0
+TOP_DRAW = 48  # of one share; more has a probability below 1e-20
 
 
 def uniform(*keys: Column | str) -> Column:
@@ -26,34 +25,31 @@ def uniform(*keys: Column | str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys), 11) / F.lit(float(2**53))
 
 
-def class_counts(df: DataFrame, class_col: str) -> dict:
-    """Rows per class on the driver; refuses a column that is not a class column."""
-    rows = df.groupBy(class_col).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{class_col} has more than {MAX_CLASSES} classes")
-    return {row[class_col]: row["n"] for row in rows}
+def _share(table: DataFrame, total: Column, size: str, out: str, order: str) -> DataFrame:
+    """Add ``out``: ``total`` shared in proportion to ``size``, in whole numbers that add up to it.
 
-
-def largest_remainder(total: int, counts: dict) -> dict:
-    """Share ``total`` in proportion to ``counts``, in whole numbers that add up to it."""
-    whole = sum(counts.values())
-    exact = {k: total * n / whole for k, n in counts.items()}
-    out = {k: math.floor(x) for k, x in exact.items()}
-    by_rest = sorted(exact, key=lambda k: (out[k] - exact[k], str(k)))
-    for k in by_rest[: total - sum(out.values())]:
-        out[k] += 1
-    return out
-
-
-def split_sizes(counts: dict, ratios=(0.70, 0.15, 0.15)) -> dict:
-    """Exact ``(train, val, test)`` rows per class."""
-    whole = sum(counts.values())
-    held = math.ceil(round(whole * (1 - ratios[0]), 6))
-    train = largest_remainder(whole - held, counts)
-    rest = {k: counts[k] - train[k] for k in counts}
-    n_test = math.ceil(round(held * ratios[2] / (ratios[1] + ratios[2]), 6))
-    test = largest_remainder(n_test, rest) if held else dict.fromkeys(counts, 0)
-    return {k: (train[k], rest[k] - test[k], test[k]) for k in counts}
+    What rounding down leaves goes to the largest remainders. One row per class passes through
+    the window.
+    """
+    everything = Window.partitionBy()
+    exact = total * F.col(size) / F.sum(size).over(everything)
+    table = table.withColumns({"_exact": F.coalesce(exact, F.lit(0.0)), "_total": total})
+    table = table.withColumn("_whole", F.floor("_exact"))
+    rank = F.row_number().over(Window.orderBy(F.col("_whole") - F.col("_exact"), F.col(order).cast("string")))
+    extra = (rank <= F.col("_total") - F.sum("_whole").over(everything)).cast("long")
+    return table.withColumn(out, (F.col("_whole") + extra).cast("long")).drop("_exact", "_whole", "_total")
+
+
+def split_sizes(df: DataFrame, class_col: str, ratios=(0.70, 0.15, 0.15)) -> DataFrame:
+    """Exact rows of ``train``, ``val`` and ``test`` per class, as a table of any number of classes."""
+    sizes = df.groupBy(class_col).agg(F.count("*").alias("n"))
+    whole = F.sum("n").over(Window.partitionBy())
+    sizes = sizes.withColumn("_held", F.ceil(F.round(whole * (1 - ratios[0]), 6)))
+    sizes = sizes.withColumn("_kept", whole - F.col("_held"))
+    sizes = _share(sizes, F.col("_kept"), "n", "train", class_col).withColumn("_rest", F.col("n") - F.col("train"))
+    n_test = F.ceil(F.round(F.col("_held") * ratios[2] / (ratios[1] + ratios[2]), 6))
+    sizes = _share(sizes, n_test, "_rest", "test", class_col)
+    return sizes.select(class_col, "n", "train", (F.col("_rest") - F.col("test")).alias("val"), "test")
 
 
 def stratified_split(
@@ -70,24 +66,20 @@ def stratified_split(
         F.col(class_col).alias("_c"), F.col(id_col).alias("_id"), h.alias("_h"),
         F.shiftright(h, 64 - _CELL_BITS).cast("int").alias("_cell"),
     )
-    sizes = split_sizes(class_counts(df, class_col), ratios)
-    spark = df.sparkSession
-    c_type, id_type = (keyed.schema[c].dataType.simpleString() for c in ("_c", "_id"))
-    ranks = local_frame(
-        spark,
-        [(c, w, r) for c, (a, b, _) in sizes.items() for w, r in ((1, a), (2, a + b)) if r > 0],
-        f"_c {c_type}, _cut int, _rank long",
-    )
+    sizes = split_sizes(df, class_col, ratios).withColumnRenamed(class_col, "_c")
+    cut = F.explode(F.array(*[F.struct(F.lit(k).alias("_cut"), r.cast("long").alias("_rank")) for k, r in (
+        (1, F.col("train")), (2, F.col("train") + F.col("val")))]))
+    ranks = sizes.select("_c", cut.alias("x")).select("_c", "x.*").filter("_rank > 0")
     # At most 65,536 cells per class.
     upto = Window.partitionBy("_c").orderBy("_cell")
     cells = keyed.groupBy("_c", "_cell").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
     c_equal = F.col("cells._c").eqNullSafe(F.col("ranks._c"))
     targets = (
-        cells.alias("cells").join(F.broadcast(ranks).alias("ranks"), c_equal)
+        cells.alias("cells").join(broadcast_if_small(ranks).alias("ranks"), c_equal)
         .filter((F.col("_rank") > F.col("_upto") - F.col("_n")) & (F.col("_rank") <= F.col("_upto")))
         .select("cells._c", "_cell", "_cut", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_at"))
     )
-    targets = broadcast_if_small(targets, 2 * MAX_CLASSES)
+    targets = broadcast_if_small(targets)
     in_cell = Window.partitionBy("t._c", "t._cell", "_cut").orderBy("_h", "_id")
     cuts = (
         keyed.alias("k").join(
@@ -97,17 +89,12 @@ def stratified_split(
         .withColumn("_rn", F.row_number().over(in_cell))
         .filter(F.col("_rn") == F.col("_at"))
         .select("k._c", "_cut", "_h", "_id")
-        .collect()
     )
-    at = {}
-    for row in cuts:
-        at.setdefault(row["_c"], {})[row["_cut"]] = (row["_h"], row["_id"])
-    none = (None, None)
-    table = F.broadcast(local_frame(
-        spark,
-        [(c, *at.get(c, {}).get(1, none), *at.get(c, {}).get(2, none)) for c in sizes],
-        f"_c {c_type}, _h1 long, _id1 {id_type}, _h2 long, _id2 {id_type}",
-    ))
+    table = sizes.select("_c").join(
+        cuts.groupBy(F.col("_c").alias("_k")).agg(*[
+            F.max(F.when(F.col("_cut") == k, F.col(c))).alias(f"{c}{k}") for k in (1, 2) for c in ("_h", "_id")]),
+        F.col("_c").eqNullSafe(F.col("_k")), "left").drop("_k")
+    table = broadcast_if_small(table)  # one row per class; beyond the limit the rows are shuffled once
 
     def before(cut: int) -> Column:
         hc, ic = F.col(f"_h{cut}"), F.col(f"_id{cut}")
@@ -162,19 +149,18 @@ def weighted_resample(
     The number of rows is ``draws`` in expectation. By default classes weigh the same in total
     and ``draws`` is the number of rows. Map-only after the class counts.
     """
-    counts = class_counts(df, class_col)
-    weights = weights or {c: 1.0 / n for c, n in counts.items()}
-    draws = draws or sum(counts.values())
-    total = sum(weights.get(c, 0.0) * n for c, n in counts.items())
-    table = []
-    for c in counts:
-        mean = draws * weights.get(c, 0.0) / total
-        shares = max(1, math.ceil(mean / 500))  # a sum of Poisson draws is Poisson
-        table.append((c, shares, _poisson_cdf(mean / shares)))
-    c_type = df.schema[class_col].dataType.simpleString()
-    lookup = local_frame(df.sparkSession, table, f"_c {c_type}, _shares int, _cdf array<double>")
-    if sum(len(cdf) for *_, cdf in table) <= MAX_BROADCAST_VALUES:
-        lookup = F.broadcast(lookup)
+    counts = df.groupBy(F.col(class_col).alias("_c")).agg(F.count("*").alias("_n"))
+    if weights is None:
+        own = 1.0 / F.col("_n")
+    else:
+        given = [x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))]
+        own = F.coalesce(F.create_map(*given)[F.col("_c")], F.lit(0.0)) if given else F.lit(0.0)
+    everything = Window.partitionBy()
+    wanted = F.lit(draws) if draws else F.sum("_n").over(everything)
+    counts = counts.withColumn("_w", own)
+    counts = counts.withColumn("_mean", wanted * F.col("_w") / F.sum(F.col("_w") * F.col("_n")).over(everything))
+    shares = F.greatest(F.lit(1), F.ceil(F.col("_mean") / MEAN_PER_SHARE)).cast("int")  # a sum of Poisson draws is Poisson
+    lookup = broadcast_if_small(counts.select("_c", shares.alias("_shares"), _poisson_cdf(F.col("_mean") / shares).alias("_cdf")))
     u = uniform(F.col(id_col), F.col("_share"), F.lit(seed))
     return (
         df.join(lookup, F.col(class_col).eqNullSafe(F.col("_c")))
@@ -187,14 +173,13 @@ def weighted_resample(
     )
 
 
-def _poisson_cdf(mean: float) -> list[float]:
-    """P(X <= j) for j = 0, 1, ... until it reaches 1 in double precision."""
-    if mean <= 0:
-        return [1.0]
-    top = int(mean + 40 * math.sqrt(mean) + 40)
-    logs = -mean + np.arange(top + 1) * math.log(mean) - np.array([math.lgamma(j + 1) for j in range(top + 1)])
-    cdf = np.minimum(np.cumsum(np.exp(logs)), 1.0)
-    return [float(p) for p in cdf[: int(np.searchsorted(cdf, 1.0 - 1e-16)) + 1]]
+def _poisson_cdf(mean: Column) -> Column:
+    """P(X <= j) for j = 0 to ``TOP_DRAW``, as an array; the last one is 1."""
+    logs = F.array(*[F.lit(math.lgamma(j + 1)) for j in range(TOP_DRAW)])
+    terms = F.transform(logs, lambda g, j: F.exp(-mean + j * F.ln(mean) - g))
+    sums = F.transform(F.sequence(F.lit(1), F.lit(TOP_DRAW)), lambda k: F.least(
+        F.aggregate(F.slice(terms, 1, k), F.lit(0.0), lambda a, x: a + x), F.lit(1.0)))
+    return F.when(mean > 0, F.concat(sums, F.array(F.lit(1.0)))).otherwise(F.array(F.lit(1.0)))
 
 
 def class_sample(df: DataFrame, id_col: str, class_col: str, n: int, seed: int = 42) -> DataFrame:

@@ -12,17 +12,14 @@ from pyspark.sql import functions as F
 from fabspark.constants import CLASSES
 from fabspark.functions import kernels as K
 from fabspark.operators.joins import null_safe_join
-from fabspark.operators.splitting import class_counts
-
-MAX_BROADCAST_CLASSES = 64
+from fabspark.session import broadcast_if_small
 
 
 def class_index(df: DataFrame, id_col: str, class_col: str, seed: int = 42) -> DataFrame:
     """Add ``_idx``: 0, 1, 2, ... per class in id-hash order.
 
     Hash cells keep a class out of one task: the index is the count of earlier cells plus the
-    place within the cell. The cell counts hold at most 65,536 rows per class, so they are
-    broadcast when there are few classes.
+    place within the cell. The cell counts hold at most 65,536 rows per class.
     """
     h = F.xxhash64(F.col(id_col), F.lit(seed))
     keyed = df.withColumns({"_h": h, "_cell": F.shiftright(h, 48).cast("int")})
@@ -30,9 +27,7 @@ def class_index(df: DataFrame, id_col: str, class_col: str, seed: int = 42) -> D
     earlier = Window.partitionBy(class_col).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy(*keys).agg(F.count("*").alias("_n")).select(
         *keys, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    if len(class_counts(df, class_col)) <= MAX_BROADCAST_CLASSES:
-        offsets = F.broadcast(offsets)
-    placed = null_safe_join(keyed, offsets, keys).withColumn(
+    placed = null_safe_join(keyed, broadcast_if_small(offsets), keys).withColumn(
         "_idx", F.col("_before") + F.row_number().over(Window.partitionBy(*keys).orderBy("_h", id_col)) - 1)
     return placed.drop("_h", "_cell", "_before")
 
@@ -51,15 +46,20 @@ def pair_maps(
         for i, (a, b) in enumerate(combos)
     ])
     wanted = df.filter(F.col(class_col).isin(sorted({c for pair in combos for c in pair})))
-    indexed = class_index(wanted.select(id_col, class_col, blob), id_col, class_col, seed)
+    indexed = class_index(wanted.filter(F.col(blob).isNotNull()).select(id_col, class_col), id_col, class_col, seed)
 
     def side(which: str) -> DataFrame:
         mine = F.filter(table, lambda c: c[which] == F.col(class_col))
         return indexed.withColumn("_combo", F.explode(mine)).select(
             F.col("_combo.combo").alias("combo"), "_idx", F.col(id_col).alias(f"id_{which}"),
-            F.col(class_col).alias(f"class_{which}"), F.col(blob).alias(f"map_{which}"))
+            F.col(class_col).alias(f"class_{which}"))
 
-    return side("a").join(side("b"), ["combo", "_idx"]).drop("_idx")
+    # Ids are ranked and paired first; each side's maps then move once, to the pairs that use them.
+    pairs = side("a").join(side("b"), ["combo", "_idx"]).drop("_idx")
+    for which in "ab":
+        maps = wanted.select(F.col(id_col).alias(f"id_{which}"), F.col(blob).alias(f"map_{which}"))
+        pairs = pairs.join(maps, f"id_{which}")
+    return pairs.select("combo", "id_a", "class_a", "map_a", "id_b", "class_b", "map_b")
 
 
 def overlay(a: Column, b: Column, size: int = 4096) -> Column:
@@ -69,7 +69,7 @@ def overlay(a: Column, b: Column, size: int = 4096) -> Column:
     def merge(left: pa.Array, right: pa.Array) -> pa.Array:
         return K.to_binary(np.maximum(K.byte_rows(left, size), K.byte_rows(right, size)))
 
-    return merge(a, b)
+    return F.when(a.isNotNull() & b.isNotNull(), merge(a, b))
 
 
 def paste_defects(base: Column, donor: Column, draw: Column, side: int = 64, jitter: int = 3) -> Column:
@@ -90,7 +90,7 @@ def paste_defects(base: Column, donor: Column, draw: Column, side: int = 64, jit
             out[at] = np.where(shifted, 2, out[at])
         return K.to_binary(out.reshape(len(out), -1))
 
-    return paste(base, donor, draw)
+    return F.when(base.isNotNull() & donor.isNotNull(), paste(base, donor, draw))
 
 
 def multi_hot(labels: Column, classes: Sequence = CLASSES) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabspark import schemas
@@ -22,21 +22,37 @@ from fabspark.session import get_spark
 from fabspark.sources import readers, writers
 
 LAYOUT = {
-    "raw_maps": "bronze/raw_maps",
+    "raw_maps": "bronze/raw_maps", "bad_maps": "bronze/bad_maps",
     "bronze_maps": "bronze/maps", "bronze_params": "bronze/params", "silver": "silver/wafers",
     "gold": "gold/wafers", "gold_feature_store": "gold/feature_store",
     "gold_spc": "gold/spc", "gold_spc_summary": "gold/spc_summary",
 }
 
 
+def _fits(raw: DataFrame) -> Column:
+    """Whether a raw map's bytes are dies and fill its shape."""
+    shape = F.coalesce((F.col("map.rows") > 0) & (F.col("map.cols") > 0), F.lit(False))
+    return shape & diemaps.map_validity(F.col("map.cells"), F.col("map.rows"), F.col("map.cols"))
+
+
 def clean_maps(raw: DataFrame, side: int = 64) -> DataFrame:
-    """Known-class raw maps at one size: ``wafer_id, failure_type, wafer_map_flat``."""
-    labelled = raw.withColumn("failure_type", L.first_label(F.col("failure_type")))
-    return L.keep_known_classes(labelled, "failure_type").filter(F.col("map").isNotNull()).select(
-        "wafer_id", "failure_type", diemaps.resize_nearest(F.col("map"), side, side).alias("wafer_map_flat")
+    """Known-class raw maps at one size: ``wafer_id, failure_type, wafer_map_flat``.
+
+    Maps that do not fit their shape are left to ``bad_maps``.
+    """
+    labelled = raw.withColumn("failure_type", L.first_label(F.col("failure_type"))).filter(_fits(raw))
+    # The batch function may see rows of any filter, so what it gets is NULL where the map is bad.
+    fit = F.when(_fits(raw), F.col("map"))
+    return L.keep_known_classes(labelled, "failure_type").select(
+        "wafer_id", "failure_type", diemaps.resize_nearest(fit, side, side).alias("wafer_map_flat")
     )
 
 
+def bad_maps(raw: DataFrame) -> DataFrame:
+    """Raw maps that are missing or do not fit their shape, in the raw table's form."""
+    return raw_bronze(raw.filter(~_fits(raw)))
+
+
 def raw_bronze(raw: DataFrame) -> DataFrame:
     """Every raw map with lot, shape and whether it is labelled."""
     label = L.first_label(F.col("failure_type"))
@@ -125,8 +141,12 @@ def run(
         return read_lake(spark, lake, table)
 
     if step in ("all", "bronze"):
+        if maps is None and raw is None:
+            raise ValueError("the bronze step needs maps or raw maps")
+        if params is None:
+            raise ValueError("the bronze step needs process parameters")
         if raw is not None:
-            write({"raw_maps": raw_bronze(raw)})
+            write({"raw_maps": raw_bronze(raw), "bad_maps": bad_maps(raw)})
             maps = clean_maps(raw) if maps is None else maps
         write({"bronze_maps": bronze_maps(maps, manifest), "bronze_params": bronze_params(params)})
     if step in ("all", "silver"):
@@ -152,6 +172,8 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--manifest", help="split manifest: wafer_id, split")
     args.add_argument("--step", default="all", choices=["all", "bronze", "silver", "gold", "features"])
     opts = args.parse_args(argv)
+    if opts.step in ("all", "bronze") and not (opts.raw and opts.params):
+        args.error("--raw and --params are needed for this step")
     spark = get_spark("fabspark-lake")
     run(
         spark, opts.lake,

@@ -22,7 +22,7 @@ MAP_FEATURES = [
 OOC_FLAGS = [(f"{p}_ooc", _I) for p in SPC_LIMITS]
 
 RAW_MAPS = _struct(
-    ("die_size", _D), ("lot_name", _S), ("wafer_index", _D),
+    ("wafer_id", _L), ("die_size", _D), ("lot_name", _S), ("wafer_index", _D),
     ("train_test_label", T.ArrayType(T.ArrayType(_S))),
     ("failure_type", T.ArrayType(T.ArrayType(_S))),
     ("map", _struct(("rows", _I), ("cols", _I), ("cells", _B))),
@@ -60,6 +60,7 @@ SPC_SUMMARY = _struct(
 # table -> (schema, partition columns)
 TABLES = {
     "raw_maps": (RAW_BRONZE, ["is_labeled"]),
+    "bad_maps": (RAW_BRONZE, []),
     "bronze_maps": (BRONZE_MAPS, ["failure_type"]),
     "bronze_params": (BRONZE_PARAMS, []),
     "silver": (SILVER, ["failure_type"]),

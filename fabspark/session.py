@@ -34,11 +34,13 @@ def get_spark(app_name: str = "fabspark", master: str | None = None, **conf) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor sees: the cluster's checkpoint folder, or one of our own."""
+    """Folder that every executor sees: the cluster's checkpoint folder, or on one machine one of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="fabspark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)

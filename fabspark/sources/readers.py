@@ -26,9 +26,9 @@ def read_params(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_maps(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Raw labelled maps; fails at once if the map or label column is missing."""
+    """Raw labelled maps; fails at once if a column of the contract is missing."""
     reader = spark.read.schema(schemas.RAW_MAPS) if fmt == "json" else spark.read
-    return require_columns(reader.format(fmt).load(path), ["map", "failure_type"])
+    return require_columns(reader.format(fmt).load(path), schemas.RAW_MAPS.fieldNames())
 
 
 def read_fixed_width_maps(spark: SparkSession, path: str, size: int = 4096) -> DataFrame:

@@ -59,7 +59,7 @@ def lake_report(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet").load(root).select("path", "length")
     )
-    inside = F.regexp_replace("path", "^.*?" + root.rstrip("/").replace(".", r"\.") + "/", "")
+    inside = F.regexp_replace("path", "^.*?\\Q" + root.rstrip("/") + "\\E/", "")
     return (
         files.select(F.split(inside, "/").alias("p"), "length")
         .select(F.col("p")[0].alias("layer"), F.col("p")[1].alias("table"), "length")

@@ -17,7 +17,7 @@ PARAMS = list(LIMITS)
 FLAGS = ["A", "N", "R"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 # Small enough that the order operators cut even the small tables into several ranges.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 1_000
 
 
 class Registry:

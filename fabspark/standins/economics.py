@@ -78,7 +78,7 @@ def objective(spark, d):
 
 def _search(spark, d):
     _, coefficients, stats = _inputs(spark, d)
-    found = E.search_settings(spark, CLASSES[:2], coefficients, stats, BOUNDS, COST, candidates=5000, rounds=3)
+    found = E.search_settings(spark, CLASSES[:2], coefficients, stats, BOUNDS, COST)
     return found, {p: stats[p][0] for p in PARAMS}
 
 

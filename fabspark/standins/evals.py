@@ -91,10 +91,10 @@ def best_trial(spark, d):
     return V.best_trial(events(spark, d), "event_id", "value", "event_type")
 
 
-@R.add("SELECT event_id, event_type, value FROM events WHERE event_type = 'purchase' ORDER BY value DESC, event_id LIMIT 20")
+@R.add("SELECT event_id, event_type, value FROM events WHERE event_type = 'purchase' ORDER BY value DESC, event_id")
 def sorted_trials(spark, d):
-    return events(spark, d).filter(F.col("event_type") == "purchase").select("event_id", "event_type", "value").orderBy(
-        F.desc("value"), "event_id").limit(20)
+    rows = events(spark, d).select("event_id", "event_type", "value")
+    return V.sorted_trials(rows, "event_id", "value", "event_type", "purchase")
 
 
 @R.add("""SELECT event_type, round(m, 6) AS metric, CAST(row_number() OVER (ORDER BY m DESC, event_type) AS INTEGER) AS rank,
@@ -138,6 +138,16 @@ def average_precision(spark, d):
     return round_all(V.average_precision(rows, ["label"], "truth", "logits", ROWS_PER_BUCKET))
 
 
+@R.add(f"""WITH {MULTI_SQL}, l AS (SELECT 0 AS label, t0 AS t, z0 AS z FROM b UNION ALL SELECT 1, t1, z1 FROM b UNION ALL SELECT 2, t2, z2 FROM b),
+  c AS (SELECT label, z, count(*) AS n, sum(t) AS hits FROM l GROUP BY 1, 2),
+  u AS (SELECT *, sum(n) OVER w AS seen, sum(hits) OVER w AS found FROM c WINDOW w AS (PARTITION BY label ORDER BY z DESC ROWS UNBOUNDED PRECEDING)),
+  a AS (SELECT label, sum(found / seen * hits) / sum(hits) AS ap FROM u GROUP BY 1)
+  SELECT round(avg(ap), 6) AS mean_average_precision, count(*) AS labels FROM a""")
+def mean_average_precision(spark, d):
+    rows = multi(spark, d).select(F.posexplode(F.arrays_zip("truth", "logits")).alias("label", "z")).select("label", "z.truth", "z.logits")
+    return round_all(V.mean_average_precision(V.average_precision(rows, ["label"], "truth", "logits", ROWS_PER_BUCKET)))
+
+
 @R.add("""WITH e AS (SELECT value, ts >= TIMESTAMP '2024-01-20' AS cur FROM events),
   q AS (SELECT DISTINCT unnest(quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edge FROM e WHERE NOT cur),
   b AS (SELECT cur, (SELECT count(*) FROM q WHERE edge <= value) AS bin FROM e),

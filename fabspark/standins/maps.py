@@ -198,7 +198,7 @@ def tabular_classifier(spark, d):
     feats = ["defect_density", "active_ratio", "edge_defect_ratio", "center_defect_ratio", "radial_mean"]
     rows = die_maps(spark, d).select("vec_id", "label", M.spatial_features(F.col("map"), SIDE, SIDE).alias("f")).select(
         "vec_id", "label", "f.*")
-    model = models.tabular_classifier(rows, feats, "label", max_iter=15)
+    model = models.tabular_classifier(rows, feats, "label")
     return model.transform(rows).select("vec_id", "label", F.col("pred").cast("int").alias("pred"))
 
 

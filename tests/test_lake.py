@@ -27,8 +27,11 @@ def lake(spark, tmp_path_factory):
         label = [[CLASSES[i % 9]]] if i < N else ([] if i % 2 else [["unheard"]])
         raw.append((i, 1.0, f"lot{i // 10}", float(i % 25), [["Training"]], label,
                     (*shape, bytearray(rng.integers(0, 3, shape).astype(np.uint8).tobytes()))))
-    schema = schemas.T.StructType([schemas.T.StructField("wafer_id", schemas.T.LongType()), *schemas.RAW_MAPS.fields])
-    spark.createDataFrame(raw, schema).repartition(3).write.parquet(f"{root}/raw")
+    whole = raw[0][-1]
+    raw += [(N + 5, 1.0, "lot", 0.0, [["Training"]], [["Center"]], (64, 64, bytearray(7))),
+            (N + 6, 1.0, "lot", 0.0, [["Training"]], [["Center"]], None),
+            (N + 7, 1.0, "lot", 0.0, [["Training"]], [["Center"]], (*whole[:2], bytearray([9] * len(whole[2]))))]
+    spark.createDataFrame(raw, schemas.RAW_MAPS).repartition(3).write.parquet(f"{root}/raw")
     os.makedirs(f"{root}/params")
     with open(f"{root}/params/p.csv", "w", encoding="utf-8-sig") as f:
         f.write(",".join([*PARAMS, "defect_class", "wafer_id", "is_defect"]) + "\n")
@@ -48,11 +51,27 @@ def test_tables_follow_their_contracts(spark, lake):
     for table, (schema, _) in schemas.TABLES.items():
         assert read(spark, lake, table).schema == schema
     counts = {t: read(spark, lake, t).count() for t in schemas.TABLES}
-    assert counts == {"raw_maps": N + 5, "bronze_maps": N, "bronze_params": N_PARAMS, "silver": N, "gold": N,
+    assert counts == {"raw_maps": N + 8, "bad_maps": 3, "bronze_maps": N, "bronze_params": N_PARAMS, "silver": N, "gold": N,
                       "gold_feature_store": N, "gold_spc": N, "gold_spc_summary": 9}
     assert len(schemas.SILVER) == 30 and len(schemas.FEATURE_STORE) == 29
 
 
+def test_maps_that_do_not_fit_are_kept_apart(spark, lake):
+    assert sorted(r[0] for r in read(spark, lake, "bad_maps").select("wafer_id").collect()) == [N + 5, N + 6, N + 7]
+    with pytest.raises(ValueError, match="parameters"):
+        medallion.run(spark, f"{lake}/none", maps=read(spark, lake, "bronze_maps"), step="bronze")
+    with pytest.raises(ValueError, match="maps"):
+        medallion.run(spark, f"{lake}/none", params=read(spark, lake, "bronze_params"), step="bronze")
+
+
+def test_lake_from_json(spark, lake, tmp_path):
+    raw = readers.read_raw_maps(spark, f"{lake}/raw")
+    raw.write.json(f"{tmp_path}/raw")
+    again = readers.read_raw_maps(spark, f"{tmp_path}/raw", fmt="json")
+    assert sorted(map(str, medallion.clean_maps(again).collect())) == sorted(map(str, medallion.clean_maps(raw).collect()))
+    assert medallion.raw_bronze(again).count() == N + 8
+
+
 def test_raw_table_splits_by_label(spark, lake):
     raw = read(spark, lake, "raw_maps")
     assert os.path.isdir(f"{lake}/lake/bronze/raw_maps/is_labeled=0")
@@ -158,7 +177,9 @@ def test_class_metadata(spark, tmp_path):
     assert rows["A"]["critical_parameters"][0]["unit"] == "psi" and rows["A"]["spatial_evidence"]["n_samples"] == 3
     assert rows["none"]["correlation_evidence"] is None
     dim = readers.read_class_metadata(spark, str(tmp_path / "meta.json"))
-    seen = spark.createDataFrame([("A",), ("none",), ("A",), ("gone",)], "cls string")
+    with pytest.raises(ValueError, match="gone"):
+        reports.defect_report(spark.createDataFrame([("gone",)], "cls string"), dim, "cls")
+    seen = spark.createDataFrame([("A",), ("none",), ("A",), ("none",)], "cls string")
     report = reports.defect_report(seen, dim, "cls").collect()
     assert [(r["cls"], r["n"], r["severity"]) for r in report] == [("A", 2, "High")]
     assert report[0]["yield_loss_pct"] == pytest.approx(0.5 * 0.1 * 100)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fabspark.operators import evaluation, ordered, spc
+from fabspark.operators import evaluation, ordered, ordered as O, spc
 
 
 def frame(spark, n, series=3, seed=0, hot=0.4):
@@ -126,3 +126,32 @@ def test_order_by_time(spark, kind):
                                 (F.col("id") * 37 % 11).cast("double").alias("v"))
     ours = ordered.rolling_mean(df, "t", ["v"], 25, rows_per_bucket=12)
     same(ours.select("id", "v_roll25"), df.select("id", F.avg("v").over(Window.orderBy("t").rowsBetween(-24, 0))))
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint", "decimal(30,2)", "date", "timestamp"])
+def test_ranges_agree_for_every_order_type(spark, kind):
+    base = spark.range(300).select(((F.col("id") * 7919) % 300).alias("i"), (F.col("id") % 13).cast("double").alias("x"))
+    keys = {
+        "string": F.concat(F.lit("LOT-"), F.lpad(F.col("i").cast("string"), 6, "0")),
+        "bigint": F.lit(2**60) + F.col("i"), "decimal(30,2)": F.col("i").cast(kind) / 10,
+        "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("i").cast("int")),
+        "timestamp": F.timestamp_seconds(F.lit(1_700_000_000) + F.col("i")),
+    }
+    df = base.select(keys[kind].alias("k"), "x")
+    one = O.rolling_mean(df, "k", ["x"], 25, rows_per_bucket=10_000)
+    many = O.rolling_mean(df, "k", ["x"], 25, rows_per_bucket=6)
+    want = {r["k"]: r["x_roll25"] for r in one.collect()}
+    assert len(want) == 300 and {r["k"]: r["x_roll25"] for r in many.collect()} == pytest.approx(want)
+    best = O.running(df, "k", {"s": ("sum", F.col("x"))}, rows_per_bucket=6)
+    plain = df.withColumn("s", F.sum("x").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(best.select("k", "s").collect()) == sorted(plain.select("k", "s").collect())
+
+
+def test_columns_without_values_or_spread(spark):
+    df = spark.range(200).select("id", F.lit(None).cast("double").alias("none"), F.lit(3.0).alias("same"),
+                                 (F.lit(2**60) + F.col("id")).alias("large"))
+    for rows in (1_000, 7):
+        out = {r["param"]: r["m"] for r in O.exact_quantiles(df.select("none", "same"), [], ["none", "same"], {"m": 0.5}, rows).collect()}
+        assert out == {"same": 3.0}
+        counts, _ = O.long_value_counts(df, [], ["large"], rows_per_bucket=rows)
+        assert counts.count() == 200  # neighbours beyond 2^53 stay apart

@@ -126,3 +126,9 @@ def test_dimensions(spark):
         "Center": (0, 1.0), "none": (3, 0.0), "Scratch": (2, 0.4)}
     with pytest.raises(ValueError, match="odd"):
         reports.require_known(spark, spark.createDataFrame([("odd",)], "failure_type string"), "failure_type")
+
+
+def test_missing_reading_has_no_status(spark):
+    rows = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (9.0,), (2.2,)], "x double")
+    got = [r[0] for r in rows.select(limits.param_status(F.col("x"), 0.0, 2.0)).collect()]
+    assert got == ["ok", None, None, "crit", "warn"]

@@ -85,8 +85,14 @@ PUBLISHED = {"none": 147431, "Edge-Ring": 9680, "Edge-Loc": 5189, "Center": 4294
              "Random": 866, "Donut": 555, "Near-full": 149}
 
 
-def test_published_split_sizes():
-    sizes = splitting.split_sizes(PUBLISHED)
+def sizes_of(spark, counts):
+    rows = spark.createDataFrame(list(counts.items()), "cls string, n long")
+    rows = rows.select("cls", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("i"))
+    return {r["cls"]: (r["train"], r["val"], r["test"]) for r in splitting.split_sizes(rows, "cls").collect()}
+
+
+def test_published_split_sizes(spark):
+    sizes = sizes_of(spark, PUBLISHED)
     assert [sum(s[i] for s in sizes.values()) for i in range(3)] == [121065, 25942, 25943]
     for c, (a, b, d) in sizes.items():
         assert a + b + d == PUBLISHED[c]
@@ -100,7 +106,8 @@ def test_stratified_split_is_exact(spark, n):
     counts = {r["cls"]: r["count"] for r in df.groupBy("cls").count().collect()}
     tagged = splitting.stratified_split(df, "id", "cls")
     got = {(r["cls"], r["split"]): r["count"] for r in tagged.groupBy("cls", "split").count().collect()}
-    for c, sizes in splitting.split_sizes(counts).items():
+    assert {r["cls"]: r["n"] for r in splitting.split_sizes(df, "cls").collect()} == counts
+    for c, sizes in ((r["cls"], (r["train"], r["val"], r["test"])) for r in splitting.split_sizes(df, "cls").collect()):
         assert [got.get((c, s), 0) for s in C.SPLITS] == list(sizes)
     again = splitting.stratified_split(df.repartition(7), "id", "cls")
     assert sorted(map(str, again.collect())) == sorted(map(str, tagged.collect()))
