@@ -145,17 +145,18 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text:
 
     def passages(value: np.ndarray, hits: list[tuple[int, int]], words: list[np.ndarray]) -> list[tuple[float, int, int, int, int]]:
         """(coverage, matched, template, first word, last word), best first, without overlaps."""
+        reach = [min(band, len(w) // 2) for w in words]  # so that a short notice does not reach the next one
         tries: dict[tuple[int, int], int] = {}
         last: dict[int, int] = {}
         for diagonal, k in sorted(hits):
-            if k not in last or diagonal - last[k] > band:
+            if k not in last or diagonal - last[k] > reach[k]:
                 last[k] = diagonal
                 tries[k, diagonal] = diagonal
         found = []
         for (k, _), diagonal in tries.items():
             size = len(words[k])
-            low = max(0, diagonal - band)
-            matched, a, b = align(words[k], value[low:diagonal + size + 2 * band], diagonal - low, band)
+            low = max(0, diagonal - reach[k])
+            matched, a, b = align(words[k], value[low:diagonal + size + 2 * reach[k]], diagonal - low, reach[k])
             if matched and matched / size >= coverage:
                 found.append((matched / size, matched, k, low + a, low + b))
         kept: list[tuple[float, int, int, int, int]] = []
