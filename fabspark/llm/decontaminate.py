@@ -43,7 +43,7 @@ _JOINS[list(b".,/:-")] = True
 def _hash_of(words: list[str]) -> np.ndarray:
     data, offsets = buffers(pa.array(words, pa.string()))
     starts, ends, _ = spans(data, offsets)
-    return np.sort(word_hashes(data, starts, ends))
+    return np.sort(word_hashes(data, starts, ends, gaps=True))
 
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -58,7 +58,7 @@ def canonical(texts: pa.Array, numbers: np.ndarray, units: np.ndarray):
     if not count:
         none = np.zeros(0, np.uint64)
         return none, first, np.zeros(0, bool), none
-    value = word_hashes(data, starts, ends)
+    value = word_hashes(data, starts, ends, gaps=True)
     opens = np.zeros(count, bool)
     opens[first[:-1][np.diff(first) > 0]] = True
     before = np.concatenate([[0], ends[:-1]])

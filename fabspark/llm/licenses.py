@@ -70,7 +70,7 @@ def word_rows(texts: pa.Array):
     """Hashes, first and last bytes of words (letters and digits), words before each row, and row starts."""
     data, offsets = buffers(texts)
     starts, ends, first = spans(data, offsets, _LETTERS)
-    return word_hashes(data, starts, ends), starts, ends, first, offsets
+    return word_hashes(data, starts, ends, gaps=True), starts, ends, first, offsets
 
 
 def winnow(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:

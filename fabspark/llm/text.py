@@ -79,8 +79,8 @@ def spans(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray = ~SPACE) -
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word with A-Z in lower case."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gaps: bool = False) -> np.ndarray:
+    """64-bit hash of each word with A-Z in lower case; ``gaps`` if other bytes than blanks stand between words."""
     out = np.empty(len(starts), np.uint64)
     done = 0
     while done < len(starts):
@@ -91,7 +91,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         weight = _POWERS[place & 0xFFFF]
         if stop - base > 0x10000:
             weight = weight + (place >> 16).astype(np.uint64) * _U(0xA24BAED4963EE406)
-        out[done:upto] = np.add.reduceat(_BYTES[data[base:stop]] * weight, begin)
+        value = _BYTES[data[base:stop]] * weight
+        if gaps:
+            value[place >= np.repeat(ends[done:upto] - starts[done:upto], np.diff(np.append(begin, stop - base)))] = 0
+        out[done:upto] = np.add.reduceat(value, begin)
         done = upto
     return mix(out + (ends - starts).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
 
