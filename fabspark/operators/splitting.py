@@ -7,7 +7,7 @@ a task that runs again draws the same.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,16 +52,24 @@ def split_sizes(df: DataFrame, class_col: str, ratios=(0.70, 0.15, 0.15)) -> Dat
     return sizes.select(class_col, "n", "train", (F.col("_rest") - F.col("test")).alias("val"), "test")
 
 
+def id_hash(key: Column, seed: int) -> Column:
+    """64-bit hash that draws are ordered by."""
+    return F.xxhash64(key, F.lit(seed))
+
+
 def stratified_split(
-    df: DataFrame, id_col: str, class_col: str, ratios=(0.70, 0.15, 0.15), seed: int = 42
+    df: DataFrame, id_col: str, class_col: str, ratios=(0.70, 0.15, 0.15), seed: int = 42,
+    draw: Callable[[Column, int], Column] = id_hash,
 ) -> DataFrame:
     """Add ``split`` with exact sizes per class; the rows themselves are not shuffled.
 
+    ``draw`` is the 64-bit hash of id and seed that orders the rows of a class.
+
     Rows of a class are ordered by id hash. Counting hash cells finds the cells that hold the
     two cut ranks, and only rows of those cells are ranked. The cut keys, two per class, then
     decide every row in a map-only pass.
     """
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+    h = draw(F.col(id_col), seed)
     keyed = df.select(
         F.col(class_col).alias("_c"), F.col(id_col).alias("_id"), h.alias("_h"),
         F.shiftright(h, 64 - _CELL_BITS).cast("int").alias("_cell"),
@@ -182,7 +190,9 @@ def _poisson_cdf(mean: Column) -> Column:
     return F.when(mean > 0, F.concat(sums, F.array(F.lit(1.0)))).otherwise(F.array(F.lit(1.0)))
 
 
-def class_sample(df: DataFrame, id_col: str, class_col: str, n: int, seed: int = 42) -> DataFrame:
+def class_sample(
+    df: DataFrame, id_col: str, class_col: str, n: int, seed: int = 42, draw: Callable[[Column, int], Column] = id_hash
+) -> DataFrame:
     """At most ``n`` rows per class, the first by id hash; two rounds, so no task gets a whole class."""
-    hashed = df.withColumn("_h", F.xxhash64(F.col(id_col), F.lit(seed)))
+    hashed = df.withColumn("_h", draw(F.col(id_col), seed))
     return top_k(hashed, [class_col], [F.asc("_h"), F.asc(id_col)], n, "_r").drop("_h", "_r")

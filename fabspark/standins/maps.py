@@ -221,19 +221,26 @@ def pseudo_labels(spark, d):
 
 
 # ---- splits, weights and resampling ------------------------------------------------
-@R.add("""WITH t AS (SELECT count(*) AS t, ceil(round(count(*) * 0.3, 6)) AS held FROM events)
-  SELECT CAST(t AS BIGINT) AS n_rows, CAST(t - held AS BIGINT) AS train, CAST(held - ceil(held / 2) AS BIGINT) AS val,
-    CAST(ceil(held / 2) AS BIGINT) AS test, 1 AS each_class_within_one FROM t""")
+def md5_draw(key, seed):
+    """60 bits that DuckDB can draw too."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)))), 1, 15), 16, 10).cast("long")
+
+
+DRAW_SQL = "CAST('0x' || substr(md5(event_id || ':42'), 1, 15) AS BIGINT)"
+
+
+@R.add(f"""WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1),
+  t AS (SELECT *, sum(n) OVER () AS whole, ceil(round(sum(n) OVER () * 0.3, 6)) AS held FROM c),
+  a AS (SELECT *, (whole - held) * n / whole AS ex FROM t),
+  b AS (SELECT *, floor(ex) + CASE WHEN row_number() OVER (ORDER BY floor(ex) - ex, event_type) <= whole - held - sum(floor(ex)) OVER () THEN 1 ELSE 0 END AS train FROM a),
+  d AS (SELECT *, n - train AS rest, ceil(round(held * 0.15 / 0.3, 6)) * (n - train) / sum(n - train) OVER () AS ey FROM b),
+  s AS (SELECT *, rest - floor(ey) - CASE WHEN row_number() OVER (ORDER BY floor(ey) - ey, event_type) <= ceil(round(held * 0.15 / 0.3, 6)) - sum(floor(ey)) OVER () THEN 1 ELSE 0 END AS val FROM d),
+  r AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY {DRAW_SQL}, event_id) AS k FROM events)
+  SELECT event_id, event_type, CASE WHEN k <= train THEN 'train' WHEN k <= train + val THEN 'val' ELSE 'test' END AS split FROM r JOIN s USING (event_type)""")
 def strat_split(spark, d):
+    """Exact sizes per class by largest remainders, rows in the order of a hash."""
     rows = table(spark, d, "events").select("event_id", "event_type")
-    tagged = splitting.stratified_split(rows, "event_id", "event_type")
-    sizes = tagged.groupBy("event_type").agg(*[
-        F.count_if(F.col("split") == s).alias(s) for s in ("train", "val", "test")], F.count("*").alias("n"))
-    near = (F.abs(F.col("train") - 0.7 * F.col("n")) <= 1) & (F.abs(F.col("val") - 0.15 * F.col("n")) <= 1.5)
-    return sizes.agg(
-        F.sum("n").alias("n_rows"), *[F.sum(s).alias(s) for s in ("train", "val", "test")],
-        F.min(near.cast("int")).alias("each_class_within_one"),
-    )
+    return splitting.stratified_split(rows, "event_id", "event_type", draw=md5_draw)
 
 
 @R.add("SELECT source, 1 AS within_six_sigma FROM documents GROUP BY 1")
@@ -246,11 +253,11 @@ def weighted_resample(spark, d):
     return drawn.select("source", near.cast("int").alias("within_six_sigma"))
 
 
-@R.add("SELECT event_type, least(count(*), 200) AS n, CAST(0 AS BIGINT) AS repeated FROM events GROUP BY 1")
+@R.add(f"""SELECT event_id, event_type FROM (SELECT event_id, event_type,
+    row_number() OVER (PARTITION BY event_type ORDER BY {DRAW_SQL}, event_id) AS k FROM events) WHERE k <= 200""")
 def class_sample(spark, d):
-    picked = splitting.class_sample(table(spark, d, "events").select("event_id", "event_type"), "event_id", "event_type", 200)
-    return picked.groupBy("event_type").agg(
-        F.count("*").alias("n"), (F.count("*") - F.count_distinct("event_id")).alias("repeated"))
+    rows = table(spark, d, "events").select("event_id", "event_type")
+    return splitting.class_sample(rows, "event_id", "event_type", 200, draw=md5_draw)
 
 
 WEIGHTS_SQL = "c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)"

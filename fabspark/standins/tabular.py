@@ -97,10 +97,10 @@ def imbalance(spark, d):
     return round_all(D.imbalance(table(spark, d, "documents"), "source"))
 
 
-@R.add("SELECT source, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) < (SELECT 0.04 * count(*) FROM documents)")
+@R.add("SELECT lang, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) < (SELECT 0.2 * count(*) FROM documents)")
 def rare_classes(spark, d):
     docs = table(spark, d, "documents")
-    return D.rare_classes(docs, "source", 0.04 * docs.count())
+    return D.rare_classes(docs, "lang", 0.2 * docs.count())
 
 
 @R.add("""SELECT count(*) AS total, count(l.doc_id) AS labelled, count(*) - count(l.doc_id) AS unlabelled,
