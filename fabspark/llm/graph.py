@@ -1,8 +1,9 @@
 """Connected components of a table of links, by alternating large and small stars.
 
-Nothing is gathered per component: each round is an aggregation and a join, both of which split
-a node with many links, and hanging every node below the smallest one it sees ends after a number
-of rounds that grows with the logarithm of the links.
+Each task first replaces its links by a spanning set. While more than one batch of links is left,
+a round of stars follows: an aggregation and a join, both of which split a node with many links,
+hang every node below the smallest one it sees, and the number of rounds grows with the logarithm
+of the links. Nothing is gathered per component, and nothing on the driver.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fabspark.session import cut_lineage
 
-BATCH = 1 << 18
+BATCH = 1 << 20  # links that one task holds
 
 
 def local_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +81,8 @@ def components(links: DataFrame) -> DataFrame:
     links, seen = cut_lineage(thin(links).distinct()), None
     while True:
         mark = links.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
-        if mark[0] == 0 or mark == seen:
+        if mark[0] < BATCH:  # what is left fits one batch, which settles it
+            return thin(links.coalesce(1)).select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if mark == seen:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen, links = mark, cut_lineage(_small_star(_large_star(links)))
+        seen, links = mark, cut_lineage(thin(_small_star(_large_star(links))).distinct())
