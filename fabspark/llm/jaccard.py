@@ -9,9 +9,11 @@
    is paired with the one before it and the first of its list, after length and positional filter.
 4. Candidate pairs go through the suffix filter (shingles per hash slot bound the overlap) and
    are verified on the texts; pairs inside one component need no check.
-5. Lists of which the sets are not all in one component yet give all pairs across components,
-   which are filtered and verified in the same way. So no link between components is missed, and
-   a group of copies of any size costs a number of pairs in proportion to it.
+5. In lists of which the sets are not all in one component yet, every set is compared, after the
+   same filters, with those of other components. Sets that are candidates of each other by any
+   chain form clusters, and a cluster is cut into blocks; a set visits the blocks that hold its
+   candidates, and there its overlap with all of them is counted in one go. So no link between
+   components is missed, and what moves is one row per set and block, not one per pair.
 """
 
 from __future__ import annotations
@@ -26,13 +28,14 @@ from pyspark.sql import functions as F
 from fabspark.llm.graph import components
 from fabspark.llm.storage import saved
 from fabspark.llm.text import column, mix, shingle_sets
-from fabspark.session import cut_lineage
+from fabspark.session import cut_lineage, local_frame
 
 WIDTH = 5
 PERCENT = 75
-SLOTS = 128
-FREQUENT = 1 << 18  # shingles that the order puts last; any number gives the same links
-LEAST_COUNT = 4
+SLOTS = 1024
+FREQUENT = 1 << 21  # shingles that the order puts last; any number gives the same links
+BLOCK = 128  # sets of a cluster that are verified together
+VISITORS = 512  # sets that visit a block in one group
 _FLIP = np.uint64(1 << 63)
 
 
@@ -97,7 +100,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 def frequent_shingles(described: DataFrame) -> np.ndarray:
     """The most frequent shingles, rarest first; at most ``FREQUENT`` of them reach the driver."""
     counts = described.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count"))
-    top = counts.filter(F.col("count") >= LEAST_COUNT).orderBy(F.desc("count"), "shingle").limit(FREQUENT).toArrow()
+    top = counts.orderBy(F.desc("count"), "shingle").limit(FREQUENT).toArrow()
     order = np.lexsort((np.asarray(top["shingle"]), np.asarray(top["count"])))
     return np.asarray(top["shingle"])[order].view(np.uint64) ^ _FLIP
 
@@ -105,7 +108,7 @@ def frequent_shingles(described: DataFrame) -> np.ndarray:
 def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
     """Prefix entries (shingle, n, class, place) of every set; a task gives a set once."""
     ranked = np.argsort(frequent, kind="stable")
-    known, rank = frequent[ranked], ranked
+    known, rank = frequent[ranked], ranked.astype(np.int32)
     context = docs.sparkSession.sparkContext.broadcast((known, rank))
     schema = [("shingle", pa.int64()), ("n", pa.int32()), ("class", pa.int64()), ("place", pa.int32())]
 
@@ -207,73 +210,144 @@ def neighbours(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def across(entries: DataFrame, percent: int, block: int = 512) -> DataFrame:
-    """All pairs (a, b) of entries (shingle, n, class, place, root) of one list with two roots, filtered.
+    """(class, blocks): for entries (shingle, n, class, place, root, block), the blocks of their candidates
+    in other components.
 
     Lists come sorted by set size; an entry is compared with those held that are large enough.
     """
-    schema = [("a", pa.int64()), ("b", pa.int64())]
+    schema = [("class", pa.int64()), ("blocks", pa.list_(pa.int64()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            cols = [np.asarray(batch.column(c)).astype(np.int64) for c in ("shingle", "n", "class", "place", "root")]
+            cols = [np.asarray(batch.column(c)).astype(np.int64) for c in ("shingle", "n", "class", "place", "root", "block")]
             for start in range(0, batch.num_rows, block):
                 now = [c[start:start + block] for c in cols]
                 both = now if held is None else [np.concatenate(x) for x in zip(held, now)]
                 fresh = len(both[0]) - len(now[0])
-                key, n, name, place, root = both
-                out_a, out_b = [], []
+                key, n, name, place, root, home = both
+                visits: dict[int, list[np.ndarray]] = {}
                 for i in range(fresh, len(key)):
                     begin = int(np.searchsorted(key[:i], key[i], "left"))
                     begin += int(np.searchsorted(n[begin:i], -(-percent * n[i] // 100), "left"))
-                    other = np.arange(begin, i)
+                    other = slice(begin, i)
                     ok = (root[other] != root[i]) & _possible(n[other], place[other], n[i], place[i], percent)
-                    other = other[ok]
-                    out_a.append(np.minimum(name[other], name[i]))
-                    out_b.append(np.maximum(name[other], name[i]))
-                yield _batch(schema, np.concatenate(out_a), np.concatenate(out_b))
+                    if ok.any():
+                        visits.setdefault(int(name[i]), []).append(np.unique(home[other][ok]))
+                if visits:
+                    yield _batch(schema, list(visits), [np.unique(np.concatenate(v)) for v in visits.values()])
                 keep = (key == key[-1]) & (100 * n >= percent * n[-1])
                 held = [c[keep] for c in both]
 
     ordered = entries.repartition("shingle").sortWithinPartitions("shingle", "n", "class")
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(run, "class long, blocks array<long>")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, owner: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the class pairs (a, b) that reach the threshold, checked on the texts of one document each.
+def placed_sets(classes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(class, root, block, shares) of all ``classes``: the component so far, the block of the cluster, and
+    into how many groups the visitors of a block are dealt."""
+    nodes = classes
+    for table, name in ((components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), "cluster"), (roots, "root")):
+        nodes = nodes.join(table.select(F.col("node").alias("class"), F.col("root").alias(name)), "class", "left")
+    nodes = nodes.select("class", F.coalesce("root", "class").alias("root"), F.coalesce("cluster", "class").alias("cluster"))
+    sizes = nodes.groupBy("cluster").agg(F.count("*").alias("size"))
+    cell = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / BLOCK))
+    return nodes.join(sizes, "cluster").select(
+        "class", "root", F.xxhash64("cluster", cell).alias("block"), F.ceil(F.col("size") / VISITORS).cast("int").alias("shares"))
 
-    Texts first become slot counts: how many shingles fall in each hash slot bounds the overlap,
-    and only pairs that the bound lets through get their texts.
+
+def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int) -> DataFrame:
+    """(class, n, slots, text) of one document for each of ``classes``, as a table.
+
+    ``slots`` counts the set's shingles per hash slot. Texts under a repeated id are told apart by
+    the class that they give.
     """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(owner, "class")
-    texts = docs.join(nodes.select(F.col("class"), F.col("owner").alias("doc_id")), "doc_id").select("class", "text")
+    nodes = classes.join(owner, "class").select("class", F.col("owner").alias("doc_id"))
+    schema = [("class", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("text", pa.string())]
 
-    def outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = [("class", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("text", pa.string())]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("class").to_pylist()
             rows = [(i, found) for i, found in enumerate(shingle_sets(column(batch.column("text")), width))
                     if len(found) and class_of(found) == names[i]]
-            slots = [np.bincount((f >> np.uint64(50)) % np.uint64(SLOTS), minlength=SLOTS).astype(np.int32).tobytes() for _, f in rows]
+            slots = [np.bincount(_slot(f), minlength=SLOTS).clip(0, 255).astype(np.uint8).tobytes() for _, f in rows]
             pick = pa.array([i for i, _ in rows], pa.int64())
             yield _batch(schema, batch.column("class").take(pick), [len(f) for _, f in rows], slots, batch.column("text").take(pick))
 
-    outlined = saved(texts.mapInArrow(outline, "class long, n int, slots binary, text string").dropDuplicates(["class"]), "sets")
-    brief = outlined.select("class", "n", "slots")
+    texts = docs.join(nodes, "doc_id").select("class", "text")
+    return saved(texts.mapInArrow(run, "class long, n int, slots binary, text string").dropDuplicates(["class"]), "sets")
+
+
+def _slot(found: np.ndarray) -> np.ndarray:
+    return ((found >> np.uint64(50)) % np.uint64(SLOTS)).astype(np.int64)
 
-    def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            def numbers(name: str) -> np.ndarray:
-                return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.int32).reshape(-1, SLOTS)
-            most = np.minimum(numbers("slots_a"), numbers("slots_b")).sum(axis=1)
-            need = overlap_needed(np.asarray(batch.column("n_a")).astype(np.int64), np.asarray(batch.column("n_b")).astype(np.int64), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(most >= need))
 
-    def side(table: DataFrame, name: str) -> DataFrame:
-        return table.select(*[F.col(c).alias(name if c == "class" else f"{c}_{name}") for c in table.columns])
+def _counts(slots: pa.Array) -> np.ndarray:
+    """Slot counts as a matrix. A count at the top of its type stands for any larger one."""
+    if isinstance(slots, pa.ChunkedArray):
+        slots = slots.combine_chunks()
+    rows = np.frombuffer(b"".join(slots.to_pylist()), np.uint8).reshape(-1, SLOTS).astype(np.int32)
+    rows[rows == 255] = 1 << 20
+    return rows
 
-    likely = pairs.select("a", "b").join(side(brief, "a"), "a").join(side(brief, "b"), "b").mapInArrow(suffix, "a long, b long")
-    full = outlined.select("class", "text")
+
+def visit(visits: DataFrame, placed: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between sets of (class, block) visits and the sets of the blocks, one per component they reach.
+
+    Slot counts, which bound the overlap, go first; only visits that they let through move texts.
+    """
+    members = placed.join(visits.select("block").distinct(), "block")
+    visitors = visits.join(placed.select("class", "root"), "class").join(members.select("block", "shares").distinct(), "block")
+    share = F.pmod(F.xxhash64("class"), F.col("shares")).cast("int")
+    visitors = visitors.select("class", "root", "block", share.alias("share"))
+    members = members.select("class", "root", "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
+
+    def bound(guests: pa.Table, hosts: pa.Table) -> pa.Table:
+        keep = np.zeros(guests.num_rows, bool)
+        if guests.num_rows and hosts.num_rows:
+            own, sizes, roots = _counts(hosts["slots"]), np.asarray(hosts["n"]).astype(np.int64), np.asarray(hosts["root"])
+            rows = zip(_counts(guests["slots"]), np.asarray(guests["n"]).astype(np.int64), np.asarray(guests["root"]))
+            for i, (slots, n, root) in enumerate(rows):
+                most = np.minimum(own, slots).sum(axis=1)
+                keep[i] = ((most >= overlap_needed(sizes, n, percent)) & (roots != root)).any()
+        return guests.select(["class", "root", "block", "share"]).filter(pa.array(keep))
+
+    def compare(guests: pa.Table, hosts: pa.Table) -> pa.Table:
+        u, v = [], []
+        if guests.num_rows and hosts.num_rows:
+            own = list(shingle_sets(column(hosts["text"]), width))
+            names, roots = np.asarray(hosts["class"]), np.asarray(hosts["root"])
+            sizes = np.array([len(f) for f in own], np.int64)
+            before, every = np.cumsum(sizes) - sizes, np.concatenate(own)
+            rows = zip(shingle_sets(column(guests["text"]), width), guests["class"].to_pylist(), guests["root"].to_pylist())
+            for found, name, root in rows:
+                spot = np.minimum(np.searchsorted(found, every), len(found) - 1)
+                common = np.add.reduceat((found[spot] == every).astype(np.int64), before)
+                ok = (100 * common >= percent * (sizes + len(found) - common)) & (roots != root)
+                _, first = np.unique(roots[ok], return_index=True)
+                v += names[ok][first].tolist()
+                u += [name] * len(first)
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    def meet(guests: DataFrame, hosts: DataFrame, detail: list[str], fn, schema: str) -> DataFrame:
+        extra = outlined.select("class", *detail)
+        left, right = guests.join(extra, "class"), hosts.join(extra, "class")
+        right = right.toDF(*right.columns)
+        return left.groupBy("block", "share").cogroup(right.groupBy("block", "share")).applyInArrow(fn, schema)
+
+    likely = cut_lineage(meet(visitors, members, ["n", "slots"], bound, "class long, root long, block long, share int"))
+    hosts = members.join(likely.select("block", "share").distinct(), ["block", "share"])
+    return meet(likely, hosts, ["text"], compare, "u long, v long")
+
+
+def verify(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the class pairs (a, b) that reach the threshold: slot counts first, then the texts."""
+
+    def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = np.minimum(_counts(batch.column("slots_a")), _counts(batch.column("slots_b"))).sum(axis=1)
+            sizes = [np.asarray(batch.column(c)).astype(np.int64) for c in ("n_a", "n_b")]
+            yield batch.select(["a", "b"]).filter(pa.array(most >= overlap_needed(*sizes, percent)))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,7 +358,14 @@ def verify(pairs: DataFrame, docs: DataFrame, owner: DataFrame, width: int, perc
                 ok[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return likely.join(side(full, "a"), "a").join(side(full, "b"), "b").mapInArrow(exact, "a long, b long")
+    def both(rows: DataFrame, detail: list[str]) -> DataFrame:
+        for side in "ab":
+            extra = outlined.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in detail])
+            rows = rows.join(extra, side)
+        return rows
+
+    likely = both(pairs.select("a", "b"), ["n", "slots"]).mapInArrow(suffix, "a long, b long")
+    return both(likely, ["text"]).mapInArrow(exact, "a long, b long")
 
 
 def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -295,10 +376,10 @@ def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.filter("root_a != root_b").drop("root_a", "root_b")
 
 
-def _settle(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, owner: DataFrame, width: int, percent: int,
-            ) -> DataFrame | None:
-    """All links so far plus those among ``pairs``; best pair of each class first, then what is still open."""
+def _settle(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links among ``pairs``; best pair of each class first, then what is still open."""
     pairs = cut_lineage(pairs)
+    links = local_frame(pairs.sparkSession, [], "u long, v long")
     for last in (False, True):
         if not last:
             best = pairs.select(F.col("a").alias("own"), "a", "b", "votes").union(pairs.select("b", "a", "b", "votes"))
@@ -307,9 +388,9 @@ def _settle(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, owner: D
             now = pairs
         if not now.take(1):
             break
-        found = verify(cut_lineage(now.select("a", "b")), docs, owner, width, percent)
+        found = verify(cut_lineage(now.select("a", "b")), outlined, width, percent)
         found = cut_lineage(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         if not last:
             checked = now.select("a", "b")
             pairs = cut_lineage(_open(pairs.join(checked, ["a", "b"], "left_anti"), components(links)))
@@ -332,22 +413,21 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     frequent = frequent_shingles(described)
     found = saved(neighbours(prefixes(docs, frequent, width, percent), percent), "neighbours")
     pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.count("*").alias("votes"))
-    links = _settle(pairs, None, docs, owner, width, percent)
-
-    if links is not None:
-        roots = components(links)
-        own = roots.select(F.col("node").alias("class"), "root")
-        lists = found.filter("kind = 1").select(F.col("a").alias("shingle"), "n", F.col("b").alias("class"), "place")
-        lists = lists.join(own, "class", "left").withColumn("root", F.coalesce("root", "class"))
-        split = lists.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("shingle")
-        rest = across(lists.join(split, "shingle"), percent).groupBy("a", "b").agg(F.count("*").alias("votes"))
-        rest = rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-        links = _settle(rest, links, docs, owner, width, percent)
-        roots = components(links).select(F.col("node").alias("class"), "root")
-        named = owner.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-        least = named.groupBy("root").agg(F.min("owner").alias("component_id"))
-        named = named.join(least, "root").select("class", "component_id")
-    else:
-        named = owner.select("class", F.col("owner").alias("component_id"))
+    lists = found.filter("kind = 1").select(F.col("a").alias("shingle"), "n", F.col("b").alias("class"), "place")
+    listed = lists.select("class").distinct()
+    outlined = outlines(pairs.select(F.explode(F.array("a", "b")).alias("class")).union(listed).distinct(), docs, owner, width)
+    links = _settle(pairs, outlined, width, percent)
+
+    placed = cut_lineage(placed_sets(listed, pairs, components(links)))
+    lists = lists.join(placed.drop("shares"), "class")
+    split = lists.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("shingle")
+    visits = across(lists.join(split, "shingle"), percent).groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("x"))
+    visits = cut_lineage(visits.select("class", F.explode("x").alias("block")))
+    if visits.take(1):
+        links = links.union(cut_lineage(visit(visits, placed, outlined, width, percent)))
+    roots = components(links).select(F.col("node").alias("class"), "root")
+    named = owner.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    least = named.groupBy("root").agg(F.min("owner").alias("component_id"))
+    named = named.join(least, "root").select("class", "component_id")
     return rows.join(named, "class", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
