@@ -173,22 +173,19 @@ def count_words(docs: DataFrame, rule: tuple[int, int]) -> DataFrame:
     """(word, c, c_all) over all documents, and the number of training documents as word NULL."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["word", "c", "c_all"]
         for batch in batches:
             train = ~_held(batch.column("doc_id"), rule)
-            texts, parts = column(batch.column("text")), []
-            for first, some in pieces(texts, 16 << 20):
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.string()), pa.array([int(train.sum())]), pa.array([len(train)])], names)
+            for first, some in pieces(column(batch.column("text")), 8 << 20):
                 words, ends = _words(some)
                 coded = words.dictionary_encode()
                 weight = np.repeat(train[first:first + len(some)], np.diff(ends))
-                index = np.asarray(coded.indices)
-                both = [np.bincount(index[m], minlength=len(coded.dictionary)) for m in (weight, slice(None))]
-                parts.append(pa.table([coded.dictionary, pa.array(both[0]), pa.array(both[1])], ["word", "c", "c_all"]))
-            ends_row = pa.table([pa.nulls(1, pa.large_string()), pa.array([int(train.sum())]), pa.array([len(train)])],
-                                ["word", "c", "c_all"])
-            whole = pa.concat_tables([*parts, ends_row])
-            summed = whole.group_by("word").aggregate([("c", "sum"), ("c_all", "sum")])
-            out = pa.table([summed["word"].cast(pa.large_string()), summed["c_sum"], summed["c_all_sum"]], ["word", "c", "c_all"])
-            yield from out.cast(pa.schema([("word", pa.string()), ("c", pa.int64()), ("c_all", pa.int64())])).to_batches()
+                index, count = np.asarray(coded.indices), len(coded.dictionary)
+                yield pa.RecordBatch.from_arrays([
+                    coded.dictionary.cast(pa.string()), pa.array(np.bincount(index[weight], minlength=count)),
+                    pa.array(np.bincount(index, minlength=count))], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "word string, c long, c_all long").groupBy("word").agg(
         F.sum("c").alias("c"), F.sum("c_all").alias("c_all"))
@@ -279,7 +276,7 @@ def score(docs: DataFrame, model: str, text: str = "text", doc_id: str = "doc_id
         held = _held(own["doc_id"], rule)
         names_, c, logp_ = known["word"].combine_chunks().cast(pa.large_string()), np.asarray(known["c"]), np.asarray(known["logp"])
         out = [np.zeros(own.num_rows), np.zeros(own.num_rows), np.zeros(own.num_rows, np.int64), np.zeros(own.num_rows, np.int64)]
-        for first, some in pieces(column(own["text"]), 8 << 20):
+        for first, some in pieces(column(own["text"])):
             words_, ends_ = _words(some)
             coded = words_.dictionary_encode()
             spot = np.asarray(pc.index_in(coded.dictionary, value_set=names_))[np.asarray(coded.indices)] if len(words_) else np.zeros(0, np.int64)
