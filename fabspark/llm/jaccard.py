@@ -244,8 +244,7 @@ def across(entries: DataFrame, percent: int, block: int = 512) -> DataFrame:
 
 
 def placed_sets(classes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """(class, root, block, shares) of all ``classes``: the component so far, the block of the cluster, and
-    into how many groups the visitors of a block are dealt."""
+    """(class, root, block) of all ``classes``: the component so far and the block of the cluster."""
     nodes = classes
     for table, name in ((components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))), "cluster"), (roots, "root")):
         nodes = nodes.join(table.select(F.col("node").alias("class"), F.col("root").alias(name)), "class", "left")
@@ -253,7 +252,7 @@ def placed_sets(classes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataF
     sizes = nodes.groupBy("cluster").agg(F.count("*").alias("size"))
     cell = F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / BLOCK))
     return nodes.join(sizes, "cluster").select(
-        "class", "root", F.xxhash64("cluster", cell).alias("block"), F.ceil(F.col("size") / VISITORS).cast("int").alias("shares"))
+        "class", "root", F.xxhash64("cluster", cell).alias("block"))
 
 
 def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int) -> DataFrame:
@@ -297,7 +296,9 @@ def visit(visits: DataFrame, placed: DataFrame, outlined: DataFrame, width: int,
     Slot counts, which bound the overlap, go first; only visits that they let through move texts.
     """
     members = placed.join(visits.select("block").distinct(), "block")
-    visitors = visits.join(placed.select("class", "root"), "class").join(members.select("block", "shares").distinct(), "block")
+    shares = visits.groupBy("block").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("shares"))
+    members = members.join(shares, "block")
+    visitors = visits.join(placed.select("class", "root"), "class").join(shares, "block")
     share = F.pmod(F.xxhash64("class"), F.col("shares")).cast("int")
     visitors = visitors.select("class", "root", "block", share.alias("share"))
     members = members.select("class", "root", "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
@@ -419,7 +420,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     links = _settle(pairs, outlined, width, percent)
 
     placed = cut_lineage(placed_sets(listed, pairs, components(links)))
-    lists = lists.join(placed.drop("shares"), "class")
+    lists = lists.join(placed, "class")
     split = lists.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x != y").select("shingle")
     visits = across(lists.join(split, "shingle"), percent).groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("x"))
     visits = cut_lineage(visits.select("class", F.explode("x").alias("block")))
