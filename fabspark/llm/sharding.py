@@ -3,7 +3,8 @@
 Groups are dealt by hash to cells. Inside a cell they enter blocks, largest first, each into the
 fullest block that still takes it; a balanced tree over the blocks' free room finds that block.
 The blocks, a number fixed by ``BLOCKS_PER_SHARD`` and the cells, then enter the shards in the
-same way. A group larger than a block is a block of its own.
+same way. A group larger than a block is a block of its own. A group above the mean of a shard is a
+shard of its own; blocks and capacity are then measured by what is left.
 """
 
 from __future__ import annotations
@@ -131,14 +132,56 @@ def best_fit_decreasing(sizes: Iterable[int], capacity: int) -> tuple[list[int],
     return bins, used
 
 
+def alone(largest: Iterable[int], total: int, shards: int) -> tuple[int, int]:
+    """How many of the sizes, largest first, are above the mean of what they leave, and the sum of the others."""
+    count = 0
+    for size in largest:
+        if size * (shards - count) <= total:
+            break
+        count, total = count + 1, total - size
+    return count, total
+
+
 def fit_bins(sizes: list[int], shards: int) -> list[int]:
-    """Bins for a given number of shards: the smallest capacity on a fine scale that suffices."""
-    least = max(1, -(-sum(sizes) // shards), max(sizes, default=1))
-    bins: list[int] = []
+    """Bins for a given number of shards: the smallest capacity on a fine scale that suffices.
+
+    Sizes above the mean have a bin each, and the capacity is that of the others over the bins
+    left. A bin that best fit leaves empty takes half of the fullest one that can be halved.
+    """
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    own, rest = alone((sizes[i] for i in order), sum(sizes), shards)
+    bins = [0] * len(sizes)
+    for k, i in enumerate(order[:own]):
+        bins[i] = k
+    order = order[own:]
+    if not order:
+        return bins
+    others = [sizes[i] for i in order]
+    least = max(1, -(-rest // (shards - own)), others[0])
     for step in range(1_000_000):
-        bins, used = best_fit_decreasing(sizes, least + step * max(1, least // 4096))
-        if used <= shards:
+        found, used = best_fit_decreasing(others, least + step * max(1, least // 4096))
+        if used <= shards - own:
+            break
+    held: list[list[int]] = [[] for _ in range(used)]
+    for i, k in zip(order, found):
+        held[k].append(i)
+    while len(held) < shards - own:
+        full = max((h for h in held if len(h) > 1), key=lambda h: sum(sizes[i] for i in h), default=None)
+        if full is None:
             break
+        moved, room = [], sum(sizes[i] for i in full) // 2
+        for i in full:
+            if sizes[i] <= room:
+                moved.append(i)
+                room -= sizes[i]
+        if not moved:
+            moved = full[1:]
+        gone = set(moved)
+        full[:] = [i for i in full if i not in gone]
+        held.append(moved)
+    for k, names in enumerate(held):
+        for i in names:
+            bins[i] = own + k
     return bins
 
 
@@ -147,12 +190,18 @@ def pack(groups: DataFrame, shards: int | None = None, capacity: int | None = No
     """``group_key``, ``shard`` for one row per group with ``group_key`` and ``bytes``.
 
     Give ``shards`` for near equal sizes, or ``capacity`` for as few shards as best fit needs. A
-    group over the capacity is a shard of its own. Without groups the result is empty.
+    group over the capacity, or above the mean of what the larger ones leave, is a shard of its
+    own. Without groups the result is empty.
     """
     session = groups.sparkSession
     cells = cells or int(session.conf.get("spark.sql.shuffle.partitions"))
     total = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    block = max(1, math.ceil(total / (shards or max(1, math.ceil(total / capacity))) / BLOCKS_PER_SHARD))
+    left = shards or max(1, math.ceil(total / capacity))
+    if shards:
+        largest = groups.select("bytes").orderBy(F.desc("bytes")).limit(shards).collect()
+        own, total = alone((r["bytes"] for r in largest), total, shards)
+        left -= own
+    block = max(1, math.ceil(total / left / BLOCKS_PER_SHARD))
 
     def blocks_of(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bytes", "descending"), ("group_key", "ascending")])
