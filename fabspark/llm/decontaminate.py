@@ -3,8 +3,9 @@
 Texts become sequences of tokens in which numbers, units after numbers and names inside sentences
 are typed placeholders. Windows of eight tokens, at least half of them plain words, are hash-joined
 with those of the benchmark items. What stood in the placeholders must fit: along one alignment,
-equal values of the item must meet equal values in the document. A document that holds a
-sufficient share of an item's windows is contaminated.
+equal values of the item must meet equal values in the document; windows over a value that meets
+two do not count, unless all their values are the item's own. A document that holds a sufficient
+share of an item's windows is contaminated.
 """
 
 from __future__ import annotations
@@ -162,9 +163,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     pairs = hits.filter(F.size("theirs") > 0).select(*line, F.explode(F.arrays_zip("theirs", "ours")).alias("x"))
     pairs = pairs.select(*line, F.col("x.theirs").alias("theirs"), F.col("x.ours").alias("ours")).distinct()
     values = pairs.groupBy(*line, "theirs").agg(F.count("*").alias("n"), F.count_if(F.col("ours") != F.col("theirs")).alias("other"))
-    fits = values.groupBy(*line).agg(F.max("n").alias("most"), F.count("*").alias("slots"), F.sum("other").alias("changed"))
+    fits = values.groupBy(*line).agg(F.collect_list(F.when(F.col("n") > 1, F.col("theirs"))).alias("clash"),
+                                     F.count("*").alias("slots"), F.count_if(F.col("other") > 0).alias("changed"))
     fits = fits.withColumnsRenamed({c: f"_{c}" for c in line})
-    kept = hits.join(fits, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in line], "left").filter("most IS NULL OR most = 1")
+    kept = hits.join(fits, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in line], "left").filter(
+        "clash IS NULL OR theirs = ours OR NOT arrays_overlap(theirs, clash)")
     lines = kept.groupBy(*line).agg(F.collect_set("place").alias("places"), F.max("slots").alias("slots"), F.max("changed").alias("changed"))
     found = lines.groupBy("doc_id", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"),

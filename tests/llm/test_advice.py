@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fabspark.llm import sharding
+from fabspark.llm import decontaminate, sharding
 
 
 # ---- sharding -----------------------------------------------------------------------------
@@ -28,3 +28,23 @@ def test_bins_of_large_groups():
     assert sorted(sums([6] * 40, 24)) == [6] * 8 + [12] * 16
     assert sharding.fit_bins([], 5) == [] and sorted(sharding.fit_bins([5, 5], 5)) == [0, 1]
     assert sums([3, 4, 5], 1) == [12]
+
+
+# ---- templates ------------------------------------------------------------------------------
+APPLES = "Yesterday the farmer Miller sold 12 apples and 7 pears to the old shop near Paris for 19 dollars, then gave 12 apples away."
+
+
+def hits(spark, items, rows):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string").repartition(2)
+    return {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench).collect()}
+
+
+def test_one_altered_slot_costs_its_windows_only(spark):
+    wait = "After the long walk we had to sit and wait for 20 minutes by the cold river and then for 30 minutes in the old hut on the hill."
+    none = "Of 12 apples or 12 pears give 12 plums to 12 boys."
+    got = hits(spark, [APPLES, wait, none], [
+        "Text. " + APPLES.replace("12 apples and", "45 apples and"), wait.replace("20 minutes", "20 minute"),
+        none.replace("12 pears", "13 pears").replace("12 plums", "14 plums").replace("12 boys", "15 boys")])
+    assert set(got) == {(0, 0), (1, 1)}
+    assert got[0, 0]["changed"] == 1 and 0.5 < got[0, 0]["coverage"] < 1 and 0.4 < got[1, 1]["coverage"] < 1
