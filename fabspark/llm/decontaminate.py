@@ -4,8 +4,9 @@ Texts become sequences of tokens in which numbers, units after numbers and names
 are typed placeholders. Windows of eight tokens, at least half of them plain words, are hash-joined
 with those of the benchmark items. What stood in the placeholders must fit: along one alignment,
 equal values of the item must meet equal values in the document; windows over a value that meets
-two do not count, unless all their values are the item's own. A document that holds a sufficient
-share of an item's windows is contaminated.
+two do not count, unless all their values are the item's own. Beside them, literal windows of
+eight lower-cased words are joined, whatever the words are; a place of the item is found if either
+kind matches. A document that holds a sufficient share of an item's windows is contaminated.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabspark.llm.storage import saved
@@ -29,7 +30,8 @@ NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve twent
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons pound pounds ounce ounces ml l liter liters litre "
          "litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years dollar "
          "dollars euro euros cent cents percent degree degrees mph kmh watt watts volt volts joule joules").split()
-WINDOWS = "id long, place int, width int, window long, slots array<long>"
+LITERAL = np.uint64(0x5851F42D4C957F2D)  # keeps the hashes of literal windows apart from those of templates
+WINDOWS = "id long, literal boolean, place int, spot int, width int, window long, slots array<long>"
 
 _CLASSES = np.zeros(256, np.uint8)
 _CLASSES[128:] = 1
@@ -52,13 +54,16 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 def canonical(texts: pa.Array, numbers: np.ndarray, units: np.ndarray):
-    """Token hashes with placeholders, tokens before each row, which tokens are placeholders, and their values."""
+    """Token hashes with placeholders, tokens before each row, which tokens are placeholders, and their values;
+
+    then the hashes of the plain lower-cased words, words before each row, and each word's token.
+    """
     data, offsets = buffers(texts)
     starts, ends, first = spans(data, offsets, _CLASSES)
     count = len(starts)
     if not count:
         none = np.zeros(0, np.uint64)
-        return none, first, np.zeros(0, bool), none
+        return none, first, np.zeros(0, bool), none, none, first, np.zeros(0, np.int64)
     value = word_hashes(data, starts, ends, gaps=True)
     opens = np.zeros(count, bool)
     opens[first[:-1][np.diff(first) > 0]] = True
@@ -82,14 +87,15 @@ def canonical(texts: pa.Array, numbers: np.ndarray, units: np.ndarray):
     slot = (number | unit | name)[at]
     kinds = mix(np.array([101, 102, 103], np.uint64))
     token = np.where(number[at], kinds[0], np.where(unit[at], kinds[1], np.where(name[at], kinds[2], value[at])))
-    return token, np.searchsorted(at, first), slot, whole
+    return token, np.searchsorted(at, first), slot, whole, value, first, group
 
 
 def template_windows(rows: DataFrame, widths: list[int] | None, bits: np.ndarray | None, width: int) -> DataFrame:
-    """Windows of (id, text) rows.
+    """Windows of (id, text) rows, of templates and literal ones; ``spot`` is the token where a window begins.
 
-    ``widths`` None: one width per row, the text's length if that is smaller. ``bits``: a bit per
-    leading hash bits of the wanted windows; only windows with their bit set come out.
+    ``widths`` None: one width per row, the text's length if that is smaller; texts without two
+    plain words have no literal windows. ``bits``: a bit per leading hash bits of the wanted
+    windows; only windows with their bit set come out.
     """
     context = rows.sparkSession.sparkContext
     shared = context.broadcast(bits) if bits is not None else None
@@ -99,31 +105,39 @@ def template_windows(rows: DataFrame, widths: list[int] | None, bits: np.ndarray
         wanted = shared.value if shared is not None else None
         for batch in batches:
             for start, texts in pieces(column(batch.column("text"))):
-                token, first, slot, value = canonical(texts, numbers, units)
-                plain = np.concatenate([[0], np.cumsum(~slot)])
-                own, lengths = slot.cumsum(), np.diff(first)
-                own = np.concatenate([[0], own])
-                for size in widths or [width]:
-                    found, before = windows(token, first, size)
-                    row = np.repeat(np.arange(len(texts)), np.diff(before))
-                    place = np.arange(len(found)) - before[row]
-                    begin = first[row] + place
-                    took = np.minimum(lengths[row], size)
-                    keep = plain[begin + took] - plain[begin] >= np.maximum(2, (took + 1) // 2)
-                    if widths:
-                        keep &= took == size
-                    if wanted is not None:
-                        top = found >> np.uint64(64 - FILTER_BITS)
-                        keep &= (wanted[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63))) & np.uint64(1) == 1
-                    pick = np.flatnonzero(keep)
-                    a, b = own[begin[pick]], own[begin[pick] + took[pick]]
-                    after = np.concatenate([[0], np.cumsum(b - a)])
-                    slots = value[slot][np.arange(after[-1]) - np.repeat(after[:-1] - a, b - a)]
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column("id").slice(start, len(texts)).take(pa.array(row[pick])), pa.array(place[pick], pa.int32()),
-                        pa.array(took[pick], pa.int32()), pa.array(found[pick].view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(after, pa.int32()), pa.array(slots.view(np.int64))),
-                    ], ["id", "place", "width", "window", "slots"])
+                token, heads, slot, value, word, opens, group = canonical(texts, numbers, units)
+                plain, own = np.concatenate([[0], np.cumsum(~slot)]), np.concatenate([[0], slot.cumsum()])
+                for literal in (False, True):
+                    parts, first = (word, opens) if literal else (token, heads)
+                    lengths = np.diff(first)
+                    for size in widths or [width]:
+                        found, before = windows(parts, first, size)
+                        row = np.repeat(np.arange(len(texts)), np.diff(before))
+                        place = np.arange(len(found)) - before[row]
+                        begin = first[row] + place
+                        took = np.minimum(lengths[row], size)
+                        if literal:
+                            found = found ^ LITERAL
+                            keep = (plain[heads[1:]] - plain[heads[:-1]] >= 2)[row] if not widths else np.ones(len(found), bool)
+                            spot = group[begin] - heads[row]
+                        else:
+                            keep = plain[begin + took] - plain[begin] >= np.maximum(2, (took + 1) // 2)
+                            spot = place
+                        if widths:
+                            keep &= took == size
+                        if wanted is not None:
+                            top = found >> np.uint64(64 - FILTER_BITS)
+                            keep &= (wanted[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63))) & np.uint64(1) == 1
+                        pick = np.flatnonzero(keep)
+                        a, b = (own[begin[pick]], own[begin[pick] + took[pick]]) if not literal else (np.zeros(len(pick), np.int64),) * 2
+                        after = np.concatenate([[0], np.cumsum(b - a)])
+                        slots = value[slot][np.arange(after[-1]) - np.repeat(after[:-1] - a, b - a)]
+                        yield pa.RecordBatch.from_arrays([
+                            batch.column("id").slice(start, len(texts)).take(pa.array(row[pick])), pa.array(np.full(len(pick), literal)),
+                            pa.array(place[pick], pa.int32()), pa.array(spot[pick], pa.int32()),
+                            pa.array(took[pick], pa.int32()), pa.array(found[pick].view(np.int64)),
+                            pa.ListArray.from_arrays(pa.array(after, pa.int32()), pa.array(slots.view(np.int64))),
+                        ], ["id", "literal", "place", "spot", "width", "window", "slots"])
 
     return rows.select("id", "text").mapInArrow(run, WINDOWS)
 
@@ -142,9 +156,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
                  item_text: str = "text", width: int = WIDTH, coverage: float = COVERAGE) -> DataFrame:
     """Contaminated documents with the items they hold.
 
-    ``doc_id``, ``item_id``, ``windows`` (distinct windows of the item that are found),
-    ``coverage`` (their share), ``slots`` (placeholders along the alignments), ``changed`` (how
-    many of those hold another value than the item does).
+    ``doc_id``, ``item_id``, ``windows`` (distinct places of the item where a window of either kind
+    is found), ``coverage`` (their share, or that of the template windows alone if that is
+    larger), ``slots`` (placeholders along the alignments), ``changed`` (how many of those hold
+    another value than the item does).
 
     An item shorter than ``width`` tokens is one window of its own length; an item without two
     plain words, a null or an empty one never matches. Equal ids count as one document or item;
@@ -154,12 +169,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text"))
     theirs = cut_lineage(template_windows(items, None, None, width))
     widths = sorted(r[0] for r in theirs.select("width").distinct().collect())  # at most ``width`` numbers
-    sizes = theirs.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("place").alias("all_windows"))
-    ours = template_windows(docs, widths or [width], window_filter(theirs), width).dropDuplicates()
+    form = F.when(~F.col("literal"), F.col("spot"))
+    sizes = theirs.groupBy(F.col("id").alias("_item")).agg(F.count_distinct("spot").alias("all_windows"), F.count_distinct(form).alias("all_forms"))
+    ours = template_windows(docs, widths or [width], window_filter(theirs), width).drop("spot").dropDuplicates()
     hits = ours.select(F.col("id").alias("doc_id"), F.col("place").alias("at"), "window", F.col("slots").alias("ours")).join(
-        theirs.select(F.col("id").alias("item_id"), "place", "window", F.col("slots").alias("theirs")), "window")
-    line = ["doc_id", "item_id", "offset"]
-    hits = cut_lineage(hits.select("doc_id", "item_id", (F.col("at") - F.col("place")).alias("offset"), "place", "ours", "theirs"))
+        theirs.select(F.col("id").alias("item_id"), "literal", "place", "spot", "window", F.col("slots").alias("theirs")), "window")
+    line = ["doc_id", "item_id", "literal", "offset"]
+    hits = cut_lineage(hits.select("doc_id", "item_id", "literal", (F.col("at") - F.col("place")).alias("offset"), "spot", "ours", "theirs"))
     pairs = hits.filter(F.size("theirs") > 0).select(*line, F.explode(F.arrays_zip("theirs", "ours")).alias("x"))
     pairs = pairs.select(*line, F.col("x.theirs").alias("theirs"), F.col("x.ours").alias("ours")).distinct()
     values = pairs.groupBy(*line, "theirs").agg(F.count("*").alias("n"), F.count_if(F.col("ours") != F.col("theirs")).alias("other"))
@@ -168,12 +184,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     fits = fits.withColumnsRenamed({c: f"_{c}" for c in line})
     kept = hits.join(fits, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in line], "left").filter(
         "clash IS NULL OR theirs = ours OR NOT arrays_overlap(theirs, clash)")
-    lines = kept.groupBy(*line).agg(F.collect_set("place").alias("places"), F.max("slots").alias("slots"), F.max("changed").alias("changed"))
+    lines = kept.groupBy(*line).agg(F.collect_set("spot").alias("spots"), F.max("slots").alias("slots"), F.max("changed").alias("changed"))
+
+    def distinct(spots: Column) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(spots))))
+
     found = lines.groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("windows"),
+        distinct(F.col("spots")).alias("windows"), distinct(F.when(~F.col("literal"), F.col("spots"))).alias("forms"),
         F.coalesce(F.max("slots"), F.lit(0)).alias("slots"), F.coalesce(F.max("changed"), F.lit(0)).alias("changed"))
-    found = found.join(sizes.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item")))
-    return found.withColumn("coverage", F.col("windows") / F.col("all_windows")).filter(F.col("coverage") >= coverage).select(
+    found = found.join(sizes, F.col("item_id").eqNullSafe(F.col("_item")))
+    share = F.greatest(F.col("windows") / F.col("all_windows"), F.try_divide("forms", "all_forms"))
+    return found.withColumn("coverage", share).filter(F.col("coverage") >= coverage).select(
         "doc_id", "item_id", F.col("windows").cast("long").alias("windows"), "coverage", "slots", "changed")
 
 

@@ -48,3 +48,13 @@ def test_one_altered_slot_costs_its_windows_only(spark):
         none.replace("12 pears", "13 pears").replace("12 plums", "14 plums").replace("12 boys", "15 boys")])
     assert set(got) == {(0, 0), (1, 1)}
     assert got[0, 0]["changed"] == 1 and 0.5 < got[0, 0]["coverage"] < 1 and 0.4 < got[1, 1]["coverage"] < 1
+
+
+def test_exact_copies_whatever_their_words(spark):
+    numbers = "Sort the numbers 9, 4, 7, 1, 8, 3, 2, 6"
+    digits = "1 2 3 4 5 6 7 8 9"  # no two plain words: stays out
+    got = hits(spark, [numbers, APPLES, digits], [
+        "Task: " + numbers + ".", "so " + APPLES.lower(), APPLES.replace(" Miller", "\nMiller").replace(" Paris", "\nParis"), digits,
+        "Sort the numbers 1, 2, 3, 4, 5, 6, 7, 8"])
+    assert set(got) == {(0, 0), (1, 1), (2, 1)}
+    assert {got[k]["coverage"] for k in got} == {1.0} and got[1, 1]["changed"] == 0
