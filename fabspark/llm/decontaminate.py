@@ -6,7 +6,8 @@ with those of the benchmark items. What stood in the placeholders must fit: alon
 equal values of the item must meet equal values in the document; windows over a value that meets
 two do not count, unless all their values are the item's own. Beside them, literal windows of
 eight lower-cased words are joined, whatever the words are; a place of the item is found if either
-kind matches. A document that holds a sufficient share of an item's windows is contaminated.
+kind matches. A document that holds a sufficient share of an item's windows, or a literal run of
+``RUN`` words of it at any length, is contaminated.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from fabspark.session import cut_lineage
 
 WIDTH = 8
 COVERAGE = 0.3
+RUN = 13  # consecutive words of an item that are enough
 FILTER_BITS = 24
 # Words that read as numbers, and units that may follow a number.
 NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
@@ -153,12 +155,12 @@ def window_filter(items: DataFrame) -> np.ndarray:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id",
-                 item_text: str = "text", width: int = WIDTH, coverage: float = COVERAGE) -> DataFrame:
+                 item_text: str = "text", width: int = WIDTH, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
     """Contaminated documents with the items they hold.
 
     ``doc_id``, ``item_id``, ``windows`` (distinct places of the item where a window of either kind
     is found), ``coverage`` (their share, or that of the template windows alone if that is
-    larger), ``slots`` (placeholders along the alignments), ``changed`` (how many of those hold
+    larger; below ``coverage`` for documents with ``run`` consecutive words), ``slots`` (placeholders along the alignments), ``changed`` (how many of those hold
     another value than the item does).
 
     An item shorter than ``width`` tokens is one window of its own length; an item without two
@@ -175,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     hits = ours.select(F.col("id").alias("doc_id"), F.col("place").alias("at"), "window", F.col("slots").alias("ours")).join(
         theirs.select(F.col("id").alias("item_id"), "literal", "place", "spot", "window", F.col("slots").alias("theirs")), "window")
     line = ["doc_id", "item_id", "literal", "offset"]
-    hits = cut_lineage(hits.select("doc_id", "item_id", "literal", (F.col("at") - F.col("place")).alias("offset"), "spot", "ours", "theirs"))
+    hits = cut_lineage(hits.select("doc_id", "item_id", "literal", (F.col("at") - F.col("place")).alias("offset"), "place", "spot", "ours", "theirs"))
     pairs = hits.filter(F.size("theirs") > 0).select(*line, F.explode(F.arrays_zip("theirs", "ours")).alias("x"))
     pairs = pairs.select(*line, F.col("x.theirs").alias("theirs"), F.col("x.ours").alias("ours")).distinct()
     values = pairs.groupBy(*line, "theirs").agg(F.count("*").alias("n"), F.count_if(F.col("ours") != F.col("theirs")).alias("other"))
@@ -184,17 +186,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     fits = fits.withColumnsRenamed({c: f"_{c}" for c in line})
     kept = hits.join(fits, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in line], "left").filter(
         "clash IS NULL OR theirs = ours OR NOT arrays_overlap(theirs, clash)")
-    lines = kept.groupBy(*line).agg(F.collect_set("spot").alias("spots"), F.max("slots").alias("slots"), F.max("changed").alias("changed"))
+    lines = kept.groupBy(*line).agg(F.collect_set("spot").alias("spots"), F.max("slots").alias("slots"), F.max("changed").alias("changed"),
+                                    F.sort_array(F.collect_set(F.when(F.col("literal"), F.col("place")))).alias("places"))
+    ahead = max(1, run - width + 1) - 1  # consecutive windows after the first that hold ``run`` words
+    ends = F.zip_with(F.expr(f"slice(places, {ahead + 1}, greatest(size(places) - {ahead}, 0))"),
+                      F.expr(f"slice(places, 1, greatest(size(places) - {ahead}, 0))"), lambda b, a: b - a)
+    lines = lines.withColumn("long", F.array_contains(ends, F.lit(ahead)))
 
     def distinct(spots: Column) -> Column:
         return F.size(F.array_distinct(F.flatten(F.collect_list(spots))))
 
     found = lines.groupBy("doc_id", "item_id").agg(
-        distinct(F.col("spots")).alias("windows"), distinct(F.when(~F.col("literal"), F.col("spots"))).alias("forms"),
+        F.bool_or("long").alias("long"), distinct(F.col("spots")).alias("windows"), distinct(F.when(~F.col("literal"), F.col("spots"))).alias("forms"),
         F.coalesce(F.max("slots"), F.lit(0)).alias("slots"), F.coalesce(F.max("changed"), F.lit(0)).alias("changed"))
     found = found.join(sizes, F.col("item_id").eqNullSafe(F.col("_item")))
     share = F.greatest(F.col("windows") / F.col("all_windows"), F.try_divide("forms", "all_forms"))
-    return found.withColumn("coverage", share).filter(F.col("coverage") >= coverage).select(
+    return found.withColumn("coverage", share).filter((F.col("coverage") >= coverage) | F.col("long")).select(
         "doc_id", "item_id", F.col("windows").cast("long").alias("windows"), "coverage", "slots", "changed")
 
 

@@ -1,5 +1,7 @@
 """Cases of the second review: what an operator did less than whole."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from fabspark.llm import decontaminate, sharding
@@ -58,3 +60,13 @@ def test_exact_copies_whatever_their_words(spark):
         "Sort the numbers 1, 2, 3, 4, 5, 6, 7, 8"])
     assert set(got) == {(0, 0), (1, 1), (2, 1)}
     assert {got[k]["coverage"] for k in got} == {1.0} and got[1, 1]["changed"] == 0
+
+
+def test_thirteen_words_of_a_long_item(spark):
+    rng = random.Random(5)
+    fresh = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n)]
+    passage = fresh(300)
+    part = lambda a, n: [*fresh(20), *passage[a:a + n], *fresh(20)]
+    rows = [part(100, 13), part(287, 13), part(100, 12), part(0, 12) + part(40, 12), [w.upper() for w in part(7, 14)]]
+    got = hits(spark, [" ".join(passage)], [" ".join(r) for r in rows])
+    assert set(got) == {(0, 0), (1, 0), (4, 0)} and all(r["coverage"] < 0.05 for r in got.values())
