@@ -9,6 +9,7 @@ a row's share is taken out of its host's sum before the host speaks about it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -18,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabspark.llm.text import buffers, column, pieces
-from fabspark.session import cut_lineage
+from fabspark.session import cut_lineage, local_frame
 
 SAMPLE_ROWS = 20_000  # labelled rows that fit the trigram model, in expectation
-LEAST_ROWS = 5  # of a language in that sample
+LEAST_ROWS = 5  # labelled rows of a language that is fitted
+LEAST_SHARE = 100  # rows of a language that the sample takes at least, in expectation, if it has them
 BUCKETS = 1 << 16
 DAMPING = 4.0  # trigrams overlap and repeat, so each counts as a quarter of independent evidence
 STRENGTH = 20.0  # rows that a suffix's (or the corpus's) prior weighs in a host's (or suffix's)
@@ -54,31 +56,46 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang", doc_i
           sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities per trigram bucket, from a bounded sample of labelled rows.
 
-    The sample is the rows whose id hashes into the share that ``sample_rows`` is of all labelled
-    rows: no more in expectation, and the same rows at every run. A language needs
-    ``LEAST_ROWS`` rows in it, so the number of languages is bounded too.
+    Every language with ``LEAST_ROWS`` labelled rows is fitted, at any size of the table. The
+    sample is bounded per language: all rows of a rare one, and of the others those whose hash of
+    id and text is below a language's own share, so that ``sample_rows`` are taken in expectation,
+    or ``LEAST_SHARE`` per language if there are many. The same rows are taken at every run.
     """
     labelled = labelled.select(F.lower(language).alias("lang"), F.col(text).alias("text"), F.col(doc_id).alias("id")).filter(
         "lang IS NOT NULL AND lang != '' AND text IS NOT NULL")
-    count = max(1, labelled.count())
-    share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < min(1.0, sample_rows / count) * (1 << 20)
-    sample = labelled.filter(share)
-    names = sorted(r["lang"] for r in sample.groupBy("lang").count().filter(F.col("count") >= LEAST_ROWS).collect())
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_ROWS).collect()
+    counts = {r["lang"]: r["n"] for r in counts}
+    names, left, fair = sorted(counts), sample_rows, 0.0
+    for k, n in enumerate(sorted(counts.values())):
+        fair = max(LEAST_SHARE, left / (len(counts) - k))
+        if n > fair:
+            break
+        left -= n
+
+    def sampled(whole: set[str]) -> DataFrame:
+        cuts = [(k, name, 1 << 20 if name in whole else math.ceil(min(1.0, fair / counts[name]) * (1 << 20))) for k, name in enumerate(names)]
+        cuts = local_frame(labelled.sparkSession, cuts, "name int, lang string, cut long")
+        return labelled.join(F.broadcast(cuts), "lang").filter(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < F.col("cut"))
+
+    taken = {r["lang"]: r["count"] for r in sampled(set()).groupBy("lang").count().collect()}
+    # Only many copies of few rows can leave a language short, as equal rows have one hash.
+    sample = sampled({name for name in names if taken.get(name, 0) < LEAST_ROWS})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(names), BUCKETS), np.int64)
+        counts: dict[int, np.ndarray] = {}
         for batch in batches:
-            labels = batch.column("lang").to_pylist()
+            labels = batch.column("name").to_pylist()
             for start, some in pieces(column(batch.column("text"))):
                 code, before = trigrams(some)
                 for r in range(len(some)):
-                    if labels[start + r] in names:
-                        counts[names.index(labels[start + r])] += np.bincount(code[before[r]:before[r + 1]], minlength=BUCKETS)
-        lang, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()), pa.array(counts[lang, bucket])],
-                                         ["lang", "bucket", "n"])
-
-    table = sample.select("lang", "text").mapInArrow(run, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(
+                    own = counts.setdefault(labels[start + r], np.zeros(BUCKETS, np.int64))
+                    own += np.bincount(code[before[r]:before[r + 1]], minlength=BUCKETS)
+        for lang, own in counts.items():
+            bucket = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), lang, np.int32)), pa.array(bucket, pa.int32()), pa.array(own[bucket])],
+                                             ["lang", "bucket", "n"])
+
+    table = sample.select("name", "text").mapInArrow(run, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(
         F.sum("n").alias("n")).toArrow()  # at most languages x buckets rows
     counts = np.full((len(names), BUCKETS), 0.1)
     counts[np.asarray(table["lang"]), np.asarray(table["bucket"])] += np.asarray(table["n"])

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from fabspark.llm import decontaminate, sharding
+from fabspark.llm import decontaminate, language, sharding
 
 
 # ---- sharding -----------------------------------------------------------------------------
@@ -70,3 +70,17 @@ def test_thirteen_words_of_a_long_item(spark):
     rows = [part(100, 13), part(287, 13), part(100, 12), part(0, 12) + part(40, 12), [w.upper() for w in part(7, 14)]]
     got = hits(spark, [" ".join(passage)], [" ".join(r) for r in rows])
     assert set(got) == {(0, 0), (1, 0), (4, 0)} and all(r["coverage"] < 0.05 for r in got.values())
+
+
+# ---- language -------------------------------------------------------------------------------
+def test_rare_language_of_a_large_table_is_fitted(spark):
+    common = spark.range(30_000).select("id", F.concat(F.lit("the thing with words "), F.col("id")).alias("text"), F.lit("aa").alias("lang"))
+    rare = spark.range(30_000, 30_006).select("id", F.lit("sch und ich ein schein").alias("text"), F.lit("BB").alias("lang"))
+    four = spark.range(40_000, 40_004).select("id", F.lit("quo qua qui").alias("text"), F.lit("cc").alias("lang"))
+    copies = spark.range(5000).select(F.lit(7).cast("long").alias("id"), F.lit("zo zu za").alias("text"), F.lit("dd").alias("lang"))
+    docs = common.union(rare).union(four).union(copies).withColumnRenamed("id", "doc_id")
+    model = language.train(docs, sample_rows=2000)
+    assert model[0] == ["aa", "bb", "dd"] and model[1].std(axis=1).min() > 0
+    out = language.identify(rare.withColumnRenamed("id", "doc_id"), model, "doc_id", declared=F.col("lang")).collect()
+    assert {(r["language"], r["accepted"]) for r in out} == {("bb", True)}
+    assert (language.train(docs.repartition(5), sample_rows=2000)[1] == model[1]).all()
