@@ -274,10 +274,10 @@ def test_templates(spark, docs, none):
             (8, "1 2 3 4 5 6 7 8 9 10 11 12"), (9, LONG + ITEM.lower()), (1, "again " + ITEM), (None, ITEM)]
     df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, item_id int").repartition(3)
     got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(df, bench).collect()}
-    assert set(got) == {(1, 1), (2, 1), (5, 2), (None, 1)}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (5, 2), (9, 1), (None, 1)}
     assert got[1, 1]["changed"] == 0 and got[2, 1]["changed"] == 4 and got[1, 1]["coverage"] == 1
     kept = decontaminate.clean(df, bench).select("doc_id").collect()
-    assert sorted(str(r[0]) for r in kept) == ["3", "4", "6", "7", "8", "9", "None"]
+    assert sorted(str(r[0]) for r in kept) == ["4", "6", "7", "8", "None"]
     assert decontaminate.contaminated(none, bench).count() == 0 and decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
