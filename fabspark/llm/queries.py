@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens
+from fabspark.llm import bitslices, chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -103,3 +103,10 @@ def op4_language(spark, sf_dir):
     of_pages = language.identify(pages, model, "page_id", declared=F.col("declared"), host=F.col("host"), suffix=F.col("suffix"))
     of_docs = language.identify(docs, model, "doc_id", declared=F.col("lang"), host=F.col("source"))
     return of_docs.unionByName(of_pages, allowMissingColumns=True)
+
+
+@register(bitslices.TOPK_SQL)
+def op12_bit_sliced_topk(spark, sf_dir):
+    """The 20 best inner products of each vector whose id is divisible by 20, against all others."""
+    index = bitslices.build_index(table(spark, sf_dir, "embeddings"))
+    return bitslices.search(index, bitslices.index_queries(index, 20), 20)
