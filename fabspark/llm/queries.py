@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import bitslices, chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens
+from fabspark.llm import bitslices, chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens, variants
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -110,3 +110,9 @@ def op12_bit_sliced_topk(spark, sf_dir):
     """The 20 best inner products of each vector whose id is divisible by 20, against all others."""
     index = bitslices.build_index(table(spark, sf_dir, "embeddings"))
     return bitslices.search(index, bitslices.index_queries(index, 20), 20)
+
+
+@register(variants.VARIANTS_SQL)
+def op13_variants(spark, sf_dir):
+    """Frequent words of all documents with their most frequent neighbour and its chain's end."""
+    return variants.variants(variants.count_words(table(spark, sf_dir, "documents")))
