@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabspark.llm import bitslices, chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens, variants
+from fabspark.llm import alignment, bitslices, chat, decontaminate, embeddings, jaccard, language, lattice, licenses, mixing, sharding, tokens, variants
 from fabspark.llm.storage import scratch_path
 from fabspark.session import local_frame
 
@@ -116,3 +116,12 @@ def op12_bit_sliced_topk(spark, sf_dir):
 def op13_variants(spark, sf_dir):
     """Frequent words of all documents with their most frequent neighbour and its chain's end."""
     return variants.variants(variants.count_words(table(spark, sf_dir, "documents")))
+
+
+@register()
+def op11_alignment(spark, sf_dir):
+    """Groups in which the tokens of two public vocabularies meet, for all documents."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return alignment.digest(alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
