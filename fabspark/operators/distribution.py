@@ -69,15 +69,9 @@ def describe(
     df: DataFrame, cols: Sequence[str], keys: Sequence[str] = (), rows_per_bucket: int = O.ROWS_PER_BUCKET
 ) -> DataFrame:
     """Count, mean, std, min, quartiles and max per column (and key); NULL for a column without values."""
-    wide = df.groupBy(*keys).agg(*[
-        F.struct(
-            F.lit(c).alias("param"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
-        ).alias(f"_s_{c}")
-        for c in cols
-    ])
-    basics = wide.select(*keys, F.explode(F.array(*[f"_s_{c}" for c in cols])).alias("s")).select(*keys, "s.*")
-    quartiles = O.exact_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, rows_per_bucket)
+    basics, quartiles = O.summarised_quantiles(df, keys, cols, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, {
+        "mean": F.avg, "std": F.stddev_samp, "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double"),
+    }, rows_per_bucket)
     return null_safe_join(basics, quartiles, [*keys, "param"], "left")
 
 

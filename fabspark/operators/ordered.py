@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fabspark.operators.joins import null_safe_join
-from fabspark.session import broadcast_if_small
+from fabspark.operators.sketches import SIZE, SMALLEST, number, quantiles, rank_error
+from fabspark.session import settled
 
 ROWS_PER_BUCKET = 1_000_000
 MIN_ROWS_PER_BUCKET = 20_000
@@ -307,53 +309,77 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles: one row per key, or per key and ``param`` for a list of columns.
 
-    Interpolated, or with ``discrete`` the first value at or above the wanted share. An
-    approximate percentile a little below and one a little above each wanted share bracket its
-    rank. A second pass counts the rows below each bracket and, per value, those inside; only
-    these few are ordered. A group of up to ``RANKED_WHOLE`` rows (or ``rows_per_bucket``, if
-    that is less) is its own bracket. A column without values has no row.
+    Interpolated, or with ``discrete`` the first value at or above the wanted share. Two scans, see
+    :func:`summarised_quantiles`. A column without values has no row.
     """
     single = isinstance(cols, str)
-    names, keys = [cols] if single else list(cols), list(keys)
-    limit = max(8, min(rows_per_bucket, RANKED_WHOLE))
-    spread = 4.0 / limit
+    _, out = summarised_quantiles(df, keys, [cols] if single else list(cols), probs, {}, rows_per_bucket, discrete)
+    return out.drop("param") if single else out
+
+
+def summarised_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    cols: Sequence[str],
+    probs: dict[str, float],
+    extra: dict[str, Callable[[str], Column]],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    discrete: bool = False,
+    margin: float = 4.0,
+) -> tuple[DataFrame, DataFrame]:
+    """``(keys, param, n, extra...)`` and ``(keys, param, quantiles...)``, computed.
+
+    The first scan makes one quantile sketch per key and column, with the ``extra`` aggregates, and
+    a little below and above each wanted share (``margin`` times the sketch's rank error) it reads
+    the ends of a bracket. The second scan counts rows between brackets as one and inside them per
+    value, so ranks are exact and only the few values inside are ordered. Should a wanted rank lie
+    outside its bracket after all, its group is done again with a wider one. A group of up to
+    ``RANKED_WHOLE`` rows (or ``rows_per_bucket``, if that is less) is its own bracket.
+    """
+    names, keys = list(cols), list(keys)
+    limit = max(SMALLEST, min(rows_per_bucket, RANKED_WHOLE))
+    size = min(limit, SIZE)
+    spread = margin * rank_error(size)
     shares = list(probs.values())
     by = keys or ["_all"]
     rows = df.select(*keys, *names) if keys else df.select(F.lit(0).alias("_all"), *names)
-
-    def rough(c: str, at: Sequence[float]) -> Column:
-        return F.percentile_approx(c, [min(max(p, 0.0), 1.0) for p in at], limit)
-
-    def ends(c: str, sign: int) -> Column:
-        near = rough(c, [p + sign * spread for p in shares])
-        end = F.min(c) if sign < 0 else F.max(c)
-        return F.array(*[
-            F.when(F.count(c) <= limit, end).otherwise(end if not 0 < p + sign * spread < 1 else F.get(near, F.lit(j)))
-            for j, p in enumerate(shares)])
-
-    bounds = rows.groupBy(*by).agg(*[f.alias(f"{name}{i}") for i, c in enumerate(names) for f, name in (
-        (F.count(c), "_n"), (ends(c, -1), "_lo"), (ends(c, 1), "_hi"))])
-    bounds = broadcast_if_small(bounds)
-    bounded = null_safe_join(rows, bounds, by)
-    cells = [(i, c, j) for i, c in enumerate(names) for j in range(len(shares))]
-    below = bounded.groupBy(*by).agg(*[
-        F.struct(F.lit(c).alias("param"), F.lit(j).alias("_j"), F.first(f"_n{i}").alias("_total"),
-                 F.count_if(F.col(c) < F.get(f"_lo{i}", F.lit(j))).alias("_below")).alias(f"_b{i}_{j}") for i, c, j in cells])
-    below = below.select(*by, F.explode(F.array(*[f"_b{i}_{j}" for i, _, j in cells])).alias("b")).select(*by, "b.*")
+    at = [min(max(p + sign * spread, 0.0), 1.0) for sign in (-1, 1) for p in shares]
+
+    def ends(i: int, c: str) -> list[Column]:
+        value = number(rows, c)
+        read = F.when(F.count(c) > limit, quantiles(F.kll_sketch_agg_double(value, F.lit(size)), at))
+        low, high = F.min(value), F.max(value)
+        return [F.count(c).alias(f"_n{i}"), *[F.array(*[
+            end if not 0 < p + sign * spread < 1 else F.coalesce(F.get(read, F.lit(j + first)), end)
+            for j, p in enumerate(shares)]).alias(f"{name}{i}") for name, sign, first, end in (("_lo", -1, 0, low), ("_hi", 1, len(shares), high))]]
+
+    more = [F.struct(*[make(c).alias(name) for name, make in extra.items()]).alias(f"_x{i}") for i, c in enumerate(names)] if extra else []
+    bounds, small = settled(rows.groupBy(*by).agg(*[f for i, c in enumerate(names) for f in ends(i, c)], *more))
+    basics = F.array(*[F.struct(F.lit(c).alias("param"), F.col(f"_n{i}").alias("n"), *[F.col(f"_x{i}.{name}").alias(name) for name in extra])
+                       for i, c in enumerate(names)])
+    basics = bounds.select(*by, F.explode(basics).alias("b")).select(*by, "b.*")
+
+    edges = bounds.select(*by, *[f"{e}{i}" for i in range(len(names)) for e in ("_lo", "_hi")])
+    bounded = null_safe_join(rows, F.broadcast(edges) if small else edges, by)
     own = len({df.schema[c].dataType.simpleString() for c in names}) == 1
-    items = F.array(*[
-        F.when(F.col(c).between(F.get(f"_lo{i}", F.lit(j)), F.get(f"_hi{i}", F.lit(j))), F.struct(
-            F.lit(c).alias("param"), F.lit(j).alias("_j"), (F.col(c) if own else F.col(c).cast("double")).alias("value")))
-        for i, c, j in cells])
-    inside = bounded.select(*by, F.explode(F.filter(items, lambda x: x.isNotNull())).alias("x")).groupBy(
-        *by, F.col("x.param").alias("param"), F.col("x._j").alias("_j"), F.col("x.value").alias("value")).agg(F.count("*").alias("n"))
-    group = [*by, "param", "_j"]
-    upto = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = null_safe_join(inside.withColumn("_upto", F.sum("n").over(upto)), below, group)
-    ranked = ranked.withColumn("_upto", F.col("_upto") + F.col("_below"))
-    out = _values_at(ranked, [*by, "param"], probs, discrete, lambda j: F.col("_j") == j)
-    out = out.drop("param") if single else out
-    return out if keys else out.drop("_all")
+    items = []
+    for i, c in enumerate(names):
+        value = number(rows, c)
+        pairs = [(F.get(f"_lo{i}", F.lit(j)), F.get(f"_hi{i}", F.lit(j))) for j in range(len(shares))]
+        # How many ends a value has passed never falls as it grows, so these codes are ranges in order.
+        code = reduce(lambda a, b: a + b, [(value >= lo).cast("int") + (value > hi).cast("int") for lo, hi in pairs])
+        inside = reduce(lambda a, b: a | b, [value.between(lo, hi) for lo, hi in pairs])
+        items.append(F.when(F.col(c).isNotNull(), F.struct(
+            F.lit(c).alias("param"), code.alias(BUCKET), F.when(inside, F.col(c) if own else value).alias("value"))))
+    long = bounded.select(*by, F.explode(F.array(*items)).alias("x")).filter("x IS NOT NULL").select(*by, "x.*")
+    counts = long.groupBy(*by, "param", BUCKET, "value").agg(F.count("*").alias("n"))
+    found, _ = settled(quantiles_of_counts(counts, True, [*by, "param"], probs, discrete))
+    lost = found.filter(reduce(lambda a, b: a | b, [F.col(p).isNull() for p in probs]))
+    if spread < 1 and not lost.isEmpty():
+        again = null_safe_join(rows, lost.select(*by).distinct(), by, "left_semi")
+        _, wider = summarised_quantiles(again, by, names, probs, {}, rows_per_bucket, discrete, 8 * margin)
+        found = null_safe_join(found, lost.select(*by).distinct(), by, "left_anti").unionByName(wider)
+    return (basics, found) if keys else (basics.drop("_all"), found.drop("_all"))
 
 
 def quantiles_of_counts(
@@ -362,13 +388,11 @@ def quantiles_of_counts(
     """Quantiles from a ``long_value_counts`` table."""
     ranked = running_in_buckets(
         counts, "value", {"_upto": ("sum", F.col("n")), "_total": ("total", F.col("n"))}, by, carried=cut)
-    return _values_at(ranked, by, probs, discrete, lambda j: F.lit(True))
+    return _values_at(ranked, by, probs, discrete)
 
 
-def _values_at(
-    ranked: DataFrame, by: Sequence[str], probs: dict[str, float], discrete: bool, of: Callable[[int], Column]
-) -> DataFrame:
-    """Quantiles from values with ``n``, ``_upto`` and ``_total``; ``of(j)`` marks the rows for the j-th share."""
+def _values_at(ranked: DataFrame, by: Sequence[str], probs: dict[str, float], discrete: bool) -> DataFrame:
+    """Quantiles from values with ``n``, ``_upto`` and ``_total``."""
     def holds(rank: Column) -> Column:
         return (rank >= F.col("_upto") - F.col("n")) & (rank < F.col("_upto"))
 
@@ -377,7 +401,7 @@ def _values_at(
             return F.greatest(F.ceil(p * F.col("_total")) - 1, F.lit(0)).cast("double")
         return p * (F.col("_total") - 1)
 
-    wanted = [of(j) & holds(f(position(p))) for j, p in enumerate(probs.values()) for f in (F.floor, F.ceil)]
+    wanted = [holds(f(position(p))) for p in probs.values() for f in (F.floor, F.ceil)]
     condition = wanted[0]
     for w in wanted[1:]:
         condition = condition | w
@@ -386,10 +410,8 @@ def _values_at(
         .groupBy(*by)
         .agg(
             F.first("_total").alias("_total"),
-            *[F.max(F.when(of(j) & holds(F.floor(position(p))), F.col("value"))).alias(f"_lo_{name}")
-              for j, (name, p) in enumerate(probs.items())],
-            *[F.max(F.when(of(j) & holds(F.ceil(position(p))), F.col("value"))).alias(f"_hi_{name}")
-              for j, (name, p) in enumerate(probs.items())],
+            *[F.max(F.when(holds(f(position(p))), F.col("value"))).alias(f"_{end}_{name}")
+              for end, f in (("lo", F.floor), ("hi", F.ceil)) for name, p in probs.items()],
         )
     )
     return picked.select(*by, *[

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fabspark.constants import SPC_LIMITS
 from fabspark.functions.limits import cpk
 from fabspark.operators import ordered as O
 from fabspark.operators.joins import null_safe_join
-from fabspark.session import broadcast_if_small
+from fabspark.operators.sketches import SIZE, number, quantiles
+from fabspark.session import broadcast_if_small, settled
+
+POWER_RANGE = 575.0  # natural logarithm of 1e250: powers of the decay within a block stay above its inverse
 
 
 def spc_summary(
@@ -39,11 +41,12 @@ def defect_process_stats(
 ) -> DataFrame:
     """Mean and spread of the key parameters per defect class, with density percentiles.
 
-    The percentiles are approximate, from the same single aggregation, unless ``exact``.
+    The percentiles are read from quantile sketches of the same single aggregation, unless ``exact``.
     """
     defects = df.filter(F.col(class_col) != normal_class)
     probs = {"median_defect_density": 0.5, "p95_defect_density": 0.95}
-    rough = [] if exact else [F.percentile_approx(density, p).alias(name) for name, p in probs.items()]
+    values = F.when(F.count(density) > 0, quantiles(F.kll_sketch_agg_double(number(defects, density), F.lit(SIZE)), list(probs.values())))
+    rough = [] if exact else [F.get(values, F.lit(j)).alias(name) for j, name in enumerate(probs)]
     stats = defects.groupBy(class_col).agg(
         F.count("*").alias("n"), F.avg(pressure).alias("avg_cmp"), F.stddev_samp(pressure).alias("std_cmp"),
         F.avg(particles).alias("avg_particles"), *rough,
@@ -138,51 +141,60 @@ def ewma(
 ) -> DataFrame:
     """Exponentially weighted mean per series: ``s = w x + (1 - w) s_before``, from the first value.
 
-    Each bucket is smoothed from zero, together with the weight its start still has. The
-    start value of each bucket follows from the bucket results before it, so no task needs a
-    whole series. NULL readings repeat the smoothed value before them.
+    A reading is the map ``s -> d s + w x`` with ``d = 1 - w``, and such maps compose: after ``k``
+    readings of a block the state is ``d^k s_0`` plus a windowed sum of readings scaled by powers of
+    ``d``. A range of the order is cut into blocks so short that the powers do not underflow; the
+    maps of all blocks, a small table, are composed in the same way to each block's start. NULL and
+    NaN readings repeat the smoothed value before them; a series without readings has NULL.
     """
     series = list(series)
+    decay = 1.0 - weight
+    block = max(1, min(1 << 17, int(POWER_RANGE / -math.log(decay)))) if 0 < decay < 1 else (1 if decay <= 0 else 1 << 17)
     cuts = O.range_cuts(df, order_col, rows_per_bucket)
     rows = O.with_buckets(df.select(*series, order_col, F.col(value).cast("double").alias(value)), order_col, cuts)
     keys = [*series, O.BUCKET]
-    schema = T.StructType(
-        rows.schema.fields
-        + [T.StructField("_local", T.DoubleType()), T.StructField("_decay", T.DoubleType())]
-    )
 
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order_col, kind="stable")
-        from_zero = pd.concat([pd.Series([0.0]), pdf[value]])
-        local = from_zero.ewm(alpha=weight, adjust=False, ignore_na=True).mean()
-        return pdf.assign(_local=local.to_numpy()[1:], _decay=(1 - weight) ** pdf[value].notna().cumsum())
+    def power(exponent: Column) -> Column:
+        return F.pow(F.lit(decay), exponent)
 
-    smoothed = rows.groupBy(*keys).applyInPandas(smooth, schema)
-    # A range's end in closed form: each reading by the number of readings after it.
     known = F.col(value).isNotNull() & ~F.isnan(value)
-    later = Window.partitionBy(*keys).orderBy(F.desc(order_col)).rowsBetween(Window.unboundedPreceding, -1)
-    aged = rows.withColumn("_age", F.count(F.when(known, 1)).over(later)).filter(known)
-    ends = aged.groupBy(*keys).agg(
-        F.sum(weight * F.col(value) * F.pow(F.lit(1 - weight), F.col("_age"))).alias("_local"),
-        F.pow(F.lit(1 - weight), F.count("*")).alias("_decay"), F.min_by(value, order_col).alias("_first"),
-    )
-    ends = null_safe_join(rows.select(*keys).distinct(), ends, keys, "left").select(
-        *keys, F.coalesce("_local", F.lit(0.0)).alias("_local"), F.coalesce("_decay", F.lit(1.0)).alias("_decay"), "_first")
-
-    carry_schema = T.StructType(
-        [f for f in ends.schema.fields if f.name in keys] + [T.StructField("_start", T.DoubleType())]
-    )
-
-    def carry(pdf: pd.DataFrame) -> pd.DataFrame:  # one row per bucket of a series
-        pdf = pdf.sort_values(O.BUCKET)
-        known = pdf["_first"].dropna()
-        state, starts = (known.iloc[0] if len(known) else float("nan")), []
-        for local, decay in zip(pdf["_local"], pdf["_decay"]):
-            starts.append(state)
-            state = local + decay * state
-        return pdf[keys].assign(_start=starts)
-
-    starts = ends.groupBy(*(series or [F.lit(0)])).applyInPandas(carry, carry_schema)
-    return null_safe_join(smoothed, broadcast_if_small(starts), keys).select(
-        *series, order_col, value, (F.col("_local") + F.col("_decay") * F.col("_start")).alias("ewma")
-    )
+    upto = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_k", F.count(F.when(known, 1)).over(upto))
+    rows = rows.withColumn("_block", F.floor(F.greatest(F.col("_k") - 1, F.lit(0)) / block))
+    rows = rows.withColumn("_i", F.col("_k") - F.col("_block") * block)
+    # The latest reading of a full block has power 0, so a sum only shrinks and is scaled back at each row.
+    rows = rows.withColumn("_term", F.when(known, weight * F.col(value) * power(block - F.col("_i"))).otherwise(0.0))
+
+    ends = rows.groupBy(*keys, "_block").agg(
+        F.max("_i").alias("_m"), F.sum("_term").alias("_sum"), F.min_by(F.when(known, F.col(value)), F.when(known, F.col(order_col))).alias("_first"))
+    starts, small = settled(block_starts(settled(ends)[0], series, block, power))
+    inside = Window.partitionBy(*keys, "_block").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = F.when(F.col("_i") > 0, F.sum("_term").over(inside) / power(block - F.col("_i"))).otherwise(0.0)
+    rows = rows.withColumn("_local", local).drop("_term", "_k")
+    return null_safe_join(rows, F.broadcast(starts) if small else starts, [*keys, "_block"]).select(
+        *series, order_col, value, (F.col("_local") + power(F.col("_i")) * F.col("_start")).alias("ewma"))
+
+
+def block_starts(ends: DataFrame, series: list[str], block: int, power) -> DataFrame:
+    """State before each block, from the blocks' lengths ``_m``, scaled sums and first readings.
+
+    Blocks end at reading ``_k`` of their series. Ends are grouped by ``block`` readings; within a
+    group sums are scaled to its last place, and of earlier groups two are enough, since a third
+    power of a group's decay is below the smallest double.
+    """
+    order, group = [O.BUCKET, "_block"], [*series, "_g"]
+    every = Window.partitionBy(*(series or [F.lit(0)])).orderBy(*order)
+    ends = ends.withColumn("_k", F.sum("_m").over(every)).withColumn("_g", F.floor((F.col("_k") - 1) / block))
+    ends = ends.withColumn("_left", (F.col("_g") + 1) * block - F.col("_k"))
+    # The block's own state change, scaled from its length to its group's last place.
+    ends = ends.withColumn("_part", F.when(F.col("_m") > 0, F.col("_sum") / power(block - F.col("_m")) * power(F.col("_left"))).otherwise(0.0))
+    totals = ends.groupBy(*group).agg(F.sum("_part").alias("_t"))
+    before = Window.partitionBy(*(series or [F.lit(0)])).orderBy("_g")
+    carried = F.coalesce(F.lag("_t").over(before), F.lit(0.0)) + F.coalesce(F.lag("_t", 2).over(before), F.lit(0.0)) * power(F.lit(block))
+    ends = null_safe_join(ends, totals.select(*group, carried.alias("_carried")), group)
+    within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*(series or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.first("_first", ignorenulls=True).over(whole)
+    after = F.sum("_part").over(within) / power(F.col("_left")) + power(block - F.col("_left")) * F.col("_carried") + power(F.col("_k")) * first
+    ends = ends.withColumns({"_after": after, "_x1": first})
+    return ends.select(*series, *order, F.coalesce(F.lag("_after").over(every), F.col("_x1")).alias("_start"))

@@ -71,3 +71,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     if table.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+
+
+def settled(df: DataFrame, max_rows: int = 100_000) -> tuple[DataFrame, bool]:
+    """``df`` computed once, and whether it is a local relation of at most ``max_rows``; else it is a checkpoint.
+
+    For results that must not differ between two uses, as those of randomised sketches would.
+    """
+    table = df.limit(max_rows + 1).toArrow()
+    if table.num_rows > max_rows:
+        return cut_lineage(df), False
+    return df.sparkSession.createDataFrame(table, df.schema), True

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fabspark.functions import labels as L
 from fabspark.functions import limits as lim
 from fabspark.operators import distribution as D
-from fabspark.operators import lots, ordered, quality, spc, splitting
-from fabspark.sources import readers
+from fabspark.operators import lots, ordered, quality, sketches, spc, splitting
+from fabspark.session import settled, shared_dir
+from fabspark.sources import readers, writers
 from fabspark.standins.common import (
     EVENT_TYPES, FLAGS, LIMITS, PARAMS, ROWS_PER_BUCKET, SPLIT_SQL, Registry, round_all, rounded,
     split_by_rule, table,
@@ -146,9 +149,37 @@ def defect_process_stats(spark, d):
     return rounded(out, 6, "avg_cmp", "std_cmp", "avg_particles")
 
 
-@R.add()
+@R.add("""WITH s AS (SELECT event_type, count(*) AS n, round(avg(value), 6) AS avg_cmp, round(stddev_samp(value), 6) AS std_cmp,
+    round(avg(user_id), 6) AS avg_particles FROM events WHERE event_type <> 'view' GROUP BY 1)
+  SELECT s.*, quantile, true AS within FROM s, (VALUES ('median_defect_density'), ('p95_defect_density')) q(quantile)""")
 def defect_process_stats_approx(spark, d):
-    return spc.defect_process_stats(events(spark, d), "event_type", "value", "user_id", "value", "view")
+    """The percentiles come from sketches and differ between runs; their ranks, counted here, must not be off by more than stated."""
+    defects = events(spark, d).filter("event_type <> 'view'")
+    stats, _ = settled(spc.defect_process_stats(events(spark, d), "event_type", "value", "user_id", "value", "view"))
+    probs = {"median_defect_density": 0.5, "p95_defect_density": 0.95}
+    ranks = sketches.rank_of(defects, ["event_type"], "value", stats, list(probs))
+    return rounded(stats.drop(*probs).join(within_error(ranks, probs, sketches.SIZE), "event_type"), 6, "avg_cmp", "std_cmp", "avg_particles")
+
+
+def within_error(ranks, probs, k):
+    """The rows of ``rank_of`` with ``within``: the wanted share lies in the value's ranks, four errors around."""
+    share = F.create_map(*[x for name, p in probs.items() for x in (F.lit(name), F.lit(p))])[F.col("quantile")]
+    margin = 4 * sketches.rank_error(k)
+    return ranks.withColumn("within", (share >= F.col("below") - margin) & (share <= F.col("upto") + margin)).drop("below", "upto")
+
+
+@R.add("""SELECT event_type, quantile, n, true AS within FROM (SELECT event_type, count(value) AS n FROM events GROUP BY 1),
+  (VALUES ('q05'), ('q50'), ('q95')) q(quantile)""")
+def sketch_quantiles(spark, d):
+    """Quantiles of sketches that were made and stored per day, then merged over all days."""
+    probs, size = {"q05": 0.05, "q50": 0.5, "q95": 0.95}, 400
+    rows = events(spark, d).withColumn("day", F.to_date("ts"))
+    folder = f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    writers.write_table(sketches.sketch_table(rows, ["day", "event_type"], ["value"], size), folder)
+    merged = sketches.merge_sketches(spark.read.parquet(folder), ["event_type"], size)
+    values, _ = settled(sketches.sketch_quantiles(merged, probs))
+    ranks = sketches.rank_of(rows, ["event_type"], "value", values, list(probs))
+    return within_error(ranks, probs, size).join(values.select("event_type", "n"), "event_type")
 
 
 @R.add("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.95), 6) AS p95

@@ -96,15 +96,41 @@ def test_running_best_before_first_completed_trial(spark):
 
 
 @pytest.mark.parametrize("bucket", [6, 1000])
-def test_ewma_equals_recursion(spark, bucket):
-    df = frame(spark, 120)
-    got = {r["id"]: r["ewma"] for r in spc.ewma(df, "id", "v", ["s"], 0.3, bucket).collect()}
+@pytest.mark.parametrize("weight, reach", [(0.3, None), (0.9, 40.0), (0.6, 40.0), (1.0, None), (0.001, None)])
+def test_ewma_equals_recursion(spark, monkeypatch, bucket, weight, reach):
+    if reach:
+        monkeypatch.setattr(spc, "POWER_RANGE", reach)  # blocks of a few readings
+    df = frame(spark, 160).withColumn("v", F.when(F.col("id") % 50 == 7, float("nan")).otherwise(F.col("v")))
+    df = df.unionByName(spark.createDataFrame([(9_000, 9, None), (9_001, 9, None)], df.schema))
+    got = {r["id"]: r["ewma"] for r in spc.ewma(df, "id", "v", ["s"], weight, bucket).collect()}
     for _, g in df.toPandas().sort_values("id").groupby("s", dropna=False):
-        state = g.v.dropna().iloc[0]
+        known = g.v.dropna()
+        state = known.iloc[0] if len(known) else None
         for i, v in zip(g.id, g.v):
             if v == v:
-                state = 0.3 * v + 0.7 * state
-            assert np.isclose(got[i], state)
+                state = weight * v + (1 - weight) * state
+            assert got[i] is None if state is None else np.isclose(got[i], state)
+
+
+def test_ewma_is_expressions_only(spark):
+    plan = spc.ewma(frame(spark, 50), "id", "v", ["s"], 0.2, 10)._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "Arrow" not in plan and "Python" not in plan
+
+
+@pytest.mark.parametrize("rows", [40, 700])
+def test_quantiles_with_a_failing_bracket(spark, monkeypatch, rows):
+    monkeypatch.setattr(ordered, "rank_error", lambda k: 1e-4)  # brackets that miss
+    df = frame(spark, 2000).withColumn("w", F.when(F.col("id") % 9 == 0, float("nan")).otherwise(F.col("id") * 1.0))
+    out = {(r["s"], r["param"]): r for r in ordered.exact_quantiles(df, ["s"], ["v", "w"], {"a": 0.1, "m": 0.5, "z": 0.97}, rows).collect()}
+    pdf = df.toPandas()
+    assert len(out) == 6
+    for (s, p), r in out.items():
+        values = np.sort(pdf[pdf.s.isna() if s is None else pdf.s == s][p].dropna() if p == "v" else
+                         pdf[pdf.s.isna() if s is None else pdf.s == s][p].to_numpy())
+        for name, share in (("a", 0.1), ("m", 0.5), ("z", 0.97)):
+            place = share * (len(values) - 1)
+            low, high = values[int(np.floor(place))], values[int(np.ceil(place))]
+            assert np.isclose(r[name], low + (high - low) * (place % 1), equal_nan=True)
 
 
 @pytest.mark.parametrize("bucket", [5, 1000])
