@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from fabspark import schemas
 from fabspark.operators.quality import require_columns
+from fabspark.sources import npy
 
 
 def read_table(spark: SparkSession, *paths: str, recursive: bool = False, schema: T.StructType | None = None) -> DataFrame:
@@ -32,14 +33,8 @@ def read_raw_maps(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def read_fixed_width_maps(spark: SparkSession, path: str, size: int = 4096) -> DataFrame:
-    """Headerless file of equal-length maps: ``wafer_id`` is the position in the file.
-
-    The file is split between tasks at record borders.
-    """
-    records = spark.sparkContext.binaryRecords(path, size).zipWithIndex()
-    return records.map(lambda r: (r[1], r[0])).toDF(
-        T.StructType([T.StructField("wafer_id", T.LongType()), T.StructField("wafer_map_flat", T.BinaryType())])
-    )
+    """Headerless file of equal-length maps: ``wafer_id`` is the position in the file."""
+    return npy.read_npy_maps(spark, path, size)
 
 
 def read_class_metadata(spark: SparkSession, path: str) -> DataFrame:

@@ -16,9 +16,9 @@ from fabspark.operators import economics as E
 from fabspark.operators import lots, models, reports
 from fabspark.plans import medallion
 from fabspark.session import cut_lineage, shared_dir
-from fabspark.sources import readers, writers
+from fabspark.sources import npy, readers, writers
 from fabspark.standins.common import ROWS_PER_BUCKET, Registry, round_all, table
-from fabspark.standins.maps import SIDE, _quadrants, die_maps, shaped
+from fabspark.standins.maps import CELLS_SQL, SIDE, _quadrants, die_maps, shaped
 
 R = Registry()
 CLASS_SQL = "CASE {} % 9 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CLASSES)) + " END"
@@ -94,6 +94,39 @@ def temp_view(spark, d):
     return spark.sql(f"SELECT o_orderpriority, count(*) AS n FROM {name} GROUP BY 1")
 
 
+NPY_SQL = f"""WITH {CELLS_SQL} SELECT p.k AS wafer_id, CAST(count(*) AS INTEGER) AS dies, count(*) FILTER (die = 2) AS defects,
+  sum(die * (pos + 1)) FILTER (die > 0) AS place_sum FROM cells JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM embeddings) p USING (vec_id) GROUP BY 1"""
+
+
+def _map_sums(maps):
+    """Defects and a position-weighted sum of each map, so that a byte out of place shows."""
+    cells = F.transform(F.sequence(F.lit(1), F.length("wafer_map_flat")), lambda i: F.conv(F.hex(F.substr("wafer_map_flat", i, F.lit(1))), 16, 10).cast("long"))
+    return maps.select(
+        "wafer_id", F.length("wafer_map_flat").alias("dies"), F.size(F.filter(cells, lambda x: x == 2)).cast("long").alias("defects"),
+        F.aggregate(F.transform(cells, lambda x, i: x * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x).alias("place_sum"))
+
+
+def _in_order(spark, d):
+    maps = die_maps(spark, d).select(F.col("vec_id").alias("wafer_id"), F.col("map").alias("wafer_map_flat"))
+    return maps.repartitionByRange(4, "wafer_id").sortWithinPartitions("wafer_id")
+
+
+@R.add(NPY_SQL)
+def npy_maps(spark, d):
+    """Maps through array files with a header; the position over all files is the id."""
+    path = folder(spark)
+    npy.write_npy_maps(_in_order(spark, d), path, SIDE)
+    return _map_sums(npy.read_npy_maps(spark, path, part_bytes=10_000))
+
+
+@R.add(NPY_SQL)
+def headerless_maps(spark, d):
+    """Maps through files of plain bytes."""
+    path = folder(spark)
+    npy.write_npy_maps(_in_order(spark, d), path, SIDE, header=False)
+    return _map_sums(readers.read_fixed_width_maps(spark, path, SIDE * SIDE))
+
+
 # ---- raw maps -------------------------------------------------------------------------
 def raw_maps(spark, d):
     """Raw maps with nested labels: every 10th unlabelled, every 7th with too few bytes, every 11th missing."""

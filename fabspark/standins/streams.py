@@ -62,3 +62,27 @@ def drift_alarm(spark, d):
     final = _final(spark, result, ["window_start", "window_end", "event_type"])
     out = drift.rate_drift(final, "event_type", 7, 1.2)
     return round_all(out.select("event_type", F.unix_seconds("window_start").alias("window_start"), "rate", "baseline", "drift"))
+
+
+CLASS_OF = {"error": "Scratch", "purchase": "Edge-Ring", "signup": "Edge-Loc"}
+
+
+@R.add("""WITH r AS (SELECT CASE event_type WHEN 'error' THEN 'Scratch' WHEN 'purchase' THEN 'Edge-Ring' WHEN 'signup' THEN 'Edge-Loc' ELSE event_type END AS cls,
+    date_trunc('day', ts) AS ws, count(*) AS n, count(*) FILTER (value > 60) / count(*) AS rate FROM events GROUP BY 1, 2),
+  b AS (SELECT *, avg(rate) OVER (PARTITION BY cls ORDER BY ws ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS baseline FROM r)
+  SELECT cls, CAST(epoch(ws) AS BIGINT) AS window_start, n, round(rate, 6) AS rate, round(baseline, 6) AS baseline, round(rate / baseline, 6) AS ratio,
+    CAST(coalesce(rate >= 1.2 * baseline, false) AS INTEGER) AS drift,
+    CASE WHEN rate >= 1.2 * baseline THEN CASE cls WHEN 'Scratch' THEN 'inspect wafer handler for wear' WHEN 'Edge-Ring' THEN 'check furnace temperature profile'
+      WHEN 'Edge-Loc' THEN 'check polishing pressure drift' END END AS suggestion
+  FROM b WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""")
+def drift_stream(spark, d):
+    """Closed windows, drift state and maintenance hint as one stateful stream, resumed once from its state folder."""
+    names = F.create_map(*[F.lit(x) for pair in CLASS_OF.items() for x in pair])
+    folder = f"{shared_dir(spark)}/drift-{uuid.uuid4().hex}"
+    for _ in range(2):  # the second run finds no new events and must add nothing
+        events = _stream(spark, d).withColumn("cls", F.coalesce(names[F.col("event_type")], "event_type"))
+        live = drift.drift_stream(events, "ts", F.col("value") > 60, "cls", "1 day", "2 days", 7, 1.2)
+        drift.start_drift(live, f"{folder}/table", f"{folder}/state").awaitTermination()
+    out = drift.with_suggestion(spark.read.parquet(f"{folder}/table"), "cls")
+    out = out.withColumn("suggestion", F.when(F.col("drift") == 1, F.col("suggestion")))
+    return round_all(out.withColumn("window_start", F.unix_seconds("window_start")))

@@ -71,22 +71,40 @@ def test_batch_drift(spark):
     assert "handler" in out[0]["suggestion"]
 
 
-def test_stateful_drift_equals_batch(spark, folder, tmp_path):
-    """Both stages run after each of two file arrivals, so the state is carried over."""
-    src, rows = tmp_path / "src", events(900)
-    for part in (rows[:500], rows[500:]):
+def run_drift(spark, tmp_path, name, parts, expiry=None):
+    """The stream over each part in turn, from the same checkpoint; rows of its table."""
+    src, seen = tmp_path / name, []
+    for part in parts:
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(src))
-        live = rates.windowed_rate(
-            stream(spark, str(src)), "ts", F.col("bad") == 1, "1 day", keys=["cls"], watermark="1 hour")
-        rates.start_closed(live, str(tmp_path / "r"), str(tmp_path / "c1")).awaitTermination()
-        again = rates.read_stream(spark, str(tmp_path / "r"), spark.read.parquet(str(tmp_path / "r")).schema, "window_start")
-        rates.start_closed(
-            drift.drift_stream(again, "cls", 3, 2.0), str(tmp_path / "o"), str(tmp_path / "c2")).awaitTermination()
-    got = {(r["cls"], r["window_start"]): (r["drift"], r["baseline"]) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+        live = drift.drift_stream(stream(spark, str(src)), "ts", F.col("bad") == 1, "cls", "1 day", "1 hour", 3, 2.0, expiry)
+        drift.start_drift(live, str(tmp_path / f"{name}-o"), str(tmp_path / f"{name}-c")).awaitTermination()
+        seen.append(spark.read.parquet(str(tmp_path / f"{name}-o")).count())
+    out = {(r["cls"], r["window_start"]): (r["n"], r["rate"], r["baseline"], r["ratio"], r["drift"])
+           for r in spark.read.parquet(str(tmp_path / f"{name}-o")).collect()}
+    assert len(out) == seen[-1]
+    return out, seen
+
+
+def test_stateful_drift_equals_batch_and_restarts(spark, folder, tmp_path):
+    rows = events(900)
+    whole, _ = run_drift(spark, tmp_path, "whole", [rows])
+    restarted, seen = run_drift(spark, tmp_path, "again", [rows[:300], rows[300:310], rows[310:700], rows[700:]])
+    assert whole == restarted and 0 < seen[0] < seen[-1]
     batch = drift.rate_drift(
         rates.windowed_rate(spark.read.parquet(folder), "ts", F.col("bad") == 1, "1 day", keys=["cls"]), "cls", 3, 2.0)
-    want = {(r["cls"], r["window_start"]): (r["drift"], r["baseline"]) for r in batch.collect()}
-    assert got and len(got) < len(want)  # the last windows are still open
-    for key, (flag, base) in got.items():
-        assert flag == want[key][0]
-        assert (base is None or base != base) if want[key][1] is None else base == pytest.approx(want[key][1])
+    want = {(r["cls"], r["window_start"]): r for r in batch.collect()}
+    assert len(want) - 2 <= len(whole) < len(want)  # the last windows are still open
+    for key, (n, rate, base, ratio, flag) in whole.items():
+        assert (n, flag) == (want[key]["n"], want[key]["drift"]) and rate == pytest.approx(want[key]["rate"])
+        assert base == (want[key]["baseline"] and pytest.approx(want[key]["baseline"])) and ratio == (want[key]["ratio"] and pytest.approx(want[key]["ratio"]))
+
+
+def test_a_class_that_stays_away_starts_over(spark, tmp_path):
+    rows = [(d * 10 + i, T0 + dt.timedelta(days=d, minutes=i), "a", int(i < 1 + d % 3)) for d in (0, 1, 2, 8, 9) for i in range(4)]
+    rows += [(1000 + d, T0 + dt.timedelta(days=d), "b", 0) for d in range(12)]
+    rows.sort(key=lambda r: r[1])
+    whole, _ = run_drift(spark, tmp_path, "w", [rows], 3 * 86400)
+    parts, _ = run_drift(spark, tmp_path, "p", [rows[:9], rows[9:14], rows[14:18], rows[18:]], 3 * 86400)
+    assert whole == parts
+    base = {k[1].day: v[2] for k, v in whole.items() if k[0] == "a"}
+    assert base[1] is None and base[3] == pytest.approx(0.375) and base[9] is None and base[10] == pytest.approx(0.75)
