@@ -16,7 +16,8 @@ is encoded with the rest of the spans at its ends.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -33,8 +34,7 @@ CHUNK = 1 << 16  # bytes of a text that one fragment covers
 SPAN = 4096      # a chunk may end inside a span up to this length
 FAN = 16
 KNOWN = 400_000
-PIECE = 8 << 20
-TOKENS = 1 << 20  # A tokens of one block of documents
+PIECE = 1 << 20  # bytes of text in one block of documents
 ALIGNED = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>"
 FRAGMENT = "k1 long, k2 long, chunk int, sound boolean, a_ids array<int>, b_ids array<int>, a_cuts array<int>, b_cuts array<int>"
 BLOCKS = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -100,12 +100,13 @@ class Pairing:
         self.a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
         self.a.encode_special_tokens = True
         alphabet, size = byte_alphabet(), self.a.get_vocab_size(True)
-        self.a_bytes = [bytes(alphabet.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)]
-        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-        if any(" " in p.decode(errors="replace").lstrip(" ") for p in self.b_bytes):
+        pieces_b = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.names = {
+            "a_ids": [bytes(alphabet.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)],
+            "b_ids": [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces_b)]}
+        self.width = {k: np.array([len(x) for x in v], np.int64) for k, v in self.names.items()}
+        if any(" " in p.decode(errors="replace").lstrip(" ") for p in self.names["b_ids"]):
             raise ValueError("a piece of B spans a space inside a text: spans cannot be encoded alone")
-        self.a_width, self.b_width = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.forget()
 
     def forget(self) -> None:
@@ -120,23 +121,32 @@ class Pairing:
         """Encode and align spans that were not met before."""
         texts = [s.decode(errors="replace") for s in spans]
         encode = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        a = [e.ids for e in encode(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        good = [b"".join([self.a_bytes[i] for i in x]) == s == b"".join([self.b_bytes[i] for i in y]) for s, x, y in zip(spans, a, b)]
-        a, b = ([x if ok else [] for x, ok in zip(side, good)] for side in (a, b))
+        found = {"a_ids": [e.ids for e in encode(texts, add_special_tokens=False)], "b_ids": self.b.encode([t[1:] for t in texts], num_threads=1)}
+        size = np.fromiter(map(len, spans), np.int64, len(spans))
+        row, good = np.repeat(np.arange(len(spans)), size), np.ones(len(spans), bool)
+        raw = np.frombuffer(b"".join(spans), np.uint8)
+        flat, ends, counts = {}, {}, {}
+        for name, side in found.items():
+            counts[name] = np.fromiter(map(len, side), np.int64, len(side))
+            flat[name] = np.fromiter(chain.from_iterable(side), np.int32, int(counts[name].sum()))
+            width = np.bincount(np.repeat(np.arange(len(spans)), counts[name]), self.width[name][flat[name]], len(spans))
+            same = width == size
+            ids = flat[name][np.repeat(same, counts[name])]
+            own = np.frombuffer(b"".join(map(self.names[name].__getitem__, ids.tolist())), np.uint8)
+            theirs = np.repeat(same, size)
+            same[row[theirs][own != raw[theirs]]] = False
+            good &= same
         first = len(self.known)
         self.known.update(zip(spans, range(first, first + len(spans))))
-        self.sound = np.concatenate([self.sound, np.array(good, bool)])
-        flat, ends = {}, {}
-        for name, side, width in (("a_ids", a, self.a_width), ("b_ids", b, self.b_width)):
-            counts = np.fromiter(map(len, side), np.int64, len(side))
-            flat[name] = np.fromiter((i for x in side for i in x), np.int32, int(counts.sum()))
-            ends[name] = np.cumsum(width[flat[name]])
-            self.ends[name] = np.concatenate([self.ends[name], self.ends[name][-1] + np.cumsum(counts)])
+        self.sound = np.concatenate([self.sound, good])
+        for name in found:
+            flat[name] = flat[name][np.repeat(good, counts[name])]
+            ends[name] = np.cumsum(self.width[name][flat[name]])
+            self.ends[name] = np.concatenate([self.ends[name], self.ends[name][-1] + np.cumsum(counts[name] * good)])
         both = np.intersect1d(ends["a_ids"], ends["b_ids"], assume_unique=True)
         for name in ("a_ids", "b_ids"):
             flat[name.replace("ids", "sizes")] = np.diff(np.searchsorted(ends[name], both, "right"), prepend=0).astype(np.int32)
-        reach = np.cumsum([len(s) if ok else 0 for s, ok in zip(spans, good)])
+        reach = np.cumsum(size * good)
         self.ends["sizes"] = np.concatenate([self.ends["sizes"], self.ends["sizes"][-1] + np.searchsorted(both, reach, "right")])
         self.pools = {k: np.concatenate([v, flat[k]]) for k, v in self.pools.items()}
 
@@ -176,7 +186,7 @@ class Pairing:
         sound, flat, _ = self.align(data, np.array([0, len(data)]))
         if not sound[0]:
             return None
-        ends = [np.cumsum(w[flat[k]]) for w, k in ((self.a_width, "a_ids"), (self.b_width, "b_ids"))]
+        ends = [np.cumsum(self.width[k][flat[k]]) for k in ("a_ids", "b_ids")]
         low, high = zip(*(np.searchsorted(e, [skip, keep], "right") for e in ends))
         cuts = [np.cumsum(flat[k]) for k in ("a_sizes", "b_sizes")]
         inside = (ends[0][cuts[0] - 1] > skip) & (ends[0][cuts[0] - 1] <= keep)
@@ -258,42 +268,66 @@ def fragment_rows(rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays(arrays, ["k1", "k2", "chunk", "sound", *Fragment._fields])
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", doc_id: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ids of A and B in order, and tokens of each per group.
+class Groups(NamedTuple):
+    """Some documents' ids and group sizes in flat arrays, with where each document's part ends."""
 
-    Both encode a space and the text. Null and empty texts, and those whose tokens' bytes are not
-    these, have empty arrays. Equal rows stay apart; a text beyond ``chunk`` bytes is encoded once
-    for all rows that hold it. Other columns are ignored.
-    """
+    doc_id: pa.Array
+    a_ids: np.ndarray
+    b_ids: np.ndarray
+    a_sizes: np.ndarray
+    b_sizes: np.ndarray
+    a_ends: np.ndarray
+    b_ends: np.ndarray
+    ends: np.ndarray
+
+    def rows(self, number: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [self.doc_id, lists(self.a_ids, self.a_ends), lists(self.b_ids, self.b_ends), lists(self.a_sizes, self.ends), lists(self.b_sizes, self.ends)],
+            ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
+
+
+def documents(docs: DataFrame, a_path: str, b_path: str, text: str, doc_id: str, chunk: int, piece: int, finish: Callable, schema: str) -> DataFrame:
+    """``finish(groups, number)`` for pieces of the documents; ``number`` is one of its own for each piece."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    short = rows.filter(F.octet_length("text") <= chunk)
+    short = rows.filter(F.octet_length("text") <= chunk).withColumn("part", F.spark_partition_id())
     long = rows.filter(F.octet_length("text") > chunk).withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text")})
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
         for batch in batches:
             texts, names, pair = column(batch.column("text")), batch.column("doc_id"), pairing(a_path, b_path)
-            for first, some in pieces(texts, PIECE):
+            for first, some in pieces(texts, piece):
                 data, offsets = buffers(some)
-                filled = np.flatnonzero(np.diff(offsets))
-                data = np.insert(data, offsets[:-1][filled], 0x20)
+                data = np.insert(data, offsets[:-1][np.flatnonzero(np.diff(offsets))], 0x20)
                 offsets = offsets + np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])
                 _, flat, ends = pair.align(data, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [names.slice(first, len(some)), lists(flat["a_ids"], ends["a_ids"]), lists(flat["b_ids"], ends["b_ids"]),
-                     lists(flat["a_sizes"], ends["sizes"]), lists(flat["b_sizes"], ends["sizes"])],
-                    ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
+                yield finish(Groups(names.slice(first, len(some)), *flat.values(), *ends.values()), (batch.column("part")[0].as_py() << 32) + number)
+                number += 1
+
+    def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 1 << 31  # apart from those of short documents
+        for batch in batches:
+            for i in range(batch.num_rows):
+                flat = [np.array(batch.column(k)[i].values, np.int32) for k in ("a_ids", "b_ids")]
+                cuts = [np.diff(np.array(batch.column(k)[i].values, np.int32), prepend=np.int32(0)) for k in ("a_cuts", "b_cuts")]
+                ends = [np.array([0, len(x)]) for x in (*flat, cuts[0])]
+                yield finish(Groups(batch.column("doc_id").slice(i, 1), *flat, *cuts, *ends), (batch.column("part")[0].as_py() << 32) + number)
+                number += 1
 
     found = long_fragments(long.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]), a_path, b_path, chunk)
+    joined = long.select("doc_id", "k1", "k2").join(found, ["k1", "k2"]).select(
+        "doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts", F.spark_partition_id().alias("part"))
+    return short.mapInArrow(whole, schema).unionByName(joined.mapInArrow(composed, schema))
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cuts = [[np.diff(np.array(c.values, np.int32), prepend=np.int32(0)) for c in batch.column(k)] for k in ("a_cuts", "b_cuts")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("a_ids"), batch.column("b_ids"), *(pa.array(c, pa.list_(pa.int32())) for c in cuts)],
-                ["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes"])
 
-    joined = long.select("doc_id", "k1", "k2").join(found, ["k1", "k2"]).select("doc_id", "a_ids", "b_ids", "a_cuts", "b_cuts")
-    return short.mapInArrow(whole, ALIGNED).unionByName(joined.mapInArrow(sizes, ALIGNED))
+def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", doc_id: str = "doc_id", chunk: int = CHUNK) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ids of A and B in order, and tokens of each per group.
+
+    Both encode a space and the text. Null and empty texts, and those whose tokens' bytes are not
+    these, have empty arrays. Equal rows stay apart; a text beyond ``chunk`` bytes is encoded once
+    for all rows that hold it. Other columns are ignored.
+    """
+    return documents(docs, a_path, b_path, text, doc_id, chunk, PIECE, Groups.rows, ALIGNED)
 
 
 # ---- Spark: pairs and digests -------------------------------------------------------------
@@ -323,73 +357,66 @@ def group_links(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_siz
 def group_texts(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All groups as ``a1,a2|b1;`` in a row of bytes, and where each group ends."""
     a_ends, b_ends = np.cumsum(a_sizes), np.cumsum(b_sizes)
-    ids = np.empty(len(a_ids) + len(b_ids), np.int64)
+    ids = np.empty(len(a_ids) + len(b_ids), np.int32)
     mark = np.full(len(ids), ord(","), np.uint8)
     a_place = np.arange(len(a_ids)) + np.repeat(b_ends - b_sizes, a_sizes)
     b_place = np.arange(len(b_ids)) + np.repeat(a_ends, b_sizes)
     ids[a_place], ids[b_place] = a_ids, b_ids
     mark[a_place[a_ends - 1]], mark[b_place[b_ends - 1]] = ord("|"), ord(";")
     digits = len(str(int(ids.max(initial=0))))
-    cells = (ids[:, None] // 10 ** np.arange(digits - 1, -1, -1) % 10 + 48).astype(np.uint8)
+    cells = np.empty((len(ids), digits + 1), np.uint8)
     shown = np.ones((len(ids), digits + 1), bool)
-    shown[:, :-1] = ids[:, None] >= 10 ** np.arange(digits - 1, -1, -1)
-    shown[:, digits - 1] = True
+    for d in range(digits):
+        power = np.int32(10 ** (digits - 1 - d))
+        cells[:, d] = ids // power % 10 + 48
+        if d < digits - 1:
+            shown[:, d] = ids >= power
+    cells[:, digits] = mark
     ends = np.cumsum(shown.sum(axis=1))
-    return np.concatenate([cells, mark[:, None]], axis=1)[shown], ends[b_place[b_ends - 1]]
-
-
-def blocks(aligned: DataFrame, tokens: int = TOKENS) -> DataFrame:
-    """Blocks of documents with their digests, each block's distinct pairs, and how many of its documents link each."""
-
-    def block(number: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-        a_ids, b_ids, a_sizes, b_sizes = (np.asarray(batch.column(c).flatten()) for c in ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-        counts = {c: np.array(batch.column(c).value_lengths(), np.int64) for c in ("a_ids", "b_ids", "a_sizes")}
-        group, pairs, times = group_links(a_ids, b_ids, a_sizes, b_sizes)
-        row = np.repeat(np.arange(batch.num_rows), counts["a_sizes"])[group]
-        links = np.bincount(row, times, batch.num_rows).astype(np.int64)
-        coded = pa.array(pairs).dictionary_encode()
-        names, place = np.asarray(coded.dictionary), np.asarray(coded.indices).astype(np.int64)
-        held, where = np.unique(row * max(1, len(names)) + place, return_inverse=True)
-        often = np.bincount(where, times, len(held)).astype(np.int64)
-        row, place = held // max(1, len(names)), held % max(1, len(names))
-        raw, ends = group_texts(a_ids, b_ids, a_sizes, b_sizes)
-        ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts["a_sizes"])])]
-        view = memoryview(np.ascontiguousarray(raw))
-        digests = [hashlib.sha256(view[s:e - 1]).hexdigest() if e > s else "" for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        packed = b"".join(x.astype(t).tobytes() for x, t in ((np.bincount(row, minlength=batch.num_rows), np.int64), (place, np.int32), (often, np.int64)))
-        long = pa.list_(pa.int64())
-        return pa.RecordBatch.from_arrays([
-            pa.array([number], pa.int64()), pa.array([batch.column("doc_id")], long), pa.array([counts["a_ids"]], long), pa.array([counts["b_ids"]], long),
-            pa.array([counts["a_sizes"]], long), pa.array([links], long), pa.array([digests], pa.list_(pa.string())), pa.array([names], long),
-            pa.array([np.bincount(place, minlength=len(names))], long), pa.array([zstandard.ZstdCompressor(level=1).compress(packed)], pa.binary()),
-        ], [f.split()[0] for f in BLOCKS.split(", ")])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
-        for batch in batches:
-            batch = batch.select(["doc_id", "a_ids", "b_ids", "a_sizes", "b_sizes", "part"])
-            reach = np.cumsum(np.array(batch.column("a_ids").value_lengths(), np.int64))
-            start = 0
-            while start < batch.num_rows:
-                base = int(reach[start - 1]) if start else 0
-                end = max(start + 1, int(np.searchsorted(reach, base + tokens, "right")))
-                yield block((batch.column("part")[start].as_py() << 32) + number, batch.slice(start, end - start))
-                number, start = number + 1, end
-
-    return aligned.withColumn("part", F.spark_partition_id()).mapInArrow(run, BLOCKS)
+    return cells[shown], ends[b_place[b_ends - 1]]
+
+
+def block(groups: Groups, number: int) -> pa.RecordBatch:
+    """A block of documents with their digests, its distinct pairs, and how many of its documents link each."""
+    rows = len(groups.doc_id)
+    a_ids, b_ids, a_sizes, b_sizes = groups[1:5]
+    group, pairs, times = group_links(a_ids, b_ids, a_sizes, b_sizes)
+    row = np.repeat(np.arange(rows), np.diff(groups.ends))[group]
+    del group
+    links = np.bincount(row, times, rows).astype(np.int64)
+    coded = pa.array(pairs).dictionary_encode()
+    del pairs
+    names = np.asarray(coded.dictionary)
+    width = max(1, len(names))
+    held, where = np.unique(row * width + np.asarray(coded.indices), return_inverse=True)
+    del row, coded
+    often = np.bincount(where, times, len(held)).astype(np.int64)
+    del where, times
+    row, place = held // width, held % width
+    raw, ends = group_texts(a_ids, b_ids, a_sizes, b_sizes)
+    ends = np.concatenate([[0], ends])[groups.ends]
+    view = memoryview(np.ascontiguousarray(raw))
+    digests = [hashlib.sha256(view[s:e - 1]).hexdigest() if e > s else "" for s, e in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    packed = b"".join(x.astype(t).tobytes() for x, t in ((np.bincount(row, minlength=rows), np.int64), (place, np.int32), (often, np.int64)))
+    long = pa.list_(pa.int64())
+    return pa.RecordBatch.from_arrays([
+        pa.array([number], pa.int64()), pa.array([groups.doc_id], long), *(pa.array([np.diff(e)], long) for e in (groups.a_ends, groups.b_ends, groups.ends)),
+        pa.array([links], long), pa.array([digests], pa.list_(pa.string())), pa.array([names], long),
+        pa.array([np.bincount(place, minlength=len(names))], long), pa.array([zstandard.ZstdCompressor(level=1).compress(packed)], pa.binary()),
+    ], [f.split()[0] for f in BLOCKS.split(", ")])
 
 
 def pair_counts(found: DataFrame) -> DataFrame:
-    """``pair`` (A id << 32 | B id), ``n``: how many documents of all :func:`blocks` link it, and ``best``: no B id does more often."""
+    """``pair`` (A id << 32 | B id), ``n``: how many documents of all blocks link it, and ``best``: no B id does more often."""
     counts = found.select(F.explode(F.arrays_zip("pairs", "holders")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.holders").alias("n"))
     counts = saved(counts, "pair-counts").withColumn("a", F.shiftright("pair", 32).cast("int"))
     most = F.broadcast(counts.groupBy("a").agg(F.max("n").alias("most")))  # at most one row per entry of A's vocabulary
     return counts.join(most, "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def digest(aligned: DataFrame, tokens: int = TOKENS) -> DataFrame:
-    """Per row of :func:`align`: token, group and link counts, links that are their A id's best, the sum of all links' counts, and a hash of the groups."""
-    found = saved(blocks(aligned, tokens), "aligned-blocks")
+def digest(docs: DataFrame, a_path: str, b_path: str, text: str = "text", doc_id: str = "doc_id", chunk: int = CHUNK, piece: int = PIECE) -> DataFrame:
+    """Per row of ``docs``, aligned as by :func:`align`: token, group and link counts, links that are their A id's best, the sum of all links' counts, and a hash of the groups."""
+    found = saved(documents(docs, a_path, b_path, text, doc_id, chunk, piece, block, BLOCKS), "aligned-blocks")
     wanted = found.select(F.col("block").alias("home"), F.posexplode("pairs").alias("place", "pair"))
     known = wanted.join(pair_counts(found), "pair").select("home", "place", "n", "best")
 

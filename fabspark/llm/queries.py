@@ -124,4 +124,4 @@ def op11_alignment(spark, sf_dir):
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    return alignment.digest(alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")))
+    return alignment.digest(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
