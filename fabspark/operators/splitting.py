@@ -12,12 +12,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabspark.operators.joins import null_safe_join
 from fabspark.operators.ordered import top_k
-from fabspark.session import broadcast_if_small
+from fabspark.session import broadcast_if_small, settled
 
 _CELL_BITS = 16
-MEAN_PER_SHARE = 8.0
-TOP_DRAW = 48  # of one share; more has a probability below 1e-20
+CELL_ROWS = 20_000
+MAX_CELLS = 1 << 20
 
 
 def uniform(*keys: Column | str) -> Column:
@@ -149,45 +150,72 @@ def class_weights(df: DataFrame, class_col: str, kind: str = "balanced") -> Data
     )
 
 
+def _place(ascending: Column, value: Column) -> Column:
+    """How many entries of an ascending array are at most ``value``, by halving steps."""
+    steps = F.array(*[F.lit(1 << p) for p in range(20, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(ascending)) & (F.get(ascending, at + step - 1) <= value), at + step).otherwise(at))
+
+
 def weighted_resample(
-    df: DataFrame, id_col: str, class_col: str, weights: dict | None = None, draws: int | None = None, seed: int = 42
+    df: DataFrame, id_col: str, class_col: str, weights: dict | None = None, draws: int | None = None, seed: int = 42,
+    draw: Callable[[Column, int], Column] = id_hash, cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """Sampling with replacement by class weight, as independent Poisson copy counts per row.
-
-    The number of rows is ``draws`` in expectation. By default classes weigh the same in total
-    and ``draws`` is the number of rows. Map-only after the class counts.
+    """Exactly ``draws`` rows, drawn with replacement by class weight.
+
+    By default classes weigh the same in total and ``draws`` is the number of rows. Each draw goes
+    to a class, and in it down a tree over hash cells: every fork sends it left or right in
+    proportion to the rows below, which splits the number of draws binomially and so loses none.
+    What is left is a place within a cell. Only draws' cells and places are shuffled, added up
+    before, and the rows once, by class and cell; no task holds more than a cell. Rows of one id
+    and class share their draws in no fixed order. ``draw`` is the hash of a key and a seed.
     """
+    spark = df.sparkSession
     counts = df.groupBy(F.col(class_col).alias("_c")).agg(F.count("*").alias("_n"))
     if weights is None:
         own = 1.0 / F.col("_n")
     else:
         given = [x for c, w in weights.items() for x in (F.lit(c), F.lit(float(w)))]
         own = F.coalesce(F.create_map(*given)[F.col("_c")], F.lit(0.0)) if given else F.lit(0.0)
-    everything = Window.partitionBy()
-    wanted = F.lit(draws) if draws else F.sum("_n").over(everything)
-    counts = counts.withColumn("_w", own)
-    counts = counts.withColumn("_mean", wanted * F.col("_w") / F.sum(F.col("_w") * F.col("_n")).over(everything))
-    shares = F.greatest(F.lit(1), F.ceil(F.col("_mean") / MEAN_PER_SHARE)).cast("int")  # a sum of Poisson draws is Poisson
-    lookup = broadcast_if_small(counts.select("_c", shares.alias("_shares"), _poisson_cdf(F.col("_mean") / shares).alias("_cdf")))
-    u = uniform(F.col(id_col), F.col("_share"), F.lit(seed))
-    return (
-        df.join(lookup, F.col(class_col).eqNullSafe(F.col("_c")))
-        .withColumn("_share", F.explode(F.sequence(F.lit(1), F.col("_shares"))))
-        .withColumn("_u", u)
-        .withColumn("_k", F.size(F.filter("_cdf", lambda p: p <= F.col("_u"))))
-        .filter(F.col("_k") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k"))))
-        .select(*df.columns)
-    )
+    order = Window.orderBy(F.col("_c").cast("string"))  # one row per class
+    sizes = counts.withColumn("_w", own * F.col("_n")).filter("_w > 0")
+    share = F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, 0)) / F.sum("_w").over(Window.partitionBy())
+    sizes, _ = settled(sizes.select("_c", "_n", (F.row_number().over(order) - 1).alias("_class"), share.alias("_upto")))
+    all_rows, most, classes = counts.agg(F.sum("_n")).first()[0], *sizes.agg(F.max("_n"), F.count("*")).first()
+    if not classes:
+        return df.limit(0)
+    bits = max(0, min(_CELL_BITS, math.ceil(math.log2(max(1.0, most / cell_rows))), int(math.log2(max(1, MAX_CELLS // classes)))))
 
-
-def _poisson_cdf(mean: Column) -> Column:
-    """P(X <= j) for j = 0 to ``TOP_DRAW``, as an array; the last one is 1."""
-    logs = F.array(*[F.lit(math.lgamma(j + 1)) for j in range(TOP_DRAW)])
-    terms = F.transform(logs, lambda g, j: F.exp(-mean + j * F.ln(mean) - g))
-    sums = F.transform(F.sequence(F.lit(1), F.lit(TOP_DRAW)), lambda k: F.least(
-        F.aggregate(F.slice(terms, 1, k), F.lit(0.0), lambda a, x: a + x), F.lit(1.0)))
-    return F.when(mean > 0, F.concat(sums, F.array(F.lit(1.0)))).otherwise(F.array(F.lit(1.0)))
+    h = draw(F.col(id_col), seed)
+    cell = (F.shiftright(h, 64 - bits) if bits else F.lit(0)).cast("int")
+    rows = df.select("*", F.col(class_col).alias("_c"), cell.alias("_cell"), h.alias("_h"))
+    cells = rows.groupBy("_c", "_cell").agg(F.count("*").alias("_m"))
+    ahead = Window.partitionBy("_c").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_m").over(ahead), F.lit(0)))
+    tree = cells.groupBy("_c").agg(F.sort_array(F.collect_list(F.struct("_before", "_cell"))).alias("_cells"))
+    tree = null_safe_join(sizes.select("_c", "_class", "_n"), tree, ["_c"]).select(
+        "*", F.col("_cells._before").alias("_starts"), F.col("_cells._cell").alias("_names")).drop("_cells")
+    tree = broadcast_if_small(tree)
+
+    def uniform_of(shift: int) -> Column:
+        return draw(F.col("_t"), seed + shift).bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
+
+    shares = sizes.agg(F.sort_array(F.collect_list("_upto")).alias("_shares")).withColumn("_one", F.lit(0))
+    tickets = spark.range(draws if draws is not None else all_rows).select(F.col("id").alias("_t"), F.lit(0).alias("_one"))
+    tickets = tickets.join(F.broadcast(shares), "_one").withColumn("_class", F.least(_place(F.col("_shares"), uniform_of(1)), F.lit(classes - 1)))
+    tickets = tickets.select("_t", "_class").join(tree, "_class")
+    tickets = tickets.withColumn("_r", F.least(F.floor(uniform_of(2) * F.col("_n")), F.col("_n") - 1))
+    tickets = tickets.withColumn("_at", _place(F.col("_starts"), F.col("_r")) - 1)
+    taken = tickets.select("_c", F.get("_names", F.col("_at")).alias("_cell"), (F.col("_r") - F.get("_starts", F.col("_at")) + 1).alias("_rank"))
+    taken = taken.groupBy("_c", "_cell", "_rank").agg(F.count("*").alias("_k"))
+
+    # Rows and draws of a cell meet in one window: rows are numbered, draws know their number.
+    both = rows.withColumn("_flag", F.lit(0)).unionByName(taken.withColumn("_flag", F.lit(1)), allowMissingColumns=True)
+    numbered = Window.partitionBy("_c", "_cell").orderBy("_flag", "_h", id_col)
+    both = both.withColumn("_rank", F.when(F.col("_flag") == 0, F.row_number().over(numbered)).otherwise(F.col("_rank")))
+    both = both.withColumn("_k", F.sum("_k").over(Window.partitionBy("_c", "_cell", "_rank")))
+    hit = both.filter("_flag = 0 AND _k > 0")
+    return hit.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_k")))).select(*df.columns)
 
 
 def class_sample(

@@ -243,14 +243,23 @@ def strat_split(spark, d):
     return splitting.stratified_split(rows, "event_id", "event_type", draw=md5_draw)
 
 
-@R.add("SELECT source, 1 AS within_six_sigma FROM documents GROUP BY 1")
+def draw_sql(key, seed):
+    return f"CAST('0x' || substr(md5({key} || ':{seed}'), 1, 15) AS BIGINT)"
+
+
+@R.add(f"""WITH c AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+  k AS (SELECT source, n, coalesce(sum(1.0 / n * n) OVER (ORDER BY source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / sum(1.0 / n * n) OVER () AS lo,
+    sum(1.0 / n * n) OVER (ORDER BY source) / sum(1.0 / n * n) OVER () AS hi FROM c),
+  t AS (SELECT ({draw_sql('t', 43)} & 9007199254740991) / 9007199254740992.0 AS u, ({draw_sql('t', 44)} & 9007199254740991) / 9007199254740992.0 AS v
+    FROM range((SELECT count(*) FROM documents)) x(t)),
+  p AS (SELECT source, least(floor(v * n), n - 1) AS r FROM t JOIN k ON u >= lo AND u < hi),
+  o AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY {draw_sql('doc_id', 42)}, doc_id) - 1 AS r FROM documents)
+  SELECT doc_id, source, count(*) AS copies FROM p JOIN o USING (source, r) GROUP BY 1, 2""")
 def weighted_resample(spark, d):
-    """Draws per class against their Poisson spread around the common share."""
+    """Copies of each row drawn; as many draws as rows, every source with the same expected total."""
     docs = table(spark, d, "documents").select("doc_id", "source")
-    share = docs.agg(F.count("*") / F.count_distinct("source")).first()[0]
-    drawn = splitting.weighted_resample(docs, "doc_id", "source").groupBy("source").agg(F.count("*").alias("n"))
-    near = F.abs(F.col("n") - share) <= 6 * share**0.5
-    return drawn.select("source", near.cast("int").alias("within_six_sigma"))
+    drawn = splitting.weighted_resample(docs, "doc_id", "source", draw=md5_draw, cell_rows=50)
+    return drawn.groupBy("doc_id", "source").agg(F.count("*").alias("copies"))
 
 
 @R.add(f"""SELECT event_id, event_type FROM (SELECT event_id, event_type,

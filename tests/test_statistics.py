@@ -113,17 +113,28 @@ def test_stratified_split_is_exact(spark, n):
     assert sorted(map(str, again.collect())) == sorted(map(str, tagged.collect()))
 
 
-def test_resample(spark):
-    df = spark.range(4000).select("id", F.when(F.col("id") < 3900, "big").otherwise("small").alias("cls"))
-    drawn = splitting.weighted_resample(df, "id", "cls")
-    counts = {r["cls"]: r["count"] for r in drawn.groupBy("cls").count().collect()}
-    for n in counts.values():  # 2000 expected each, Poisson spread
-        assert abs(n - 2000) < 6 * math.sqrt(2000)
-    assert drawn.filter("cls = 'small'").distinct().count() == 100
-    one = splitting.weighted_resample(df.filter("id < 1"), "id", "cls", draws=5000)
-    assert abs(one.count() - 5000) < 6 * math.sqrt(5000)
-    assert sorted(r[0] for r in drawn.select("id").collect()) == sorted(
-        r[0] for r in splitting.weighted_resample(df.repartition(6), "id", "cls").select("id").collect())
+@pytest.mark.parametrize("cell_rows", [100_000, 30])
+def test_resample(spark, cell_rows):
+    df = spark.range(4000).select("id", F.when(F.col("id") < 3800, "big").when(F.col("id") < 3900, None).otherwise("small").alias("cls"), F.lit("x").alias("extra"))
+    for seed in range(3):
+        drawn = splitting.weighted_resample(df, "id", "cls", seed=seed, cell_rows=cell_rows).cache()
+        counts = {r["cls"]: r["count"] for r in drawn.groupBy("cls").count().collect()}
+        assert sum(counts.values()) == 4000 and drawn.columns == df.columns
+        for n in counts.values():  # a third each, binomial spread
+            assert abs(n - 4000 / 3) < 6 * math.sqrt(4000 * 2 / 9)
+        assert drawn.filter("cls = 'small'").distinct().count() == 100
+        per_row = [r["count"] for r in drawn.filter("cls = 'small'").groupBy("id").count().collect()]
+        assert abs(np.var(per_row) - np.mean(per_row)) < 0.8 * np.mean(per_row)  # as independent draws spread
+    again = splitting.weighted_resample(df.repartition(6), "id", "cls", seed=2, cell_rows=cell_rows)
+    assert sorted(r[0] for r in drawn.select("id").collect()) == sorted(r[0] for r in again.select("id").collect())
+    exact = lambda *a, **k: splitting.weighted_resample(*a, cell_rows=cell_rows, **k)
+    assert exact(df.filter("id < 1"), "id", "cls", draws=5000).count() == 5000
+    weighed = {r["cls"]: r["count"] for r in exact(df, "id", "cls", {"big": 1.0, "small": 19.0}, 999).groupBy("cls").count().collect()}
+    assert sum(weighed.values()) == 999 and set(weighed) == {"big", "small"} and abs(weighed["small"] - 1900 / 5700 * 999) < 90
+    assert exact(df, "id", "cls", {"gone": 1.0}).count() == 0 and exact(df.limit(0), "id", "cls").count() == 0
+    assert exact(df, "id", "cls", draws=0).count() == 0
+    twice = df.filter("id < 10").unionByName(df.filter("id < 10"))
+    assert exact(twice, "id", "cls", draws=321).count() == 321
 
 
 def test_weights(spark):
