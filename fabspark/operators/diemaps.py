@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -241,6 +243,7 @@ def augment_image(blob: Column, draw: Column, side: int = 64, config: dict = AUG
 
 
 # ---- class heatmaps ---------------------------------------------------------------
+SLOTS = 64
 def _class_sums(df: DataFrame, class_col: str, values: str, kind: str) -> DataFrame:
     """One summed vector per task and class, from a map or array column."""
 
@@ -279,15 +282,17 @@ def _class_sums(df: DataFrame, class_col: str, values: str, kind: str) -> DataFr
 def class_heatmap(df: DataFrame, class_col: str, values: str, kind: str = "map") -> DataFrame:
     """Cell-wise mean per class: of ``die == 2`` (``kind='map'``) or of ``|value|`` (``'array'``).
 
-    Each task sends one vector per class; the vectors are then added up cell by cell.
+    Each task sends one vector per class. Vectors are added as vectors, first per class and slot of
+    tasks, then per class, and only the class means become cells.
     """
+    def added(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(Summarizer.sum(F.col("v")).alias("v"), F.sum("n").alias("n"))
+
     partial = _class_sums(df, class_col, values, kind)
-    return (
-        partial.select("c", "n", F.posexplode("total").alias("pos", "s"))
-        .groupBy("c", "pos")
-        .agg((F.sum("s") / F.sum("n")).alias("mean_value"), F.sum("n").alias("n_maps"))
-        .withColumnRenamed("c", class_col)
-    )
+    partial = partial.select("c", "n", array_to_vector("total").alias("v"), (F.spark_partition_id() % SLOTS).alias("slot"))
+    whole = added(added(partial, "c", "slot"), "c").select("c", "n", vector_to_array("v").alias("total"))
+    return whole.select(F.col("c").alias(class_col), F.posexplode("total").alias("pos", "s"), "n").select(
+        class_col, "pos", (F.col("s") / F.col("n")).alias("mean_value"), F.col("n").alias("n_maps"))
 
 
 def heatmap_entropy(heatmap: DataFrame, class_col: str) -> DataFrame:

@@ -134,6 +134,65 @@ def search_settings(
     )
 
 
+def best_settings(
+    spark: SparkSession,
+    classes: Sequence[str],
+    coefficients: Mapping[str, Mapping[str, float]],
+    stats: Mapping[str, tuple[float, float]],
+    bounds: Mapping[str, tuple[float, float]] = C.PARAM_BOUNDS,
+    unit_cost: Mapping[str, float] = C.PARAM_COST,
+) -> DataFrame:
+    """The setting within ``bounds`` with the lowest objective per class, in the columns of ``search_settings``.
+
+    The risk depends on one weighted sum of the parameters, so the cheapest way to lower that sum
+    by ``x`` is to move parameters in the order of their cost per unit of the sum. Along this
+    frontier the cost is linear between break points, and between two of them the objective is
+    lowest at an end or where the risk falls as fast as the cost rises, which has a closed form.
+    A parameter whose mean lies outside its bounds starts at the nearer one. All candidates are
+    scored: some parameters times four per class.
+    """
+    rows = []
+    for cls in classes:
+        for p, (lo, hi) in bounds.items():
+            mean, sd = stats[p]
+            rows.append((cls, p, float(coefficients.get(cls, {}).get(p, 0.0)), mean, sd, lo, hi, unit_cost[p], bool(coefficients.get(cls))))
+    moves = local_frame(spark, rows, "defect_class string, param string, r double, mean double, sd double, lo double, hi double, unit_cost double, critical boolean")
+    start, r = F.least(F.greatest("mean", "lo"), F.col("hi")), F.col("r")
+    moves = moves.withColumn("start", start).withColumn("way", -F.signum(r))
+    reach = F.when(r > 0, F.col("start") - F.col("lo")).when(r < 0, F.col("hi") - F.col("start")).otherwise(0.0)
+    moves = moves.withColumn("room", F.abs(r) / F.col("sd") * reach)
+    moves = moves.withColumn("slope", F.when(F.col("room") > 0, F.col("unit_cost") * F.col("sd") / F.abs(r)))
+    of_class = Window.partitionBy("defect_class")
+    ahead = of_class.orderBy(F.col("slope").asc_nulls_last(), "param").rowsBetween(Window.unboundedPreceding, -1)
+    moves = moves.withColumns({
+        "sum0": F.sum(r * (F.col("start") - F.col("mean")) / F.col("sd")).over(of_class),
+        "cost0": F.sum(F.abs(F.col("start") - F.col("mean")) * F.col("unit_cost")).over(of_class),
+        "before": F.coalesce(F.sum("room").over(ahead), F.lit(0.0)),
+        "paid": F.coalesce(F.sum(F.col("room") * F.coalesce("slope", F.lit(0.0))).over(ahead), F.lit(0.0)),
+    })
+    # The slope of the risk equals that of the cost where s (1 - s) = q; of the two the lower s is the minimum.
+    q = (0.2 / 0.7) * F.col("slope") / 1_000_000
+    low = (1 - F.sqrt(F.greatest(1 - 4 * q, F.lit(0.0)))) / 2
+    flat = F.col("sum0") - F.ln(low / (1 - low)) - F.col("before")
+    capped = (1_000_000 - F.col("cost0") - F.col("paid")) / F.col("slope")
+    steps = F.array(F.lit(0.0), F.col("room"), *[F.least(F.greatest(F.coalesce(v, F.lit(0.0)), F.lit(0.0)), F.col("room")) for v in (flat, capped)])
+    tried = moves.withColumn("x", F.explode(F.array_distinct(steps)))
+    cost = F.col("cost0") + F.col("paid") + F.col("x") * F.coalesce("slope", F.lit(0.0))
+    prob = F.when(F.col("critical"), risk.sigmoid(F.col("sum0") - F.col("before") - F.col("x"))).otherwise(0.0)
+    tried = tried.withColumns({"cost": cost, "prob": prob, "objective": risk.objective(prob, cost, F.lit(0.0))})
+    best = tried.groupBy("defect_class").agg(F.min(F.struct("objective", (F.col("before") + F.col("x")).alias("x"), "prob", "cost")).alias("b"))
+    placed = moves.join(best, "defect_class")
+    moved = F.least(F.greatest(F.col("b.x") - F.col("before"), F.lit(0.0)), F.col("room"))
+    placed = placed.withColumn("value", F.col("start") + F.when(F.col("room") > 0, F.col("way") * moved * F.col("sd") / F.abs(r)).otherwise(0.0))
+    wide = placed.groupBy("defect_class").agg(
+        F.first("critical").alias("critical"), F.first("b").alias("b"), *[F.max(F.when(F.col("param") == p, F.col("value"))).alias(p) for p in bounds])
+    base = F.when(F.col("critical"), 0.5).otherwise(0.0)
+    return wide.select(
+        "defect_class", base.alias("baseline_prob"), F.col("b.prob").alias("optimal_prob"),
+        ((base - F.col("b.prob")) / (base + 1e-8) * 100).alias("prob_reduction_pct"), F.col("b.cost").alias("adj_cost_usd"),
+        F.col("b.objective").alias("objective"), *bounds, *[(F.col(p) - F.lit(stats[p][0])).alias(f"delta_{p}") for p in bounds])
+
+
 def _by_class(classes: Sequence[str], build) -> Column:
     out = None
     for c in classes:

@@ -92,6 +92,21 @@ def silver(maps: DataFrame, params: DataFrame) -> DataFrame:
     return schemas.conform(joined.withColumn("any_ooc", any_ooc(flags)), schemas.SILVER)
 
 
+def bucketed_bronze(maps: DataFrame, params: DataFrame, database: str, lake: str, buckets: int) -> None:
+    """Bronze maps and parameters as catalog tables in equal buckets of ``wafer_id``.
+
+    Choose ``buckets`` so that a bucket of maps is some hundred MB; it is fixed until both tables
+    are rewritten.
+    """
+    for name, df in (("bronze_maps", maps), ("bronze_params", params)):
+        writers.write_buckets(df, f"{database}.{name}", f"{lake.rstrip('/')}/bucketed/{name}", "wafer_id", buckets, name)
+
+
+def bucketed_silver(spark: SparkSession, database: str) -> DataFrame:
+    """``silver`` of bucketed bronze tables: a sort-merge join in which no map is shuffled, however large the parameters."""
+    return silver(spark.table(f"{database}.bronze_maps"), spark.table(f"{database}.bronze_params").hint("merge"))
+
+
 def gold_split(silver_df: DataFrame, name: str) -> DataFrame:
     """One split; on the partitioned gold table this prunes to its folder."""
     if name not in SPLITS:

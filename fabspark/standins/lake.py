@@ -190,7 +190,7 @@ def missing_maps(spark, d):
 
 
 # ---- lake tables ------------------------------------------------------------------------
-def silver(spark, d):
+def bronze(spark, d):
     """Silver table of the 8 x 8 maps; parameters are known for every third."""
     maps = die_maps(spark, d).select(F.col("vec_id").alias("wafer_id"), class_name(F.col("vec_id")).alias("failure_type"),
                                      F.col("map").alias("wafer_map_flat"))
@@ -198,7 +198,33 @@ def silver(spark, d):
     known = maps.filter("wafer_id % 3 = 0").select(
         "wafer_id", *[(F.col("wafer_id") % (17 + i)).cast("double").alias(p) for i, p in enumerate(PARAMS)],
         F.lit("none").alias("defect_class"), F.lit(0).alias("is_defect"))
-    return medallion.silver(medallion.bronze_maps(maps, manifest, SIDE), medallion.bronze_params(known))
+    return medallion.bronze_maps(maps, manifest, SIDE), medallion.bronze_params(known)
+
+
+def silver(spark, d):
+    return medallion.silver(*bronze(spark, d))
+
+
+def exchanges(df) -> int:
+    """Shuffles and broadcasts in the plan."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+@R.add(f"""SELECT {CLASS_SQL.format('vec_id')} AS failure_type, count(*) AS n, count(*) FILTER (vec_id % 3 = 0) AS with_params,
+  CAST(sum(vec_id % 17) FILTER (vec_id % 3 = 0) AS DOUBLE) AS pressure, 0 AS exchanges FROM embeddings GROUP BY 1""")
+def bucketed_join(spark, d):
+    """Silver from bronze tables in equal buckets; its plan has no exchange on either side."""
+    path, db = folder(spark), f"fab_{uuid.uuid4().hex}"
+    try:
+        spark.sql(f"CREATE DATABASE {db}")
+        medallion.bucketed_bronze(*bronze(spark, d), db, path, 4)
+        rows = medallion.bucketed_silver(spark, db)
+        moved = exchanges(rows)
+        return cut_lineage(rows.groupBy("failure_type").agg(
+            F.count("*").alias("n"), F.count("cmp_pressure").alias("with_params"), F.sum("cmp_pressure").alias("pressure"),
+            F.lit(moved).alias("exchanges")))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
 SPLIT_OF_SQL = "CASE WHEN vec_id % 2 = 1 THEN 'train' WHEN vec_id % 4 = 0 THEN 'val' ELSE 'test' END"

@@ -93,9 +93,42 @@ def corr_tstat(spark, d):
     return rounded(out.select(CLS, "param", K.t_statistic(F.col("pearson_r"), F.col("n_all")).alias("t")), 5, "t")
 
 
-@R.add()
+# Student-t tail by the continued fraction of the incomplete beta function; t = 0 and |r| = 1 do not occur.
+def p_sql(r, n):
+    """Two-sided p of correlation ``r`` over ``n`` rows, from columns of one row each."""
+    x, rest = f"(({n} - 2) / ({n} - 2 + {t2_sql(r, n)}))", f"({t2_sql(r, n)} / ({n} - 2 + {t2_sql(r, n)}))"
+    a = f"(({n} - 2) / 2.0)"
+    front = f"exp(lgamma({a} + 0.5) - lgamma({a}) - lgamma(0.5::DOUBLE) + {a} * ln({x}) + 0.5 * ln({rest}))"
+    return (f"CASE WHEN {x} < ({a} + 1) / ({a} + 2.5) THEN {front} * {fraction_sql(x, a, '0.5')} / {a} "
+            f"ELSE 1 - {front} * {fraction_sql(rest, '0.5', a)} / 0.5 END")
+
+
+def t2_sql(r, n):
+    return f"({r} * {r} * ({n} - 2) / (1 - {r} * {r}))"
+
+
+def fraction_sql(x, a, b):
+    """The same fraction from its far end inwards, 60 levels deep."""
+    even = f"m * ({b} - m) * {x} / (({a} + 2 * m - 1) * ({a} + 2 * m))"
+    odd = f"-({a} + m) * ({a} + {b} + m) * {x} / (({a} + 2 * m) * ({a} + 2 * m + 1))"
+    inner = f"list_reduce(list_prepend(0.0::DOUBLE, range(120, -1, -1)::DOUBLE[]), lambda s, k: (CASE WHEN k % 2 = 0 THEN {odd} ELSE {even} END) / (1 + s))"
+    return f"(1 / (1 + {inner.replace('m ', 'floor((k + 1) / 2) ').replace('m)', 'floor((k + 1) / 2))')}))"
+
+
+def correlation_sql():
+    pearson = long_sql("lineitem", CLS, FLAGS)
+    spear = " UNION ALL ".join(
+        f"SELECT '{c}' AS cls, param, corr(rk, CASE WHEN f = '{c}' THEN 1.0 ELSE 0.0 END) AS rs FROM w GROUP BY param" for c in FLAGS)
+    return f"""WITH w AS ({SPEARMAN_SQL}), b AS (SELECT cls, param, r, rs, n::DOUBLE AS n FROM ({pearson}) JOIN ({spear}) USING (cls, param)),
+  q AS (SELECT *, {p_sql('r', 'n')} AS pp, {p_sql('rs', 'n')} AS ps FROM b)
+  SELECT cls AS l_returnflag, param, round(r, 4) AS pearson_r, round(pp, 4) AS pearson_p, round(rs, 4) AS spearman_r, round(ps, 4) AS spearman_p,
+    round(abs(r), 4) AS abs_pearson, CASE WHEN pp < 0.05 THEN 'Yes' ELSE 'No' END AS significant,
+    CAST(row_number() OVER (PARTITION BY cls ORDER BY round(abs(r), 4) DESC, param) AS INTEGER) AS rank FROM q"""
+
+
+@R.add(correlation_sql())
 def correlation_table(spark, d):
-    return K.correlation_table(lineitem(spark, d), CLS, PARAMS, FLAGS, ROWS_PER_BUCKET)
+    return round_all(K.correlation_table(lineitem(spark, d), CLS, PARAMS, FLAGS, ROWS_PER_BUCKET), 4)
 
 
 @R.add(f"WITH {VALUED_SQL}, w AS (SELECT * FROM v WHERE cls IN ('none', 'HighQty')) SELECT cls, param, round(r, 6) AS pearson_r FROM ({long_sql('w', 'cls', ['HighQty'])})")
