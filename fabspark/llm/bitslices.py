@@ -23,8 +23,8 @@ from fabspark.llm.storage import saved
 from fabspark.session import broadcast_if_small
 
 SCALE = 64
-BLOCK = 1 << 15
-GROUP = 1024
+BLOCK = 1 << 14
+GROUP = 512
 LARGEST = 1 << 24  # scores of up to 8,192 such components fit 64 bits
 WIDEST = 1 << 13
 INDEX = "block long, width int, ids array<long>, low array<long>, digits array<int>, slices binary"
@@ -190,7 +190,7 @@ def index_queries(index: DataFrame, every: int) -> DataFrame:
     return index.mapInArrow(run, "query_id long, block long, slot int, width int, v array<int>")
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, group: int = GROUP) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, group: int = GROUP, cell: int = BLOCK) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` best rows of ``index`` for each row of ``queries``.
 
     ``queries`` has the columns of :func:`index_queries`; a query's own place (null: none) is no
@@ -200,42 +200,52 @@ def search(index: DataFrame, queries: DataFrame, k: int, group: int = GROUP) ->
     queries = saved(queries, "bit-slice-queries")
     groups = max(1, -(-queries.count() // group))
     dealt = queries.withColumn("group", F.pmod(F.xxhash64("block", "slot", "query_id"), F.lit(groups)).cast("int"))
-    places = broadcast_if_small(index.select(F.col("block").alias("cell"), "width"))
-    visits = dealt.join(places, "width").select("cell", "group", "query_id", "block", "slot", "v")
-    residents = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumnRenamed("block", "cell")
-
-    def run(block: pa.Table, asked: pa.Table) -> pa.Table:
-        columns: list[list] = [[] for _ in range(6)]
-        if block.num_rows and asked.num_rows:
-            ids = block["ids"].combine_chunks().flatten()
-            low, digits = (np.asarray(block[c].combine_chunks().flatten()) for c in ("low", "digits"))
-            count = len(ids)
-            maps = np.frombuffer(block["slices"][0].as_buffer(), np.uint64).reshape(int(digits.sum()), -(-count // 64))
-            all_rows = np.packbits(np.arange(maps.shape[1] * 64) < count, bitorder="little").view(np.uint64)
-            home = block["cell"][0].as_py()
+    # Neighbouring blocks of few rows share a cell, up to ``cell`` rows.
+    upto = Window.partitionBy("width").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    cells = index.select("block", "width", F.floor((F.sum(F.size("ids")).over(upto) - 1) / cell).alias("cell"))
+    places = broadcast_if_small(cells.select("width", "cell").distinct())
+    visits = dealt.join(places, "width").select("width", "cell", "group", "query_id", "block", "slot", "v")
+    residents = index.join(broadcast_if_small(cells.select("block", "cell")), "block").withColumn(
+        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+    def run(blocks: pa.Table, asked: pa.Table) -> pa.Table:
+        out = {c: [] for c in ("query_id", "block", "slot", "vec_id", "score")}
+        if blocks.num_rows and asked.num_rows:
+            first, at, parts = {}, 0, []
+            for r in np.argsort(np.asarray(blocks["block"].combine_chunks())).tolist():
+                ids, low, digits = (blocks[c][r].values for c in ("ids", "low", "digits"))
+                low, digits = np.asarray(low), np.asarray(digits)
+                maps = np.frombuffer(blocks["slices"][r].as_buffer(), np.uint64).reshape(int(digits.sum()), -(-len(ids) // 64))
+                parts.append((ids, low, digits, maps))
+                first[blocks["block"][r].as_py()] = at
+                at += len(ids)
+            ids = pa.concat_arrays([p[0] for p in parts])
+            if len(parts) > 1:  # small blocks are sliced anew as one
+                low, digits, maps = slice_rows(np.concatenate([row_values(*p[1:], np.arange(len(p[0]))) for p in parts]))
+            every = np.packbits(np.arange(maps.shape[1] * 64) < at, bitorder="little").view(np.uint64)
             values = np.asarray(asked["v"].combine_chunks().flatten()).reshape(asked.num_rows, -1).astype(np.int64)
             for query, name, own, slot in zip(values, *(asked[c].to_pylist() for c in ("query_id", "block", "slot"))):
-                among = all_rows
-                if own == home:
-                    among = all_rows.copy()
-                    among[slot >> 6] &= ~(np.uint64(1) << np.uint64(slot & 63))
+                among = every
+                if own in first:
+                    among, place = every.copy(), first[own] + slot
+                    among[place >> 6] &= ~(np.uint64(1) << np.uint64(place & 63))
                 slices, base = scores(low, digits, maps, query)
                 rows = best(slices, among, k)
                 value = np.full(len(rows), base, np.int64)
                 for p, s in enumerate(slices):
                     value += (s[rows >> 6] >> (rows & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << p
-                for column, part in zip(columns, (np.full(len(rows), name), [own] * len(rows), [slot] * len(rows), rows, value)):
-                    column.append(part)
-        rows = np.concatenate(columns[3]).astype(np.int64) if columns[3] else np.zeros(0, np.int64)
-        found = ids.take(pa.array(rows)) if len(rows) else pa.array([], pa.int64())
+                out["query_id"] += [name] * len(rows)
+                out["block"] += [own] * len(rows)
+                out["slot"] += [slot] * len(rows)
+                out["vec_id"].append(ids.take(pa.array(rows)))
+                out["score"].append(value)
         return pa.table({
-            "query_id": pa.array(np.concatenate(columns[0]) if len(rows) else [], pa.int64()),
-            "block": pa.array([x for part in columns[1] for x in part], pa.int64()),
-            "slot": pa.array([x for part in columns[2] for x in part], pa.int32()),
-            "vec_id": found, "score": pa.array(np.concatenate(columns[4]) if len(rows) else [], pa.int64()),
-        })
+            "query_id": pa.array(out["query_id"], pa.int64()), "block": pa.array(out["block"], pa.int64()), "slot": pa.array(out["slot"], pa.int32()),
+            "vec_id": pa.concat_arrays(out["vec_id"] or [pa.array([], pa.int64())]),
+            "score": np.concatenate(out["score"] or [np.zeros(0, np.int64)])})
 
-    found = residents.groupBy("cell", "group").cogroup(visits.groupBy("cell", "group")).applyInArrow(
+    keys = ["width", "cell", "group"]
+    found = residents.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(
         run, "query_id long, block long, slot int, vec_id long, score long")
     order = Window.partitionBy("query_id", "block", "slot").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -26,7 +26,7 @@ def brute(rows, every, k):
 
 def got(df, every, k, **sizes):
     index = bitslices.build_index(df, block=sizes.get("block", bitslices.BLOCK))
-    out = bitslices.search(index, bitslices.index_queries(index, every), k, sizes.get("group", bitslices.GROUP))
+    out = bitslices.search(index, bitslices.index_queries(index, every), k, sizes.get("group", bitslices.GROUP), sizes.get("cell", bitslices.BLOCK))
     assert [f.name for f in out.schema] == ["query_id", "rank", "vec_id", "score"]
     return sorted((tuple(r) for r in out.collect()), key=repr)
 
@@ -41,7 +41,8 @@ def test_topk(spark):
     df = frame(spark, rows)
     want = brute(rows, 20, 20)
     assert got(df, 20, 20) == want
-    assert got(df, 20, 20, block=37, group=3) == want
+    for block, cell in ((37, 30), (8, 100), (8, 1000)):
+        assert got(df, 20, 20, block=block, group=3, cell=cell) == want
     assert got(df, 20, 1000) == brute(rows, 20, 1000)
     assert not [r for r in want if r[0] == 540]  # alone of its length
 
