@@ -180,17 +180,17 @@ def best_settings(
     cost = F.col("cost0") + F.col("paid") + F.col("x") * F.coalesce("slope", F.lit(0.0))
     prob = F.when(F.col("critical"), risk.sigmoid(F.col("sum0") - F.col("before") - F.col("x"))).otherwise(0.0)
     tried = tried.withColumns({"cost": cost, "prob": prob, "objective": risk.objective(prob, cost, F.lit(0.0))})
-    best = tried.groupBy("defect_class").agg(F.min(F.struct("objective", (F.col("before") + F.col("x")).alias("x"), "prob", "cost")).alias("b"))
+    best = tried.groupBy("defect_class").agg(F.min(F.struct("objective", (F.col("before") + F.col("x")).alias("x"), "prob", "cost")).alias("_best"))
     placed = moves.join(best, "defect_class")
-    moved = F.least(F.greatest(F.col("b.x") - F.col("before"), F.lit(0.0)), F.col("room"))
+    moved = F.least(F.greatest(F.col("_best.x") - F.col("before"), F.lit(0.0)), F.col("room"))
     placed = placed.withColumn("value", F.col("start") + F.when(F.col("room") > 0, F.col("way") * moved * F.col("sd") / F.abs(r)).otherwise(0.0))
     wide = placed.groupBy("defect_class").agg(
-        F.first("critical").alias("critical"), F.first("b").alias("b"), *[F.max(F.when(F.col("param") == p, F.col("value"))).alias(p) for p in bounds])
+        F.first("critical").alias("critical"), F.first("_best").alias("_best"), *[F.max(F.when(F.col("param") == p, F.col("value"))).alias(p) for p in bounds])
     base = F.when(F.col("critical"), 0.5).otherwise(0.0)
     return wide.select(
-        "defect_class", base.alias("baseline_prob"), F.col("b.prob").alias("optimal_prob"),
-        ((base - F.col("b.prob")) / (base + 1e-8) * 100).alias("prob_reduction_pct"), F.col("b.cost").alias("adj_cost_usd"),
-        F.col("b.objective").alias("objective"), *bounds, *[(F.col(p) - F.lit(stats[p][0])).alias(f"delta_{p}") for p in bounds])
+        "defect_class", base.alias("baseline_prob"), F.col("_best.prob").alias("optimal_prob"),
+        ((base - F.col("_best.prob")) / (base + 1e-8) * 100).alias("prob_reduction_pct"), F.col("_best.cost").alias("adj_cost_usd"),
+        F.col("_best.objective").alias("objective"), *bounds, *[(F.col(p) - F.lit(stats[p][0])).alias(f"delta_{p}") for p in bounds])
 
 
 def _by_class(classes: Sequence[str], build) -> Column:

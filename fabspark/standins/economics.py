@@ -76,25 +76,72 @@ def objective(spark, d):
     return round_all(rows.select(*KEY, cols["objective"].alias("objective")))
 
 
-def _search(spark, d):
+def _best(spark, d):
     _, coefficients, stats = _inputs(spark, d)
-    found = E.search_settings(spark, CLASSES[:2], coefficients, stats, BOUNDS, COST)
-    return found, {p: stats[p][0] for p in PARAMS}
-
-
-@R.add()
+    return E.best_settings(spark, CLASSES, coefficients, stats, BOUNDS, COST), {p: stats[p][0] for p in PARAMS}
+
+
+# The frontier in SQL: parameters by cost per unit of the weighted sum, and per segment its ends,
+# the point where the risk falls as fast as the cost rises, and the point where the cost is capped.
+_PARAM_ROWS = " UNION ALL ".join(
+    f"SELECT '{p}' AS param, avg({p}) AS mean, stddev_samp({p}) + 1e-10 AS sd, {BOUNDS[p][0]}::DOUBLE AS lo, {BOUNDS[p][1]}::DOUBLE AS hi, {COST[p]}::DOUBLE AS c FROM v"
+    for p in PARAMS)
+BEST_SQL = f"""WITH {VALUED_SQL}, k AS (SELECT cls, param, round(r, 4) AS r FROM ({long_sql('v', 'cls', CLASSES)})),
+  st AS ({_PARAM_ROWS}),
+  m1 AS (SELECT k.cls, st.*, CASE WHEN abs(k.r) >= 0.3 THEN k.r ELSE 0.0 END AS r, max(abs(k.r)) OVER (PARTITION BY k.cls) >= 0.3 AS critical,
+    least(greatest(mean, lo), hi) AS start FROM k JOIN st USING (param)),
+  m2 AS (SELECT *, abs(r) / sd * CASE WHEN r > 0 THEN start - lo WHEN r < 0 THEN hi - start ELSE 0 END AS room FROM m1),
+  m3 AS (SELECT *, CASE WHEN room > 0 THEN c * sd / abs(r) END AS slope FROM m2),
+  m AS (SELECT *, sum(r * (start - mean) / sd) OVER w AS sum0, sum(abs(start - mean) * c) OVER w AS cost0,
+      coalesce(sum(room) OVER o, 0) AS before, coalesce(sum(room * coalesce(slope, 0)) OVER o, 0) AS paid FROM m3
+    WINDOW w AS (PARTITION BY cls), o AS (PARTITION BY cls ORDER BY slope ASC NULLS LAST, param ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  f AS (SELECT *, (1 - sqrt(greatest(1 - 4 * (0.2 / 0.7) * slope / 1000000, 0))) / 2 AS low FROM m),
+  t AS (SELECT *, unnest([0.0, room, least(greatest(coalesce(sum0 - ln(low / (1 - low)) - before, 0), 0), room),
+    least(greatest(coalesce((1000000 - cost0 - paid) / slope, 0), 0), room)]) AS x FROM f),
+  u AS (SELECT *, cost0 + paid + x * coalesce(slope, 0) AS cost, CASE WHEN critical THEN 1 / (1 + exp(-(sum0 - before - x))) ELSE 0.0 END AS prob FROM t),
+  b AS (SELECT cls, critical, min(struct_pack(objective := 0.7 * prob + 0.2 * least(cost / 1000000, 1), x := before + x, prob := prob, cost := cost)) AS b FROM u GROUP BY 1, 2),
+  w AS (SELECT m.*, b.b, start + CASE WHEN room > 0 THEN -sign(r) * least(greatest(b.x - before, 0), room) * sd / abs(r) ELSE 0 END AS value
+    FROM m JOIN b USING (cls)),
+  best AS (SELECT cls AS defect_class, CASE WHEN any_value(critical) THEN 0.5 ELSE 0.0 END AS base, any_value(b) AS b, {', '.join(
+      f"max(value) FILTER (param = '{p}') AS {p}, max(value - mean) FILTER (param = '{p}') AS delta_{p}, max(mean) FILTER (param = '{p}') AS mean_{p}" for p in PARAMS)}
+    FROM w GROUP BY 1)"""
+
+
+@R.add(f"""{BEST_SQL}, s AS (SELECT *, (base - b.prob) / (base + 1e-8) * 100 AS red FROM best),
+  g AS (SELECT *, red / 100 * base * 25000000.0 AS gain FROM s)
+  SELECT defect_class, base::DOUBLE AS baseline_prob, round(b.prob, 4) AS optimal_prob, round(red, 4) AS prob_reduction_pct, round(b.cost, 2) AS adj_cost_usd,
+    round(b.objective, 6) AS objective, {', '.join(f'round({p}, 4) + 0.0 AS {p}, round(delta_{p}, 4) + 0.0 AS delta_{p}' for p in PARAMS)},
+    round(gain, 0) AS monthly_gain_usd, round(gain * 12, 0) AS annual_gain_usd, round((gain * 12 - b.cost) / (b.cost + 1) * 100, 1) AS roi_pct,
+    round(b.cost / (gain + 1), 2) AS payback_months FROM g""")
+def best_setting(spark, d):
+    """Optimum per class with its solver record."""
+    out = E.solver_record(_best(spark, d)[0])
+    out = rounded(out, 4, "optimal_prob", "prob_reduction_pct", *PARAMS, *[f"delta_{p}" for p in PARAMS])
+    return rounded(rounded(out, 6, "objective"), 2, "adj_cost_usd")
+
+
+@R.add(f"""{BEST_SQL} SELECT defect_class, true AS not_below_optimum, true AS not_above_baseline FROM best WHERE defect_class <> 'none'""")
 def candidate_search(spark, d):
-    return E.solver_record(_search(spark, d)[0])
+    """The sampled search lies between the optimum and the baseline."""
+    _, coefficients, stats = _inputs(spark, d)
+    found = E.search_settings(spark, CLASSES[:2], coefficients, stats, BOUNDS, COST)
+    best = E.best_settings(spark, CLASSES[:2], coefficients, stats, BOUNDS, COST).select("defect_class", F.col("objective").alias("optimum"))
+    return found.join(best, "defect_class").select(
+        "defect_class", (F.col("objective") >= F.col("optimum") - 1e-9).alias("not_below_optimum"),
+        (F.col("objective") <= 0.7 * F.col("baseline_prob") + 1e-9).alias("not_above_baseline"))
 
 
-@R.add()
+@R.add(f"{BEST_SQL} SELECT defect_class, " + ", ".join(f"round(delta_{p} / (abs(mean_{p}) + 1e-12) * 100, 3) + 0.0 AS {p}" for p in PARAMS) + " FROM best")
 def change_matrix(spark, d):
-    return E.change_matrix(*_search(spark, d))
+    return rounded(E.change_matrix(*_best(spark, d)), 3, *PARAMS)
 
 
-@R.add()
+@R.add(f"""{BEST_SQL}, l AS ({' UNION ALL '.join(
+    f"SELECT defect_class, '{p}' AS param, delta_{p} AS delta, delta_{p} / (abs(mean_{p}) + 1e-12) AS rel FROM best" for p in PARAMS)})
+  SELECT defect_class, CAST(row_number() OVER (PARTITION BY defect_class ORDER BY abs(rel) DESC, param) AS INTEGER) AS rank, param, round(delta, 4) AS delta,
+    round(rel * 100, 3) AS pct, CASE WHEN delta > 0 THEN 'up' ELSE 'down' END AS direction FROM l WHERE abs(rel) > 0.01""")
 def top_changes(spark, d):
-    return E.top_changes(*_search(spark, d))
+    return rounded(rounded(E.top_changes(*_best(spark, d)), 4, "delta"), 3, "pct")
 
 
 ROI_IN_SQL = """s AS (SELECT l_returnflag AS defect_class, count(*) / sum(count(*)) OVER () AS class_ratio,

@@ -260,3 +260,41 @@ def test_search_improves_and_stays_in_bounds(spark):
     baseline = {p: s[0] for p, s in stats.items()}
     changes = economics.top_changes(found, baseline).filter("defect_class = 'Center' and rank = 1").first()
     assert changes["param"] == "annealing_temp" or abs(changes["pct"]) > 1
+
+
+# ---- optimum and p-values ------------------------------------------------------------
+def test_best_setting_against_random_settings(spark):
+    rng = np.random.default_rng(8)
+    params = ["a", "b", "c", "d"]
+    stats = {"a": (10.0, 2.0), "b": (0.0, 1.0), "c": (200.0, 30.0), "d": (5.0, 0.5)}
+    bounds = {"a": (4.0, 12.0), "b": (0.5, 3.0), "c": (100.0, 400.0), "d": (5.0, 5.0)}  # b starts outside, d cannot move
+    cost = {"a": 20_000.0, "b": 150_000.0, "c": 900.0, "d": 10.0}
+    coefs = {f"k{i}": {p: float(r) for p, r in zip(params, rng.uniform(-1, 1, 4)) if abs(r) >= 0.3} for i in range(25)} | {"none": {}}
+    found = {r["defect_class"]: r for r in economics.best_settings(spark, list(coefs), coefs, stats, bounds, cost).collect()}
+
+    def score(cls, values):
+        k = coefs[cls]
+        prob = 1 / (1 + np.exp(-sum(r * (values[p] - stats[p][0]) / stats[p][1] for p, r in k.items()))) if k else 0.0
+        paid = sum(np.abs(values[p] - stats[p][0]) * cost[p] for p in params)
+        return 0.7 * prob + 0.2 * np.minimum(paid / 1e6, 1), prob, paid
+
+    draws = {p: np.concatenate([rng.uniform(*bounds[p], 40_000), np.full(40_000, np.clip(stats[p][0], *bounds[p]))]) for p in params}
+    for p in params:
+        rng.shuffle(draws[p])
+    for cls, row in found.items():
+        own = score(cls, {p: row[p] for p in params})
+        assert np.allclose(own, (row["objective"], row["optimal_prob"], row["adj_cost_usd"]), atol=1e-9)
+        assert all(lo - 1e-9 <= row[p] <= hi + 1e-9 for p, (lo, hi) in bounds.items())
+        assert row["objective"] <= np.min(score(cls, draws)[0]) + 1e-12
+
+
+def test_p_values(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(t), int(n)) for n in (1, 2, 3, 7, 30, 1000, 600_000, 10**9) for t in (0.0, 1e-9, 0.01, 0.5, 1.0, 1.7, 1.9, 2.5, 6.0, 40.0, -3.0)]
+    rows += [(float(t), int(n)) for t, n in zip(rng.normal(0, 3, 60), rng.integers(1, 400, 60))]
+    df = spark.createDataFrame(rows, "t double, n long").withColumn("p", correlation.two_sided_p(F.col("t"), F.col("n")))
+    for r in df.collect():
+        want = math.erfc(abs(r["t"]) / math.sqrt(2)) if r["n"] > 10**8 else float(K.beta_tail(np.array([r["t"]]), np.array([float(r["n"])]))[0])
+        assert r["p"] == pytest.approx(want, rel=1e-6, abs=1e-12)
+    odd = spark.createDataFrame([(None, 5), (float("inf"), 5), (float("-inf"), 5), (1.0, 0), (float("nan"), 5)], "t double, n long")
+    assert [r[0] for r in odd.select(correlation.two_sided_p(F.col("t"), F.col("n"))).collect()] == [None, 0.0, 0.0, None, None]
