@@ -58,14 +58,15 @@ def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 def canonical(texts: pa.Array, numbers: np.ndarray, units: np.ndarray):
     """Token hashes with placeholders, tokens before each row, which tokens are placeholders, and their values;
 
-    then the hashes of the plain lower-cased words, words before each row, and each word's token.
+    then the hashes of the plain lower-cased words, words before each row, each word's token, and
+    which words begin a line.
     """
     data, offsets = buffers(texts)
     starts, ends, first = spans(data, offsets, _CLASSES)
     count = len(starts)
     if not count:
         none = np.zeros(0, np.uint64)
-        return none, first, np.zeros(0, bool), none, none, first, np.zeros(0, np.int64)
+        return none, first, np.zeros(0, bool), none, none, first, np.zeros(0, np.int64), np.zeros(0, bool)
     value = word_hashes(data, starts, ends, gaps=True)
     opens = np.zeros(count, bool)
     opens[first[:-1][np.diff(first) > 0]] = True
@@ -89,7 +90,8 @@ def canonical(texts: pa.Array, numbers: np.ndarray, units: np.ndarray):
     slot = (number | unit | name)[at]
     kinds = mix(np.array([101, 102, 103], np.uint64))
     token = np.where(number[at], kinds[0], np.where(unit[at], kinds[1], np.where(name[at], kinds[2], value[at])))
-    return token, np.searchsorted(at, first), slot, whole, value, first, group
+    breaks = np.concatenate([[0], np.cumsum((data == 10) | (data == 13))])
+    return token, np.searchsorted(at, first), slot, whole, value, first, group, opens | (breaks[starts] > breaks[before])
 
 
 def template_windows(rows: DataFrame, widths: list[int] | None, bits: np.ndarray | None, width: int) -> DataFrame:
@@ -107,7 +109,8 @@ def template_windows(rows: DataFrame, widths: list[int] | None, bits: np.ndarray
         wanted = shared.value if shared is not None else None
         for batch in batches:
             for start, texts in pieces(column(batch.column("text"))):
-                token, heads, slot, value, word, opens, group = canonical(texts, numbers, units)
+                token, heads, slot, value, word, opens, group, line = canonical(texts, numbers, units)
+                head = np.flatnonzero(np.diff(group, prepend=-1)) if len(group) else group
                 plain, own = np.concatenate([[0], np.cumsum(~slot)]), np.concatenate([[0], slot.cumsum()])
                 for literal in (False, True):
                     parts, first = (word, opens) if literal else (token, heads)
@@ -127,6 +130,9 @@ def template_windows(rows: DataFrame, widths: list[int] | None, bits: np.ndarray
                             spot = place
                         if widths:
                             keep &= took == size
+                        if widths and size < width:  # a short item counts as a line of its own only
+                            edge = np.append(line if literal else line[head], True)
+                            keep &= edge[begin] & edge[begin + took]
                         if wanted is not None:
                             top = found >> np.uint64(64 - FILTER_BITS)
                             keep &= (wanted[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63))) & np.uint64(1) == 1
@@ -163,8 +169,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_
     larger; below ``coverage`` for documents with ``run`` consecutive words), ``slots`` (placeholders along the alignments), ``changed`` (how many of those hold
     another value than the item does).
 
-    An item shorter than ``width`` tokens is one window of its own length; an item without two
-    plain words, a null or an empty one never matches. Equal ids count as one document or item;
+    An item shorter than ``width`` tokens is one window of its own length and matches only as a
+    whole line, since short phrases occur in any text; an item without two plain words, a null or
+    an empty one never matches. Equal ids count as one document or item;
     null ids are one too. Other columns are ignored.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabspark.llm.graph import components
@@ -59,8 +59,8 @@ def _batch(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
 
 
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """Per document (doc_id, n, class), and per task its repeated shingles (shingle, count)."""
-    schema = [("doc_id", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("shingle", pa.int64()), ("count", pa.int64())]
+    """Per document (doc_id, row, n, class), and per task its repeated shingles (shingle, count)."""
+    schema = [("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("shingle", pa.int64()), ("count", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -72,7 +72,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
             count = np.diff(np.append(edge, len(values)))
             keep = count > 1
             none = pa.nulls(int(keep.sum()), pa.int64())
-            return _batch(schema, none, none, none, _signed(values[edge[keep]]), count[keep])
+            return _batch(schema, none, none, none, none, _signed(values[edge[keep]]), count[keep])
 
         seen: set[int] = set()
         for batch in batches:
@@ -86,7 +86,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
                     held.append(found)
                     size += len(found)
             none = pa.nulls(len(sizes), pa.int64())
-            yield _batch(schema, batch.column("doc_id"), sizes, classes, none, none)
+            yield _batch(schema, batch.column("doc_id"), batch.column("row"), sizes, classes, none, none)
             if size > 4_000_000:
                 yield repeated()
                 seen.clear()
@@ -94,7 +94,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield repeated()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, class long, shingle long, count long")
+    return docs.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, n long, class long, shingle long, count long")
 
 
 def frequent_shingles(described: DataFrame) -> np.ndarray:
@@ -258,10 +258,10 @@ def placed_sets(classes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataF
 def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int) -> DataFrame:
     """(class, n, slots, text) of one document for each of ``classes``, as a table.
 
-    ``slots`` counts the set's shingles per hash slot. Texts under a repeated id are told apart by
-    the class that they give.
+    ``slots`` counts the set's shingles per hash slot. The document is found by the hash of its id
+    and text, so null and repeated ids lose none; the class that a text gives is checked.
     """
-    nodes = classes.join(owner, "class").select("class", F.col("owner").alias("doc_id"))
+    nodes = classes.join(owner, "class").select("class", "row")
     schema = [("class", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("text", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +273,7 @@ def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int)
             pick = pa.array([i for i, _ in rows], pa.int64())
             yield _batch(schema, batch.column("class").take(pick), [len(f) for _, f in rows], slots, batch.column("text").take(pick))
 
-    texts = docs.join(nodes, "doc_id").select("class", "text")
+    texts = docs.join(nodes, "row").select("class", "text")
     return saved(texts.mapInArrow(run, "class long, n int, slots binary, text string").dropDuplicates(["class"]), "sets")
 
 
@@ -407,10 +407,21 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     ``percent`` or more, or the row's own id. Rows that share an id keep their own sets. A null id
     never names a component while another id is there. Other columns are ignored.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return jaccard_rows(docs, text, doc_id, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Hash of a row's id and text; rows equal in both share it."""
+    return F.xxhash64(doc_id.cast("long"), text)
+
+
+def jaccard_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """:func:`jaccard_components` with ``row``, the :func:`row_key`, and ``root``, which names the component also
+    where ids repeat or are null; null for a row without words."""
+    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), row_key(F.col(doc_id), F.col(text)).alias("row"))
     described = saved(describe(docs, width), "described")
-    rows = described.filter("shingle IS NULL").select("doc_id", "n", "class")
-    owner = cut_lineage(rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("owner")))
+    rows = described.filter("shingle IS NULL").select("doc_id", "row", "n", "class")
+    owner = cut_lineage(rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("owner"), F.min("row").alias("row")))
     frequent = frequent_shingles(described)
     found = saved(neighbours(prefixes(docs, frequent, width, percent), percent), "neighbours")
     pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.count("*").alias("votes"))
@@ -429,6 +440,6 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     roots = components(links).select(F.col("node").alias("class"), "root")
     named = owner.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = named.groupBy("root").agg(F.min("owner").alias("component_id"))
-    named = named.join(least, "root").select("class", "component_id")
+    named = named.join(least, "root").select("class", "root", "component_id")
     return rows.join(named, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "row", "doc_id", F.col("n").alias("n_shingles"), "root", F.coalesce("component_id", "doc_id").alias("component_id"))

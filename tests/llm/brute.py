@@ -45,8 +45,9 @@ def jaccard(rows, percent=75):
     links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     root, least = roots(range(len(rows)), links), {}
     for i, r in root.items():
-        least[r] = min(least.get(r, rows[i][0]), rows[i][0])
-    return sorted((rows[i][0], len(sets[i]), least[root[i]]) for i in range(len(rows)))
+        if rows[i][0] is not None:  # a null id names no component
+            least[r] = min(least.get(r, rows[i][0]), rows[i][0])
+    return sorted(((rows[i][0], len(sets[i]), least.get(root[i], rows[i][0])) for i in range(len(rows))), key=repr)
 
 
 def token_rows(rows, tokenizer, end=1):
