@@ -5,52 +5,95 @@ Each stage reads the Parquet table that the one before wrote and works on all of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabspark.llm import decontaminate, jaccard, language, mixing, sharding
 from fabspark.llm.storage import saved
+from fabspark.llm.text import WORD
+
+
+def packed(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns that a stage reads, and all others as one struct: no name of theirs can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, F.struct(*(rest or [F.lit(0)])).alias("_rest"))
+
+
+def unpacked(docs: DataFrame, *own: str) -> list[Column]:
+    """The columns of ``docs`` out of ``packed`` rows."""
+    return [F.col(c) if c in own else F.col("_rest")[c].alias(c) for c in docs.columns]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language go; the others carry the language that was found.
 
-    A row stays with the columns it has; ``lang`` is replaced. Rows with one id and other texts
-    are told apart by text.
+    ``lang`` is replaced, other columns are not read or changed. A null or empty text has no
+    letters and goes. Rows equal in id, text, language and source are decided alike; rows with one
+    id and other texts are told apart. Ties between languages go to the first by name.
     """
-    named = docs.withColumn("_row", F.xxhash64("doc_id", "text", "lang", "source"))
-    found = language.identify(named, language.train(docs), "_row", declared=F.col("lang"), host=F.col("source"))
+    own = ("doc_id", "text", "lang", "source")
+    named = packed(docs, *own).withColumn("_row", F.xxhash64(*own))
+    found = language.identify(named, language.train(named), "_row", declared=F.col("lang"), host=F.col("source"))
     # Only rows that go or change are joined; as a table their size is known, so texts move only if they are many.
-    changes = found.filter("NOT accepted OR language != declared").select("_row", "accepted", F.col("language").alias("_language"))
+    changes = found.filter("NOT accepted OR language != declared").select("_row", F.col("accepted").alias("_accepted"), F.col("language").alias("_language"))
     changes = saved(changes.dropDuplicates(["_row"]), "language-changes")
-    joined = named.join(changes, "_row", "left").filter(F.coalesce("accepted", F.lit(True)))
-    return joined.withColumn("lang", F.coalesce("_language", "lang")).select(*docs.columns)
+    joined = named.join(changes, "_row", "left").filter(F.coalesce("_accepted", F.lit(True)))
+    return joined.withColumn("lang", F.coalesce("_language", "lang")).select(*unpacked(docs, *own))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents with similar shingles, the one with the smallest id stays.
+    """Of each component of documents with similar shingles one row stays: that with the smallest id.
 
-    Of rows that share that id one stays; rows with a null id stay.
+    A null id comes last; of texts under one id the one with the smaller hash, of rows equal in id
+    and text the first by a hash of all columns stays. Rows without words have no component and
+    all stay. Every row is decided by its own text, whatever other rows share its id.
     """
-    found = jaccard.jaccard_components(docs)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id IS NOT NULL").join(keep, "doc_id").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    whole = docs.select(F.struct("*").alias("_row"), jaccard.row_key(F.col("doc_id"), F.col("text")).alias("_key"),
+                        F.xxhash64("*").alias("_hash"), F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("_words"))
+    found = jaccard.jaccard_rows(docs).filter("root IS NOT NULL")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    keep = saved(first.select(F.col("first.row").alias("_key")), "kept-rows")
+    kept = whole.filter("_words").join(keep, "_key").groupBy("_key").agg(F.min_by("_row", "_hash").alias("_row"))
+    return kept.select("_row.*").unionByName(whole.filter("NOT _words").select("_row.*"))
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, also with other numbers and names, go."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+    """Documents that hold a benchmark item, also with other numbers and names, go.
+
+    Every row is decided by its own text, with a null or repeated id too. A null or empty text and
+    a null item match nothing.
+    """
+    own = ("doc_id", "text")
+    rows = packed(docs, *own).withColumn("_key", jaccard.row_key(F.col("doc_id"), F.col("text")))
+    kept = decontaminate.clean(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), doc_id="_key")
+    return kept.select(*unpacked(docs, *own))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: rows beyond a budget go, rows of later epochs come again."""
-    return mixing.expand(mixing.mix(docs)).select(*docs.columns)
+    """Sources at their target weights: rows beyond a budget go, rows of later epochs come again.
+
+    A null source is a source, null ids and texts have a key and a size of their own. Rows equal in
+    id, size and text are interchangeable.
+    """
+    own = ("doc_id", "text", "source")
+    mixed = mixing.expand(mixing.mix(packed(docs, *own)))
+    return mixed.select(*unpacked(docs, *own))
 
 
 def make_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows with their size, shard and slot; equal texts share a shard."""
-    return sharding.shard(docs, 24)
+    """All rows with their ``size``, ``shard`` and ``slot``; equal texts share a shard, null and empty ones too.
+
+    If ``docs`` has a column of such a name, the new one has underscores before it.
+    """
+    own = ("doc_id", "text")
+    placed = sharding.shard(packed(docs, *own), 24)
+    new = []
+    for c in ("size", "shard", "slot"):
+        name = c
+        while name in docs.columns:
+            name = f"_{name}"
+        new.append(F.col(c).alias(name))
+    return placed.select(*unpacked(docs, *own), *new)
 
 
 STAGES = [
