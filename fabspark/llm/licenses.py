@@ -1,14 +1,17 @@
 """License scan: winnowed fingerprints of templates, then banded alignment of the candidates.
 
 Four-word hashes of every template are winnowed: of each few in a row the smallest enters the
-inverted index. All four-word hashes of a document are looked up, so a fingerprint is found
+inverted index; a short notice also enters it with the word pairs around the word that tells it. All four-word hashes of a document are looked up, so a fingerprint is found
 wherever it stands. Hits of one template near one diagonal are one candidate, and a banded
-alignment of the template against that part of the document gives what is matched and where.
+alignment of the template against that part of the document gives what is matched and where. Of
+relatives, such as the BSD or GNU licenses, a passage is only taken for the one whose telling words
+it holds, and of overlapping passages the one with more matched words stands.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,48 +21,103 @@ from pyspark.sql import functions as F
 from fabspark.llm.text import buffers, column, pieces, spans, windows, word_hashes
 
 GRAM = 4
+SHORT = 16  # templates below this many words are also found by the pairs around their first telling word
 WINDOW = 4
 BAND = 12
 COVERAGE = 0.75
 REPORT = ("doc_id long, license string, coverage double, matched int, template_words int, "
           "spans array<struct<first_byte:int,last_byte:int,coverage:double>>")
 
-# Public license notices and passages, by SPDX name.
-TEMPLATES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
-            "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-            "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
-            "notice and this permission notice shall be included in all copies or substantial portions of the Software."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
-                   "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-                "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-                "later version."),
-    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
-                "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
-                "later version."),
-    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
-                 "Public License as published by the Free Software Foundation, either version 3 of the License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-                     "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
-                     "list of conditions and the following disclaimer."),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-            "provided that the above copyright notice and this permission notice appear in all copies."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
-                "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+# Public license notices and passages.
+MIT_GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+             "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+             "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+             "is furnished to do so")
+MIT_NOTICE = ("subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+              "substantial portions of the Software.")
+BSD_SOURCE = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+              "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+              "following disclaimer.")
+BSD_BINARY = ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+              "in the documentation and/or other materials provided with the distribution.")
+BSD_ADVERT = "All advertising materials mentioning features or use of this software must display the following acknowledgement:"
+BSD_NAMES = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+             "from this software without specific prior written permission.")
+ISC_USE = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+ISC_NOTICE = "provided that the above copyright notice and this permission notice appear in all copies."
+GNU_USE = ("This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the "
+           "Free Software Foundation{stop} either version {version} of the License, or (at your option) any later version.")
+GNU_SHORT = "This work is licensed under the GNU {name}, version {version}."
+GNU = [  # SPDX name, name in the notice, version, work, words that tell it from its relatives, words that belong to these
+    ("GPL-2.0", "General Public License", "2", "program", "general 2", "lesser library affero 3"),
+    ("GPL-3.0", "General Public License", "3", "program", "general 3", "lesser library affero"),
+    ("LGPL-2.0", "Library General Public License", "2", "library", "general 2", "lesser affero 1"),
+    ("LGPL-2.1", "Lesser General Public License", "2.1", "library", "lesser 2 1", "affero"),
+    ("LGPL-3.0", "Lesser General Public License", "3", "library", "lesser 3", "affero"),
+    ("AGPL-3.0", "Affero General Public License", "3", "program", "affero 3", "lesser"),
 ]
+CC_PARTS = [("SA", "ShareAlike"), ("NC", "NonCommercial"), ("ND", "NoDerivatives")]
+CC_KINDS = ["", "SA", "NC", "ND", "NC-SA", "NC-ND"]
+CC_VERSIONS = [("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")]
+OTHERS = [  # SPDX name, text, words that must be in the passage, words that must not
+    ("MIT", "Released under the MIT License.", "mit", ""),
+    ("MIT", "Licensed under the MIT License.", "mit", ""),
+    ("MIT", f"{MIT_GRANT}, {MIT_NOTICE}", "sublicense included", ""),
+    ("MIT-0", f"{MIT_GRANT}.", "sublicense", "included"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0.", "apache 2", ""),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+                   "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache 2", ""),
+    ("BSD-2-Clause", f"{BSD_SOURCE} {BSD_BINARY}", "binary reproduce", "endorse advertising"),
+    ("BSD-3-Clause", f"{BSD_SOURCE} {BSD_BINARY} {BSD_NAMES}", "reproduce endorse", "advertising"),
+    ("BSD-4-Clause", f"{BSD_SOURCE} {BSD_BINARY} {BSD_ADVERT} {BSD_NAMES}", "advertising endorse", ""),
+    ("ISC", f"{ISC_USE}, {ISC_NOTICE}", "fee appear", ""),
+    ("0BSD", f"{ISC_USE}.", "fee", "appear"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+                "with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "mozilla 2", ""),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered", ""),
+]
+
+
+class Template(NamedTuple):
+    """A passage, words that must stand in what it matches, and words that must not, as they tell a relative."""
+
+    license: str
+    text: str
+    needs: str = ""
+    bars: str = ""
+
+
+def gnu_templates() -> list[Template]:
+    out = []
+    for spdx, name, version, work, needs, bars in GNU:
+        old = version[0] == "2"
+        out.append(Template(spdx, GNU_SHORT.format(name=name, version=version), needs, bars))
+        # Up to version 2 the notice has semicolons, later ones have a colon and a comma; either may name a program or a library.
+        for kind in ("program", "library"):
+            own = bars if not (spdx == "GPL-2.0" or spdx == "GPL-3.0") or kind == "program" else bars.replace("library ", "")
+            out.append(Template(spdx, GNU_USE.format(work=kind, mark=";" if old else ":", stop=";" if old else ",", name=name, version=version), needs, own))
+    return out
+
+
+def creative_templates() -> list[Template]:
+    out = []
+    for version, region in CC_VERSIONS:
+        major, minor = version.split(".")
+        number = (f"{major} {minor}" if minor != "0" else major, "5" if version == "2.0" else "")
+        for kind in CC_KINDS:
+            own = [k for k in kind.split("-") if k]
+            words = dict(CC_PARTS) | ({"ND": "NoDerivs"} if version != "4.0" else {})
+            rest = [k for k, _ in CC_PARTS if k not in own]
+            name = "-".join(["BY", *own])
+            long = "-".join(["Attribution", *[words[k] for k in own]])
+            out.append(Template(f"CC-{name}-{version}", f"Licensed under CC {name} {version}.",
+                                f"cc {' '.join(own).lower()} {number[0]}", f"{' '.join(rest).lower()} {number[1]}"))
+            out.append(Template(f"CC-{name}-{version}", f"This work is licensed under a Creative Commons {long} {version} {region} License.",
+                                f"creative {' '.join(words[k] for k in own).lower()} {number[0]}", f"{' '.join(words[k] for k in rest).lower()} {number[1]}"))
+    return out
+
+
+TEMPLATES = [*(Template(*t) for t in OTHERS), *gnu_templates(), *creative_templates()]
 
 _LETTERS = np.zeros(256, np.uint8)
 _LETTERS[128:] = 1
@@ -82,20 +140,31 @@ def winnow(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.array(sorted(picks), np.int64)
 
 
-def index_of(templates: list[tuple[str, str]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes per template, and the inverted index: sorted fingerprints, their templates and places."""
-    value, _, _, first, _ = word_rows(pa.array([t for _, t in templates], pa.string()))
-    grams, before = windows(value, first, GRAM)
-    found, owner, place = [], [], []
-    for k in range(len(templates)):
-        own = grams[before[k]:before[k + 1]]
-        picks = winnow(own) if len(own) else np.zeros(0, np.int64)
-        found.append(own[picks])
-        owner.append(np.full(len(picks), k))
-        place.append(picks)
-    found, owner, place = (np.concatenate(x) for x in (found, owner, place))
-    order = np.argsort(found, kind="stable")
-    return [value[a:b] for a, b in zip(first[:-1], first[1:])], found[order], owner[order], place[order]
+def hashes_of(text: str) -> np.ndarray:
+    return word_rows(pa.array([text], pa.string()))[0]
+
+
+def index_of(templates: list[Template]) -> tuple[list[np.ndarray], dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Word hashes per template, and per gram width the inverted index: sorted fingerprints, their templates and places."""
+    value, _, _, first, _ = word_rows(pa.array([t.text for t in templates], pa.string()))
+    index = {}
+    for width in (GRAM, 2):
+        grams, before = windows(value, first, width)
+        found, owner, place = [], [], []
+        for k, t in enumerate(templates):
+            own = grams[before[k]:before[k + 1]]
+            if width == GRAM:
+                picks = winnow(own) if len(own) else np.zeros(0, np.int64)
+            else:
+                telling = np.flatnonzero(value[first[k]:first[k + 1]] == hashes_of(t.needs)[0]) if t.needs.strip() and first[k + 1] - first[k] < SHORT else []
+                picks = np.array(sorted({p for at in telling for p in (at - 1, at) if 0 <= p < len(own)}), np.int64)
+            found.append(own[picks])
+            owner.append(np.full(len(picks), k))
+            place.append(picks)
+        found, owner, place = (np.concatenate(x) for x in (found, owner, place))
+        order = np.argsort(found, kind="stable")
+        index[width] = found[order], owner[order], place[order]
+    return [value[a:b] for a, b in zip(first[:-1], first[1:])], index
 
 
 def align(template: np.ndarray, part: np.ndarray, shift: int, band: int = BAND) -> tuple[int, int, int]:
@@ -131,19 +200,21 @@ def align(template: np.ndarray, part: np.ndarray, shift: int, band: int = BAND)
     return int((score[best] + (1 << 19)) >> 20), int(begin[best]), int(stop[best])
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text: str = "text", doc_id: str = "doc_id",
+def scan(docs: DataFrame, templates: list[tuple] | None = None, text: str = "text", doc_id: str = "doc_id",
          coverage: float = COVERAGE, band: int = BAND) -> DataFrame:
     """Licenses of each document: ``doc_id``, ``license``, ``coverage``, ``matched``, ``template_words``, ``spans``.
 
     One row per row of ``docs`` and license with a passage of which at least ``coverage`` of a
     template's words are matched; the figures are those of its best passage, ``spans`` has all, as
-    bytes of the UTF-8 text. Where passages of templates overlap, the better match stands.
+    bytes of the UTF-8 text. ``templates`` are tuples as :class:`Template`. Where passages of templates
+    overlap, the one with more matched words stands, then the one with the larger share, then the
+    earlier template.
     Documents without one, null and empty texts give no row; equal rows give equal rows; other
     columns are ignored.
     """
-    templates = templates or TEMPLATES
+    templates = [Template(*t) for t in templates or TEMPLATES]
 
-    def passages(value: np.ndarray, hits: list[tuple[int, int]], words: list[np.ndarray]) -> list[tuple[float, int, int, int, int]]:
+    def passages(value: np.ndarray, hits: set[tuple[int, int]], words: list[np.ndarray], telling: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, int, int, int, int]]:
         """(coverage, matched, template, first word, last word), best first, without overlaps."""
         reach = [min(band, len(w) // 2) for w in words]  # so that a short notice does not reach the next one
         tries: dict[tuple[int, int], int] = {}
@@ -158,33 +229,37 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text:
             low = max(0, diagonal - reach[k])
             matched, a, b = align(words[k], value[low:diagonal + size + 2 * reach[k]], diagonal - low, reach[k])
             if matched and matched / size >= coverage:
-                found.append((matched / size, matched, k, low + a, low + b))
+                held, (needs, bars) = value[low + a:low + b + 1], telling[k]
+                if np.isin(needs, held).all() and not np.isin(bars, held).any():
+                    found.append((matched / size, matched, k, low + a, low + b))
         kept: list[tuple[float, int, int, int, int]] = []
-        for x in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+        for x in sorted(found, key=lambda x: (-x[1], -x[0], x[2], x[3])):
             if all(x[4] < y[3] or x[3] > y[4] for y in kept):
                 kept.append(x)
         return kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, known, owner, place = index_of(templates)
+        words, index = index_of(templates)
+        telling = [(hashes_of(t.needs), hashes_of(t.bars)) for t in templates]
         for batch in batches:
             rows: list[dict] = []
             for start, texts in pieces(column(batch.column("text"))):
                 value, begins, ends, first, offsets = word_rows(texts)
-                grams, before = windows(value, first, GRAM)
-                low, high = np.searchsorted(known, grams, "left"), np.searchsorted(known, grams, "right")
-                seen = np.flatnonzero(high > low)
-                per_row: dict[int, list[tuple[int, int]]] = {}
-                owners = np.searchsorted(before, seen, "right") - 1
-                for g, r in zip(seen.tolist(), owners.tolist()):
-                    per_row.setdefault(r, []).extend(
-                        (g - int(before[r]) - int(place[h]), int(owner[h])) for h in range(low[g], high[g]))
+                per_row: dict[int, set[tuple[int, int]]] = {}
+                for width, (known, owner, place) in index.items():
+                    grams, before = windows(value, first, width)
+                    low, high = np.searchsorted(known, grams, "left"), np.searchsorted(known, grams, "right")
+                    seen = np.flatnonzero(high > low)
+                    owners = np.searchsorted(before, seen, "right") - 1
+                    for g, r in zip(seen.tolist(), owners.tolist()):
+                        per_row.setdefault(r, set()).update(
+                            (g - int(before[r]) - int(place[h]), int(owner[h])) for h in range(low[g], high[g]))
                 for r, hits in per_row.items():
                     a, own = first[r], {}
-                    for cover, matched, k, x, y in passages(value[a:first[r + 1]], hits, words):
+                    for cover, matched, k, x, y in passages(value[a:first[r + 1]], hits, words, telling):
                         span = {"first_byte": int(begins[a + x] - offsets[r]), "last_byte": int(ends[a + y] - offsets[r]), "coverage": cover}
-                        row = own.setdefault(templates[k][0], {
-                            "doc_id": batch.column("doc_id")[start + r].as_py(), "license": templates[k][0], "coverage": cover,
+                        row = own.setdefault(templates[k].license, {
+                            "doc_id": batch.column("doc_id")[start + r].as_py(), "license": templates[k].license, "coverage": cover,
                             "matched": matched, "template_words": len(words[k]), "spans": []})
                         row["spans"].append(span)
                     rows += own.values()

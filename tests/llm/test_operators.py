@@ -367,7 +367,7 @@ def test_scores(spark, docs, none):
 
 # ---- licenses -----------------------------------------------------------------------------------
 def test_licenses(spark, docs, none):
-    mit = licenses.TEMPLATES[2][1]
+    mit = licenses.TEMPLATES[2].text
     cut = re.sub("without limitation", "with no limits", mit)
     rows = [(1, "x y z.\nReleased under the MIT License.\nmore"), (2, words(1, 50) + " " + mit.upper() + " end"), (3, "é " + cut), (4, "the MIT people"),
             (5, None), (6, ""), (7, "Licensed under the Apache License, Version 2.0. And released under the MIT license. Released under the MIT License."), (None, LONG)]
