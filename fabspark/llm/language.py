@@ -4,7 +4,11 @@ Four kinds of evidence meet per row: the likelihood of its letters under a trigr
 language, the language that its markup declares, the host's prior, and the address suffix's and
 the corpus's, towards which the host's is smoothed. Likelihoods are computed once per row; the
 priors and the reliability of declarations are grouped sums of the rows' own text posteriors, and
-a row's share is taken out of its host's sum before the host speaks about it.
+a row's share is taken out of its host's and its declaration's sums before these speak about it.
+
+Beside the languages stands the hypothesis that the text is in none of them. Its trigrams come at a
+fixed rate, ``SURPRISE`` below what the most varied language gives its own texts on average, and
+its prior shrinks with the letters at hand: of one letter nobody can tell.
 """
 
 from __future__ import annotations
@@ -28,6 +32,9 @@ BUCKETS = 1 << 16
 DAMPING = 4.0  # trigrams overlap and repeat, so each counts as a quarter of independent evidence
 STRENGTH = 20.0  # rows that a suffix's (or the corpus's) prior weighs in a host's (or suffix's)
 ACCEPT = 0.5
+SURPRISE = 3.0  # nats per trigram by which a text of no language falls behind
+FLOOR = 2.0  # nats by which a trigram is less likely in a language than in none at most
+DOUBT = 2.0  # letters at which a text's language is as doubtful as not
 
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -102,6 +109,11 @@ def train(labelled: DataFrame, text: str = "text", language: str = "lang", doc_i
     return names, np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
+def other_rate(table: np.ndarray) -> float:
+    """Log-probability of a trigram of no language: ``SURPRISE`` below the largest mean of a language over its own texts."""
+    return float(min((np.exp(t) * t).sum() for t in table)) - SURPRISE
+
+
 def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], key: str, text: str = "text", declared: Column | None = None,
              host: Column | None = None, suffix: Column | None = None) -> DataFrame:
     """One row per row of ``rows``: ``key``, ``declared``, ``host``, ``suffix``, ``letters``,
@@ -109,12 +121,16 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], key: str, tex
 
     ``declared`` counts by its first subtag in lower case; missing evidence is an empty string,
     which is evidence as any other value is. A row without letters has no language and is
-    rejected, and so is one whose best language has a posterior below ``ACCEPT``. Equal rows
-    agree; ids may repeat or be null. Without languages in the model every row is rejected.
+    rejected, and so is one whose best language has a posterior below ``ACCEPT``, be it for another
+    language or for none. Equal rows agree; ids may repeat or be null. Without languages in the
+    model every row is rejected.
     """
     names, table = model
     if not names:
         names, table = ["und"], np.zeros((1, BUCKETS))
+    rate = other_rate(table)
+    # A key or an address inside a text counts against it, but no trigram by more than FLOOR.
+    table = np.maximum(table, rate - FLOOR)
     shared = rows.sparkSession.sparkContext.broadcast(table.astype(np.float32))
     tag = F.lower(F.regexp_extract(F.coalesce(declared if declared is not None else F.lit(""), F.lit("")), "^([A-Za-z]*)", 1))
     rows = rows.select(
@@ -159,8 +175,6 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], key: str, tex
     world_prior = F.array(*[F.lit(x) for x in world])
     tags = sums(["declared"], "tag_sum")
     tag_count = max(1, tags.count())
-    reliability = F.array(*[(F.get("tag_sum", F.lit(k)) + 1.0) / F.lit((corpus[k] or 0.0) + tag_count) for k in span])
-    tags = tags.select("declared", reliability.alias("tag_likelihood"))
 
     def smooth(heard: Column, prior: Column) -> Column:
         n = F.aggregate(heard, F.lit(0.0), lambda a, x: a + x)
@@ -170,11 +184,19 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray], key: str, tex
     hosts = sums(["suffix", "host"], "host_sum")
     known = scored.join(hosts, ["suffix", "host"]).join(suffixes, "suffix").join(tags, "declared")
     own = F.zip_with("host_sum", "p", lambda s, x: F.when(F.col("letters") > 0, s - x).otherwise(s))
-    known = known.withColumn("prior", smooth(own, F.col("suffix_prior")))
+    spoke = F.when(F.col("letters") > 0, F.col("p")).otherwise(F.array(*[F.lit(0.0)] * len(names)))
+    known = known.withColumns({"prior": smooth(own, F.col("suffix_prior")), "_spoke": spoke})
+    known = known.withColumn("tag_likelihood", F.array(*[
+        (F.greatest(F.get("tag_sum", F.lit(k)) - F.get("_spoke", F.lit(k)), F.lit(0.0)) + 1.0)
+        / (F.greatest(F.lit(corpus[k] or 0.0) - F.get("_spoke", F.lit(k)), F.lit(0.0)) + tag_count) for k in span]))
     evidence = F.zip_with("prior", "tag_likelihood", lambda a, b: F.log(a) + F.log(b))
     known = known.withColumn("fused", F.zip_with("likelihood", evidence, lambda a, b: a + b))
     best = F.array_max("fused")
-    norm = F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - best))
+    in_any = F.aggregate("fused", F.lit(0.0), lambda a, x: a + F.exp(x - best))
+    # The same evidence as the languages have, but for the text, whose odds are those of the doubt.
+    around = F.aggregate(F.zip_with("prior", "tag_likelihood", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    in_none = DOUBT / F.col("letters") * around * F.exp(F.least(F.col("letters") * (rate / DAMPING) - best, F.lit(700.0)))
+    norm = in_any + F.when(F.col("letters") > 0, in_none).otherwise(0.0)
     labels = F.array(*[F.lit(n) for n in names])
     has = (F.col("letters") > 0) & F.lit(bool(model[0]))
     return known.select(

@@ -381,3 +381,57 @@ def test_licenses(spark, docs, none):
         piece = raw[r["spans"][0]["first_byte"]:r["spans"][0]["last_byte"]].decode().lower()
         assert piece.startswith(("released", "permission", "licensed")) and piece.endswith(("license", "software", "2.0"))
     assert licenses.scan(none).count() == 0 and licenses.scan(docs).count() == 0
+
+
+def fused_twin(rows, model):
+    """The fused posterior of (text, declared, host) rows in plain Python: language, posterior, accepted."""
+    names, table = model
+    rate = min((np.exp(t) * t).sum() for t in table) - language.SURPRISE
+    table = np.maximum(table, rate - language.FLOOR).astype(np.float32)
+    n, size = len(names), len(rows)
+    letters, lik = np.zeros(size), np.zeros((size, n))
+    for i, (t, _, _) in enumerate(rows):
+        code, _ = language.trigrams(pa.array([t or ""]))
+        letters[i] = len(code)
+        lik[i] = [table[k][code].astype(float).sum() / language.DAMPING for k in range(n)]
+    p = np.exp(lik - lik.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    spoke = np.where(letters[:, None] > 0, p, 0.0)
+    corpus = spoke.sum(axis=0)
+    world = (corpus + 1) / (corpus.sum() + n)
+
+    def smooth(heard, prior):
+        return (heard + language.STRENGTH * prior) / (heard.sum() + language.STRENGTH)
+
+    tags, suffix = {d for _, d, _ in rows}, smooth(corpus, world)
+    out = []
+    for i, (_, declared, host) in enumerate(rows):
+        tag = sum(spoke[j] for j in range(size) if rows[j][1] == declared) - spoke[i]
+        prior = smooth(sum(spoke[j] for j in range(size) if rows[j][2] == host) - spoke[i], suffix)
+        told = (tag + 1) / (corpus - spoke[i] + len(tags))
+        if not letters[i]:
+            out.append((None, False))
+            continue
+        fused = lik[i] + np.log(prior) + np.log(told)
+        none = language.DOUBT / letters[i] * (prior * told).sum() * np.exp(min(700.0, letters[i] * rate / language.DAMPING - fused.max()))
+        out.append((names[int(fused.argmax())], 1 / (np.exp(fused - fused.max()).sum() + none)))
+    return out
+
+
+def test_language_posterior_and_rejection(spark):
+    train = spark.createDataFrame([(i, speech(g, i), g) for i in range(40) for g in ("aa", "bb")], "doc_id long, text string, lang string")
+    model = language.train(train)
+    rng = random.Random(6)
+    noise = "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(80))
+    rows = [(speech("aa" if i % 2 else "bb", 300 + i, 1 + i % 9), ["aa", "bb", ""][i % 3], f"h{i % 4}") for i in range(40)]
+    rows += [(noise, "aa", "h1"), ("Привет как дела сегодня хорошая погода", "aa", "h1"), ("x", "bb", "h2"), ("", "aa", "h0"), (None, "aa", "h0"), ("12 !", "", "h9"),
+             (speech("aa", 7), "zz", "h1"), (speech("aa", 7), "zz", "h1"), (speech("bb", 1, 4000), "aa", "h3"), (noise + " " + speech("aa", 9), "aa", "h1")]
+    df = spark.createDataFrame([(i, t, d, h) for i, (t, d, h) in enumerate(rows)], "doc_id long, text string, d string, h string").repartition(3)
+    got = {r["doc_id"]: r for r in language.identify(df, model, "doc_id", declared=F.col("d"), host=F.col("h")).collect()}
+    want = fused_twin(rows, model)
+    for i, (name, posterior) in enumerate(want):
+        assert got[i]["language"] == name
+        if name:
+            assert got[i]["posterior"] == pytest.approx(posterior, rel=1e-6, abs=1e-9) and got[i]["accepted"] == (posterior >= language.ACCEPT)
+    refused = [i for i in got if not got[i]["accepted"]]
+    assert {40, 41, 42, 43, 44, 45} <= set(refused) and 49 not in refused and len([i for i in refused if i < 40]) <= 4
