@@ -8,6 +8,17 @@ CLASSES = [
 UNKNOWN = "unknown"
 SPLITS = ["train", "val", "test"]
 
+# Random image steps of training, in order.
+TRAIN_AUGMENTATION = {
+    "Rotate": {"limit": 20, "border_mode": 0, "p": 0.5},
+    "HorizontalFlip": {"p": 0.5},
+    "VerticalFlip": {"p": 0.5},
+    "GaussNoise": {"var_limit": (0.001, 0.005), "p": 0.3},
+    "Blur": {"blur_limit": 3, "p": 0.2},
+    "RandomBrightnessContrast": {"brightness_limit": 0.05, "contrast_limit": 0.05, "p": 0.2},
+    "CoarseDropout": {"min_holes": 1, "max_holes": 4, "min_height": 4, "max_height": 8, "min_width": 4, "max_width": 8, "fill_value": 0.0, "p": 0.3},
+}
+
 PARAMS = [
     "cmp_pressure", "polish_time", "slurry_ph", "annealing_temp", "temp_gradient",
     "etch_depth", "vacuum_pressure", "pr_thickness_cv", "particle_count",

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from fabspark.constants import TRAIN_AUGMENTATION
 from fabspark.functions import kernels as K
 
 
@@ -181,63 +182,92 @@ def augmented_copies(df: DataFrame, id_col: str, blob: str, copies: int, side: i
     )
 
 
-# Training-time image settings: probability and range of each step.
-AUGMENT = {
-    "rotate": {"p": 0.5, "limit": 20.0},
-    "hflip": {"p": 0.5},
-    "vflip": {"p": 0.5},
-    "noise": {"p": 0.3, "var": (0.001, 0.005)},
-    "blur": {"p": 0.2, "size": 3},
-    "brightness": {"p": 0.2, "brightness": 0.05, "contrast": 0.05},
-    "dropout": {"p": 0.3, "holes": (1, 4), "side": (4, 8)},
-}
-
-
-def augment_image(blob: Column, draw: Column, side: int = 64, config: dict = AUGMENT) -> Column:
-    """Normalised map after the random image steps, as ``array<float>``.
-
-    ``draw`` is a 64-bit hash per copy and seeds the generator of that map.
+# ---- random image steps -----------------------------------------------------------
+MAPS_AT_ONCE = 1024
+_M31 = (1 << 31) - 1
+
+
+def _mix31(x: np.ndarray) -> np.ndarray:
+    """Mixes 31 bits; products stay below 2^62, so SQL can do the same in whole numbers."""
+    x = (x ^ (x >> 16)) * 0x45D9F3B & _M31
+    x = (x ^ (x >> 15)) * 0x2C1B3C6D & _M31
+    return x ^ (x >> 16)
+
+
+def draw31(seeds: np.ndarray, step: int, number) -> np.ndarray:
+    """Uniform draws in [0, 1): the ``number``-th of a map's ``step``. A counter in place of a state, so all maps draw at once."""
+    return _mix31((_mix31((seeds + 7919 * step) & _M31) + number) & _M31) / float(1 << 31)
+
+
+def augmented(maps: np.ndarray, seeds: np.ndarray, config: dict) -> np.ndarray:
+    """Random image steps on a stack of maps with values in [0, 1]; a step works on all maps that it hits."""
+    count, side = maps.shape[0], maps.shape[1]
+    y, x = np.mgrid[:side, :side]
+    middle, every = (side - 1) / 2, np.arange(count)
+    for step, (name, c) in enumerate(config.items(), 1):
+        hit = np.flatnonzero(draw31(seeds, step, 0) < c["p"])
+        if not len(hit):
+            continue
+        own, part = seeds[hit], maps[hit]
+
+        def between(low: float, high: float, number: int) -> np.ndarray:
+            return low + (high - low) * draw31(own, step, number)
+
+        def whole(low, high, number: int) -> np.ndarray:
+            return (low + np.floor((high - low + 1) * draw31(own, step, number))).astype(int)
+
+        if name == "Rotate":
+            angle = np.deg2rad(between(-c["limit"], c["limit"], 1))[:, None, None]
+            sy = np.floor(np.cos(angle) * (y - middle) + np.sin(angle) * (x - middle) + middle + 0.5).astype(int)
+            sx = np.floor(np.cos(angle) * (x - middle) - np.sin(angle) * (y - middle) + middle + 0.5).astype(int)
+            inside = (sy >= 0) & (sy < side) & (sx >= 0) & (sx < side)
+            part = part[every[:len(hit), None, None], sy.clip(0, side - 1), sx.clip(0, side - 1)] * inside
+        elif name == "HorizontalFlip":
+            part = part[:, :, ::-1]
+        elif name == "VerticalFlip":
+            part = part[:, ::-1]
+        elif name == "GaussNoise":
+            spread = np.sqrt(between(*c["var_limit"], 1))[:, None, None]
+            pixel = 2 + 2 * (y * side + x)
+            u, v = (draw31(own[:, None, None], step, pixel + k) for k in (0, 1))
+            part = part + spread * np.sqrt(-2 * np.log(1 - u)) * np.cos(2 * np.pi * v)
+        elif name == "Blur":
+            size = c["blur_limit"]
+            wide = np.pad(part, ((0, 0), (size // 2,) * 2, (size // 2,) * 2), mode="reflect")
+            part = sum(wide[:, i:i + side, j:j + side] for i in range(size) for j in range(size)) / size**2
+        elif name == "RandomBrightnessContrast":
+            contrast, light = (between(-c[k], c[k], n)[:, None, None] for n, k in enumerate(("contrast_limit", "brightness_limit"), 1))
+            part = part * (1 + contrast) + light
+        elif name == "CoarseDropout":
+            holes = whole(c["min_holes"], c["max_holes"], 1)
+            for k in range(c["max_holes"]):
+                high, wide = (whole(c[f"min_{d}"], c[f"max_{d}"], 2 + 4 * k + n) for n, d in enumerate(("height", "width")))
+                top, left = (np.floor(draw31(own, step, 4 + 4 * k + n) * (side - d + 1)).astype(int) for n, d in enumerate((high, wide)))
+                covers = [(p >= a[:, None, None]) & (p < (a + d)[:, None, None]) for p, a, d in ((y, top, high), (x, left, wide))]
+                part = np.where(covers[0] & covers[1] & (k < holes)[:, None, None], c["fill_value"], part)
+        else:
+            raise ValueError(f"unknown step {name}")
+        maps[hit] = part
+    return np.clip(maps, 0.0, 1.0)
+
+
+def augment_image(blob: Column, draw: Column, side: int = 64, config: dict = TRAIN_AUGMENTATION) -> Column:
+    """Normalised map after the random image steps of ``config``, as ``array<float>``.
+
+    ``draw`` is a hash per copy, of which 31 bits seed that map's draws. Maps are worked on in
+    stacks of ``MAPS_AT_ONCE``, so memory does not grow with the batch.
     """
 
     @F.arrow_udf("array<float>")
     def augment(column: pa.Array, seeds: pa.Array) -> pa.Array:
-        maps = (K.byte_rows(column, side * side) / 2.0).reshape(-1, side, side)
-        y, x = np.mgrid[:side, :side] - (side - 1) / 2
-        out = np.empty_like(maps)
-        for i, seed in enumerate(seeds.to_pylist()):
-            rng = np.random.default_rng(seed & (2**63 - 1))
-            image = maps[i]
-            hit = {step: rng.random() < conf["p"] for step, conf in config.items()}
-            if hit.get("rotate"):
-                a = np.deg2rad(rng.uniform(-config["rotate"]["limit"], config["rotate"]["limit"]))
-                sy = np.rint(np.cos(a) * y + np.sin(a) * x + (side - 1) / 2).astype(int)
-                sx = np.rint(np.cos(a) * x - np.sin(a) * y + (side - 1) / 2).astype(int)
-                inside = (sy >= 0) & (sy < side) & (sx >= 0) & (sx < side)
-                image = np.where(inside, image[sy.clip(0, side - 1), sx.clip(0, side - 1)], 0.0)
-            if hit.get("hflip"):
-                image = image[:, ::-1]
-            if hit.get("vflip"):
-                image = image[::-1, :]
-            if hit.get("noise"):
-                image = image + rng.normal(0, np.sqrt(rng.uniform(*config["noise"]["var"])), image.shape)
-            if hit.get("blur"):
-                size = config["blur"]["size"]
-                padded = np.pad(image, size // 2, mode="reflect")
-                image = np.lib.stride_tricks.sliding_window_view(padded, (size, size)).mean((2, 3))
-            if hit.get("brightness"):
-                c = config["brightness"]
-                image = image * (1 + rng.uniform(-c["contrast"], c["contrast"])) + rng.uniform(
-                    -c["brightness"], c["brightness"])
-            if hit.get("dropout"):
-                c = config["dropout"]
-                image = image.copy()
-                for _ in range(rng.integers(c["holes"][0], c["holes"][1] + 1)):
-                    h, w = rng.integers(c["side"][0], c["side"][1] + 1, 2)
-                    top, left = rng.integers(0, side - h + 1), rng.integers(0, side - w + 1)
-                    image[top : top + h, left : left + w] = 0.0
-            out[i] = np.clip(image, 0.0, 1.0)
-        offsets = pa.array(np.arange(len(maps) + 1, dtype=np.int32) * (side * side))
-        return pa.ListArray.from_arrays(offsets, pa.array(out.astype(np.float32).ravel()))
+        low = np.asarray(seeds.fill_null(0)).astype(np.int64) & _M31
+        out = np.empty((len(low), side * side), np.float32)
+        for start in range(0, len(low), MAPS_AT_ONCE):
+            part = slice(start, start + MAPS_AT_ONCE)
+            maps = K.byte_rows(column.slice(start, MAPS_AT_ONCE), side * side).reshape(-1, side, side) / 2.0
+            out[part] = augmented(maps, low[part], config).reshape(len(maps), -1)
+        offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * (side * side))
+        return pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
 
     return F.when(blob.isNotNull(), augment(blob, draw))
 

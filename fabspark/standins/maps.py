@@ -164,14 +164,59 @@ def augmented_copies(spark, d):
     )
 
 
-@R.add("SELECT count(*) AS n, count(*) * 64 AS n_values, CAST(0 AS BIGINT) AS out_of_range FROM embeddings")
+STEPS = {
+    "Rotate": {"limit": 20, "p": 0.5}, "HorizontalFlip": {"p": 0.5}, "VerticalFlip": {"p": 0.5},
+    "CoarseDropout": {"min_holes": 1, "max_holes": 2, "min_height": 2, "max_height": 3, "min_width": 1, "max_width": 4, "fill_value": 0.0, "p": 0.6},
+}
+
+
+def _mix_sql(x):
+    first = f"((xor({x}, ({x}) >> 16) * {0x45D9F3B}) & 2147483647)"
+    second = f"((xor({first}, {first} >> 15) * {0x2C1B3C6D}) & 2147483647)"
+    return f"xor({second}, {second} >> 16)"
+
+
+def _draws_sql(columns):
+    """Columns of draws: name -> (step, number). The inner mix comes as a column ``s<step>``."""
+    return ", ".join(f"m31((s{step} + {number}) & 2147483647) / 2147483648.0 AS {name}" for name, (step, number) in columns.items())
+
+
+_DRAWS = {"h1": (1, 0), "a": (1, 1), "h2": (2, 0), "h3": (3, 0), "h4": (4, 0), "n": (4, 1)} | {
+    f"{c}{k}": (4, 2 + 4 * k + i) for k in range(2) for i, c in enumerate(("hh", "ww", "tt", "ll"))}
+# Pixels are followed from the result back: dropout, vertical flip, horizontal flip, rotation.
+AUGMENT_SQL = f"""WITH {CELLS_SQL}, q0 AS (SELECT vec_id, CAST('0x' || substr(md5(vec_id || ':1'), 1, 15) AS BIGINT) & 2147483647 AS seed FROM embeddings),
+  q1 AS (SELECT vec_id, {', '.join(f'm31((seed + {7919 * k}) & 2147483647) AS s{k}' for k in range(1, 5))} FROM q0),
+  q2 AS (SELECT vec_id, {_draws_sql(_DRAWS)} FROM q1),
+  q3 AS (SELECT *, radians(-20 + 40 * a) AS angle, 1 + floor(2 * n) AS holes, {', '.join(
+      f'2 + floor(2 * hh{k}) AS hgt{k}, 1 + floor(4 * ww{k}) AS wid{k}' for k in range(2))} FROM q2),
+  q4 AS (SELECT *, {', '.join(f'floor(tt{k} * (8 - hgt{k} + 1)) AS top{k}, floor(ll{k} * (8 - wid{k} + 1)) AS lef{k}' for k in range(2))} FROM q3),
+  o AS (SELECT q4.*, pos, pos // 8 AS y, pos % 8 AS x FROM q4, range(64) r(pos)),
+  f AS (SELECT *, h4 < 0.6 AND ({' OR '.join(
+      f'({k} < holes AND y >= top{k} AND y < top{k} + hgt{k} AND x >= lef{k} AND x < lef{k} + wid{k})' for k in range(2))}) AS hole,
+    CASE WHEN h3 < 0.5 THEN 7 - y ELSE y END AS fy, CASE WHEN h2 < 0.5 THEN 7 - x ELSE x END AS fx FROM o),
+  g AS (SELECT vec_id, pos, hole, CASE WHEN h1 < 0.5 THEN floor(cos(angle) * (fy - 3.5) + sin(angle) * (fx - 3.5) + 4) ELSE fy END AS gy,
+    CASE WHEN h1 < 0.5 THEN floor(cos(angle) * (fx - 3.5) - sin(angle) * (fy - 3.5) + 4) ELSE fx END AS gx FROM f)
+  SELECT g.vec_id, CAST(g.pos AS INTEGER) AS pos, CASE WHEN hole THEN 0.0 ELSE coalesce(c.die, 0) / 2.0 END::DOUBLE AS value
+  FROM g LEFT JOIN cells c ON c.vec_id = g.vec_id AND c.y = gy AND c.x = gx"""
+
+
+def _with_mix(sql):
+    """DuckDB queries are one statement, so the mix is written out where it is used."""
+    while "m31(" in sql:
+        at = sql.rindex("m31(")
+        end, open_ = at + 4, 1
+        while open_:
+            open_ += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        sql = sql[:at] + _mix_sql(sql[at + 3:end]) + sql[end:]
+    return sql
+
+
+@R.add(_with_mix(AUGMENT_SQL))
 def augmented_images(spark, d):
-    images = die_maps(spark, d).select(
-        M.augment_image(F.col("map"), F.xxhash64("vec_id", F.lit(1)), SIDE).alias("image"))
-    return images.agg(
-        F.count("*").alias("n"), F.sum(F.size("image")).alias("n_values"),
-        F.sum(F.size(F.filter("image", lambda v: (v < 0) | (v > 1)))).alias("out_of_range"),
-    )
+    """Every pixel after rotation, flips and dropout."""
+    images = die_maps(spark, d).select("vec_id", F.posexplode(M.augment_image(F.col("map"), md5_draw(F.col("vec_id"), 1), SIDE, STEPS)).alias("pos", "value"))
+    return images.select("vec_id", "pos", F.col("value").cast("double").alias("value"))
 
 
 def _quadrants():

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from fabspark.constants import TRAIN_AUGMENTATION
 from fabspark.functions import kernels as K
 from fabspark.operators import diemaps as M
 from fabspark.operators import synthesis
@@ -135,6 +136,31 @@ def test_augmentation_is_repeatable(spark):
     assert first == second and all(0 <= v <= 1 for r in first for v in r["x"])
 
 
+def test_image_steps_one_by_one(monkeypatch):
+    """Each step on a stack equals the step on its maps alone, and its draws have the right spread."""
+    rng = np.random.default_rng(3)
+    maps, seeds = rng.integers(0, 3, (400, 12, 12)) / 2.0, rng.integers(0, 1 << 31, 400)
+    config = TRAIN_AUGMENTATION | {"CoarseDropout": TRAIN_AUGMENTATION["CoarseDropout"] | {"min_height": 2, "max_height": 5}}
+    whole = M.augmented(maps.copy(), seeds, config)
+    for i in range(0, 400, 37):
+        assert np.array_equal(whole[i], M.augmented(maps[i:i + 1].copy(), seeds[i:i + 1], config)[0])
+    for name, c in config.items():
+        one = {n: (v if n == name else v | {"p": 0.0}) for n, v in config.items()}
+        out = M.augmented(maps.copy(), seeds, one)
+        changed = (out != maps).any(axis=(1, 2)).mean()
+        assert abs(changed - c["p"]) < (0.2 if name == "Rotate" else 0.1), name  # a small turn may change nothing
+    flips = M.augmented(maps.copy(), seeds, {"HorizontalFlip": {"p": 1.0}, "VerticalFlip": {"p": 1.0}})
+    assert np.array_equal(flips, maps[:, ::-1, ::-1])
+    flat = np.full((300, 16, 16), 0.5)
+    noise = M.augmented(flat.copy(), rng.integers(0, 1 << 31, 300), {"GaussNoise": {"var_limit": (0.004, 0.004), "p": 1.0}}) - 0.5
+    assert abs(noise.mean()) < 2e-3 and abs(noise.std() - np.sqrt(0.004)) < 2e-3
+    u = M.draw31(np.arange(200_000), 3, 1)
+    assert abs(u.mean() - 0.5) < 4e-3 and abs(np.histogram(u, 50, (0, 1))[0] / 4000 - 1).max() < 0.08
+    assert abs(np.corrcoef(u, M.draw31(np.arange(200_000), 3, 2))[0, 1]) < 0.01
+    blur = M.augmented(np.eye(5)[None].copy(), np.array([1]), {"Blur": {"blur_limit": 3, "p": 1.0}})
+    assert blur[0, 2, 2] == pytest.approx(1 / 3) and blur[0, 0, 0] == pytest.approx(5 / 9)
+
+
 def test_byte_rows_of_a_slice():
     column = pa.array([b"\x00\x01", b"\x02\x01", None, b"\x02\x02"], pa.binary()).slice(1, 3)
     assert K.byte_rows(column, 2).tolist() == [[2, 1], [0, 0], [2, 2]]
