@@ -48,14 +48,14 @@ def logistic_significance(
 
 
 def tabular_classifier(
-    df: DataFrame, features: Sequence[str], label_idx: str, weight_col: str | None = None, max_iter: int = 50
+    df: DataFrame, features: Sequence[str], label_idx: str, weight_col: str | None = None, max_iter: int = 50, tol: float = 1e-6
 ) -> PipelineModel:
     """Multinomial logistic model on feature columns."""
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip"),
         LogisticRegression(
             featuresCol="_features", labelCol=label_idx, predictionCol="pred", probabilityCol="prob",
-            family="multinomial", maxIter=max_iter, **({"weightCol": weight_col} if weight_col else {}),
+            family="multinomial", maxIter=max_iter, tol=tol, **({"weightCol": weight_col} if weight_col else {}),
         ),
     ]
     return Pipeline(stages=stages).fit(df)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fabspark.operators import diemaps as M
@@ -238,20 +239,37 @@ def batch_predict(spark, d):
     return round_all(scored.select("vec_id", "s.*"))
 
 
-@R.add()
-def tabular_classifier(spark, d):
-    feats = ["defect_density", "active_ratio", "edge_defect_ratio", "center_defect_ratio", "radial_mean"]
-    rows = die_maps(spark, d).select("vec_id", "label", M.spatial_features(F.col("map"), SIDE, SIDE).alias("f")).select(
-        "vec_id", "label", "f.*")
-    model = models.tabular_classifier(rows, feats, "label")
-    return model.transform(rows).select("vec_id", "label", F.col("pred").cast("int").alias("pred"))
+FEATURES_SQL = f"""g AS (SELECT vec_id, label, count(*) FILTER (die > 0) AS a, count(*) FILTER (die = 2) AS n,
+    count(*) FILTER (die = 2 AND {DIST_SQL} > 3.5 * 0.75) AS e FROM cells GROUP BY 1, 2),
+  s AS (SELECT vec_id, label, CASE WHEN a > 0 THEN n / a ELSE 0 END AS defect_density, a / 64 AS active_ratio, e / (n + 1e-9) AS edge_defect_ratio FROM g)"""
 
 
-@R.add()
+@R.add(f"""WITH {CELLS_SQL}, {FEATURES_SQL} SELECT label, count(*) AS n, round(sum(defect_density) / (SELECT count(*) FROM s), 6) AS density,
+  round(sum(active_ratio) / (SELECT count(*) FROM s), 6) AS active, round(sum(edge_defect_ratio) / (SELECT count(*) FROM s), 6) AS edge,
+  0.0::DOUBLE AS gap FROM s GROUP BY 1""")
+def tabular_classifier(spark, d):
+    """At the best fit the predicted shares, and the features weighted by them, equal those of the labels: the gradient is zero."""
+    feats = ["defect_density", "active_ratio", "edge_defect_ratio"]
+    rows = die_maps(spark, d).select("label", M.spatial_features(F.col("map"), SIDE, SIDE).alias("f")).select("label", *[f"f.{c}" for c in feats])
+    scored = models.tabular_classifier(rows, feats, "label", max_iter=1000, tol=1e-12).transform(rows)
+    scored = scored.select("label", *feats, F.posexplode(vector_to_array("prob")).alias("k", "p"))
+    own = (F.col("label") == F.col("k")).cast("double")
+    means = [F.avg(own * F.col(c)) for c in feats]
+    gaps = [F.abs(F.avg(F.col("p")) - F.avg(own)), *[F.abs(F.avg(F.col("p") * F.col(c)) - m) for c, m in zip(feats, means)]]
+    return scored.groupBy(F.col("k").alias("label")).agg(
+        F.count_if(F.col("label") == F.col("k")).alias("n"), *[F.round(m, 6).alias(out) for m, out in zip(means, ("density", "active", "edge"))],
+        F.round(F.greatest(*gaps), 3).alias("gap"))
+
+
+@R.add(f"""WITH {CELLS_SQL}, {FEATURES_SQL}, c AS (SELECT var_samp(defect_density) AS a, covar_samp(defect_density, active_ratio) AS b, var_samp(active_ratio) AS d FROM s),
+  l AS (SELECT *, (a + d) / 2 + sqrt((a - d) ** 2 / 4 + b * b) AS top FROM c),
+  v AS (SELECT b / sqrt(b * b + (top - a) ** 2) AS vx, (top - a) / sqrt(b * b + (top - a) ** 2) AS vy FROM l)
+  SELECT vec_id, round(abs(defect_density * vx + active_ratio * vy), 5) AS first, round(abs(active_ratio * vx - defect_density * vy), 5) AS second FROM s, v""")
 def pca_features(spark, d):
-    feats = ["defect_density", "active_ratio", "edge_defect_ratio", "center_defect_ratio", "radial_mean"]
+    """Two columns, whose components have a closed form; their signs are free."""
     rows = die_maps(spark, d).select("vec_id", M.spatial_features(F.col("map"), SIDE, SIDE).alias("f")).select("vec_id", "f.*")
-    return models.pca_features(rows, feats, 2).select("vec_id", "pca")
+    out = models.pca_features(rows, ["defect_density", "active_ratio"], 2)
+    return out.select("vec_id", *[F.round(F.abs(F.get("pca", F.lit(i))), 5).alias(name) for i, name in enumerate(("first", "second"))])
 
 
 @R.add("SELECT CASE WHEN quality IS NULL THEN 'pseudo' ELSE 'label' END AS origin, count(*) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE quality IS NOT NULL OR least(d.n_chars / 5000.0, 1.0) >= 0.95 GROUP BY 1")
