@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 from fabspark.constants import CLASSES
 from fabspark.functions import kernels as K
 from fabspark.operators.joins import null_safe_join
+from fabspark.operators.splitting import id_hash
 from fabspark.session import broadcast_if_small
 
 
-def class_index(df: DataFrame, id_col: str, class_col: str, seed: int = 42) -> DataFrame:
-    """Add ``_idx``: 0, 1, 2, ... per class in id-hash order.
+def class_index(df: DataFrame, id_col: str, class_col: str, seed: int = 42, draw: Callable[[Column, int], Column] = id_hash) -> DataFrame:
+    """Add ``_idx``: 0, 1, 2, ... per class in the order of ``draw``, a hash of id and seed.
 
     Hash cells keep a class out of one task: the index is the count of earlier cells plus the
     place within the cell. The cell counts hold at most 65,536 rows per class.
     """
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+    h = draw(F.col(id_col), seed)
     keyed = df.withColumns({"_h": h, "_cell": F.shiftright(h, 48).cast("int")})
     keys = [class_col, "_cell"]
     earlier = Window.partitionBy(class_col).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -33,7 +34,8 @@ def class_index(df: DataFrame, id_col: str, class_col: str, seed: int = 42) -> D
 
 
 def pair_maps(
-    df: DataFrame, id_col: str, class_col: str, blob: str, combos: Sequence[tuple], seed: int = 42
+    df: DataFrame, id_col: str, class_col: str, blob: str, combos: Sequence[tuple], seed: int = 42,
+    draw: Callable[[Column, int], Column] = id_hash,
 ) -> DataFrame:
     """Pair the maps of two classes one to one: ``id_a, id_b, class_a, class_b, map_a, map_b``.
 
@@ -46,7 +48,7 @@ def pair_maps(
         for i, (a, b) in enumerate(combos)
     ])
     wanted = df.filter(F.col(class_col).isin(sorted({c for pair in combos for c in pair})))
-    indexed = class_index(wanted.filter(F.col(blob).isNotNull()).select(id_col, class_col), id_col, class_col, seed)
+    indexed = class_index(wanted.filter(F.col(blob).isNotNull()).select(id_col, class_col), id_col, class_col, seed, draw)
 
     def side(which: str) -> DataFrame:
         mine = F.filter(table, lambda c: c[which] == F.col(class_col))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fabspark.constants import CLASS_META, CLASSES, SEVERITY_INDEX
 from fabspark.operators import evaluation as V
 from fabspark.standins.common import ROWS_PER_BUCKET, Registry, round_all, table
 
@@ -54,6 +55,24 @@ def summary_scores(spark, d):
     return round_all(V.summary_scores(V.class_scores(labels(spark, d), "quality", "toxic", [0, 1, 2])))
 
 
+SEVERITY = [SEVERITY_INDEX[CLASS_META[c][0]] for c in CLASSES]
+_SEV_SQL = "CASE {} " + " ".join(f"WHEN {i} THEN {k}" for i, k in enumerate(SEVERITY)) + " END"
+
+
+@R.add(f"""WITH e AS (SELECT {_SEV_SQL.format('event_id % 9')} AS t, {_SEV_SQL.format('(event_id + CASE WHEN value > 60 THEN 1 ELSE 0 END) % 9')} AS p FROM events),
+  k AS (SELECT s, count(*) FILTER (t = s) AS support, count(*) FILTER (p = s) AS predicted, count(*) FILTER (t = s AND p = s) AS tp FROM e, range(4) r(s) GROUP BY 1)
+  SELECT round(sum(tp) / sum(support), 6) AS accuracy, round(avg(coalesce(2 * tp / nullif(support + predicted, 0), 0)), 6) AS macro_f1,
+    round(avg(coalesce(tp / nullif(support, 0), 0)), 6) AS macro_recall, CAST(sum(support) AS BIGINT) AS support FROM k""")
+def severity_scores(spark, d):
+    """The second head: severity levels of true and predicted classes."""
+    level = F.array(*[F.lit(k) for k in SEVERITY])
+    step = F.when(F.col("value") > 60, 1).otherwise(0)
+    rows = table(spark, d, "events").select(
+        F.get(level, (F.col("event_id") % 9).cast("int")).alias("t"), F.get(level, ((F.col("event_id") + step) % 9).cast("int")).alias("p"))
+    scores = V.summary_scores(V.class_scores(rows, "t", "p", sorted(set(SEVERITY_INDEX.values()))))
+    return round_all(scores.select("accuracy", "macro_f1", "macro_recall", "support"))
+
+
 @R.add("SELECT doc_id, quality, toxic FROM labels WHERE quality <> toxic")
 def misclassified_rows(spark, d):
     return V.misclassified(labels(spark, d), "quality", "toxic")

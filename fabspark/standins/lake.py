@@ -18,7 +18,7 @@ from fabspark.plans import medallion
 from fabspark.session import cut_lineage, shared_dir
 from fabspark.sources import npy, readers, writers
 from fabspark.standins.common import ROWS_PER_BUCKET, Registry, round_all, table
-from fabspark.standins.maps import CELLS_SQL, SIDE, _quadrants, die_maps, shaped
+from fabspark.standins.maps import CELLS_SQL, SIDE, _quadrants, byte_sums, die_maps, shaped
 
 R = Registry()
 CLASS_SQL = "CASE {} % 9 " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CLASSES)) + " END"
@@ -99,11 +99,7 @@ NPY_SQL = f"""WITH {CELLS_SQL} SELECT p.k AS wafer_id, CAST(count(*) AS INTEGER)
 
 
 def _map_sums(maps):
-    """Defects and a position-weighted sum of each map, so that a byte out of place shows."""
-    cells = F.transform(F.sequence(F.lit(1), F.length("wafer_map_flat")), lambda i: F.conv(F.hex(F.substr("wafer_map_flat", i, F.lit(1))), 16, 10).cast("long"))
-    return maps.select(
-        "wafer_id", F.length("wafer_map_flat").alias("dies"), F.size(F.filter(cells, lambda x: x == 2)).cast("long").alias("defects"),
-        F.aggregate(F.transform(cells, lambda x, i: x * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x).alias("place_sum"))
+    return maps.select("wafer_id", F.length("wafer_map_flat").alias("dies"), *byte_sums(F.col("wafer_map_flat")))
 
 
 def _in_order(spark, d):

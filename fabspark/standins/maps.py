@@ -351,31 +351,43 @@ def class_weights_balanced_norm(spark, d):
 
 
 COMBOS = [(0, 1), (2, 3), (2, 4)]
-COMBO_ROWS_SQL = " UNION ALL ".join(
-    f"SELECT {i} AS combo, least(count(*) FILTER (label = {a}), count(*) FILTER (label = {b})) AS n FROM embeddings" for i, (a, b) in enumerate(COMBOS))
+PAIRS_SQL = f"""{CELLS_SQL}, idx AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY {draw_sql('vec_id', 42)}, vec_id) AS i FROM embeddings),
+  combos(combo, a, b) AS (VALUES {', '.join(f'({i}, {a}, {b})' for i, (a, b) in enumerate(COMBOS))}),
+  p AS (SELECT combo, x.vec_id AS id_a, y.vec_id AS id_b FROM combos JOIN idx x ON x.label = a JOIN idx y ON y.label = b AND y.i = x.i)"""
 
 
-@R.add(f"""SELECT CAST(combo AS INTEGER) AS combo, n AS n_pairs, n AS distinct_a, n AS distinct_b, CAST(0 AS BIGINT) AS failed_checks,
-  n AS two_labels FROM ({COMBO_ROWS_SQL})""")
+def byte_sums(blob):
+    """Defects and a position-weighted sum of a map's bytes, so that a die out of place shows."""
+    cells = F.transform(F.sequence(F.lit(1), F.length(blob)), lambda i: F.conv(F.hex(F.substr(blob, i, F.lit(1))), 16, 10).cast("long"))
+    return [F.size(F.filter(cells, lambda x: x == 2)).cast("long").alias("defects"),
+            F.aggregate(F.transform(cells, lambda x, i: x * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x).alias("place_sum")]
+
+
+@R.add(f"""WITH {PAIRS_SQL}, o AS (SELECT combo, id_a, id_b, c.pos, greatest(c.die, e.die) AS die
+    FROM p JOIN cells c ON c.vec_id = id_a JOIN cells e ON e.vec_id = id_b AND e.pos = c.pos)
+  SELECT CAST(combo AS INTEGER) AS combo, id_a, id_b, count(*) FILTER (die = 2) AS defects, CAST(sum(die * (pos + 1)) AS BIGINT) AS place_sum,
+    true AS checks, CAST(2 AS INTEGER) AS labels FROM o GROUP BY 1, 2, 3""")
 def overlay_pairs(spark, d):
-    pairs = synthesis.pair_maps(die_maps(spark, d), "vec_id", "label", "map", COMBOS)
+    """Which maps are paired, and every die of the composite."""
+    pairs = synthesis.pair_maps(die_maps(spark, d), "vec_id", "label", "map", COMBOS, draw=md5_draw)
     made = pairs.withColumn("out", synthesis.overlay(F.col("map_a"), F.col("map_b"), 64))
     checked = made.withColumn("k", synthesis.composite_checks(F.col("map_a"), F.col("map_b"), F.col("out"), 64))
     hot = synthesis.multi_hot(F.array("class_a", "class_b"), list(range(10)))
     ok = F.col("k.defects_kept") & F.col("k.active_kept") & F.col("k.inside_mask") & F.col("k.values_valid")
-    return checked.groupBy("combo").agg(
-        F.count("*").alias("n_pairs"), F.count_distinct("id_a").alias("distinct_a"),
-        F.count_distinct("id_b").alias("distinct_b"), F.count_if(~ok).alias("failed_checks"),
-        F.count_if(F.aggregate(hot, F.lit(0), lambda x, v: x + v) == 2).alias("two_labels"),
-    )
+    return checked.select("combo", "id_a", "id_b", *byte_sums(F.col("out")), ok.alias("checks"),
+                          F.aggregate(hot, F.lit(0), lambda x, v: x + v).alias("labels"))
+
+
+_PAIR_DRAW = draw_sql("id_a || ':' || id_b", 42)
 
 
-@R.add(f"""SELECT CAST(combo AS INTEGER) AS combo, n AS n_pairs, CAST(0 AS BIGINT) AS lost_defects FROM ({COMBO_ROWS_SQL})""")
+@R.add(f"""WITH {PAIRS_SQL}, m AS (SELECT *, {_PAIR_DRAW} % 49 // 7 - 3 AS dy, {_PAIR_DRAW} % 49 % 7 - 3 AS dx FROM p),
+  o AS (SELECT combo, id_a, id_b, c.pos, CASE WHEN e.die = 2 THEN 2 ELSE c.die END AS die FROM m JOIN cells c ON c.vec_id = id_a
+    JOIN cells e ON e.vec_id = id_b AND e.y = (c.y - dy + 8) % 8 AND e.x = (c.x - dx + 8) % 8)
+  SELECT CAST(combo AS INTEGER) AS combo, id_a, id_b, count(*) FILTER (die = 2) AS defects, CAST(sum(die * (pos + 1)) AS BIGINT) AS place_sum FROM o GROUP BY 1, 2, 3""")
 def pasted_pairs(spark, d):
-    pairs = synthesis.pair_maps(die_maps(spark, d), "vec_id", "label", "map", COMBOS)
-    move = F.pmod(F.xxhash64("id_a", "id_b"), F.lit(49))
+    """Every die of the base map with the donor's moved defects."""
+    pairs = synthesis.pair_maps(die_maps(spark, d), "vec_id", "label", "map", COMBOS, draw=md5_draw)
+    move = F.pmod(md5_draw(F.concat_ws(":", "id_a", "id_b"), 42), F.lit(49))
     made = pairs.withColumn("out", synthesis.paste_defects(F.col("map_a"), F.col("map_b"), move, SIDE))
-    bad = lambda c: M.spatial_features(F.col(c), SIDE, SIDE)["defect_count"]
-    return made.select("combo", bad("map_a").alias("a"), bad("map_b").alias("b"), bad("out").alias("o")).groupBy("combo").agg(
-        F.count("*").alias("n_pairs"),
-        F.count_if((F.col("o") < F.greatest("a", "b")) | (F.col("o") > F.col("a") + F.col("b"))).alias("lost_defects"))
+    return made.select("combo", "id_a", "id_b", *byte_sums(F.col("out")))
