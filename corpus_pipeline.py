@@ -52,9 +52,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
                         F.xxhash64("*").alias("_hash"), F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("_words"))
     found = jaccard.jaccard_rows(docs).filter("root IS NOT NULL")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
-    keep = saved(first.select(F.col("first.row").alias("_key")), "kept-rows")
-    kept = whole.filter("_words").join(keep, "_key").groupBy("_key").agg(F.min_by("_row", "_hash").alias("_row"))
-    return kept.select("_row.*").unionByName(whole.filter("NOT _words").select("_row.*"))
+    keep = first.select(F.col("first.row").alias("_key"))
+    # Which of the rows of a key stays is found from hashes; whole rows move only where all their columns are equal.
+    counted = whole.filter("_words").groupBy("_key", "_hash").agg(F.count("*").alias("_n"))
+    counted = counted.groupBy("_key").agg(F.min(F.struct("_hash", "_n")).alias("_first"))
+    chosen = saved(keep.join(counted, "_key").select("_key", "_first._hash", "_first._n"), "kept-rows")
+    kept = whole.filter("_words").join(chosen, ["_key", "_hash"])
+    copies = kept.filter("_n > 1").groupBy("_key").agg(F.first("_row").alias("_row"))
+    rows = kept.filter("_n = 1").select("_row").unionByName(copies.select("_row"))
+    return rows.unionByName(whole.filter("NOT _words").select("_row")).select("_row.*")
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
