@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,16 +11,39 @@ from pyspark.sql import functions as F
 from fabspark import schemas
 from fabspark.constants import ALERT_LEVELS
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
-def write_table(df: DataFrame, path: str, name: str | None = None, partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a Parquet table; ``name`` selects its contract and partition columns."""
+
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes keep a file open per folder here, also in a session that would sort each task's rows."""
+    sorts = spark.conf.get(OPEN_FILES) == "0"
+    if sorts:
+        spark.conf.set(OPEN_FILES, "32")
+    try:
+        yield
+    finally:
+        if sorts:
+            spark.conf.unset(OPEN_FILES)
+
+
+def write_table(df: DataFrame, path: str, name: str | None = None, partition_by: Sequence[str] = (), one_file: bool = False) -> None:
+    """Overwrite a Parquet table; ``name`` selects its contract and partition columns.
+
+    With ``one_file`` each folder gets one file: a folder's rows are brought to one task, which
+    writes them as they come and holds no more than the files' open row groups.
+    """
     if name:
         schema, parts = schemas.TABLES[name]
         df, partition_by = schemas.conform(df, schema), parts
+    if one_file:  # a folder is named by the value as text, the empty one as null
+        keys = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in partition_by]
+        df = df.repartition(*keys) if keys else df.coalesce(1)
     writer = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with _open_files(df.sparkSession):
+        writer.parquet(path)
 
 
 def write_buckets(df: DataFrame, table: str, path: str, key: str, buckets: int, name: str | None = None) -> None:

@@ -82,8 +82,8 @@ def json_summary(spark, d):
        "SELECT 'gold', 'nation', least(count(*), 1), 1 FROM nation")
 def storage_report(spark, d):
     root = folder(spark) + "/lake+1 (x)"  # characters that mean something in a pattern
-    writers.write_table(table(spark, d, "orders").coalesce(1), f"{root}/bronze/orders", partition_by=["o_orderstatus"])
-    writers.write_table(table(spark, d, "nation").coalesce(1), f"{root}/gold/nation")
+    writers.write_table(table(spark, d, "orders"), f"{root}/bronze/orders", partition_by=["o_orderstatus"], one_file=True)
+    writers.write_table(table(spark, d, "nation"), f"{root}/gold/nation", one_file=True)
     return writers.lake_report(spark, root).select("layer", "table", "files", (F.col("bytes") > 0).cast("int").alias("has_bytes"))
 
 

@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from fabspark import schemas
@@ -12,6 +13,7 @@ from fabspark.constants import CLASSES, PARAMS, SPC_LIMITS
 from fabspark.operators import diemaps, reports
 from fabspark.plans import medallion
 from fabspark.sources import readers, writers
+from fabspark.standins import lake as lake_standins
 
 N, N_PARAMS = 120, 50
 
@@ -202,6 +204,41 @@ def test_result_sinks(spark, tmp_path):
     assert both.count() == 1
 
 
+def test_one_file_per_folder_without_sorting_its_rows(spark, tmp_path, monkeypatch):
+    """Also in a session that sorts each task's rows for a partitioned write."""
+    seen, plain = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append(spark.conf.get(writers.OPEN_FILES)), plain(self, path))[1])
+    rows = [(i, ("a", "b", "", None)[i % 4], i // 4 % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "i int, k string, x int").repartition(5)
+    spark.conf.set(writers.OPEN_FILES, "0")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        writers.write_table(df, str(tmp_path / "t"), partition_by=["k", "x"], one_file=True)
+        assert spark.conf.get(writers.OPEN_FILES) == "0"
+        writers.write_table(df, str(tmp_path / "u"), one_file=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set(writers.OPEN_FILES, "32")
+    assert seen == ["32", "32"]
+    files = {str(f.parent.relative_to(tmp_path)): f.name for f in tmp_path.rglob("*.parquet")}
+    assert len(files) == len(list(tmp_path.rglob("*.parquet"))) == 7
+    assert sorted(r["i"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == list(range(400))
+
+
+def test_storage_report_writes_each_folder_in_a_task_of_its_own(spark, tmp_path, monkeypatch):
+    root, src = tmp_path / "lake", tmp_path / "in"
+    spark.range(3000).selectExpr("id AS o_orderkey", "substr('OFP', int(id % 3) + 1, 1) AS o_orderstatus").write.parquet(f"{src}/orders.parquet")
+    spark.range(25).selectExpr("id AS n_nationkey").write.parquet(f"{src}/nation.parquet")
+    monkeypatch.setattr(lake_standins, "folder", lambda spark: str(root))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = sorted(tuple(r) for r in lake_standins.storage_report(spark, str(src)).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert rows == [("bronze", "orders", 3, 1), ("gold", "nation", 1, 1)]
+    assert len({f.name.split("-")[1] for f in root.rglob("o_orderstatus=*/*.parquet")}) > 1
+
+
 def test_codec(spark):
     df = spark.createDataFrame([([0, 1, 2, 2],)], "c array<int>")
     back = df.select(diemaps.binary_to_cells(diemaps.cells_to_binary(F.col("c"))).alias("c")).first()["c"]
