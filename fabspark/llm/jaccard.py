@@ -36,6 +36,8 @@ SLOTS = 1024
 FREQUENT = 1 << 21  # shingles that the order puts last; any number gives the same links
 BLOCK = 128  # sets of a cluster that are verified together
 VISITORS = 512  # sets that visit a block in one group
+HELD = 4_000_000  # shingles that a task holds to count the repeated ones
+SUFFIX_ROWS = 512  # pairs whose slot counts stand side by side
 _FLIP = np.uint64(1 << 63)
 
 
@@ -58,6 +60,15 @@ def _batch(schema: list[tuple[str, pa.DataType]], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, schema)], [n for n, _ in schema])
 
 
+def _repeated(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values that occur more than once, and how often; ``values`` is sorted in place."""
+    values.sort()
+    same = np.zeros(len(values) + 1, bool)  # a value equals the one before it
+    np.equal(values[1:], values[:-1], out=same[1:-1])
+    edges = np.flatnonzero(same[1:] != same[:-1])
+    return values[edges[::2]], edges[1::2] - edges[::2] + 1
+
+
 def describe(docs: DataFrame, width: int) -> DataFrame:
     """Per document (doc_id, row, n, class), and per task its repeated shingles (shingle, count)."""
     schema = [("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("shingle", pa.int64()), ("count", pa.int64())]
@@ -66,13 +77,11 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         held, size = [], 0
 
         def repeated() -> pa.RecordBatch:
-            values = np.sort(np.concatenate(held))
+            values = np.concatenate(held)
             held.clear()
-            edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-            count = np.diff(np.append(edge, len(values)))
-            keep = count > 1
-            none = pa.nulls(int(keep.sum()), pa.int64())
-            return _batch(schema, none, none, none, none, _signed(values[edge[keep]]), count[keep])
+            found, count = _repeated(values)
+            none = pa.nulls(len(found), pa.int64())
+            return _batch(schema, none, none, none, none, _signed(found), count)
 
         seen: set[int] = set()
         for batch in batches:
@@ -85,12 +94,12 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
                     seen.add(name)
                     held.append(found)
                     size += len(found)
+                if size > HELD:
+                    yield repeated()
+                    seen.clear()
+                    size = 0
             none = pa.nulls(len(sizes), pa.int64())
             yield _batch(schema, batch.column("doc_id"), batch.column("row"), sizes, classes, none, none)
-            if size > 4_000_000:
-                yield repeated()
-                seen.clear()
-                size = 0
         if held:
             yield repeated()
 
@@ -345,10 +354,10 @@ def verify(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> D
     """Those of the class pairs (a, b) that reach the threshold: slot counts first, then the texts."""
 
     def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            most = np.minimum(_counts(batch.column("slots_a")), _counts(batch.column("slots_b"))).sum(axis=1)
-            sizes = [np.asarray(batch.column(c)).astype(np.int64) for c in ("n_a", "n_b")]
-            yield batch.select(["a", "b"]).filter(pa.array(most >= overlap_needed(*sizes, percent)))
+        for rows in (b.slice(k, SUFFIX_ROWS) for b in batches for k in range(0, b.num_rows, SUFFIX_ROWS)):
+            most = np.minimum(_counts(rows.column("slots_a")), _counts(rows.column("slots_b"))).sum(axis=1)
+            sizes = [np.asarray(rows.column(c)).astype(np.int64) for c in ("n_a", "n_b")]
+            yield rows.select(["a", "b"]).filter(pa.array(most >= overlap_needed(*sizes, percent)))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

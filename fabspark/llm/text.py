@@ -16,7 +16,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 _U = np.uint64
 
 
@@ -43,7 +43,7 @@ def column(values) -> pa.Array:
     return values.fill_null("") if values.null_count else values
 
 
-def pieces(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
+def pieces(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Row ranges of about ``limit`` bytes, with the first row's number; a longer text stands alone."""
     _, offsets = buffers(texts)
     start = 0
