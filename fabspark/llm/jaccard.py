@@ -18,7 +18,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,7 @@ BLOCK = 128  # sets of a cluster that are verified together
 VISITORS = 512  # sets that visit a block in one group
 HELD = 4_000_000  # shingles that a task holds to count the repeated ones
 SUFFIX_ROWS = 512  # pairs whose slot counts stand side by side
+BITS = 1 << 24  # bits of the map that rows pass before they are shuffled for a join
 _FLIP = np.uint64(1 << 63)
 
 
@@ -264,13 +265,28 @@ def placed_sets(classes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataF
         "class", "root", F.xxhash64("cluster", cell).alias("block"))
 
 
+def among(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``table`` whose ``key``, a 64-bit hash, is among ``keys``, and some others: a join comes after.
+
+    A bitmap of at most 2 MB is broadcast, so most rows that the join would drop are not shuffled for it.
+    """
+    spot = F.pmod(F.col(key), F.lit(BITS)) + 1
+    marks = keys.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("_bits"))
+    place = F.bitmap_bit_position(spot).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    near = table.withColumn("_bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(marks), "_bucket")
+    return near.filter(F.getbit(byte, place % 8) == 1).select(*table.columns)
+
+
 def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int) -> DataFrame:
     """(class, n, slots, text) of one document for each of ``classes``, as a table.
 
     ``slots`` counts the set's shingles per hash slot. The document is found by the hash of its id
-    and text, so null and repeated ids lose none; the class that a text gives is checked.
+    and text, so null and repeated ids lose none; the class that a text gives is checked. Rows equal
+    in id and text meet in the join, so texts are shuffled once.
     """
-    nodes = classes.join(owner, "class").select("class", "row")
+    nodes = cut_lineage(classes.join(owner, "class").select("class", "row"))
     schema = [("class", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("text", pa.string())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,8 +298,8 @@ def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int)
             pick = pa.array([i for i, _ in rows], pa.int64())
             yield _batch(schema, batch.column("class").take(pick), [len(f) for _, f in rows], slots, batch.column("text").take(pick))
 
-    texts = docs.join(nodes, "row").select("class", "text")
-    return saved(texts.mapInArrow(run, "class long, n int, slots binary, text string").dropDuplicates(["class"]), "sets")
+    texts = among(docs.select("row", "text"), nodes, "row").join(nodes.hint("shuffle_hash"), "row").dropDuplicates(["row", "class", "text"])
+    return saved(texts.select("class", "text").mapInArrow(run, "class long, n int, slots binary, text string"), "sets")
 
 
 def _slot(found: np.ndarray) -> np.ndarray:
@@ -339,19 +355,24 @@ def visit(visits: DataFrame, placed: DataFrame, outlined: DataFrame, width: int,
                 u += [name] * len(first)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    def meet(guests: DataFrame, hosts: DataFrame, detail: list[str], fn, schema: str) -> DataFrame:
+    def meet(guests: DataFrame, hosts: DataFrame, outlined: DataFrame, detail: list[str], fn, schema: str) -> DataFrame:
         extra = outlined.select("class", *detail)
         left, right = guests.join(extra, "class"), hosts.join(extra, "class")
         right = right.toDF(*right.columns)
         return left.groupBy("block", "share").cogroup(right.groupBy("block", "share")).applyInArrow(fn, schema)
 
-    likely = cut_lineage(meet(visitors, members, ["n", "slots"], bound, "class long, root long, block long, share int"))
-    hosts = members.join(likely.select("block", "share").distinct(), ["block", "share"])
-    return meet(likely, hosts, ["text"], compare, "u long, v long")
+    likely = cut_lineage(meet(visitors, members, outlined, ["n", "slots"], bound, "class long, root long, block long, share int"))
+    hosts = cut_lineage(members.join(likely.select("block", "share").distinct(), ["block", "share"]))
+    texts = among(outlined, likely.select("class").union(hosts.select("class")), "class")
+    return meet(likely, hosts, texts, ["text"], compare, "u long, v long")
+
 
+def verify(pairs: DataFrame, outlined: DataFrame, width: int, percent: int,
+           narrow: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
+    """Those of the class pairs (a, b) that reach the threshold: slot counts first, then the texts.
 
-def verify(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the class pairs (a, b) that reach the threshold: slot counts first, then the texts."""
+    ``narrow`` may cut the pairs that the slot counts let through from their plan and leave out sets of none of them.
+    """
 
     def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in (b.slice(k, SUFFIX_ROWS) for b in batches for k in range(0, b.num_rows, SUFFIX_ROWS)):
@@ -368,14 +389,22 @@ def verify(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> D
                 ok[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def both(rows: DataFrame, detail: list[str]) -> DataFrame:
+    def both(rows: DataFrame, outlined: DataFrame, detail: list[str]) -> DataFrame:
         for side in "ab":
             extra = outlined.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in detail])
             rows = rows.join(extra, side)
         return rows
 
-    likely = both(pairs.select("a", "b"), ["n", "slots"]).mapInArrow(suffix, "a long, b long")
-    return both(likely, ["text"]).mapInArrow(exact, "a long, b long")
+    likely, texts = both(pairs.select("a", "b"), outlined, ["n", "slots"]).mapInArrow(suffix, "a long, b long"), outlined
+    if narrow:
+        likely, texts = narrow(likely, outlined)
+    return both(likely, texts, ["text"]).mapInArrow(exact, "a long, b long")
+
+
+def _of_pairs(pairs: DataFrame, outlined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` as a checkpoint, and the sets that they may need."""
+    pairs = cut_lineage(pairs)
+    return pairs, among(outlined, pairs.select(F.explode(F.array("a", "b")).alias("class")), "class")
 
 
 def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -388,7 +417,6 @@ def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _settle(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
     """Links among ``pairs``; best pair of each class first, then what is still open."""
-    pairs = cut_lineage(pairs)
     links = local_frame(pairs.sparkSession, [], "u long, v long")
     for last in (False, True):
         if not last:
@@ -398,7 +426,7 @@ def _settle(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) ->
             now = pairs
         if not now.take(1):
             break
-        found = verify(cut_lineage(now.select("a", "b")), outlined, width, percent)
+        found = verify(cut_lineage(now.select("a", "b")), outlined, width, percent, _of_pairs)
         found = cut_lineage(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         links = links.union(found)
         if not last:
@@ -433,7 +461,7 @@ def jaccard_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
     owner = cut_lineage(rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("owner"), F.min("row").alias("row")))
     frequent = frequent_shingles(described)
     found = saved(neighbours(prefixes(docs, frequent, width, percent), percent), "neighbours")
-    pairs = found.filter("kind = 0").groupBy("a", "b").agg(F.count("*").alias("votes"))
+    pairs = cut_lineage(found.filter("kind = 0").groupBy("a", "b").agg(F.count("*").alias("votes")))
     lists = found.filter("kind = 1").select(F.col("a").alias("shingle"), "n", F.col("b").alias("class"), "place")
     listed = lists.select("class").distinct()
     outlined = outlines(pairs.select(F.explode(F.array("a", "b")).alias("class")).union(listed).distinct(), docs, owner, width)

@@ -80,3 +80,35 @@ def test_repeated_values():
         each, count = np.unique(values, return_counts=True)
         found, often = jaccard._repeated(values.copy())
         assert found.tolist() == each[count > 1].tolist() and often.tolist() == count[count > 1].tolist()
+
+
+def test_rows_that_a_join_needs_are_told_before_they_are_shuffled(spark):
+    keys = [0, 1, -1, (1 << 24) - 1, 1 << 24, 7 * 32768, 32768 * 5 - 1, (1 << 63) - 1, -(1 << 63), 123456789123456789]
+    some = spark.createDataFrame([(k, str(k)) for k in keys] + [(k, "other") for k in range(100, 4100)], "k long, v string")
+    near = jaccard.among(some, spark.createDataFrame([(k,) for k in keys], "k long"), "k").collect()
+    assert sorted(r["v"] for r in near if r["v"] != "other") == sorted(map(str, keys)) and len(near) == len(keys)
+    one = jaccard.among(some, spark.createDataFrame([(-5,)], "k long"), "k")
+    assert one.columns == ["k", "v"] and one.count() == 0 and jaccard.among(some, some.limit(0).select("k"), "k").count() == 0
+
+
+def test_texts_of_a_join_are_shuffled_once_and_only_if_needed(spark, tmp_path, monkeypatch):
+    plans, kept = [], jaccard.saved
+
+    def saved(df, name, path=None):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return kept(df, name, path)
+
+    monkeypatch.setattr(jaccard, "saved", saved)
+    rng = np.random.default_rng(3)
+    rows = [(i % 40, " ".join(map(str, rng.integers(0, 1 << 30, 60)))) for i in range(300)]
+    rows += [(i, t + f" {i}") for i, t in rows[:60]] + rows[:20]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard.jaccard_rows(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len({r["root"] for r in out}) == 300 and len(out) == 380
+    plan = next(p for name, p in plans if name == "sets")
+    moved = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    assert [x for x in moved if x[0] != "_"] == ["row", "row"]  # documents and keys; beside them only the bitmap
