@@ -57,7 +57,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     counted = whole.filter("_words").groupBy("_key", "_hash").agg(F.count("*").alias("_n"))
     counted = counted.groupBy("_key").agg(F.min(F.struct("_hash", "_n")).alias("_first"))
     chosen = saved(keep.join(counted, "_key").select("_key", "_first._hash", "_first._n"), "kept-rows")
-    kept = whole.filter("_words").join(chosen, ["_key", "_hash"])
+    # Whole rows pass by the few columns of the chosen ones and are not sorted.
+    kept = whole.filter("_words").join(chosen.hint("shuffle_hash"), ["_key", "_hash"])
     copies = kept.filter("_n > 1").groupBy("_key").agg(F.first("_row").alias("_row"))
     rows = kept.filter("_n = 1").select("_row").unionByName(copies.select("_row"))
     return rows.unionByName(whole.filter("NOT _words").select("_row")).select("_row.*")

@@ -37,6 +37,7 @@ FREQUENT = 1 << 21  # shingles that the order puts last; any number gives the sa
 BLOCK = 128  # sets of a cluster that are verified together
 VISITORS = 512  # sets that visit a block in one group
 HELD = 4_000_000  # shingles that a task holds to count the repeated ones
+PACKED = 100_000  # prefix entries that a task sends at once
 SUFFIX_ROWS = 512  # pairs whose slot counts stand side by side
 BITS = 1 << 24  # bits of the map that rows pass before they are shuffled for a join
 _FLIP = np.uint64(1 << 63)
@@ -75,12 +76,10 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
     schema = [("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("class", pa.int64()), ("shingle", pa.int64()), ("count", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size = np.empty(HELD, np.uint64), 0  # memory is taken as it is filled
 
         def repeated() -> pa.RecordBatch:
-            values = np.concatenate(held)
-            held.clear()
-            found, count = _repeated(values)
+            found, count = _repeated(held[:size])
             none = pa.nulls(len(found), pa.int64())
             return _batch(schema, none, none, none, none, _signed(found), count)
 
@@ -92,16 +91,17 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
                 name = class_of(found) if len(found) else None
                 classes.append(name)
                 if name is not None and name not in seen:  # copies count once
+                    if size + len(found) > HELD:
+                        yield repeated()
+                        seen.clear()
+                        size = 0
                     seen.add(name)
-                    held.append(found)
-                    size += len(found)
-                if size > HELD:
-                    yield repeated()
-                    seen.clear()
-                    size = 0
+                    if len(found) <= HELD:  # a larger set repeats nothing in itself
+                        held[size:size + len(found)] = found
+                        size += len(found)
             none = pa.nulls(len(sizes), pa.int64())
             yield _batch(schema, batch.column("doc_id"), batch.column("row"), sizes, classes, none, none)
-        if held:
+        if size:
             yield repeated()
 
     return docs.select("doc_id", "row", "text").mapInArrow(run, "doc_id long, row long, n long, class long, shingle long, count long")
@@ -148,7 +148,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
                 names.append(name)
                 counts.append(take)
                 held += take
-                if held > 500_000:
+                if held > PACKED:
                     yield pack(keys, sizes, names, counts)
                     keys, sizes, names, counts, held = [], [], [], [], 0
             if keys:

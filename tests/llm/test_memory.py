@@ -112,3 +112,11 @@ def test_texts_of_a_join_are_shuffled_once_and_only_if_needed(spark, tmp_path, m
     plan = next(p for name, p in plans if name == "sets")
     moved = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
     assert [x for x in moved if x[0] != "_"] == ["row", "row"]  # documents and keys; beside them only the bitmap
+
+
+def test_prefixes_of_a_large_batch_are_sent_in_parts(spark):
+    frame = Frame()
+    frame.sparkSession = spark
+    jaccard.prefixes(frame, np.zeros(0, np.uint64), 5, 75)
+    sent = [b.num_rows for b in frame.runs[0](iter([pa.record_batch([texts(5, 800, 1000)], ["text"])]))]
+    assert sum(sent) == 800 * jaccard.prefix_length(996, 75) and max(sent) < 101_000
