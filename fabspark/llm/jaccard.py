@@ -280,26 +280,38 @@ def among(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def outlines(classes: DataFrame, docs: DataFrame, owner: DataFrame, width: int) -> DataFrame:
-    """(class, n, slots, text) of one document for each of ``classes``, as a table.
+    """(class, row, n, slots) of one document for each of ``classes``, as a table.
 
     ``slots`` counts the set's shingles per hash slot. The document is found by the hash of its id
-    and text, so null and repeated ids lose none; the class that a text gives is checked. Rows equal
-    in id and text meet in the join, so texts are shuffled once.
+    and text, so null and repeated ids lose none; the class that a text gives is checked. Slots are
+    counted where a text is read, so no text is shuffled.
     """
     nodes = cut_lineage(classes.join(owner, "class").select("class", "row"))
-    schema = [("class", pa.int64()), ("n", pa.int32()), ("slots", pa.binary()), ("text", pa.string())]
+    schema = [("row", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("slots", pa.binary())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            names = batch.column("class").to_pylist()
-            rows = [(i, found) for i, found in enumerate(shingle_sets(column(batch.column("text")), width))
-                    if len(found) and class_of(found) == names[i]]
-            slots = [np.bincount(_slot(f), minlength=SLOTS).clip(0, 255).astype(np.uint8).tobytes() for _, f in rows]
-            pick = pa.array([i for i, _ in rows], pa.int64())
-            yield _batch(schema, batch.column("class").take(pick), [len(f) for _, f in rows], slots, batch.column("text").take(pick))
+            out = [], [], [], []
+            for row, found in zip(batch.column("row").to_pylist(), shingle_sets(column(batch.column("text")), width)):
+                if not len(found) or (own := (row, class_of(found))) in seen:
+                    continue
+                if len(seen) > 100_000:
+                    seen.clear()
+                seen.add(own)
+                for c, x in zip(out, (*own, len(found), np.bincount(_slot(found), minlength=SLOTS).clip(0, 255).astype(np.uint8).tobytes())):
+                    c.append(x)
+            yield _batch(schema, *out)
+
+    found = among(docs.select("row", "text"), nodes, "row").mapInArrow(run, "row long, class long, n int, slots binary")
+    return saved(found.join(nodes.hint("shuffle_hash"), ["row", "class"]).distinct(), "sets")
 
-    texts = among(docs.select("row", "text"), nodes, "row").join(nodes.hint("shuffle_hash"), "row").dropDuplicates(["row", "class", "text"])
-    return saved(texts.select("class", "text").mapInArrow(run, "class long, n int, slots binary, text string"), "sets")
+
+def texts_of(docs: DataFrame, rows: DataFrame, repeats: bool) -> DataFrame:
+    """(row, text) of the documents in ``rows`` and some others, read from ``docs`` again; ``repeats`` if rows may be equal
+    in id and text, of which one is kept."""
+    near = among(docs.select("row", "text"), rows, "row")
+    return saved(near.distinct(), "texts") if repeats else near
 
 
 def _slot(found: np.ndarray) -> np.ndarray:
@@ -315,10 +327,10 @@ def _counts(slots: pa.Array) -> np.ndarray:
     return rows
 
 
-def visit(visits: DataFrame, placed: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
+def visit(visits: DataFrame, placed: DataFrame, outlined: DataFrame, docs: DataFrame, width: int, percent: int, repeats: bool) -> DataFrame:
     """Links (u, v) between sets of (class, block) visits and the sets of the blocks, one per component they reach.
 
-    Slot counts, which bound the overlap, go first; only visits that they let through move texts.
+    Slot counts, which bound the overlap, go first; only sets that they let through, of the visitors and of the block, move texts.
     """
     members = placed.join(visits.select("block").distinct(), "block")
     shares = visits.groupBy("block").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("shares"))
@@ -329,82 +341,85 @@ def visit(visits: DataFrame, placed: DataFrame, outlined: DataFrame, width: int,
     members = members.select("class", "root", "block", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
 
     def bound(guests: pa.Table, hosts: pa.Table) -> pa.Table:
-        keep = np.zeros(guests.num_rows, bool)
+        keep, wanted = np.zeros(guests.num_rows, bool), np.zeros(hosts.num_rows, bool)
         if guests.num_rows and hosts.num_rows:
             own, sizes, roots = _counts(hosts["slots"]), np.asarray(hosts["n"]).astype(np.int64), np.asarray(hosts["root"])
             rows = zip(_counts(guests["slots"]), np.asarray(guests["n"]).astype(np.int64), np.asarray(guests["root"]))
             for i, (slots, n, root) in enumerate(rows):
                 most = np.minimum(own, slots).sum(axis=1)
-                keep[i] = ((most >= overlap_needed(sizes, n, percent)) & (roots != root)).any()
-        return guests.select(["class", "root", "block", "share"]).filter(pa.array(keep))
+                ok = (most >= overlap_needed(sizes, n, percent)) & (roots != root)
+                keep[i] = ok.any()
+                wanted |= ok
+        return pa.concat_tables(
+            pa.table({c: side[c].filter(pa.array(mask)) for c in ("class", "root", "block", "share", "row")} | {"guest": pa.array([guest] * int(mask.sum()), pa.bool_())})
+            for side, mask, guest in ((guests, keep, True), (hosts, wanted, False)))
+
+    def sets(rows: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Sets, classes and components of the rows whose text gives their class."""
+        found = list(shingle_sets(column(rows["text"]), width))
+        own = np.array([len(f) > 0 and class_of(f) == name for f, name in zip(found, rows["class"].to_pylist())], bool)
+        return [f for f, ok in zip(found, own) if ok], np.asarray(rows["class"])[own], np.asarray(rows["root"])[own]
 
     def compare(guests: pa.Table, hosts: pa.Table) -> pa.Table:
         u, v = [], []
-        if guests.num_rows and hosts.num_rows:
-            own = list(shingle_sets(column(hosts["text"]), width))
-            names, roots = np.asarray(hosts["class"]), np.asarray(hosts["root"])
+        own, names, roots = sets(hosts)
+        if own:
             sizes = np.array([len(f) for f in own], np.int64)
             before, every = np.cumsum(sizes) - sizes, np.concatenate(own)
-            rows = zip(shingle_sets(column(guests["text"]), width), guests["class"].to_pylist(), guests["root"].to_pylist())
-            for found, name, root in rows:
+            for found, name, root in zip(*sets(guests)):
                 spot = np.minimum(np.searchsorted(found, every), len(found) - 1)
                 common = np.add.reduceat((found[spot] == every).astype(np.int64), before)
                 ok = (100 * common >= percent * (sizes + len(found) - common)) & (roots != root)
                 _, first = np.unique(roots[ok], return_index=True)
                 v += names[ok][first].tolist()
-                u += [name] * len(first)
+                u += [int(name)] * len(first)
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    def meet(guests: DataFrame, hosts: DataFrame, outlined: DataFrame, detail: list[str], fn, schema: str) -> DataFrame:
-        extra = outlined.select("class", *detail)
-        left, right = guests.join(extra, "class"), hosts.join(extra, "class")
+    def meet(guests: DataFrame, hosts: DataFrame, extra: DataFrame, key: str, fn, schema: str) -> DataFrame:
+        left, right = guests.join(extra, key), hosts.join(extra, key)
         right = right.toDF(*right.columns)
         return left.groupBy("block", "share").cogroup(right.groupBy("block", "share")).applyInArrow(fn, schema)
 
-    likely = cut_lineage(meet(visitors, members, outlined, ["n", "slots"], bound, "class long, root long, block long, share int"))
-    hosts = cut_lineage(members.join(likely.select("block", "share").distinct(), ["block", "share"]))
-    texts = among(outlined, likely.select("class").union(hosts.select("class")), "class")
-    return meet(likely, hosts, texts, ["text"], compare, "u long, v long")
+    slots = among(outlined.select("class", "row", "n", "slots"), visits.select("class").union(members.select("class")), "class")
+    likely = cut_lineage(meet(visitors, members, slots, "class", bound, "class long, root long, block long, share int, row long, guest boolean"))
+    guests, hosts = (likely.filter(side).drop("guest") for side in ("guest", "NOT guest"))
+    return meet(guests, hosts, texts_of(docs, likely.select("row"), repeats), "row", compare, "u long, v long")
 
 
 def verify(pairs: DataFrame, outlined: DataFrame, width: int, percent: int,
-           narrow: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
+           narrow: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
     """Those of the class pairs (a, b) that reach the threshold: slot counts first, then the texts.
 
-    ``narrow`` may cut the pairs that the slot counts let through from their plan and leave out sets of none of them.
+    ``narrow`` may cut the pairs that the slot counts let through from their plan, and gives the table with their texts
+    by row; else ``outlined`` holds them.
     """
+    ends = ["a", "b", "row_a", "row_b"]
 
     def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in (b.slice(k, SUFFIX_ROWS) for b in batches for k in range(0, b.num_rows, SUFFIX_ROWS)):
             most = np.minimum(_counts(rows.column("slots_a")), _counts(rows.column("slots_b"))).sum(axis=1)
             sizes = [np.asarray(rows.column(c)).astype(np.int64) for c in ("n_a", "n_b")]
-            yield rows.select(["a", "b"]).filter(pa.array(most >= overlap_needed(*sizes, percent)))
+            yield rows.select([c for c in ends if c in rows.schema.names]).filter(pa.array(most >= overlap_needed(*sizes, percent)))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = [False] * batch.num_rows
             sets = zip(shingle_sets(column(batch.column("text_a")), width), shingle_sets(column(batch.column("text_b")), width))
-            for i, (x, y) in enumerate(sets):
+            names = zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())
+            for i, ((x, y), own) in enumerate(zip(sets, names)):
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                ok[i] = 100 * common >= percent * (len(x) + len(y) - common)
+                ok[i] = 100 * common >= percent * (len(x) + len(y) - common) and (class_of(x), class_of(y)) == own
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def both(rows: DataFrame, outlined: DataFrame, detail: list[str]) -> DataFrame:
+    def both(rows: DataFrame, table: DataFrame, key: str, detail: list[str]) -> DataFrame:
         for side in "ab":
-            extra = outlined.select(F.col("class").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in detail])
-            rows = rows.join(extra, side)
+            name = side if key == "class" else f"{key}_{side}"
+            rows = rows.join(table.select(F.col(key).alias(name), *[F.col(c).alias(f"{c}_{side}") for c in detail]), name)
         return rows
 
-    likely, texts = both(pairs.select("a", "b"), outlined, ["n", "slots"]).mapInArrow(suffix, "a long, b long"), outlined
-    if narrow:
-        likely, texts = narrow(likely, outlined)
-    return both(likely, texts, ["text"]).mapInArrow(exact, "a long, b long")
-
-
-def _of_pairs(pairs: DataFrame, outlined: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``pairs`` as a checkpoint, and the sets that they may need."""
-    pairs = cut_lineage(pairs)
-    return pairs, among(outlined, pairs.select(F.explode(F.array("a", "b")).alias("class")), "class")
+    likely = both(pairs.select("a", "b"), outlined, "class", ["row", "n", "slots"]).mapInArrow(suffix, "a long, b long, row_a long, row_b long")
+    likely, texts = narrow(likely) if narrow else (likely, outlined)
+    return both(likely, texts, "row", ["text"]).mapInArrow(exact, "a long, b long")
 
 
 def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -415,8 +430,13 @@ def _open(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.filter("root_a != root_b").drop("root_a", "root_b")
 
 
-def _settle(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) -> DataFrame:
+def _settle(pairs: DataFrame, outlined: DataFrame, docs: DataFrame, width: int, percent: int, repeats: bool) -> DataFrame:
     """Links among ``pairs``; best pair of each class first, then what is still open."""
+
+    def narrow(likely: DataFrame) -> tuple[DataFrame, DataFrame]:
+        likely = cut_lineage(likely)
+        return likely, texts_of(docs, likely.select(F.explode(F.array("row_a", "row_b")).alias("row")), repeats)
+
     links = local_frame(pairs.sparkSession, [], "u long, v long")
     for last in (False, True):
         if not last:
@@ -426,11 +446,12 @@ def _settle(pairs: DataFrame, outlined: DataFrame, width: int, percent: int) ->
             now = pairs
         if not now.take(1):
             break
-        found = verify(cut_lineage(now.select("a", "b")), outlined, width, percent, _of_pairs)
+        checked = cut_lineage(now.select("a", "b"))
+        some = among(outlined, checked.select(F.explode(F.array("a", "b")).alias("class")), "class")
+        found = verify(checked, some, width, percent, narrow)
         found = cut_lineage(found.select(F.col("a").alias("u"), F.col("b").alias("v")))
         links = links.union(found)
         if not last:
-            checked = now.select("a", "b")
             pairs = cut_lineage(_open(pairs.join(checked, ["a", "b"], "left_anti"), components(links)))
     return links
 
@@ -465,7 +486,8 @@ def jaccard_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
     lists = found.filter("kind = 1").select(F.col("a").alias("shingle"), "n", F.col("b").alias("class"), "place")
     listed = lists.select("class").distinct()
     outlined = outlines(pairs.select(F.explode(F.array("a", "b")).alias("class")).union(listed).distinct(), docs, owner, width)
-    links = _settle(pairs, outlined, width, percent)
+    repeats = bool(rows.groupBy("row").count().filter("count > 1").take(1))
+    links = _settle(pairs, outlined, docs, width, percent, repeats)
 
     placed = cut_lineage(placed_sets(listed, pairs, components(links)))
     lists = lists.join(placed, "class")
@@ -473,7 +495,7 @@ def jaccard_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wi
     visits = across(lists.join(split, "shingle"), percent).groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("x"))
     visits = cut_lineage(visits.select("class", F.explode("x").alias("block")))
     if visits.take(1):
-        links = links.union(cut_lineage(visit(visits, placed, outlined, width, percent)))
+        links = links.union(cut_lineage(visit(visits, placed, outlined, docs, width, percent, repeats)))
     roots = components(links).select(F.col("node").alias("class"), "root")
     named = owner.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = named.groupBy("root").agg(F.min("owner").alias("component_id"))

@@ -114,6 +114,37 @@ def test_texts_of_a_join_are_shuffled_once_and_only_if_needed(spark, tmp_path, m
     assert [x for x in moved if x[0] != "_"] == ["row", "row"]  # documents and keys; beside them only the bitmap
 
 
+def test_only_texts_that_the_slots_leave_are_shuffled(spark, tmp_path, monkeypatch):
+    read, plans, found, kept = jaccard.texts_of, [], [], jaccard.saved
+
+    def texts_of(docs, rows, repeats):
+        out = read(docs, rows, repeats)
+        found.append((repeats, sorted(r["text"] for r in out.collect())))
+        return out
+
+    def saved(df, name, path=None):
+        plans.append((name, df.columns))
+        return kept(df, name, path)
+
+    monkeypatch.setattr(jaccard, "texts_of", texts_of)
+    monkeypatch.setattr(jaccard, "saved", saved)
+    rng = np.random.default_rng(6)
+    near, far = ([" ".join(map(str, rng.integers(0, 1 << 30, 60))) for _ in range(20)] for _ in range(2))
+    near = [x for t in near for x in (t, t + " end")]
+    # Half of each text is its neighbour's, so they share prefix shingles, but the slots bound the overlap.
+    far = [x for t in far for x in (t, " ".join(t.split()[:30] + list(map(str, rng.integers(0, 1 << 30, 30)))))]
+    rows = list(enumerate(near + far))
+    for again in (0, 2):
+        path, n = str(tmp_path / f"docs{again}"), len(plans)
+        found.clear()
+        spark.createDataFrame(rows * (1 + again), "doc_id long, text string").write.parquet(path)
+        out = jaccard.jaccard_components(spark.read.parquet(path)).collect()
+        assert len(out) == 80 * (1 + again)
+        assert {r["doc_id"]: r["component_id"] for r in out} == {i: i - i % 2 if i < 40 else i for i, _ in rows}
+        assert ("sets", ["row", "class", "n", "slots"]) in plans[n:]
+        assert found and {r for r, _ in found} == {again > 0} and sorted(x for _, t in found for x in t) == sorted(near)
+
+
 def test_prefixes_of_a_large_batch_are_sent_in_parts(spark):
     frame = Frame()
     frame.sparkSession = spark
